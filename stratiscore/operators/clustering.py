@@ -13,10 +13,11 @@ from datetime import datetime
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiscore.config import (
@@ -28,7 +29,7 @@ from stratiscore.config import (
     Settings,
 )
 from stratiscore.functions import weighted_kmeans
-from stratiscore.functions.cleaning import quoted, require_columns
+from stratiscore.functions.cleaning import quoted, require_columns, texts
 from stratiscore.operators.strata import (
     STRATE,
     age_profile,
@@ -37,6 +38,9 @@ from stratiscore.operators.strata import (
 )
 from stratiscore.sources.staging import Workspace
 
+# Tasks get this module by value, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(weighted_kmeans)
+
 # Columns that are never features.
 NOT_FEATURES = (ID, "CT_CLI_CIAL", "AGE")
 
@@ -45,30 +49,22 @@ LINEAR_SILHOUETTE = "squared_euclidean"
 
 _CANDIDATE = (
     "strate string, k int, silhouette double, silhouette_method string, min_size bigint, "
-    "n_clusters int, centroids array<array<double>>"
+    "centroids array<array<double>>"
 )
 
 
 @dataclass(frozen=True)
 class ClusterModel:
-    """A fitted model as tables of at most a few hundred rows.
-
-    meta        one row: version, date, mode, features, thresholds, age profile
-    scaler      strate, position, feature, mean, scale
-    centroids   strate, cluster, centroid (scaled coordinates)
-    quality     strate, n_clients, n_clusters, silhouette, silhouette_method, is_single_cluster
-    sizes       strate, cluster, n_clients
-    importance  strate, feature, importance
+    """A fitted model.
+
+    meta    one row: version, date, mode, features, thresholds, age profile
+    strata  one row per fitted stratum: strate, n_clients, n_clusters, silhouette,
+            silhouette_method, is_single_cluster; means and scales by feature; centroids by
+            cluster in scaled coordinates; sizes by cluster; importance by feature
     """
 
     meta: DataFrame
-    scaler: DataFrame
-    centroids: DataFrame
-    quality: DataFrame
-    sizes: DataFrame
-    importance: DataFrame
-
-    TABLES = ("meta", "scaler", "centroids", "quality", "sizes", "importance")
+    strata: DataFrame
 
 
 def feature_columns(df: DataFrame) -> list[str]:
@@ -78,147 +74,113 @@ def feature_columns(df: DataFrame) -> list[str]:
     return names
 
 
-def _feature_array(features: list[str]) -> Column:
-    """Features as doubles, missing ones as 0."""
-    return F.array(
-        *[F.coalesce(F.nanvl(quoted(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for c in features]
-    )
+def _filled(name: str) -> str:
+    """Feature as double, a missing one as 0."""
+    return f"coalesce(nanvl(cast({quoted(name)} as double), 0D), 0D)"
 
 
 def stratum_points(stratified: DataFrame, features: list[str]) -> DataFrame:
     """Distinct feature combinations of each stratum with their row counts."""
-    values = [
-        F.coalesce(F.nanvl(quoted(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c)
-        for c in features
-    ]
     return (
-        stratified.filter(F.col(STRATE).isNotNull())
-        .select(STRATE, *values)
+        stratified.filter(f"{STRATE} is not null")
+        .selectExpr(STRATE, *[f"{_filled(c)} as {quoted(c)}" for c in features])
         .groupBy(STRATE, *[quoted(c) for c in features])
-        .agg(F.count("*").alias("n"))
+        .agg(F.expr("count(*) as n"))
     )
 
 
-def scaler_table(points: DataFrame, features: list[str]) -> DataFrame:
-    """Mean and population deviation of each feature in each stratum, rows weighted by ``n``."""
-    long = points.select(
-        STRATE, "n", F.posexplode(_feature_array(features)).alias("position", "x")
-    )
-    means = long.groupBy(STRATE, "position").agg(
-        (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("x").alias("low"),
-        F.max("x").alias("high"),
-    )
-    spread = (
-        long.join(means, [STRATE, "position"])
-        .groupBy(STRATE, "position", "mean", "low", "high")
-        .agg(
-            F.sqrt(
-                F.sum((F.col("x") - F.col("mean")) ** 2 * F.col("n")) / F.sum("n")
-            ).alias("std")
+def strata_stats(points: DataFrame, features: list[str]) -> DataFrame:
+    """Size, means and population deviations of each stratum, from points and their counts.
+
+    ``scales`` has 1 where a feature is constant: such a feature is only centered.
+    """
+    names = [quoted(c) for c in features]
+    means = ", ".join(f"sum({c} * n) / sum(n)" for c in names)
+    constant = ", ".join(f"min({c}) = max({c})" for c in names)
+    first = points.groupBy(STRATE).agg(
+        F.expr("sum(n) as n_clients"),
+        F.expr("count(*) as n_points"),
+        F.expr(f"array({means}) as means"),
+        F.expr(f"array({constant}) as constant"),
+    )
+    off = [f"({c} - means[{i}])" for i, c in enumerate(names)]
+    spread = ", ".join(f"sqrt(sum({d} * {d} * n) / sum(n))" for d in off)
+    return (
+        points.join(F.broadcast(first), STRATE)
+        .groupBy(*first.columns)
+        .agg(F.expr(f"array({spread}) as std"))
+        .selectExpr(
+            STRATE,
+            "n_clients",
+            "n_points",
+            "means",
+            "zip_with(std, constant, (s, c) -> if(c, 0D, s)) as stds",
+            "zip_with(std, constant, (s, c) -> if(c, 1D, s)) as scales",
         )
     )
-    names = F.array(*[F.lit(c) for c in features])
-    return spread.select(
-        STRATE,
-        "position",
-        F.get(names, F.col("position")).alias("feature"),
-        "mean",
-        F.when(F.col("low") == F.col("high"), 0.0).otherwise(F.col("std")).alias("std"),
-        # A constant feature is only centered.
-        F.when(F.col("low") == F.col("high"), 1.0).otherwise(F.col("std")).alias("scale"),
-    )
 
 
-def standardize(stratified: DataFrame, features: list[str], scaler: DataFrame) -> DataFrame:
-    """Each feature centered and scaled by its stratum's mean and deviation, in an array ``z``."""
-    wide = _scaler_arrays(scaler)
-    return stratified.join(F.broadcast(wide), STRATE).select(
-        stratified["*"], _scaled(features).alias("z")
-    )
-
+def _scaled(features: list[str]) -> str:
+    values = [f"({_filled(c)} - means[{i}]) / scales[{i}]" for i, c in enumerate(features)]
+    return f"array({', '.join(values)})"
 
-def _scaler_arrays(scaler: DataFrame) -> DataFrame:
-    """One row per stratum: at most as many rows as there are strata."""
-    ordered = F.array_sort(F.collect_list(F.struct("position", "mean", "scale")))
-    return scaler.groupBy(STRATE).agg(ordered.alias("s")).select(
-        STRATE, F.col("s.mean").alias("means"), F.col("s.scale").alias("scales")
-    )
 
+def standardize(df: DataFrame, features: list[str], stats: DataFrame) -> DataFrame:
+    """Rows of known strata with their features, centered and scaled there, in an array ``z``.
 
-def _scaled(features: list[str]) -> Column:
-    return F.array(*_scaled_list(features))
+    ``stats`` has a row per stratum, of which there are ten.
+    """
+    side = F.broadcast(stats.select(STRATE, "means", "scales"))
+    kept = [quoted(c) for c in df.columns]
+    return df.join(side, STRATE).selectExpr(*kept, f"{_scaled(features)} as z")
 
 
-def _scaled_list(features: list[str]) -> list[Column]:
-    return [
-        (
-            F.coalesce(F.nanvl(quoted(c).cast("double"), F.lit(0.0)), F.lit(0.0))
-            - F.get("means", F.lit(i))
-        )
-        / F.get("scales", F.lit(i))
-        for i, c in enumerate(features)
-    ]
+def nearest_centroid(z: str) -> str:
+    """Index of the nearest of ``centroids``; equal distances give the lowest."""
+    squares = f"zip_with({z}, c, (a, b) -> (a - b) * (a - b))"
+    distance = f"aggregate({squares}, 0D, (total, x) -> total + x)"
+    units = f"floor({distance} * {weighted_kmeans.DISTANCE_UNITS:.0f}D + 0.5D)"
+    return f"array_min(transform(centroids, (c, i) -> struct({units} as d, i as i))).i"
 
 
-def nearest_centroid(coordinates: list[Column], centroids: Column, k_max: int) -> Column:
-    """Index of the nearest of at most ``k_max`` centroids; equal distances give the lowest.
+def assign(df: DataFrame, features: list[str], strata: DataFrame) -> DataFrame:
+    """Cluster columns for every row; strata the model does not know stay NON_CLUSTERED.
 
-    Written out as plain arithmetic over the centroid array, which stays in generated code.
+    ``strata`` has a row per stratum with means, scales and centroids.
     """
-    ranked = []
-    for k in range(k_max):
-        centroid = F.get(centroids, F.lit(k))
-        squares = [(z - F.get(centroid, F.lit(i))) ** 2 for i, z in enumerate(coordinates)]
-        distance = squares[0]
-        for square in squares[1:]:
-            distance = distance + square
-        units = F.floor(distance * weighted_kmeans.DISTANCE_UNITS + 0.5)
-        ranked.append(
-            F.when(
-                F.size(centroids) > k, F.struct(units.alias("d"), F.lit(k).alias("cluster"))
-            )
-        )
-    best = ranked[0] if k_max == 1 else F.least(*ranked)
-    return best.getField("cluster")
-
-
-def assign(
-    df: DataFrame, features: list[str], scaler: DataFrame, centroids: DataFrame, k_max: int
-) -> DataFrame:
-    """Cluster columns for every row; strata the model does not know stay NON_CLUSTERED."""
-    per_stratum = centroids.groupBy(STRATE).agg(
-        F.array_sort(F.collect_list(F.struct("cluster", "centroid"))).alias("c")
-    )
-    model = _scaler_arrays(scaler).join(
-        per_stratum.select(STRATE, F.col("c.centroid").alias("centroids")), STRATE
-    )
-    label = nearest_centroid(_scaled_list(features), F.col("centroids"), k_max)
-    joined = assign_stratum(df).join(F.broadcast(model), STRATE, "left")
-    local = joined.withColumn("_local", F.when(F.col("centroids").isNotNull(), label))
-    return compose_labels(local, df.columns)
+    side = F.broadcast(strata.select(STRATE, "means", "scales", "centroids"))
+    label = f"if(centroids is null, null, {nearest_centroid(_scaled(features))})"
+    joined = assign_stratum(df).join(side, STRATE, "left")
+    return compose_labels(joined.selectExpr("*", f"{label} as _local"), df.columns)
 
 
 def compose_labels(df: DataFrame, keep: list[str]) -> DataFrame:
     """Label columns from ``strate`` and ``_local``; a NULL local label means not clustered."""
-    clustered = F.col(STRATE).isNotNull() & F.col("_local").isNotNull()
-    text = F.concat(F.col(STRATE), F.lit("_C"), F.col("_local").cast("string"))
-    return df.select(
+    clustered = f"{STRATE} is not null and _local is not null"
+    label = f"concat({STRATE}, '_C', cast(_local as string))"
+    return df.selectExpr(
         *[quoted(c) for c in keep],
-        F.when(clustered, F.col(STRATE)).otherwise(NON_CLUSTERED).alias(CLUSTER_STRATE),
-        F.when(clustered, F.col("_local")).otherwise(-1).cast("int").alias(CLUSTER_LOCAL),
-        F.when(clustered, text).otherwise(NON_CLUSTERED).alias(CLUSTER_GLOBAL),
+        f"if({clustered}, {STRATE}, '{NON_CLUSTERED}') as {CLUSTER_STRATE}",
+        f"cast(if({clustered}, _local, -1) as int) as {CLUSTER_LOCAL}",
+        f"if({clustered}, {label}, '{NON_CLUSTERED}') as {CLUSTER_GLOBAL}",
     )
 
 
 def cluster_sizes(labelled: DataFrame) -> DataFrame:
     return (
-        labelled.filter(F.col(CLUSTER_GLOBAL) != NON_CLUSTERED)
+        labelled.filter(f"{CLUSTER_GLOBAL} != '{NON_CLUSTERED}'")
         .groupBy(CLUSTER_STRATE, CLUSTER_LOCAL)
-        .agg(F.count("*").alias("n_clients"))
+        .agg(F.expr("count(*) as n_clients"))
     )
 
 
+def label_points(scaled: DataFrame, strata: DataFrame) -> DataFrame:
+    """Points (``strate``, ``z``, ``n``) with the index of their nearest centroid."""
+    side = F.broadcast(strata.select(STRATE, "centroids"))
+    label = nearest_centroid("z")
+    return scaled.join(side, STRATE).selectExpr(STRATE, "z", "n", f"{label} as cluster")
+
+
 def silhouette_by_stratum(labelled_points: DataFrame, settings: Settings) -> DataFrame:
     """Mean silhouette of each stratum from points (``strate``, ``cluster``, ``z``, ``n``).
 
@@ -228,9 +190,7 @@ def silhouette_by_stratum(labelled_points: DataFrame, settings: Settings) -> Dat
     """
     spark = labelled_points.sparkSession
     counts = labelled_points.groupBy(STRATE).agg(
-        F.count("*").alias("points"),
-        F.min("cluster").alias("low"),
-        F.max("cluster").alias("high"),
+        F.expr("count(*) as points"), F.expr("min(cluster) as low"), F.expr("max(cluster) as high")
     )
     several = [r for r in counts.collect() if r["low"] != r["high"]]
     short = [r[STRATE] for r in several if r["points"] <= settings.points_in_task]
@@ -275,14 +235,24 @@ def _linear_silhouette(labelled_points: DataFrame) -> float:
 
 def feature_importance(labelled_points: DataFrame, features: list[str]) -> DataFrame:
     """Spread of each feature's cluster means: population variance over the clusters."""
-    names = F.array(*[F.lit(c) for c in features])
+    pair = "(f, i) -> struct(f as feature, i as importance)"
+    return cluster_summary(labelled_points, len(features)).selectExpr(
+        STRATE, f"inline(zip_with(array({texts(features)}), importance, {pair}))"
+    )
+
+
+def cluster_summary(labelled_points: DataFrame, n_features: int) -> DataFrame:
+    """Sizes by cluster and importance by feature, one row per stratum."""
+    means = ", ".join(f"sum(z[{i}] * n) / sum(n)" for i in range(n_features))
+    spreads = ", ".join(f"var_pop(center[{i}])" for i in range(n_features))
     return (
-        labelled_points.select(STRATE, "cluster", "n", F.posexplode("z").alias("position", "x"))
-        .groupBy(STRATE, "cluster", "position")
-        .agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("center"))
-        .groupBy(STRATE, "position")
-        .agg(F.var_pop("center").alias("importance"))
-        .select(STRATE, F.get(names, F.col("position")).alias("feature"), "importance")
+        labelled_points.groupBy(STRATE, "cluster")
+        .agg(F.expr("sum(n) as size"), F.expr(f"array({means}) as center"))
+        .groupBy(STRATE)
+        .agg(
+            F.expr("array_sort(collect_list(struct(cluster, size))).size as sizes"),
+            F.expr(f"array({spreads}) as importance"),
+        )
     )
 
 
@@ -300,47 +270,36 @@ def global_importance(importance: DataFrame, quality: DataFrame) -> DataFrame:
 
 
 def select_k(candidates: DataFrame, settings: Settings) -> DataFrame:
-    """Best valid number of clusters of each stratum; 1 where none is valid.
+    """The best valid candidate of each stratum; one cluster where none is valid.
 
     Valid: every cluster large enough, and a silhouette above -1. Equal silhouettes give the
-    smaller number.
+    smaller number of clusters. Further columns of a candidate come along.
     """
-    valid = (
-        F.col("silhouette").isNotNull()
-        & (F.col("silhouette") > -1)
-        & (F.col("min_size") >= settings.min_cluster_size)
-    )
-    order = F.when(valid, F.struct("silhouette", (-F.col("k")).alias("minus_k")))
+    valid = f"silhouette > -1 and min_size >= {settings.min_cluster_size}"
+    order = f"if({valid}, struct(silhouette, -k as fewer), null)"
+    others = [c for c in candidates.columns if c not in (STRATE, "k", "silhouette")]
+    row = ", ".join(["k", "silhouette", *others])
     return (
         candidates.groupBy(STRATE)
-        .agg(F.max(order).alias("best"))
-        .select(
+        .agg(F.expr(f"max_by(struct({row}), {order}) as best"))
+        .selectExpr(
             STRATE,
-            F.coalesce(-F.col("best.minus_k"), F.lit(1)).cast("int").alias("k"),
-            F.coalesce(F.col("best.silhouette"), F.lit(0.0)).alias("silhouette"),
+            "cast(coalesce(best.k, 1) as int) as k",
+            "coalesce(best.silhouette, 0D) as silhouette",
+            *[f"best.{c}" for c in others],
         )
     )
 
 
-def largest_k(n_clients: Column, settings: Settings) -> Column:
-    bounded = F.least(
-        F.lit(settings.k_max), F.floor(n_clients / settings.min_cluster_size).cast("int")
-    )
-    return F.when(bounded < settings.k_min, F.lit(2)).otherwise(bounded)
-
-
-def fit_candidates(scaled: DataFrame, strata: DataFrame, settings: Settings) -> DataFrame:
+def fit_candidates(points: DataFrame, settings: Settings) -> DataFrame:
     """One fit for every stratum and number of clusters, all in one grouped job.
 
-    ``scaled`` holds points (``strate``, ``z``, ``n``), ``strata`` the strata to fit in tasks with
-    their client counts.
+    ``points`` holds ``strate``, ``z``, ``n`` and the stratum's ``n_clients``, for strata whose
+    points fit a task.
     """
-    tries = strata.select(
-        STRATE,
-        F.explode(F.sequence(F.lit(settings.k_min), largest_k(F.col("n_clients"), settings))).alias(
-            "k"
-        ),
-    )
+    top = f"least({settings.k_max}, cast(floor(n_clients / {settings.min_cluster_size}) as int))"
+    numbers = f"sequence(2, if({top} < {settings.k_min}, 2, {top}))"
+    numbers = f"filter({numbers}, k -> k >= {settings.k_min})"
     starts, seed = settings.n_init, settings.random_state
 
     def one_fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -360,22 +319,19 @@ def fit_candidates(scaled: DataFrame, strata: DataFrame, settings: Settings) ->
                 "silhouette": [value],
                 "silhouette_method": [EXACT_SILHOUETTE],
                 "min_size": [int(sizes[sizes > 0].min())],
-                "n_clusters": [int((sizes > 0).sum())],
                 "centroids": [centers.tolist()],
             }
         )
 
     return (
-        scaled.join(F.broadcast(tries), STRATE)
-        .select(STRATE, "k", "z", "n")
+        points.selectExpr(STRATE, "z", "n", f"explode({numbers}) as k")
         .groupBy(STRATE, "k")
         .applyInPandas(one_fit, _CANDIDATE)
     )
 
 
-def _fit_large(scaled: DataFrame, n_clients: int, settings: Settings) -> Iterator[tuple]:
+def _fit_large(scaled: DataFrame, name: str, n_clients: int, settings: Settings) -> Iterator[tuple]:
     """Candidates of one stratum whose points do not fit a task, by Spark ML on all of them."""
-    name = scaled.select(STRATE).first()[0]
     data = scaled.select(
         "z", "n", array_to_vector("z").alias("features"), F.col("n").cast("double").alias("weight")
     )
@@ -386,31 +342,12 @@ def _fit_large(scaled: DataFrame, n_clients: int, settings: Settings) -> Iterato
             for s in range(settings.n_init)
         ]
         best = min(fits, key=lambda m: m.summary.trainingCost)
-        sizes = [
-            (size, center.tolist())
-            for size, center in zip(_ml_sizes(best, data, k), best.clusterCenters())
-            if size
-        ]
-        sizes.sort(key=lambda pair: (-pair[0], pair[1]))
-        value = None
-        if len(sizes) > 1:
-            predicted = best.transform(data)
-            value = _linear_silhouette(predicted.withColumnRenamed("prediction", "cluster"))
-        yield (
-            name,
-            k,
-            value,
-            LINEAR_SILHOUETTE,
-            min(size for size, _ in sizes),
-            len(sizes),
-            [center for _, center in sizes],
-        )
-
-
-def _ml_sizes(model, data: DataFrame, k: int) -> list[int]:
-    rows = model.transform(data).groupBy("prediction").agg(F.sum("n").alias("n")).collect()
-    found = {r["prediction"]: r["n"] for r in rows}
-    return [found.get(i, 0) for i in range(k)]
+        predicted = best.transform(data).withColumnRenamed("prediction", "cluster")
+        found = predicted.groupBy("cluster").agg(F.sum("n").alias("n")).collect()
+        centers = best.clusterCenters()
+        used = sorted((-r["n"], centers[r["cluster"]].tolist()) for r in found)
+        value = _linear_silhouette(predicted) if len(used) > 1 else None
+        yield name, k, value, LINEAR_SILHOUETTE, -used[-1][0], [center for _, center in used]
 
 
 def fit(
@@ -421,59 +358,53 @@ def fit(
     version: str,
     trained_at: datetime,
 ) -> ClusterModel:
-    """Fit every viable stratum and return the model tables."""
+    """Fit every viable stratum."""
     spark = df.sparkSession
     require_columns(df, ["AGE"], "clustering input")
     features = feature_columns(df)
     profile = age_profile(df).first().asDict()
     check_age_profile(profile)
 
-    stratified = assign_stratum(df)
     # Points are as few as the features make them; nothing is assumed about their number.
-    points = workspace.small(stratum_points(stratified, features), "points").df
-    per_stratum = points.groupBy(STRATE).agg(
-        F.sum("n").alias("n_clients"), F.count("*").alias("n_points")
-    )
-    viable = [r for r in per_stratum.collect() if r["n_clients"] >= settings.min_strata_size]
-    names = [r[STRATE] for r in viable]
-    points = points.filter(F.col(STRATE).isin(*names) if names else F.lit(False))
-
-    scaler = workspace.small(scaler_table(points, features), "scaler").df
-    scaled = standardize(points, features, scaler)
-    in_task = [r for r in viable if r["n_points"] <= settings.points_in_task]
-    beyond = [r for r in viable if r["n_points"] > settings.points_in_task]
-    strata = spark.createDataFrame(
-        [(r[STRATE], r["n_clients"]) for r in in_task], f"{STRATE} string, n_clients bigint"
-    )
-    tries = fit_candidates(scaled, strata, settings).collect()
-    for r in beyond:
-        part = workspace.stage(scaled.filter(F.col(STRATE) == r[STRATE]), "large-stratum")
-        tries += list(_fit_large(part, r["n_clients"], settings))
-    candidates = spark.createDataFrame(tries, _CANDIDATE)
-
-    chosen = {r[STRATE]: r for r in select_k(candidates, settings).collect()}
-    fitted = {(t[0], t[1]): t for t in tries}
-    quality_rows, centroid_rows = [], []
-    for r in viable:
-        name, n, k = r[STRATE], r["n_clients"], chosen[r[STRATE]]["k"]
-        if k == 1:
-            centers, value, method = [[0.0] * len(features)], 0.0, EXACT_SILHOUETTE
-        else:
-            _, _, value, method, _, _, centers = fitted[name, k]
-        quality_rows.append((name, n, k, value, method, k == 1))
-        centroid_rows += [(name, i, list(c)) for i, c in enumerate(centers)]
-    quality = spark.createDataFrame(
-        quality_rows,
-        f"{STRATE} string, n_clients bigint, n_clusters int, silhouette double, "
-        "silhouette_method string, is_single_cluster boolean",
-    )
-    centroids = spark.createDataFrame(
-        centroid_rows, f"{STRATE} string, cluster int, centroid array<double>"
-    )
+    points = workspace.small(stratum_points(assign_stratum(df), features), "points").df
+    viable = strata_stats(points, features).filter(
+        f"n_clients >= {settings.min_strata_size}"
+    )
+    stats = workspace.small(viable, "strata-stats")
+    scaled = standardize(points, features, stats.df).select(STRATE, "z", "n")
+    sized = scaled.join(F.broadcast(stats.df.select(STRATE, "n_clients", "n_points")), STRATE)
+    candidates = fit_candidates(
+        sized.filter(f"n_points <= {settings.points_in_task}"), settings
+    )
+    large = [
+        candidate
+        for r in stats.rows
+        if r["n_points"] > settings.points_in_task
+        for candidate in _fit_large(
+            workspace.stage(scaled.filter(F.col(STRATE) == r[STRATE]), "large-stratum"),
+            r[STRATE],
+            r["n_clients"],
+            settings,
+        )
+    ]
+    if large:
+        candidates = candidates.unionByName(spark.createDataFrame(large, _CANDIDATE))
+    chosen = workspace.small(select_k(candidates, settings), "chosen").df
 
-    labelled = label_points(scaled, centroids, len(features), settings.k_max)
-    sizes = labelled.groupBy(STRATE, "cluster").agg(F.sum("n").alias("n_clients"))
-    importance = feature_importance(labelled, features)
+    origin = ", ".join(["0D"] * len(features))
+    fitted = stats.df.join(F.broadcast(chosen), STRATE).selectExpr(
+        STRATE,
+        "n_clients",
+        "k as n_clusters",
+        "silhouette",
+        f"coalesce(silhouette_method, '{EXACT_SILHOUETTE}') as silhouette_method",
+        "k = 1 as is_single_cluster",
+        "means",
+        "scales",
+        f"coalesce(centroids, array(array({origin}))) as centroids",
+    )
+    summary = cluster_summary(label_points(scaled, fitted), len(features))
+    strata = workspace.small(fitted.join(summary, STRATE), "model").df
     meta = spark.createDataFrame(
         [
             (
@@ -499,32 +430,7 @@ def fit(
         "age_std double, age_min int, age_max int, k_min int, k_max int, min_cluster_size int, "
         "min_strata_size int, random_state int",
     )
-    return ClusterModel(
-        meta=meta,
-        scaler=scaler,
-        centroids=centroids,
-        quality=quality,
-        sizes=workspace.small(sizes, "sizes").df,
-        importance=workspace.small(importance, "importance").df,
-    )
-
-
-def label_points(
-    scaled: DataFrame, centroids: DataFrame, n_features: int, k_max: int
-) -> DataFrame:
-    """Points (``strate``, ``z``, ``n``) with the index of their nearest centroid."""
-    per_stratum = centroids.groupBy(STRATE).agg(
-        F.array_sort(F.collect_list(F.struct("cluster", "centroid"))).alias("c")
-    )
-    coordinates = [F.get("z", F.lit(i)) for i in range(n_features)]
-    return scaled.join(
-        F.broadcast(per_stratum.select(STRATE, F.col("c.centroid").alias("centroids"))), STRATE
-    ).select(
-        STRATE,
-        "z",
-        "n",
-        nearest_centroid(coordinates, F.col("centroids"), k_max).alias("cluster"),
-    )
+    return ClusterModel(meta, strata)
 
 
 def transform(df: DataFrame, model: ClusterModel, mode: str) -> DataFrame:
@@ -537,38 +443,36 @@ def transform(df: DataFrame, model: ClusterModel, mode: str) -> DataFrame:
             f"model {meta['model_version']} was fitted in mode {meta['clustering_mode']} on "
             f"{list(meta['features'])}, not in mode {mode} on {features}"
         )
-    return assign(df, features, model.scaler, model.centroids, meta["k_max"])
+    return assign(df, features, model.strata)
 
 
 def application_silhouettes(
     df: DataFrame, model: ClusterModel, settings: Settings, workspace: Workspace
 ) -> DataFrame:
     """Silhouette of each stratum of new data under the model, beside that of its training."""
-    meta = model.meta.first()
-    features = list(meta["features"])
+    features = list(model.meta.first()["features"])
     points = workspace.small(stratum_points(assign_stratum(df), features), "new-points").df
-    labelled = label_points(
-        standardize(points, features, model.scaler),
-        model.centroids,
-        len(features),
-        meta["k_max"],
-    )
-    found = workspace.small(
-        silhouette_by_stratum(workspace.small(labelled, "new-labels").df, settings),
-        "new-silhouettes",
+    scaled = standardize(points, features, model.strata)
+    labelled = workspace.small(label_points(scaled, model.strata), "new-labels").df
+    found = silhouette_by_stratum(labelled, settings).select(STRATE, "silhouette", "n")
+    trained = model.strata.select(
+        STRATE, F.col("silhouette").alias("silhouette_training"), "is_single_cluster"
     )
     single = (
-        labelled.join(model.quality.filter("is_single_cluster"), STRATE)
+        labelled.join(trained.filter("is_single_cluster"), STRATE)
         .groupBy(STRATE)
         .agg(F.sum("n").alias("n"))
         .select(STRATE, F.lit(0.0).alias("silhouette"), "n")
     )
-    new = found.df.select(STRATE, "silhouette", "n").unionByName(single)
-    return new.join(model.quality.select(STRATE, F.col("silhouette").alias("t")), STRATE).select(
-        STRATE,
-        F.col("t").alias("silhouette_training"),
-        F.col("silhouette").alias("silhouette_new"),
-        F.col("n").alias("n_clients"),
+    return (
+        found.unionByName(single)
+        .join(trained, STRATE)
+        .select(
+            STRATE,
+            "silhouette_training",
+            F.col("silhouette").alias("silhouette_new"),
+            F.col("n").alias("n_clients"),
+        )
     )
 
 
@@ -578,24 +482,17 @@ def quality_metrics(quality: DataFrame) -> DataFrame:
     ``single_cluster_strata`` counts silhouettes of 0 or less, ``one_cluster_strata`` strata that
     really have one cluster. The silhouette figures cover the positive ones.
     """
-    positive = F.when(F.col("silhouette") > 0, F.col("silhouette"))
-
-    def or_zero(column: Column, name: str) -> Column:
-        return F.coalesce(column, F.lit(0.0)).alias(name)
-
-    def total(column: Column, name: str) -> Column:
-        return F.coalesce(F.sum(column), F.lit(0)).cast("bigint").alias(name)
-
+    positive = "if(silhouette > 0, silhouette, null)"
     return quality.agg(
-        total(F.col("n_clusters"), "total_clusters"),
-        total(F.col("n_clients"), "total_clustered_clients"),
-        F.count("*").alias("viable_strata"),
-        total(F.when(F.col("silhouette") > 0, 0).otherwise(1), "single_cluster_strata"),
-        total(F.when(F.col("n_clusters") == 1, 1).otherwise(0), "one_cluster_strata"),
-        or_zero(F.avg(positive), "avg_silhouette_score"),
-        or_zero(F.min(positive), "min_silhouette_score"),
-        or_zero(F.max(positive), "max_silhouette_score"),
-        or_zero(F.stddev_pop(positive), "silhouette_std"),
+        F.expr("cast(coalesce(sum(n_clusters), 0) as bigint) as total_clusters"),
+        F.expr("cast(coalesce(sum(n_clients), 0) as bigint) as total_clustered_clients"),
+        F.expr("count(*) as viable_strata"),
+        F.expr("count_if(not silhouette > 0) as single_cluster_strata"),
+        F.expr("count_if(n_clusters = 1) as one_cluster_strata"),
+        F.expr(f"coalesce(avg({positive}), 0D) as avg_silhouette_score"),
+        F.expr(f"coalesce(min({positive}), 0D) as min_silhouette_score"),
+        F.expr(f"coalesce(max({positive}), 0D) as max_silhouette_score"),
+        F.expr(f"coalesce(stddev_pop({positive}), 0D) as silhouette_std"),
     )
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiscore.config import CLUSTER_GLOBAL, ID, LABELS
-from stratiscore.functions.cleaning import rounded_percent
-from stratiscore.operators.scoring import FLAT_RANGE, SCORE
+from stratiscore.functions.cleaning import rounded_percent, text
+from stratiscore.operators.scoring import SCORE, min_max
 from stratiscore.sources.staging import Workspace
 
 # Exported columns and their sources.
@@ -43,13 +43,6 @@ def export_essential(scored: DataFrame) -> DataFrame:
     return scored.select(*present)
 
 
-def _segment_number() -> Column:
-    number = F.lit(UNKNOWN_LABEL_NUMBER)
-    for i, label in enumerate(LABELS):
-        number = F.when(F.col("SEGMENTATION_FINALE") == label, i).otherwise(number)
-    return number
-
-
 def export_completion(scored: DataFrame, workspace: Workspace) -> DataFrame:
     """Twelve columns for the user interface, scores as whole percentages.
 
@@ -59,43 +52,38 @@ def export_completion(scored: DataFrame, workspace: Workspace) -> DataFrame:
     raw = [
         c for c in PNB_SCORES.values() if f"{c}_NORM" not in scored.columns and c in scored.columns
     ]
-    ranged = [SCORE, *raw]
     notes = [c for c in HOLDING_SCORES.values() if c in scored.columns]
+    ranges = [f"{f}({c}) as {f}_{c}" for c in (SCORE, *raw) for f in ("min", "max")]
+    tops = [f"max({c}) as top_{c}" for c in notes]
     per_cluster = workspace.small(
-        scored.groupBy(CLUSTER_GLOBAL).agg(
-            *[f(c).alias(f"{f.__name__}_{c}") for c in ranged for f in (F.min, F.max)],
-            *[F.max(c).alias(f"top_{c}") for c in notes],
-        ),
+        scored.groupBy(CLUSTER_GLOBAL).agg(*[F.expr(sql) for sql in ranges + tops]),
         "export-ranges",
     )
+    largest = {c: float(per_cluster.largest(f"top_{c}")) for c in notes}
 
-    def in_cluster(c: str) -> Column:
-        low, high = F.col(f"min_{c}"), F.col(f"max_{c}")
-        share = F.when(high - low > FLAT_RANGE, (F.col(c) - low) / (high - low)).otherwise(0.5)
-        return rounded_percent(share)
+    def in_cluster(c: str) -> str:
+        return rounded_percent(min_max(c, f"min_{c}", f"max_{c}", 0.5))
 
-    def revenue(c: str) -> Column:
+    def revenue(c: str) -> str:
         if f"{c}_NORM" in scored.columns:
-            return rounded_percent(F.col(f"{c}_NORM"))
-        return in_cluster(c) if c in raw else F.lit(MISSING_SCORE)
+            return rounded_percent(f"{c}_NORM")
+        return in_cluster(c) if c in raw else str(MISSING_SCORE)
 
-    largest = {c: per_cluster.df.agg(F.max(f"top_{c}").alias("top")).scalar() for c in notes}
-
-    def holding(c: str) -> Column:
+    def holding(c: str) -> str:
         if c not in notes:
-            return F.lit(MISSING_SCORE)
-        share = F.coalesce(F.col(c), F.lit(0.0)) / largest[c]
-        return F.when(largest[c] > 0, rounded_percent(share)).otherwise(0)
-
-    if "CD_NOTE_MIRE" in scored.columns:
-        note = F.coalesce(F.col("CD_NOTE_MIRE"), F.lit(0.0)).cast("int")
-    else:
-        note = F.lit(MISSING_SCORE)
-    return per_cluster.attach(scored, [CLUSTER_GLOBAL]).select(
-        F.col(ID).alias("clientId"),
-        _segment_number().alias("segmentNumber"),
-        in_cluster(SCORE).alias("pnbPercentage"),
-        *[revenue(c).alias(name) for name, c in PNB_SCORES.items()],
-        *[holding(c).alias(name) for name, c in HOLDING_SCORES.items()],
-        note.alias("notesMire"),
+            return str(MISSING_SCORE)
+        if largest[c] <= 0:
+            return "0"
+        return rounded_percent(f"coalesce({c}, 0D) / {largest[c]!r}D")
+
+    numbers = " ".join(f"when {text(label)} then {i}" for i, label in enumerate(LABELS))
+    has_note = "CD_NOTE_MIRE" in scored.columns
+    note = "cast(coalesce(CD_NOTE_MIRE, 0D) as int)" if has_note else str(MISSING_SCORE)
+    return per_cluster.attach(scored, [CLUSTER_GLOBAL]).selectExpr(
+        f"{ID} as clientId",
+        f"case SEGMENTATION_FINALE {numbers} else {UNKNOWN_LABEL_NUMBER} end as segmentNumber",
+        f"{in_cluster(SCORE)} as pnbPercentage",
+        *[f"{revenue(c)} as {name}" for name, c in PNB_SCORES.items()],
+        *[f"{holding(c)} as {name}" for name, c in HOLDING_SCORES.items()],
+        f"{note} as notesMire",
     )

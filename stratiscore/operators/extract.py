@@ -6,10 +6,11 @@ share of the rows sends one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiscore.config import ID, NOTE_COLUMNS, Settings
+from stratiscore.functions.cleaning import text
 from stratiscore.operators.selection import sample_by_hash
 from stratiscore.sources.staging import Workspace
 from stratiscore.sources.warehouse import Warehouse
@@ -43,87 +44,67 @@ FINANCIAL_DOUBLES = (
 FINANCIAL_INTEGERS = ("frequency", "recency")
 
 
-def _rank(value: Column, ranks: dict[str, int], other: int) -> Column:
-    result = F.lit(None)
-    for code, rank in reversed(ranks.items()):
-        result = F.when(value == code, F.lit(rank)).otherwise(result)
-    return F.coalesce(result, F.lit(other))
-
-
-def _preferred(value: Column, ranks: dict[str, int], other: int) -> Column:
+def _preferred(value: str, ranks: dict[str, int], other: int) -> str:
     """Aggregate: the value of best rank; ties go to the smallest value, NULL last."""
-    pick = F.struct(
-        _rank(value, ranks, other).alias("rank"), value.isNull().alias("empty"), value.alias("v")
-    )
-    return F.min(pick).getField("v")
-
+    cases = " ".join(f"when {text(code)} then {rank}" for code, rank in ranks.items())
+    rank = f"case {value} {cases} else {other} end"
+    return f"min(struct({rank} as rank, {value} is null as empty, {value} as v)).v"
 
-def _housing() -> Column:
-    return _preferred(F.trim(F.col("CD_OCC_LGT")), HOUSING_RANK, HOUSING_RANK_OTHER)
 
+HOUSING = _preferred("trim(CD_OCC_LGT)", HOUSING_RANK, HOUSING_RANK_OTHER)
+FAMILY = _preferred("CDSIFA", FAMILY_RANK, FAMILY_RANK_OTHER)
+OCCUPATION = _preferred("cast(CDPCSP as string)", OCCUPATION_RANK, OCCUPATION_RANK_OTHER)
+OCCUPATION = f"substring(lpad({OCCUPATION}, 2, '0'), 1, 1)"
+CODES = {"CD_OCC_LGT": HOUSING, "CDSIFA": FAMILY, "CDPCSP": OCCUPATION}
+CODE_DEFAULTS = {
+    "CD_OCC_LGT": DEFAULT_HOUSING,
+    "CDSIFA": DEFAULT_FAMILY,
+    "CDPCSP": DEFAULT_OCCUPATION,
+}
 
-def _family() -> Column:
-    return _preferred(F.col("CDSIFA"), FAMILY_RANK, FAMILY_RANK_OTHER)
 
+def _aggregate(df: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(f"{sql} as {name}") for name, sql in sums.items()])
 
-def _occupation() -> Column:
-    raw = _preferred(F.col("CDPCSP").cast("string"), OCCUPATION_RANK, OCCUPATION_RANK_OTHER)
-    return F.substring(F.lpad(raw, 2, "0"), 1, 1)
 
-
-def _eligible(settings: Settings) -> Column:
-    return F.col("AGE").between(settings.age_min, settings.age_max) & (
-        F.col("nb_majeur") >= settings.nb_majeur_min
+def _eligible(settings: Settings) -> str:
+    return (
+        f"AGE between {settings.age_min} and {settings.age_max} "
+        f"and nb_majeur >= {settings.nb_majeur_min}"
     )
 
 
 def core_base(clients: DataFrame, settings: Settings) -> DataFrame:
     """Clients with an eligible row; the largest value of each count among those rows."""
-    return (
-        clients.filter(_eligible(settings))
-        .groupBy(ID)
-        .agg(*[F.max(name).cast("int").alias(name) for name in CORE_INTEGERS])
-    )
+    largest = {name: f"cast(max({name}) as int)" for name in CORE_INTEGERS}
+    return _aggregate(clients.filter(_eligible(settings)), [ID], largest)
 
 
 def housing_priority(clients: DataFrame) -> DataFrame:
-    return clients.groupBy(ID).agg(_housing().alias("CD_OCC_LGT"))
+    return _aggregate(clients, [ID], {"CD_OCC_LGT": HOUSING})
 
 
 def family_priority(clients: DataFrame) -> DataFrame:
-    return clients.groupBy(ID).agg(_family().alias("CDSIFA"))
+    return _aggregate(clients, [ID], {"CDSIFA": FAMILY})
 
 
 def occupation_priority(clients: DataFrame) -> DataFrame:
-    return clients.groupBy(ID).agg(_occupation().alias("CDPCSP"))
+    return _aggregate(clients, [ID], {"CDPCSP": OCCUPATION})
 
 
-def _core_aggregates(settings: Settings) -> list[Column]:
+def _core_aggregates(settings: Settings) -> dict[str, str]:
     eligible = _eligible(settings)
-    sums = [F.max(F.when(eligible, F.col(c))).cast("int").alias(c) for c in CORE_INTEGERS]
-    return sums + [
-        _housing().alias("CD_OCC_LGT"),
-        _family().alias("CDSIFA"),
-        _occupation().alias("CDPCSP"),
-    ]
-
+    largest = {c: f"cast(max(if({eligible}, {c}, null)) as int)" for c in CORE_INTEGERS}
+    return {**largest, **CODES}
 
-def _for_known_client(name: str) -> Column:
-    return F.when(F.col(ID).isNotNull(), F.col(name))
 
-
-def _core_columns() -> list[Column]:
+def _core_columns() -> list[str]:
     # Rows without a client id form one group of their own, which never finds its codes.
-    defaults = {
-        "CD_OCC_LGT": DEFAULT_HOUSING,
-        "CDSIFA": DEFAULT_FAMILY,
-        "CDPCSP": DEFAULT_OCCUPATION,
-    }
     coded = [
-        F.coalesce(_for_known_client(name), F.lit(default)).alias(name)
-        for name, default in defaults.items()
+        f"coalesce(if({ID} is not null, {name}, null), {text(default)}) as {name}"
+        for name, default in CODE_DEFAULTS.items()
     ]
-    return [F.col(ID), *[F.col(c) for c in CORE_INTEGERS], *coded]
+    return [ID, *CORE_INTEGERS, *coded]
 
 
 def core_extract(clients: DataFrame, settings: Settings) -> DataFrame:
@@ -132,76 +113,66 @@ def core_extract(clients: DataFrame, settings: Settings) -> DataFrame:
     Codes are chosen among all rows of a client, counts among its eligible rows only. An eligible
     row has an age, so a client without one is told by a missing maximum.
     """
-    grouped = clients.groupBy(ID).agg(*_core_aggregates(settings))
-    return grouped.filter(F.col("AGE").isNotNull()).select(*_core_columns())
-
-
-def _org_values() -> dict[str, Column]:
-    return {
-        name: F.coalesce(
-            F.trim(F.col(name)),
-            F.lit(DEFAULT_ORG_CODE if name.startswith("num_") else DEFAULT_ORG_NAME),
-        )
-        for name in ORG_COLUMNS
-    }
+    grouped = _aggregate(clients, [ID], _core_aggregates(settings))
+    return grouped.filter("AGE is not null").selectExpr(*_core_columns())
 
 
-def _org_pick() -> Column:
+def _org_pick() -> str:
     """Aggregate: the row with an agency, then with a pole; further ties by its values."""
-
-    def filled(name: str) -> Column:
-        return F.when(F.col(name).isNotNull() & (F.col(name) != ""), 1).otherwise(2)
-
-    values = _org_values()
     tie = ("num_agence", "nom_agence", "num_pole", "nom_pole", "num_dsc", "nom_dsc")
-    return F.min(
-        F.struct(
-            filled("num_agence").alias("agency"),
-            filled("num_pole").alias("pole"),
-            *[values[name].alias(name) for name in tie],
-        )
+    values = []
+    for name in tie:
+        default = DEFAULT_ORG_CODE if name.startswith("num_") else DEFAULT_ORG_NAME
+        values.append(f"coalesce(trim({name}), {text(default)}) as {name}")
+    return (
+        "min(struct(if(num_agence != '', 1, 2) as agency, if(num_pole != '', 1, 2) as pole, "
+        f"{', '.join(values)}))"
     )
 
 
 def org_extract(clients: DataFrame) -> DataFrame:
     """Organisation of each client: one row per id."""
-    return (
-        clients.filter(F.col(ID).isNotNull())
-        .groupBy(ID)
-        .agg(_org_pick().alias("org"))
-        .select(ID, *[F.col(f"org.{name}").alias(name) for name in ORG_COLUMNS])
+    known = clients.filter(f"{ID} is not null")
+    return _aggregate(known, [ID], {"org": _org_pick()}).selectExpr(
+        ID, *[f"org.{name}" for name in ORG_COLUMNS]
     )
 
 
 def client_profile(clients: DataFrame, settings: Settings) -> DataFrame:
     """Core and organisation columns together, in one aggregation by client."""
-    grouped = clients.groupBy(ID).agg(*_core_aggregates(settings), _org_pick().alias("org"))
-    org = [
-        F.when(F.col(ID).isNotNull(), F.col(f"org.{name}")).alias(name) for name in ORG_COLUMNS
-    ]
-    return grouped.filter(F.col("AGE").isNotNull()).select(*_core_columns(), *org)
+    wanted = {**_core_aggregates(settings), "org": _org_pick()}
+    org = [f"if({ID} is not null, org.{name}, null) as {name}" for name in ORG_COLUMNS]
+    return (
+        _aggregate(clients, [ID], wanted)
+        .filter("AGE is not null")
+        .selectExpr(*_core_columns(), *org)
+    )
 
 
 def pnb_by_client(clients: DataFrame) -> DataFrame:
     """Revenue by client and combination of notes; credit is NULL when either part is."""
-    return clients.groupBy(ID, *NOTE_COLUMNS).agg(
-        F.sum("MT_PNB_ASSU_AGLS").alias("PNB_ASSU"),
-        F.sum("MT_PNB_COLCT_AGLS").alias("PNB_COLL"),
-        (F.sum("MT_PNB_CRED_AGLS") + F.sum("MT_PNB_ADI_AGLS")).alias("PNB_CRED"),
-        F.sum("MT_PNB_SERV_FACTN_AGLS").alias("PNB_SERV"),
+    return _aggregate(
+        clients,
+        [ID, *NOTE_COLUMNS],
+        {
+            "PNB_ASSU": "sum(MT_PNB_ASSU_AGLS)",
+            "PNB_COLL": "sum(MT_PNB_COLCT_AGLS)",
+            "PNB_CRED": "sum(MT_PNB_CRED_AGLS) + sum(MT_PNB_ADI_AGLS)",
+            "PNB_SERV": "sum(MT_PNB_SERV_FACTN_AGLS)",
+        },
     )
 
 
 def savings_split(savings: DataFrame) -> DataFrame:
     """Liquid and stable savings; a row of unknown source counts in neither."""
-    source = F.col("fichier_source")
-    return savings.groupBy(ID).agg(
-        F.sum(F.when(source == LIQUID_SAVINGS_SOURCE, F.col("MONTANT")).otherwise(0.0)).alias(
-            "liquide"
-        ),
-        F.sum(F.when(source != LIQUID_SAVINGS_SOURCE, F.col("MONTANT")).otherwise(0.0)).alias(
-            "stable"
-        ),
+    liquid = text(LIQUID_SAVINGS_SOURCE)
+    return _aggregate(
+        savings,
+        [ID],
+        {
+            "liquide": f"sum(if(fichier_source = {liquid}, MONTANT, 0D))",
+            "stable": f"sum(if(fichier_source != {liquid}, MONTANT, 0D))",
+        },
     )
 
 
@@ -212,38 +183,32 @@ def wealth_by_client(
 
     Ids meet as they are written and lose their trailing blanks only in the result.
     """
-    balances = accounts.groupBy(ID).agg(F.sum("SLD_MOY_12_MOIS").alias("balance"))
-    insurance = insurance_savings.groupBy(ID).agg(F.sum("MT_ENCRS").alias("insurance"))
-
-    def known(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0.0))
-
+    balances = _aggregate(accounts, [ID], {"balance": "sum(SLD_MOY_12_MOIS)"})
+    insurance = _aggregate(insurance_savings, [ID], {"insurance": "sum(MT_ENCRS)"})
     return (
         balances.join(insurance, ID, "left")
         .join(savings_split(savings), ID, "left")
-        .select(
-            F.rtrim(F.col(ID)).alias(ID),
-            known("balance").alias("SLD_DAV"),
-            F.round(known("liquide"), 2).alias("EP_LIQUIDE"),
-            F.round(known("insurance") + known("stable"), 2).alias("EP_STABLE"),
+        .selectExpr(
+            f"rtrim({ID}) as {ID}",
+            "coalesce(balance, 0D) as SLD_DAV",
+            "round(coalesce(liquide, 0D), 2) as EP_LIQUIDE",
+            "round(coalesce(insurance, 0D) + coalesce(stable, 0D), 2) as EP_STABLE",
         )
     )
 
 
 def rfm(accounts: DataFrame) -> DataFrame:
-    return accounts.groupBy(ID).agg(
-        F.sum("NB_OPERN_DBTR_MOIS").alias("frequency"),
-        F.avg("FLUX_MENS").alias("amount"),
-        F.min("RECENCY").alias("recency"),
+    return _aggregate(
+        accounts,
+        [ID],
+        {
+            "frequency": "sum(NB_OPERN_DBTR_MOIS)",
+            "amount": "avg(FLUX_MENS)",
+            "recency": "min(RECENCY)",
+        },
     )
 
 
-def _zero_filled(df: DataFrame, name: str) -> Column:
-    if df.schema[name].dataType.typeName() == "string":
-        return F.coalesce(F.col(name), F.lit("0"))
-    return F.coalesce(F.col(name), F.lit(0))
-
-
 def financial_extract(warehouse: Warehouse) -> DataFrame:
     """Revenue, wealth and account activity of every client known to any of them."""
     joined = (
@@ -257,11 +222,13 @@ def financial_extract(warehouse: Warehouse) -> DataFrame:
         )
         .join(rfm(warehouse.accounts), ID, "full")
     )
-    return joined.select(
+    types = {field.name: field.dataType.typeName() for field in joined.schema}
+    zeros = {c: "'0'" if types[c] == "string" else "0" for c in NOTE_COLUMNS}
+    return joined.selectExpr(
         ID,
-        *[_zero_filled(joined, name).alias(name) for name in NOTE_COLUMNS],
-        *[_zero_filled(joined, name).cast("double").alias(name) for name in FINANCIAL_DOUBLES],
-        *[_zero_filled(joined, name).cast("bigint").alias(name) for name in FINANCIAL_INTEGERS],
+        *[f"coalesce({c}, {zeros[c]}) as {c}" for c in NOTE_COLUMNS],
+        *[f"cast(coalesce({c}, 0) as double) as {c}" for c in FINANCIAL_DOUBLES],
+        *[f"cast(coalesce({c}, 0) as bigint) as {c}" for c in FINANCIAL_INTEGERS],
     )
 
 
@@ -273,4 +240,4 @@ def all_data(profile: DataFrame, financial: DataFrame) -> DataFrame:
 def sample_n(df: DataFrame, n: int, seed: int, workspace: Workspace) -> DataFrame:
     """Exactly min(n, rows) rows, the same ones on every run."""
     ties = [name for name in NOTE_COLUMNS if name in df.columns]
-    return sample_by_hash(df, F.concat(F.col(ID), F.lit(str(seed))), n, [ID, *ties], workspace)
+    return sample_by_hash(df, f"concat({ID}, '{seed}')", n, [ID, *ties], workspace)

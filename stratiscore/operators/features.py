@@ -1,12 +1,11 @@
-"""Demographic encoders. Source columns are matched by their exact names."""
+"""Demographic encoders, as SQL projections. Source columns are matched by their exact names."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from stratiscore.config import ID, check_clustering_mode
-from stratiscore.functions.cleaning import number_or_null, number_or_zero, quoted
+from stratiscore.functions.cleaning import number_or_null, number_or_zero, text, texts
 
 # Words that mark a couple, occupation groups, age ranges (upper bound excluded).
 COUPLE_WORDS = ("marié", "marie", "concubin", "pacsé", "pacse")
@@ -21,26 +20,21 @@ AGE_RANGES = (
 OWNER_CODE = "1"
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
+def _flag_pair(condition: str, yes: str, no: str) -> list[str]:
+    return [f"if({condition}, 1, 0) as {yes}", f"if({condition}, 0, 1) as {no}"]
 
 
-def _flag_pair(condition: Column, yes: str, no: str) -> list[Column]:
-    holds = F.coalesce(condition, F.lit(False))
-    return [_flag(holds).alias(yes), _flag(~holds).alias(no)]
-
-
-def encode_household(df: DataFrame) -> list[Column]:
-    couple = F.lit(False)
+def encode_household(df: DataFrame) -> list[str]:
+    couple = ["false"]
     if "nb_majeur" in df.columns:
-        couple = couple | (F.coalesce(number_or_null(df, "nb_majeur"), F.lit(1.0)) >= 2)
+        couple.append(f"coalesce({number_or_null(df, 'nb_majeur')}, 1D) >= 2")
     if "CDSIFA" in df.columns:
-        status = F.lower(F.coalesce(quoted("CDSIFA").cast("string"), F.lit("")))
-        couple = couple | status.rlike("|".join(COUPLE_WORDS))
-    return _flag_pair(couple, "Situation_Couple", "Situation_Celibataire")
+        words = text("|".join(COUPLE_WORDS))
+        couple.append(f"lower(coalesce(cast(CDSIFA as string), '')) rlike {words}")
+    return _flag_pair(" or ".join(couple), "Situation_Couple", "Situation_Celibataire")
 
 
-def encode_age(df: DataFrame, mode: str) -> list[Column]:
+def encode_age(df: DataFrame, mode: str) -> list[str]:
     if "AGE" not in df.columns:
         return []
     if mode == "stratifie":
@@ -48,37 +42,38 @@ def encode_age(df: DataFrame, mode: str) -> list[Column]:
     age = number_or_null(df, "AGE")
     flags = []
     for name, low, high in AGE_RANGES:
-        inside = age >= low if high is None else (age >= low) & (age < high)
-        flags.append(_flag(inside).alias(name))
+        inside = f"{age} >= {low}" if high is None else f"{age} >= {low} and {age} < {high}"
+        flags.append(f"if({inside}, 1, 0) as {name}")
     return flags
 
 
-def numeric_age(df: DataFrame) -> Column:
+def numeric_age(df: DataFrame) -> str:
     """AGE as a number; whole-number columns keep their type."""
     if df.schema["AGE"].dataType.typeName() in ("byte", "short", "integer", "long"):
-        return F.col("AGE")
-    return number_or_null(df, "AGE").alias("AGE")
+        return "AGE"
+    return f"{number_or_null(df, 'AGE')} as AGE"
 
 
-def encode_income(df: DataFrame) -> list[Column]:
-    name = "REVENU_Score"
+def encode_income(df: DataFrame) -> list[str]:
     if "FRONTALIER" not in df.columns or "CDPCSP" not in df.columns:
-        return [F.lit(0).alias(name)]
-    level = F.when(number_or_zero(df, "FRONTALIER") == 1, CROSS_BORDER_LEVEL)
-    for value, codes in OCCUPATION_GROUPS.items():
-        level = level.when(quoted("CDPCSP").cast("string").isin(*codes), value)
-    return [level.otherwise(0).alias(name)]
+        return ["0 as REVENU_Score"]
+    groups = " ".join(
+        f"when cast(CDPCSP as string) in ({texts(codes)}) then {level}"
+        for level, codes in OCCUPATION_GROUPS.items()
+    )
+    border = f"when {number_or_zero(df, 'FRONTALIER')} = 1 then {CROSS_BORDER_LEVEL}"
+    return [f"case {border} {groups} else 0 end as REVENU_Score"]
 
 
-def encode_children(df: DataFrame) -> list[Column]:
-    has = number_or_zero(df, "nb_enfant") > 0 if "nb_enfant" in df.columns else F.lit(False)
+def encode_children(df: DataFrame) -> list[str]:
+    has = f"{number_or_zero(df, 'nb_enfant')} > 0" if "nb_enfant" in df.columns else "false"
     return _flag_pair(has, "Enfants_Avec", "Enfants_Sans")
 
 
-def encode_housing(df: DataFrame) -> list[Column]:
-    owner = F.lit(False)
+def encode_housing(df: DataFrame) -> list[str]:
+    owner = "false"
     if "CD_OCC_LGT" in df.columns:
-        owner = quoted("CD_OCC_LGT").cast("string") == OWNER_CODE
+        owner = f"coalesce(cast(CD_OCC_LGT as string), '') = {text(OWNER_CODE)}"
     return _flag_pair(owner, "Logement_Proprietaire", "Logement_NonProprietaire")
 
 
@@ -91,10 +86,10 @@ def feature_table(
     it; drop it after clustering.
     """
     check_clustering_mode(mode)
-    columns = [F.col(ID)] if keep_ids and ID in df.columns else []
+    columns = [ID] if keep_ids and ID in df.columns else []
     columns += encode_household(df)
     columns += encode_age(df, mode)
     if carry_age and mode == "global" and "AGE" in df.columns:
         columns.append(numeric_age(df))
     columns += encode_income(df) + encode_children(df) + encode_housing(df)
-    return df.select(*columns)
+    return df.selectExpr(*columns)

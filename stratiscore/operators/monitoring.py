@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiscore.config import CLUSTER_GLOBAL, CLUSTER_STRATE, NON_CLUSTERED, STRATA
+from stratiscore.functions.cleaning import text
 from stratiscore.operators.strata import STRATE
 
 # Limits beyond which something is reported.
@@ -19,6 +20,8 @@ ALERT_SINGLE_SHARE = 0.4
 ALERT_COVERAGE = 0.8
 DRIFT_AGE, DRIFT_VOLUME_HIGH, DRIFT_VOLUME_LOW = 2, 1.5, 0.7
 STRATUM_DRIFT = 0.2
+SUMMARY_QUALITY = ((0.5, "Bonne"), (0.3, "Modérée"))
+SUMMARY_COVERAGE = ((0.85, "Bonne"), (0.7, "Modérée"))
 QUALITY_LEVELS = ((0.7, "EXCELLENTE"), (0.5, "BONNE"), (0.3, "ACCEPTABLE"))
 SINGLE_STRATA_SHARE = 0.3
 SILHOUETTE_SPREAD = 0.2
@@ -27,59 +30,54 @@ TREND_DROP, TREND_SPREAD, TREND_GOOD = 0.1, 0.02, 0.6
 TOP_STRATA = 5
 
 
-def _one_row(left: DataFrame, right: DataFrame) -> DataFrame:
+def _beside(left: DataFrame, right: DataFrame) -> DataFrame:
     """Join of two one-row frames."""
-    key = "_one"
-    return (
-        left.withColumn(key, F.lit(1)).join(right.withColumn(key, F.lit(1)), key).drop(key)
-    )
+    keyed = right.selectExpr("1 as _one", "*")
+    return left.selectExpr("1 as _one", "*").join(keyed, "_one").drop("_one")
 
 
 def model_drift(profile: DataFrame, meta: DataFrame) -> DataFrame:
     """Age profile and volume of new data against those of training."""
-    trained = meta.select(
-        "n_samples",
-        F.col("age_mean").alias("trained_mean"),
-        F.col("age_std").alias("trained_std"),
+    trained = meta.selectExpr(
+        "n_samples", "age_mean as trained_mean", "age_std as trained_std"
     )
-    return _one_row(profile, trained).select(
-        F.abs(F.col("age_mean") - F.col("trained_mean")).alias("age_mean_drift"),
-        F.abs(F.col("age_std") - F.col("trained_std")).alias("age_std_drift"),
-        F.try_divide(F.col("n_rows").cast("double"), F.col("n_samples")).alias("volume_ratio"),
+    return _beside(profile, trained).selectExpr(
+        "abs(age_mean - trained_mean) as age_mean_drift",
+        "abs(age_std - trained_std) as age_std_drift",
+        "try_divide(cast(n_rows as double), n_samples) as volume_ratio",
     )
 
 
 def input_drift(profile: DataFrame, meta: DataFrame) -> DataFrame:
     """Whether mean or spread of the ages moved away from training."""
-    return model_drift(profile, meta).select(
+    return model_drift(profile, meta).selectExpr(
         "age_mean_drift",
         "age_std_drift",
-        (F.col("age_mean_drift") > INPUT_MEAN_DRIFT).alias("mean_warning"),
-        (F.col("age_std_drift") > INPUT_STD_DRIFT).alias("std_warning"),
+        f"age_mean_drift > {INPUT_MEAN_DRIFT} as mean_warning",
+        f"age_std_drift > {INPUT_STD_DRIFT} as std_warning",
     )
 
 
 def coverage(labelled: DataFrame) -> DataFrame:
     """Clustered and total rows, over everything the model was applied to."""
-    clustered = F.when(F.col(CLUSTER_GLOBAL) != NON_CLUSTERED, 1).otherwise(0)
-    return labelled.agg(
-        F.count("*").alias("total"), F.coalesce(F.sum(clustered), F.lit(0)).alias("clustered")
-    ).select(
+    counts = labelled.agg(
+        F.expr("count(*) as total"),
+        F.expr(f"count_if({CLUSTER_GLOBAL} != '{NON_CLUSTERED}') as clustered"),
+    )
+    return counts.selectExpr(
         "total",
         "clustered",
-        (F.col("total") - F.col("clustered")).alias("not_clustered"),
-        F.coalesce(F.try_divide(F.col("clustered").cast("double"), F.col("total")), F.lit(0.0)).alias(
-            "clustered_ratio"
-        ),
+        "total - clustered as not_clustered",
+        "coalesce(try_divide(cast(clustered as double), total), 0D) as clustered_ratio",
     )
 
 
 def active_strata(labelled: DataFrame, n: int = TOP_STRATA) -> DataFrame:
     """Strata holding most clustered rows."""
     return (
-        labelled.filter(F.col(CLUSTER_GLOBAL) != NON_CLUSTERED)
+        labelled.filter(f"{CLUSTER_GLOBAL} != '{NON_CLUSTERED}'")
         .groupBy(CLUSTER_STRATE)
-        .agg(F.count("*").alias("n_clients"))
+        .agg(F.expr("count(*) as n_clients"))
         .orderBy(F.desc("n_clients"), CLUSTER_STRATE)
         .limit(n)
     )
@@ -87,106 +85,87 @@ def active_strata(labelled: DataFrame, n: int = TOP_STRATA) -> DataFrame:
 
 def model_report(drift: DataFrame, quality: DataFrame, covered: DataFrame) -> DataFrame:
     """Drift, fit quality and coverage side by side: one row."""
-    single = F.col("single_cluster_strata") / F.greatest(F.col("viable_strata"), F.lit(1))
-    return _one_row(
-        _one_row(
-            drift,
-            quality.select(
-                F.col("avg_silhouette_score").alias("avg_silhouette"), single.alias("single_ratio")
-            ),
-        ),
-        covered.select("clustered_ratio"),
+    fit = quality.selectExpr(
+        "avg_silhouette_score as avg_silhouette",
+        "single_cluster_strata / greatest(viable_strata, 1) as single_ratio",
     )
+    return _beside(_beside(drift, fit), covered.select("clustered_ratio"))
 
 
-def _alert_conditions() -> dict[str, Column]:
-    # Alert names.
-    return {
-        "DÉRIVE DÉMOGRAPHIQUE": F.col("age_mean_drift") > ALERT_AGE_DRIFT,
-        "CHANGEMENT VOLUME": (F.col("volume_ratio") > ALERT_VOLUME_HIGH)
-        | (F.col("volume_ratio") < ALERT_VOLUME_LOW),
-        "QUALITÉ MODÈLE FAIBLE": F.col("avg_silhouette") < ALERT_SILHOUETTE,
-        "TROP DE CLUSTERS UNIQUES": F.col("single_ratio") > ALERT_SINGLE_SHARE,
-        "COUVERTURE CLUSTERING FAIBLE": F.col("clustered_ratio") < ALERT_COVERAGE,
-    }
+# Alert names.
+ALERTS = {
+    "DÉRIVE DÉMOGRAPHIQUE": f"age_mean_drift > {ALERT_AGE_DRIFT}",
+    "CHANGEMENT VOLUME": (
+        f"volume_ratio > {ALERT_VOLUME_HIGH} or volume_ratio < {ALERT_VOLUME_LOW}"
+    ),
+    "QUALITÉ MODÈLE FAIBLE": f"avg_silhouette < {ALERT_SILHOUETTE}",
+    "TROP DE CLUSTERS UNIQUES": f"single_ratio > {ALERT_SINGLE_SHARE}",
+    "COUVERTURE CLUSTERING FAIBLE": f"clustered_ratio < {ALERT_COVERAGE}",
+}
 
 
 def alerts(report: DataFrame) -> DataFrame:
     """One row per alert raised."""
-    raised = F.array_compact(F.array(*[F.when(c, F.lit(a)) for a, c in _alert_conditions().items()]))
-    return report.select(F.explode(raised).alias("alert"))
+    raised = ", ".join(f"if({when}, {text(name)}, null)" for name, when in ALERTS.items())
+    return report.selectExpr(f"explode(array_compact(array({raised}))) as alert")
 
 
-def _level(value: Column, levels: tuple, other: str) -> Column:
-    result = F.lit(other)
-    for floor, text in reversed(levels):
-        result = F.when(value > floor, text).otherwise(result)
-    return result
+def _level(value: str, levels: tuple, other: str) -> str:
+    cases = " ".join(f"when {value} > {floor} then {text(name)}" for floor, name in levels)
+    return f"case {cases} else {text(other)} end"
 
 
-def decision_summary(report: DataFrame, training_date: Column | date, today: Column | date) -> DataFrame:
+def decision_summary(report: DataFrame, training_date: date, today: date) -> DataFrame:
     """What a person needs to decide on a new fit."""
-    trained = training_date if isinstance(training_date, Column) else F.lit(training_date)
-    now = today if isinstance(today, Column) else F.lit(today)
     drifted = (
-        (F.col("age_mean_drift") > DRIFT_AGE)
-        | (F.col("volume_ratio") > DRIFT_VOLUME_HIGH)
-        | (F.col("volume_ratio") < DRIFT_VOLUME_LOW)
+        f"age_mean_drift > {DRIFT_AGE} or volume_ratio > {DRIFT_VOLUME_HIGH} "
+        f"or volume_ratio < {DRIFT_VOLUME_LOW}"
     )
-    return report.select(
-        F.datediff(now, trained).alias("model_age_days"),
-        _level(F.col("avg_silhouette"), ((0.5, "Bonne"), (0.3, "Modérée")), "Faible").alias(
-            "quality"
-        ),
-        F.when(drifted, "Oui").otherwise("Non").alias("drift"),
-        _level(F.col("clustered_ratio"), ((0.85, "Bonne"), (0.7, "Modérée")), "Faible").alias(
-            "coverage"
-        ),
+    return report.selectExpr(
+        f"datediff(date '{today:%Y-%m-%d}', date '{training_date:%Y-%m-%d}') as model_age_days",
+        f"{_level('avg_silhouette', SUMMARY_QUALITY, 'Faible')} as quality",
+        f"if({drifted}, 'Oui', 'Non') as drift",
+        f"{_level('clustered_ratio', SUMMARY_COVERAGE, 'Faible')} as coverage",
     )
 
 
 def quality_level(quality: DataFrame) -> DataFrame:
     """Grade of a fit, and whether too many strata have one cluster or silhouettes differ much."""
-    return quality.select(
+    return quality.selectExpr(
         "avg_silhouette_score",
-        _level(F.col("avg_silhouette_score"), QUALITY_LEVELS, "FAIBLE").alias("quality_level"),
-        (F.col("single_cluster_strata") > len(STRATA) * SINGLE_STRATA_SHARE).alias(
-            "many_single_clusters"
-        ),
-        (F.col("silhouette_std") > SILHOUETTE_SPREAD).alias("uneven_silhouettes"),
+        f"{_level('avg_silhouette_score', QUALITY_LEVELS, 'FAIBLE')} as quality_level",
+        f"single_cluster_strata > {len(STRATA) * SINGLE_STRATA_SHARE} as many_single_clusters",
+        f"silhouette_std > {SILHOUETTE_SPREAD} as uneven_silhouettes",
     )
 
 
 def history_trend(history: DataFrame) -> DataFrame:
     """Whether the last fits degrade or stay steady; needs at least three of them."""
     newest = history.orderBy(F.desc("training_date"), F.desc("model_version")).limit(TREND_FITS)
-    order = F.struct("training_date", "model_version")
-    score = F.col("avg_silhouette_score")
+    order = "struct(training_date, model_version)"
     trend = newest.agg(
-        F.count("*").alias("n_fits"),
-        F.min_by(score, order).alias("first_score"),
-        F.max_by(score, order).alias("last_score"),
-        F.stddev_pop(score).alias("spread"),
+        F.expr("count(*) as n_fits"),
+        F.expr(f"min_by(avg_silhouette_score, {order}) as first_score"),
+        F.expr(f"max_by(avg_silhouette_score, {order}) as last_score"),
+        F.expr("stddev_pop(avg_silhouette_score) as spread"),
     )
-    enough = F.col("n_fits") >= TREND_MIN_FITS
-    return trend.select(
+    enough = f"n_fits >= {TREND_MIN_FITS}"
+    return trend.selectExpr(
         "n_fits",
         "first_score",
         "last_score",
-        (enough & (F.col("last_score") < F.col("first_score") - TREND_DROP)).alias("degrading"),
-        (enough & (F.col("spread") < TREND_SPREAD) & (F.col("last_score") > TREND_GOOD)).alias(
-            "stable"
-        ),
+        f"{enough} and last_score < first_score - {TREND_DROP}D as degrading",
+        f"{enough} and spread < {TREND_SPREAD} and last_score > {TREND_GOOD} as stable",
     )
 
 
 def stratum_drift(performance: DataFrame) -> DataFrame:
     """Strata whose silhouette moved by more than a fifth of its training value."""
-    moved = F.abs(F.col("silhouette_new") - F.col("silhouette_training")) / F.col(
-        "silhouette_training"
-    )
+    moved = "abs(silhouette_new - silhouette_training) / silhouette_training"
     return (
-        performance.filter(F.col("silhouette_training") > 0)
-        .select(STRATE, "silhouette_training", "silhouette_new", "n_clients", moved.alias("drift"))
-        .filter(F.col("drift") > STRATUM_DRIFT)
+        performance.filter("silhouette_training > 0")
+        .selectExpr(
+            STRATE, "silhouette_training", "silhouette_new", "n_clients", f"{moved} as drift"
+        )
+        .filter(f"drift > {STRATUM_DRIFT}")
     )

@@ -2,35 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiscore.config import ID
+from stratiscore.functions.cleaning import text, texts
 
+# Fixed values.
 TOP_REGIONS = 5
-
-
-def _spread(name: str, prefix: str) -> list[Column]:
-    return [
-        F.avg(name).alias(f"{prefix}_mean"),
-        F.stddev_samp(name).alias(f"{prefix}_std"),
-        F.min(name).alias(f"{prefix}_min"),
-        F.max(name).alias(f"{prefix}_max"),
-    ]
+AGE_CORRELATION, PNB_CORRELATION = 0.1, 0
+SUM_TOLERANCE = 0.01
 
 
 def population_stats(population: DataFrame) -> DataFrame:
     """One row: size, ages, revenue and products of a population."""
+    spreads = [
+        F.expr(f"{sql}({column}) as {name}_{figure}")
+        for column, name in (("AGE", "age"), ("PNB_TOTAL", "pnb"))
+        for sql, figure in (("avg", "mean"), ("stddev_samp", "std"), ("min", "min"), ("max", "max"))
+    ]
     return population.agg(
-        F.count("*").alias("n_clients"),
-        *_spread("AGE", "age"),
-        *_spread("PNB_TOTAL", "pnb"),
-        F.avg("NB_PRODUITS").alias("nb_produits_moyen"),
+        F.expr("count(*) as n_clients"),
+        *spreads,
+        F.expr("avg(NB_PRODUITS) as nb_produits_moyen"),
     )
 
 
 def distribution(population: DataFrame, column: str) -> DataFrame:
-    return population.groupBy(column).agg(F.count("*").alias("n_clients"))
+    return population.groupBy(column).agg(F.expr("count(*) as n_clients"))
 
 
 def top_regions(population: DataFrame, n: int = TOP_REGIONS) -> DataFrame:
@@ -48,63 +47,44 @@ def quality_rules(
     Rules: unique ids, filled columns, numeric columns inside their bounds (NULL passes), codes
     from a list (NULL passes).
     """
-
-    def broken(condition: Column) -> Column:
-        return F.sum(F.when(condition, 1).otherwise(0))
-
-    checks: dict[str, Column] = {f"filled_{c}": broken(F.col(c).isNull()) for c in required}
+    checks = {f"filled_{c}": f"{c} is null" for c in required}
     for c, (low, high) in ranges.items():
-        checks[f"range_{c}"] = broken((F.col(c) < low) | (F.col(c) > high))
+        checks[f"range_{c}"] = f"{c} < {low} or {c} > {high}"
     for c, allowed in codes.items():
-        checks[f"codes_{c}"] = broken(~F.col(c).isin(*allowed))
+        checks[f"codes_{c}"] = f"{c} not in ({texts(allowed)})"
     per_id = df.groupBy(ID).agg(
-        F.count("*").alias("rows"), *[rule.alias(name) for name, rule in checks.items()]
+        F.expr("count(*) as n"),
+        *[F.expr(f"count_if({broken}) as {name}") for name, broken in checks.items()],
     )
-    repeated = F.when(F.col(ID).isNotNull() & (F.col("rows") > 1), F.col("rows")).otherwise(0)
-    totals = per_id.agg(
-        F.sum(repeated).alias("unique_ids"),
-        F.sum(F.when(F.col(ID).isNull(), F.col("rows")).otherwise(0)).alias("null_ids"),
-        *[F.sum(name).alias(name) for name in checks],
+    totals = {
+        "unique_ids": f"if({ID} is not null and n > 1, n, 0)",
+        "null_ids": f"if({ID} is null, n, 0)",
+        **{name: name for name in checks},
+    }
+    pairs = ", ".join(
+        f"struct({text(name)} as rule, coalesce({name}, 0) as broken_rows)" for name in totals
     )
-    names = ["unique_ids", "null_ids", *checks]
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("rule"),
-                F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias("broken_rows"),
-            )
-            for name in names
-        ]
-    )
-    return totals.select(F.inline(pairs))
+    return per_id.agg(
+        *[F.expr(f"cast(sum({sql}) as bigint) as {name}") for name, sql in totals.items()]
+    ).selectExpr(f"inline(array({pairs}))")
 
 
 def correlations(population: DataFrame) -> DataFrame:
     """Age against seniority, revenue against products, and whether they are as expected."""
     return population.agg(
-        F.corr(F.col("AGE").cast("double"), F.col("ANCIENNETE_CLI").cast("double")).alias(
-            "corr_age_anciennete"
-        ),
-        F.corr(F.col("PNB_TOTAL").cast("double"), F.col("NB_PRODUITS").cast("double")).alias(
-            "corr_pnb_produits"
-        ),
-    ).select(
+        F.expr("corr(AGE, ANCIENNETE_CLI) as corr_age_anciennete"),
+        F.expr("corr(PNB_TOTAL, NB_PRODUITS) as corr_pnb_produits"),
+    ).selectExpr(
         "*",
-        (F.col("corr_age_anciennete") > 0.1).alias("age_ok"),
-        (F.col("corr_pnb_produits") > 0).alias("pnb_ok"),
+        f"corr_age_anciennete > {AGE_CORRELATION} as age_ok",
+        f"corr_pnb_produits > {PNB_CORRELATION} as pnb_ok",
     )
 
 
 def pnb_consistency(df: DataFrame, parts: list[str], total: str = "PNB_TOTAL") -> DataFrame:
     """Rows whose revenues do not add up to their total, within one percent."""
-    added = F.lit(0.0)
-    for c in parts:
-        added = added + F.col(c)
-    off = F.abs(added - F.col(total)) > 0.01 * F.abs(F.col(total))
-    return df.agg(
-        F.count("*").alias("n_rows"),
-        F.coalesce(F.sum(F.when(off, 1).otherwise(0)), F.lit(0)).alias("inconsistent"),
-    )
+    off = f"abs({' + '.join(parts)} - {total}) > {SUM_TOLERANCE} * abs({total})"
+    return df.agg(F.expr("count(*) as n_rows"), F.expr(f"count_if({off}) as inconsistent"))
 
 
 def merged_population(core: DataFrame, org: DataFrame, financial: DataFrame) -> DataFrame:

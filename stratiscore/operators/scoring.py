@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiscore.config import (
@@ -31,6 +31,7 @@ from stratiscore.functions.cleaning import (
     require_columns,
     resolve_column,
     resolved_number,
+    text,
 )
 from stratiscore.operators.selection import group_quantiles, quantile, top_rows
 from stratiscore.sources.staging import SmallTable, Workspace
@@ -52,95 +53,81 @@ def score_input(clustered: DataFrame, financial: DataFrame) -> DataFrame:
     """Clustered clients with their finances, one row per note combination of a client."""
     require_columns(clustered, [ID, CLUSTER_GLOBAL], "clustered clients")
     require_columns(financial, [ID], "financial data")
-    joined = clustered.join(financial, ID, "inner")
-    cleaned = joined.withColumn(CLUSTER_GLOBAL, clean_label(joined, CLUSTER_GLOBAL))
-    return cleaned.filter(F.col(CLUSTER_GLOBAL) != NON_CLUSTERED)
+    label = f"{clean_label(clustered, CLUSTER_GLOBAL)} as {CLUSTER_GLOBAL}"
+    kept = [label if c == CLUSTER_GLOBAL else quoted(c) for c in clustered.columns]
+    labelled = clustered.selectExpr(*kept).filter(f"{CLUSTER_GLOBAL} != '{NON_CLUSTERED}'")
+    return labelled.join(financial, ID, "inner")
 
 
 def available_pnb(df: DataFrame, settings: Settings) -> list[str]:
     return [c for c in settings.pnb_columns if resolve_column(df, c) is not None]
 
 
+def _sum(parts: list[str]) -> str:
+    return " + ".join(parts) if parts else "0D"
+
+
 def financial_prep(df: DataFrame, settings: Settings) -> DataFrame:
     """Numeric finances: revenues and their total, savings and their ratio, notes."""
-    numbers = {c: resolved_number(df, c) for c in available_pnb(df, settings)}
-    total = F.lit(0.0)
-    for c in numbers:
-        total = total + numbers[c]
-    numbers["PNB_TOTAL"] = total
+    pnb = available_pnb(df, settings)
+    numbers = {c: resolved_number(df, c) for c in pnb}
     for c in ("EP_LIQUIDE", "EP_STABLE", "SLD_DAV", "CD_NOTE_MIRE"):
         numbers[c] = resolved_number(df, c)
-    numbers["TOTAL_EPARGNE"] = numbers["EP_LIQUIDE"] + numbers["EP_STABLE"]
-    numbers["EP_RATIO"] = savings_ratio(numbers["SLD_DAV"], numbers["TOTAL_EPARGNE"])
     for c in UNIVERSE_NOTES:
-        numbers[c] = number_or_zero(df, c) if c in df.columns else F.lit(0.0)
-    replaced = {name.lower() for name in numbers}
+        numbers[c] = number_or_zero(df, c) if c in df.columns else "0D"
+    computed = {"PNB_TOTAL", "TOTAL_EPARGNE", "EP_RATIO"}
+    replaced = {name.lower() for name in computed.union(numbers)}
     kept = [quoted(c) for c in df.columns if c.lower() not in replaced]
-    return df.select(*kept, *[column.alias(name) for name, column in numbers.items()])
+    numeric = df.selectExpr(*kept, *[f"{sql} as {name}" for name, sql in numbers.items()])
+    savings = "(EP_LIQUIDE + EP_STABLE)"
+    return numeric.selectExpr(
+        "*",
+        f"{_sum(pnb)} as PNB_TOTAL",
+        f"{savings} as TOTAL_EPARGNE",
+        f"{savings_ratio('SLD_DAV', savings)} as EP_RATIO",
+    )
 
 
-def savings_ratio(balance: Column, savings: Column) -> Column:
+def savings_ratio(balance: str, savings: str) -> str:
     """Current-account balance over savings, within [0, 1]; 0 when there are hardly any savings."""
-    ratio = F.greatest(balance, F.lit(float(MIN_SAVINGS))) / savings
-    clipped = F.least(F.greatest(ratio, F.lit(0.0)), F.lit(1.0))
-    return F.when(savings > MIN_SAVINGS, clipped).otherwise(0.0)
+    ratio = f"greatest({balance}, {MIN_SAVINGS}D) / {savings}"
+    return f"if({savings} > {MIN_SAVINGS}, least(greatest({ratio}, 0D), 1D), 0D)"
 
 
 def cluster_pnb_stats(prepared: DataFrame, pnb: list[str]) -> DataFrame:
     """Row count of each cluster, and mean, minimum and maximum of each revenue."""
-    stats = [F.count("*").alias("n")]
-    for c in pnb:
-        stats += [
-            F.avg(c).alias(f"mean_{c}"),
-            F.min(c).alias(f"min_{c}"),
-            F.max(c).alias(f"max_{c}"),
-        ]
-    return prepared.groupBy(CLUSTER_GLOBAL).agg(*stats)
+    stats = [
+        F.expr(f"{sql}({c}) as {name}_{c}")
+        for c in pnb
+        for name, sql in (("mean", "avg"), ("min", "min"), ("max", "max"))
+    ]
+    return prepared.groupBy(CLUSTER_GLOBAL).agg(F.expr("count(*) as n"), *stats)
 
 
-def pnb_weights(stats: DataFrame, pnb: list[str]) -> list[Column]:
+def pnb_weights(pnb: list[str]) -> list[str]:
     """Share of each revenue's mean, without sign, in the sum over the revenues."""
-    total = F.lit(0.0)
-    for c in pnb:
-        total = total + F.abs(F.col(f"mean_{c}"))
-    return [
-        F.coalesce(F.try_divide(F.abs(F.col(f"mean_{c}")), total), F.lit(0.0)).alias(
-            f"WEIGHT_{c}"
-        )
-        for c in pnb
-    ]
+    total = _sum([f"abs(mean_{c})" for c in pnb])
+    return [f"coalesce(try_divide(abs(mean_{c}), {total}), 0D) as WEIGHT_{c}" for c in pnb]
 
 
-def _min_max(value: Column, low: Column, high: Column, flat: float) -> Column:
-    return F.when(high - low > FLAT_RANGE, (value - low) / (high - low)).otherwise(flat)
+def min_max(value: str, low: str, high: str, flat: float) -> str:
+    """Place of a value between two bounds; ``flat`` when they hardly differ."""
+    return f"if({high} - {low} > {FLAT_RANGE}D, ({value} - {low}) / ({high} - {low}), {flat}D)"
 
 
 def client_scores(prepared: DataFrame, stats: SmallTable, pnb: list[str]) -> DataFrame:
     """Weighted sum of the revenues, each normalised inside its cluster."""
-    side = SmallTable(
-        stats.df.select(
-            CLUSTER_GLOBAL,
-            *pnb_weights(stats.df, pnb),
-            *[F.col(f"{b}_{c}") for c in pnb for b in ("min", "max")],
-        ),
-        stats.n_rows,
-        stats.broadcastable,
-    )
-    norms = {
-        c: _min_max(F.col(c), F.col(f"min_{c}"), F.col(f"max_{c}"), 0.0).alias(f"{c}_NORM")
-        for c in pnb
-    }
-    normed = side.attach(prepared, [CLUSTER_GLOBAL]).select(
-        *[quoted(c) for c in prepared.columns],
-        *[F.col(f"WEIGHT_{c}") for c in pnb],
-        *norms.values(),
-    )
-    weighted = [(F.col(f"{c}_NORM") * F.col(f"WEIGHT_{c}")).alias(f"{c}_WEIGHTED") for c in pnb]
-    total = F.lit(0.0)
-    for c in pnb:
-        total = total + F.col(f"{c}_NORM") * F.col(f"WEIGHT_{c}")
+    bounds = [f"{b}_{c}" for c in pnb for b in ("min", "max")]
+    side = stats.derive(CLUSTER_GLOBAL, *pnb_weights(pnb), *bounds)
+    norms = [f"{min_max(c, f'min_{c}', f'max_{c}', 0)} as {c}_NORM" for c in pnb]
+    weighted = [f"{c}_NORM * WEIGHT_{c}" for c in pnb]
     # Sums of shares differ in their last bits with the order of rows; rounding keeps ties ties.
-    return normed.select("*", *weighted, F.round(total, SCORE_DIGITS).alias(SCORE))
+    score = f"round({_sum(weighted)}, {SCORE_DIGITS}) as {SCORE}"
+    return (
+        side.attach(prepared, [CLUSTER_GLOBAL])
+        .selectExpr(*[quoted(c) for c in prepared.columns], *[f"WEIGHT_{c}" for c in pnb], *norms)
+        .selectExpr("*", *[f"{w} as {c}_WEIGHTED" for c, w in zip(pnb, weighted)], score)
+    )
 
 
 def _tie_columns(df: DataFrame) -> list[str]:
@@ -158,7 +145,7 @@ def top_quarter(
         CLUSTER_GLOBAL,
         SCORE,
         settings.top_client_pct,
-        F.col(ID).cast("string"),
+        f"cast({ID} as string)",
         _tie_columns(scored),
         sizes,
         largest,
@@ -183,50 +170,41 @@ def score_quantiles(scored: DataFrame, largest: int, workspace: Workspace) -> Sm
     return group_quantiles(scored, CLUSTER_GLOBAL, wanted, largest, workspace)
 
 
-def _potential(c: str) -> Column:
-    median = F.col(f"{c}_MEDIAN")
+def _potential(c: str) -> str:
     if c == "PNB_COLL":
-        gap = F.col("EP_RATIO") - F.col("EP_RATIO_MEDIAN")
-        share = gap / (1 - F.col("EP_RATIO_MEDIAN") + FLAT_RANGE)
-        return F.when(gap > 0, share * median).otherwise(0.0)
-    missing = F.greatest(median - F.greatest(F.col(c), F.lit(0.0)), F.lit(0.0))
+        gap = "(EP_RATIO - EP_RATIO_MEDIAN)"
+        share = f"{gap} / (1 - EP_RATIO_MEDIAN + {FLAT_RANGE}D)"
+        return f"if({gap} > 0, {share} * {c}_MEDIAN, 0D)"
+    missing = f"greatest({c}_MEDIAN - greatest({c}, 0D), 0D)"
     if c == "PNB_CRED":
-        return F.when(F.col("CD_NOTE_UNVRS_CRED") == 0, missing).otherwise(0.0)
+        return f"if(CD_NOTE_UNVRS_CRED = 0, {missing}, 0D)"
     return missing
 
 
 def potentials(scored: DataFrame, medians: SmallTable, pnb: list[str]) -> DataFrame:
     """Revenue each client could bring, measured against the top clients of its cluster."""
-    total = F.lit(0.0)
-    for c in pnb:
-        total = total + F.col(f"POTENTIAL_{c}")
     return (
         medians.attach(scored, [CLUSTER_GLOBAL])
-        .select("*", *[_potential(c).alias(f"POTENTIAL_{c}") for c in pnb])
-        .withColumn("TOTAL_POTENTIAL", total)
+        .selectExpr("*", *[f"{_potential(c)} as POTENTIAL_{c}" for c in pnb])
+        .selectExpr("*", f"{_sum([f'POTENTIAL_{c}' for c in pnb])} as TOTAL_POTENTIAL")
     )
 
 
 def segmentation(scored: DataFrame, quantiles: SmallTable) -> DataFrame:
     """Segment by score inside the cluster, segment by note, and the label of their sum."""
-    score = F.col(SCORE)
     by_score = (
-        F.when(score >= F.col("SCORE_Q75"), 4)
-        .when(score >= F.col("SCORE_MEDIAN"), 3)
-        .when(score >= F.col("SCORE_Q25"), 2)
-        .otherwise(1)
+        f"case when {SCORE} >= SCORE_Q75 then 4 when {SCORE} >= SCORE_MEDIAN then 3 "
+        f"when {SCORE} >= SCORE_Q25 then 2 else 1 end as SEGMENT_PNB"
+    )
+    notes = " ".join(f"when CD_NOTE_MIRE >= {floor} then {n}" for floor, n in NOTE_LEVELS)
+    labels = " ".join(
+        f"when SEGMENT_FINAL >= {floor} then {text(label)}" for floor, label in LABEL_LEVELS
     )
-    note = F.lit(1)
-    for floor, segment in reversed(NOTE_LEVELS):
-        note = F.when(F.col("CD_NOTE_MIRE") >= floor, segment).otherwise(note)
-    label = F.lit(LABEL_BUILD)
-    for floor, text in reversed(LABEL_LEVELS):
-        label = F.when(F.col("SEGMENT_FINAL") >= floor, text).otherwise(label)
     return (
         quantiles.attach(scored, [CLUSTER_GLOBAL])
-        .select("*", by_score.alias("SEGMENT_PNB"), note.alias("SEGMENT_MIRE"))
-        .withColumn("SEGMENT_FINAL", F.col("SEGMENT_PNB") + F.col("SEGMENT_MIRE"))
-        .withColumn("SEGMENTATION_FINALE", label)
+        .selectExpr("*", by_score, f"case {notes} else 1 end as SEGMENT_MIRE")
+        .selectExpr("*", "SEGMENT_PNB + SEGMENT_MIRE as SEGMENT_FINAL")
+        .selectExpr("*", f"case {labels} else {text(LABEL_BUILD)} end as SEGMENTATION_FINALE")
     )
 
 
@@ -246,9 +224,7 @@ class ScoringSteps:
         return top_quarter(self.scored, self.sizes(), self.largest, self.settings, self.workspace)
 
     def sizes(self) -> SmallTable:
-        return SmallTable(
-            self.stats.df.select(CLUSTER_GLOBAL, "n"), self.stats.n_rows, self.stats.broadcastable
-        )
+        return self.stats.derive(CLUSTER_GLOBAL, "n")
 
     def medians(self) -> SmallTable:
         return top_medians(self.top(), self.pnb, self.largest, self.workspace)
@@ -274,9 +250,8 @@ def scoring_steps(
         raise ValueError("financial data holds none of the revenue columns")
     prepared = workspace.stage(financial_prep(joined, settings), "score-input")
     stats = workspace.small(cluster_pnb_stats(prepared, pnb), "cluster-stats")
-    largest = stats.df.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     scored = client_scores(prepared, stats, pnb)
-    return ScoringSteps(prepared, stats, largest, pnb, scored, workspace, settings)
+    return ScoringSteps(prepared, stats, stats.largest("n"), pnb, scored, workspace, settings)
 
 
 def score_clients(
@@ -288,59 +263,54 @@ def score_clients(
 
 # --- metrics over scored clients -------------------------------------------------------------
 
-
-def _share(part: Column, whole: Column) -> Column:
-    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
-
-
-def _count_if(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0))
+_WITH_SCORE = f"count_if({SCORE} > 0)"
+_WITH_POTENTIAL = "count_if(TOTAL_POTENTIAL > 0)"
 
 
 def scoring_metrics(scored: DataFrame) -> DataFrame:
     """One row over all scored clients."""
     per_cluster = scored.groupBy(CLUSTER_GLOBAL).agg(
-        F.count("*").alias("n"),
-        F.sum(SCORE).alias("score"),
-        F.sum("TOTAL_POTENTIAL").alias("potential"),
-        _count_if(F.col(SCORE) > 0).alias("with_score"),
-        _count_if(F.col("TOTAL_POTENTIAL") > 0).alias("with_potential"),
+        F.expr("count(*) as n"),
+        F.expr(f"sum({SCORE}) as score"),
+        F.expr("sum(TOTAL_POTENTIAL) as potential"),
+        F.expr(f"{_WITH_SCORE} as with_score"),
+        F.expr(f"{_WITH_POTENTIAL} as with_potential"),
     )
-    n = F.sum("n")
+
+    def share(part: str) -> str:
+        return f"coalesce(try_divide(cast(sum({part}) as double), sum(n)), 0D)"
+
     return per_cluster.agg(
-        F.coalesce(n, F.lit(0)).alias("total_clients"),
-        F.count("*").alias("clusters_count"),
-        _share(F.sum("score"), n).alias("avg_client_score"),
-        F.coalesce(F.sum("potential"), F.lit(0.0)).alias("total_potential_value"),
-        _share(F.sum("potential"), n).alias("avg_potential_per_client"),
-        _share(F.sum("with_score").cast("double"), n).alias("score_coverage"),
-        _share(F.sum("with_potential").cast("double"), n).alias("potential_coverage"),
+        F.expr("coalesce(sum(n), 0) as total_clients"),
+        F.expr("count(*) as clusters_count"),
+        F.expr(f"{share('score')} as avg_client_score"),
+        F.expr("coalesce(sum(potential), 0D) as total_potential_value"),
+        F.expr(f"{share('potential')} as avg_potential_per_client"),
+        F.expr(f"{share('with_score')} as score_coverage"),
+        F.expr(f"{share('with_potential')} as potential_coverage"),
     )
 
 
 def segment_distribution(scored: DataFrame) -> DataFrame:
-    """Clients and their percentage by label."""
-    counts = scored.groupBy("SEGMENTATION_FINALE").agg(F.count("*").alias("n_clients"))
-    total = counts.agg(F.sum("n_clients").alias("total")).scalar()
-    return counts.select("*", (F.col("n_clients") * 100.0 / total).alias("pct"))
+    """Clients and their percentage by label: at most one row per label."""
+    counts = scored.groupBy("SEGMENTATION_FINALE").agg(F.expr("count(*) as n_clients"))
+    return counts.selectExpr("*", "n_clients * 100D / sum(n_clients) over () as pct")
 
 
 def cluster_metrics(scored: DataFrame) -> DataFrame:
     """Size, mean score, potential and most frequent label of each cluster."""
     per_label = scored.groupBy(CLUSTER_GLOBAL, "SEGMENTATION_FINALE").agg(
-        F.count("*").alias("n"),
-        F.sum(SCORE).alias("score"),
-        F.sum("TOTAL_POTENTIAL").alias("potential"),
+        F.expr("count(*) as n"),
+        F.expr(f"sum({SCORE}) as score"),
+        F.expr("sum(TOTAL_POTENTIAL) as potential"),
     )
-    n = F.sum("n")
     # Equal counts give the label that sorts first.
-    most = F.min(F.struct((-F.col("n")).alias("rank"), F.col("SEGMENTATION_FINALE").alias("label")))
     return per_label.groupBy(CLUSTER_GLOBAL).agg(
-        n.alias("n_clients"),
-        (F.sum("score") / n).alias("avg_score"),
-        F.sum("potential").alias("total_potential"),
-        (F.sum("potential") / n).alias("avg_potential"),
-        most.getField("label").alias("dominant_segment"),
+        F.expr("sum(n) as n_clients"),
+        F.expr("sum(score) / sum(n) as avg_score"),
+        F.expr("sum(potential) as total_potential"),
+        F.expr("sum(potential) / sum(n) as avg_potential"),
+        F.expr("min(struct(-n, SEGMENTATION_FINALE as label)).label as dominant_segment"),
     )
 
 
@@ -351,26 +321,19 @@ def top_clusters(metrics: DataFrame, n: int = TOP_CLUSTERS) -> DataFrame:
 
 def scoring_quality(scored: DataFrame) -> DataFrame:
     """One row: clients with a score, with a potential, balance of labels, clusters of some size."""
-    per_group = scored.groupBy(CLUSTER_GLOBAL, "SEGMENTATION_FINALE").agg(
-        F.count("*").alias("n"),
-        _count_if(F.col(SCORE) > 0).alias("with_score"),
-        _count_if(F.col("TOTAL_POTENTIAL") > 0).alias("with_potential"),
-    )
-    per_cluster = per_group.groupBy(CLUSTER_GLOBAL).agg(
-        F.sum("n").alias("n"),
-        F.sum("with_score").alias("with_score"),
-        F.sum("with_potential").alias("with_potential"),
+    per_cluster = scored.groupBy(CLUSTER_GLOBAL).agg(
+        F.expr("count(*) as n"),
+        F.expr(f"{_WITH_SCORE} as with_score"),
+        F.expr(f"{_WITH_POTENTIAL} as with_potential"),
         *[
-            F.max(F.when(F.col("SEGMENTATION_FINALE") == label, 1).otherwise(0)).alias(f"has_{i}")
+            F.expr(f"max(int(SEGMENTATION_FINALE = {text(label)})) as has_{i}")
             for i, label in enumerate(LABELS)
         ],
     )
-    present = F.lit(0)
-    for i in range(len(LABELS)):
-        present = present + F.coalesce(F.max(f"has_{i}"), F.lit(0))
+    present = _sum([f"coalesce(max(has_{i}), 0)" for i in range(len(LABELS))])
     return per_cluster.agg(
-        F.coalesce(F.sum("with_score"), F.lit(0)).alias("clients_scored"),
-        F.coalesce(F.sum("with_potential"), F.lit(0)).alias("clients_with_potential"),
-        (present >= BALANCED_LABELS).alias("segments_balanced"),
-        _count_if(F.col("n") >= VIABLE_CLUSTER).alias("clusters_viable"),
+        F.expr("coalesce(sum(with_score), 0) as clients_scored"),
+        F.expr("coalesce(sum(with_potential), 0) as clients_with_potential"),
+        F.expr(f"{present} >= {BALANCED_LABELS} as segments_balanced"),
+        F.expr(f"count_if(n >= {VIABLE_CLUSTER}) as clusters_viable"),
     )

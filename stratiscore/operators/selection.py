@@ -9,10 +9,9 @@ wherever it misses, so the result is exact either way.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,34 +23,31 @@ _ONE_GROUP = "_all_rows"
 
 @dataclass(frozen=True)
 class Position:
-    """A position in the ascending order of a column, counted from 0 and possibly fractional."""
+    """A position in the ascending order of a column.
+
+    ``at`` is SQL over the row count ``n``; it counts from 0 and may be fractional. ``share`` says
+    roughly where that is.
+    """
 
     name: str
     column: str
     share: float
-    of_count: Callable[[Column], Column]
+    at: str
 
 
 def quantile(name: str, column: str, share: float) -> Position:
     """Quantile by linear interpolation between neighbours."""
-    return Position(name, column, share, lambda n: (n - 1) * share)
+    return Position(name, column, share, f"(n - 1) * {share}D")
 
 
-def top_count(n: Column, share: float) -> Column:
-    """How many rows make up the top share of n: rounded down, at least one."""
-    return F.greatest(F.lit(1), F.floor(n * share)).cast("bigint")
+def top_count(share: float) -> str:
+    """How many of ``n`` rows make up their top share: rounded down, at least one."""
+    return f"greatest(1, cast(floor(n * {share}D) as bigint))"
 
 
 def top_threshold(name: str, column: str, share: float) -> Position:
     """The smallest value among the top share of a group."""
-    return Position(
-        name, column, 1 - share, lambda n: (n - top_count(n, share)).cast("double")
-    )
-
-
-def _interpolated(low: Column, high: Column, position: Column) -> Column:
-    weight = position - F.floor(position)
-    return F.when(low == high, low).otherwise((1 - weight) * low + weight * high)
+    return Position(name, column, 1 - share, f"cast(n - {top_count(share)} as double)")
 
 
 def group_quantiles(
@@ -63,7 +59,7 @@ def group_quantiles(
 ) -> SmallTable:
     """One row per group with the wanted quantiles. The columns must not hold NULL or NaN."""
     if largest_group <= workspace.settings.group_rows_in_task:
-        exact = [F.percentile(q.column, q.share).alias(q.name) for q in quantiles]
+        exact = [F.expr(f"percentile({q.column}, {q.share}D) as {q.name}") for q in quantiles]
         return workspace.small(df.groupBy(group).agg(*exact), "quantiles")
     return bracketed_positions(df, group, quantiles, workspace)
 
@@ -74,94 +70,71 @@ def bracketed_positions(
     """One row per group with the values at the wanted positions, for groups of any size."""
     accuracy = workspace.settings.sketch_accuracy
     margin = 2.0 / accuracy
+    numbered = list(enumerate(positions))
 
-    def bracket(p: Position) -> Column:
-        shares = [max(p.share - margin, 0.0), min(p.share + margin, 1.0)]
-        return F.percentile_approx(p.column, shares, accuracy)
+    def bracket(p: Position) -> str:
+        low, high = max(p.share - margin, 0.0), min(p.share + margin, 1.0)
+        return f"percentile_approx({p.column}, array({low}D, {high}D), {accuracy})"
 
     sketch = workspace.small(
         df.groupBy(group).agg(
-            F.count("*").alias("n"),
-            *[bracket(p).alias(f"bracket_{i}") for i, p in enumerate(positions)],
+            F.expr("count(*) as n"), *[F.expr(f"{bracket(p)} as bracket_{i}") for i, p in numbered]
         ),
         "sketch",
     )
-
-    def count_if(condition: Column) -> Column:
-        return F.sum(F.when(condition, 1).otherwise(0))
-
-    counted = []
-    for i, p in enumerate(positions):
-        low, high = F.col(f"bracket_{i}")[0], F.col(f"bracket_{i}")[1]
-        counted.append(count_if(F.col(p.column) < low).alias(f"below_{i}"))
-        counted.append(count_if(F.col(p.column) <= high).alias(f"upto_{i}"))
-    counts = sketch.attach(df, [group], "inner").groupBy(group).agg(*counted)
-
-    # Open the bracket on the side where a wanted neighbour lies outside it.
-    ranges = [F.col(group)]
-    for i, p in enumerate(positions):
-        at = p.of_count(F.col("n"))
-        first, last = F.floor(at), F.ceil(at)
-        holds_first = first >= F.col(f"below_{i}")
-        holds_last = last < F.col(f"upto_{i}")
-        skipped = F.when(holds_first, F.col(f"below_{i}")).otherwise(0)
-        ranges.append(
-            F.struct(
-                F.when(holds_first, F.col(f"bracket_{i}")[0]).alias("low"),
-                F.when(holds_last, F.col(f"bracket_{i}")[1]).alias("high"),
-                (first - skipped).alias("first"),
-                (last - skipped).alias("last"),
-                at.alias("at"),
-            ).alias(f"range_{i}")
+    counts = (
+        sketch.attach(df, [group], "inner")
+        .groupBy(group)
+        .agg(
+            *[F.expr(f"count_if({p.column} < bracket_{i}[0]) as below_{i}") for i, p in numbered],
+            *[F.expr(f"count_if({p.column} <= bracket_{i}[1]) as upto_{i}") for i, p in numbered],
         )
-    bounds = workspace.small(sketch.df.join(counts, group).select(*ranges), "ranges")
+    )
 
-    def candidate(i: int, p: Position) -> Column:
-        value, wanted = F.col(p.column), F.col(f"range_{i}")
-        inside = (wanted["low"].isNull() | (value >= wanted["low"])) & (
-            wanted["high"].isNull() | (value <= wanted["high"])
-        )
-        return F.when(
-            inside,
-            F.struct(
-                F.lit(i).alias("position"),
-                value.cast("double").alias("value"),
-                wanted["first"].alias("first"),
-                wanted["last"].alias("last"),
-                wanted["at"].alias("at"),
-            ),
+    def value_range(i: int, p: Position) -> str:
+        """Bracket, opened on the side where a wanted neighbour lies outside it."""
+        holds_first = f"floor({p.at}) >= below_{i}"
+        skipped = f"if({holds_first}, below_{i}, 0)"
+        return (
+            f"struct(if({holds_first}, bracket_{i}[0], null) as low, "
+            f"if(ceil({p.at}) < upto_{i}, bracket_{i}[1], null) as high, "
+            f"floor({p.at}) - {skipped} as first, ceil({p.at}) - {skipped} as last, "
+            f"{p.at} as at) as range_{i}"
         )
 
-    candidates = F.filter(
-        F.array(*[candidate(i, p) for i, p in enumerate(positions)]), lambda c: c.isNotNull()
+    bounds = workspace.small(
+        sketch.df.join(counts, group).selectExpr(group, *[value_range(i, p) for i, p in numbered]),
+        "ranges",
     )
-    distinct_values = (
-        bounds.attach(df, [group], "inner")
-        .select(group, F.inline(candidates))
-        .groupBy(group, "position", "first", "last", "at", "value")
-        .count()
+    inside = ", ".join(
+        f"if((range_{i}.low is null or {p.column} >= range_{i}.low) and "
+        f"(range_{i}.high is null or {p.column} <= range_{i}.high), "
+        f"struct({i} as position, cast({p.column} as double) as value, range_{i}.first as first, "
+        f"range_{i}.last as last, range_{i}.at as at), null)"
+        for i, p in numbered
     )
     ascending = (
         W.partitionBy(group, "position").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
     )
     found = (
-        distinct_values.withColumn("seen", F.sum("count").over(ascending))
+        bounds.attach(df, [group], "inner")
+        .selectExpr(group, f"inline(filter(array({inside}), c -> c is not null))")
+        .groupBy(group, "position", "first", "last", "at", "value")
+        .count()
+        .withColumn("seen", F.sum("count").over(ascending))
         .groupBy(group, "position", "at")
         .agg(
-            F.min(F.when(F.col("seen") > F.col("first"), F.col("value"))).alias("low"),
-            F.min(F.when(F.col("seen") > F.col("last"), F.col("value"))).alias("high"),
+            F.expr("min(if(seen > first, value, null)) as low"),
+            F.expr("min(if(seen > last, value, null)) as high"),
         )
-        .select(
-            group, "position", _interpolated(F.col("low"), F.col("high"), F.col("at")).alias("v")
+        .selectExpr(
+            group,
+            "position",
+            "if(low = high, low, (1 - at % 1) * low + (at % 1) * high) as v",
         )
     )
-    wide = found.groupBy(group).agg(
-        *[
-            F.max(F.when(F.col("position") == i, F.col("v"))).alias(p.name)
-            for i, p in enumerate(positions)
-        ]
-    )
-    return workspace.small(wide, "positions")
+    wide = [F.expr(f"max(if(position = {i}, v, null)) as {p.name}") for i, p in numbered]
+    return workspace.small(found.groupBy(group).agg(*wide), "positions")
 
 
 def top_rows(
@@ -169,7 +142,7 @@ def top_rows(
     group: str,
     score: str,
     share: float,
-    tie_key: Column,
+    tie_key: str,
     tie_columns: list[str],
     sizes: SmallTable,
     largest_group: int,
@@ -180,12 +153,11 @@ def top_rows(
     Ties go by the hash of ``tie_key`` and then by ``tie_columns``. ``sizes`` holds the group and
     its row count ``n``.
     """
-    hashed = df.withColumn("_hash", F.md5(tie_key))
+    hashed = df.selectExpr("*", f"md5({tie_key}) as _hash")
     if largest_group <= workspace.settings.group_rows_in_task:
         order = W.partitionBy(group).orderBy(F.desc(score), "_hash", *tie_columns)
         ranked = sizes.attach(hashed.withColumn("_place", F.row_number().over(order)), [group])
-        kept = ranked.filter(F.col("_place") <= top_count(F.col("n"), share))
-        return kept.drop("_place", "_hash", "n")
+        return ranked.filter(f"_place <= {top_count(share)}").drop("_place", "_hash", "n")
 
     threshold = bracketed_positions(
         df, group, [top_threshold("_threshold", score, share)], workspace
@@ -193,31 +165,32 @@ def top_rows(
     above = (
         threshold.attach(df, [group], "inner")
         .groupBy(group, "_threshold")
-        .agg(F.sum(F.when(F.col(score) > F.col("_threshold"), 1).otherwise(0)).alias("above"))
+        .agg(F.expr(f"count_if({score} > _threshold) as above"))
     )
     quota = workspace.small(
-        above.join(sizes.df, group).select(
-            group, "_threshold", (top_count(F.col("n"), share) - F.col("above")).alias("_quota")
+        above.join(sizes.df, group).selectExpr(
+            group, "_threshold", f"{top_count(share)} - above as _quota"
         ),
         "tie-quota",
     )
     placed = quota.attach(hashed, [group], "inner").drop("_quota")
-    over = placed.filter(F.col(score) > F.col("_threshold"))
-    tied = placed.filter(F.col(score) == F.col("_threshold"))
-    kept = over.unionByName(_first_by_hash(tied, group, quota, tie_columns, workspace))
+    tied = placed.filter(f"{score} = _threshold")
+    kept = placed.filter(f"{score} > _threshold").unionByName(
+        _first_by_hash(tied, group, quota, tie_columns, workspace)
+    )
     return kept.drop("_hash", "_threshold")
 
 
 def sample_by_hash(
-    df: DataFrame, key: Column, n: int, tie_columns: list[str], workspace: Workspace
+    df: DataFrame, key: str, n: int, tie_columns: list[str], workspace: Workspace
 ) -> DataFrame:
     """Exactly min(n, rows) rows: those of smallest hash of ``key``."""
-    hashed = df.withColumn("_hash", F.md5(key))
+    hashed = df.selectExpr("*", f"md5({key}) as _hash")
     if n <= workspace.settings.small_table_rows:
         return hashed.orderBy("_hash", *tie_columns).limit(n).drop("_hash")
     rows = hashed.withColumn(_ONE_GROUP, F.lit(0))
     quota = workspace.small(
-        workspace.spark.range(1).select(F.lit(0).alias(_ONE_GROUP), F.lit(n).alias("_quota")),
+        workspace.spark.range(1).selectExpr(f"0 as {_ONE_GROUP}", f"{n}L as _quota"),
         "sample-quota",
     )
     return _first_by_hash(rows, _ONE_GROUP, quota, tie_columns, workspace).drop(
@@ -233,32 +206,29 @@ def _first_by_hash(
     Hashes spread evenly, so counts by leading digits show the one bucket where the quota runs
     out; only its rows have to be ordered.
     """
-    bucket = F.conv(F.substring("_hash", 1, _HASH_DIGITS), 16, 10).cast("int")
-    rows = df.withColumn("_bucket", bucket)
+    bucket = f"cast(conv(substring(_hash, 1, {_HASH_DIGITS}), 16, 10) as int)"
+    rows = df.selectExpr("*", f"{bucket} as _bucket")
     ascending = W.partitionBy(group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
     histogram = rows.groupBy(group, "_bucket").count()
     running = histogram.withColumn("seen", F.sum("count").over(ascending))
     cut = workspace.small(
-        quota.attach(running, [group], "inner")
+        quota.derive(group, "_quota")
+        .attach(running, [group], "inner")
         .groupBy(group, "_quota")
         .agg(
-            F.min(F.when(F.col("seen") > F.col("_quota"), F.col("_bucket"))).alias("_cut"),
-            F.max(F.when(F.col("seen") <= F.col("_quota"), F.col("seen"))).alias("_taken"),
+            F.expr("min(if(seen > _quota, _bucket, null)) as _cut"),
+            F.expr("max(if(seen <= _quota, seen, null)) as _taken"),
         )
-        .select(
-            group,
-            "_cut",
-            (F.col("_quota") - F.coalesce(F.col("_taken"), F.lit(0))).alias("_left"),
-        ),
+        .selectExpr(group, "_cut", "_quota - coalesce(_taken, 0) as _left"),
         "hash-cut",
     )
     placed = cut.attach(rows, [group], "inner")
-    whole = placed.filter(F.col("_cut").isNull() | (F.col("_bucket") < F.col("_cut")))
     order = W.partitionBy(group).orderBy("_hash", *tie_columns)
     edge = (
-        placed.filter(F.col("_bucket") == F.col("_cut"))
+        placed.filter("_bucket = _cut")
         .withColumn("_place", F.row_number().over(order))
-        .filter(F.col("_place") <= F.col("_left"))
+        .filter("_place <= _left")
         .drop("_place")
     )
+    whole = placed.filter("_cut is null or _bucket < _cut")
     return whole.unionByName(edge).drop("_bucket", "_cut", "_left")

@@ -2,56 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiscore.config import STRATA, Settings
-from stratiscore.functions.cleaning import number_or_null, require_columns
+from stratiscore.functions.cleaning import number_or_null, require_columns, text
 
 STRATE = "strate"
 
 
-def stratum_of(age: Column) -> Column:
-    """Stratum label; NULL for ages below the first stratum or between two."""
-    label = F.lit(None).cast("string")
-    for name, low, high in reversed(STRATA):
-        inside = age >= low if high is None else age.between(low, high)
-        label = F.when(inside, F.lit(name)).otherwise(label)
-    return label
+def stratum_of(age: str) -> str:
+    """Stratum label as SQL; NULL for ages below the first stratum or between two."""
+    cases = " ".join(
+        f"when {age} >= {low} then {text(name)}"
+        if high is None
+        else f"when {age} between {low} and {high} then {text(name)}"
+        for name, low, high in STRATA
+    )
+    return f"case {cases} end"
 
 
 def assign_stratum(df: DataFrame) -> DataFrame:
-    return df.withColumn(STRATE, stratum_of(number_or_null(df, "AGE")))
+    return df.selectExpr("*", f"{stratum_of(number_or_null(df, 'AGE'))} as {STRATE}")
 
 
 def stratum_counts(stratified: DataFrame, settings: Settings) -> DataFrame:
     """Clients of every stratum, empty ones included, and whether it is too small to cluster."""
     spark = stratified.sparkSession
     names = spark.createDataFrame([(name,) for name, _, _ in STRATA], f"{STRATE} string")
-    counts = stratified.filter(F.col(STRATE).isNotNull()).groupBy(STRATE).count()
-    n = F.coalesce(F.col("count"), F.lit(0))
-    return names.join(counts, STRATE, "left").select(
-        STRATE, n.alias("n_clients"), (n < settings.min_strata_size).alias("under_threshold")
+    counts = stratified.filter(f"{STRATE} is not null").groupBy(STRATE).count()
+    return names.join(counts, STRATE, "left").selectExpr(
+        STRATE,
+        "coalesce(count, 0) as n_clients",
+        f"coalesce(count, 0) < {settings.min_strata_size} as under_threshold",
     )
 
 
 def viable_strata(stratified: DataFrame, settings: Settings) -> DataFrame:
     """Strata large enough to be clustered."""
     counts = stratum_counts(stratified, settings)
-    return counts.filter(~F.col("under_threshold")).select(STRATE, "n_clients")
+    return counts.filter("not under_threshold").select(STRATE, "n_clients")
 
 
 def age_profile(df: DataFrame) -> DataFrame:
     """One row: rows, invalid ages, and spread of the valid ones."""
     require_columns(df, ["AGE"], "clustering input")
-    age = number_or_null(df, "AGE")
-    return df.select(age.alias("age")).agg(
-        F.count("*").alias("n_rows"),
-        F.sum(F.when(F.col("age").isNull(), 1).otherwise(0)).alias("invalid_ages"),
-        F.min("age").alias("age_min"),
-        F.max("age").alias("age_max"),
-        F.avg("age").alias("age_mean"),
-        F.stddev_samp("age").alias("age_std"),
+    ages = df.selectExpr(f"{number_or_null(df, 'AGE')} as age")
+    return ages.agg(
+        F.expr("count(*) as n_rows"),
+        F.expr("count_if(age is null) as invalid_ages"),
+        F.expr("min(age) as age_min"),
+        F.expr("max(age) as age_max"),
+        F.expr("avg(age) as age_mean"),
+        F.expr("stddev_samp(age) as age_std"),
     )
 
 

@@ -117,6 +117,11 @@ class SegmentationPipeline:
         encoded = feature_table(data, self.clustering_mode, carry_age=True)
         return self.workspace.stage(encoded, "features")
 
+    def _encoded_columns(self, features: DataFrame) -> list[str]:
+        # Global mode carries AGE for the strata only.
+        carried = {extract.ID, "AGE"} if self.clustering_mode == "global" else {extract.ID}
+        return [c for c in features.columns if c not in carried]
+
     def fit(self, features: DataFrame) -> clustering.ClusterModel:
         moment = datetime.now()
         model = clustering.fit(
@@ -132,7 +137,7 @@ class SegmentationPipeline:
         return model
 
     def _log_fit(self, model: clustering.ClusterModel) -> None:
-        level = monitoring.quality_level(clustering.quality_metrics(model.quality)).first()
+        level = monitoring.quality_level(clustering.quality_metrics(model.strata)).first()
         log.info("fit quality: %s", level.asDict())
         history = self.models.history(self.settings.history_limit)
         if history is not None:
@@ -167,7 +172,7 @@ class SegmentationPipeline:
     def cluster(self, features: DataFrame) -> DataFrame:
         model = self.choose_model(features)
         labelled = clustering.transform(features, model, self.clustering_mode)
-        quality = clustering.quality_metrics(model.quality)
+        quality = clustering.quality_metrics(model.strata)
         self.metrics["clustering"] = quality.first().asDict()
         if self.metadata["model_action"] == "reused":
             self.metrics["model_report"] = self.report_reuse(features, labelled, model)
@@ -183,7 +188,7 @@ class SegmentationPipeline:
         covered = one(monitoring.coverage(labelled), "coverage").df
         profile = one(age_profile(features), "age-profile").df
         drift = one(monitoring.model_drift(profile, model.meta), "drift").df
-        quality = clustering.quality_metrics(model.quality)
+        quality = clustering.quality_metrics(model.strata)
         report = one(monitoring.model_report(drift, quality, covered), "report").df
         trained = model.meta.first()["training_date"]
         moved = monitoring.stratum_drift(
@@ -259,7 +264,7 @@ class SegmentationPipeline:
             raise ValueError("no client was extracted")
         self.metrics["extraction"] = {"n_clients": n_clients, "n_variables": len(data.columns)}
         self.metrics["optimization"] = {
-            "n_features": len([c for c in features.columns if c != extract.ID]),
+            "n_features": len(self._encoded_columns(features)),
             "clustering_mode": self.clustering_mode,
         }
         scored = self.score(self.cluster(features), financial)

@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiscore.operators.clustering import ClusterModel, quality_metrics
-from stratiscore.sources.snapshots import _read_if_there
+from stratiscore.sources.files import read_if_there
+from stratiscore.sources.staging import Workspace
 
-_META = "meta"
+_HISTORY = (
+    "model_version string, training_date timestamp, n_samples bigint, "
+    "avg_silhouette_score double, total_clusters bigint, viable_strata bigint, model_path string"
+)
 
 
 class ModelNotFound(LookupError):
@@ -33,35 +37,27 @@ def newest(history: DataFrame, limit: int, date: str = "training_date") -> DataF
 
 
 class ModelStore:
-    """Model tables under one folder, partitioned by version. ``meta`` is written last."""
+    """Models under one folder: a table of strata, one of models, one of their history.
+
+    Saving only appends. A model exists once its row in the table of models is written, which
+    happens after its strata.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _path(self, table: str) -> str:
-        return f"{self.root}/model_{table}"
-
     def save(self, model: ClusterModel) -> str:
-        version = model.meta.first()["model_version"]
-        for table in [t for t in ClusterModel.TABLES if t != _META] + [_META]:
-            frame = getattr(model, table)
-            (
-                frame.withColumn("model_version", F.lit(version))
-                .coalesce(1)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("model_version")
-                .parquet(self._path(table))
-            )
-        self._append_history(model)
-        return version
-
-    def _append_history(self, model: ClusterModel) -> None:
-        quality = quality_metrics(model.quality).first()
         meta = model.meta.first()
+        version = meta["model_version"]
+        known = self.meta()
+        if known is not None and not known.filter(F.col("model_version") == version).isEmpty():
+            raise ValueError(f"model {version} is already saved under {self.root}")
+        self._append(model.strata.withColumn("model_version", F.lit(version)), "strata")
+        self._append(model.meta, "meta")
+        quality = quality_metrics(model.strata).first()
         entry = (
-            meta["model_version"],
+            version,
             meta["training_date"],
             meta["n_samples"],
             quality["avg_silhouette_score"],
@@ -69,42 +65,39 @@ class ModelStore:
             quality["viable_strata"],
             self.root,
         )
-        self.spark.createDataFrame(
-            [entry],
-            "model_version string, training_date timestamp, n_samples bigint, "
-            "avg_silhouette_score double, total_clusters bigint, viable_strata bigint, "
-            "model_path string",
-        ).coalesce(1).write.mode("append").parquet(f"{self.root}/model_history")
+        self._append(self.spark.createDataFrame([entry], _HISTORY), "history")
+        return version
+
+    def _path(self, table: str) -> str:
+        return f"{self.root}/model_{table}"
+
+    def _append(self, df: DataFrame, table: str) -> None:
+        df.coalesce(1).write.mode("append").parquet(self._path(table))
 
     def meta(self) -> DataFrame | None:
-        df = _read_if_there(self.spark, self._path(_META))
-        if df is None:
-            return None
-        return df.withColumn("model_version", F.col("model_version").cast("string"))
+        return read_if_there(self.spark, self._path("meta"))
 
     def latest_version(self) -> str | None:
         meta = self.meta()
         return None if meta is None else latest_model(meta).first()["model_version"]
 
     def load(self, version: str | None = None) -> ClusterModel:
+        """The tables of one model. They are model-sized and come as local relations."""
         version = version or self.latest_version()
         if version is None:
             raise ModelNotFound(f"no model under {self.root}")
-        tables = {}
-        for table in ClusterModel.TABLES:
-            df = self.spark.read.parquet(self._path(table))
-            of_version = df.filter(F.col("model_version").cast("string") == version)
-            tables[table] = (
-                of_version.withColumn("model_version", F.lit(version))
-                if table == _META
-                else of_version.drop("model_version")
-            )
-        if tables[_META].isEmpty():
+        workspace = Workspace(self.spark)
+        of_version = F.col("model_version") == version
+        meta = workspace.small(self.meta().filter(of_version), "meta")
+        if not meta.rows:
             raise ModelNotFound(f"no model {version} under {self.root}")
-        return ClusterModel(**tables)
+        strata = self.spark.read.parquet(self._path("strata")).filter(of_version)
+        return ClusterModel(
+            meta.df, workspace.small(strata.drop("model_version"), "strata").df
+        )
 
     def history(self, limit: int = 100) -> DataFrame | None:
-        df = _read_if_there(self.spark, f"{self.root}/model_history")
+        df = read_if_there(self.spark, self._path("history"))
         return None if df is None else newest(df, limit)
 
     def status(self) -> dict:
@@ -114,7 +107,7 @@ class ModelStore:
             return {"has_model": False, "message": "Aucun modèle existant trouvé"}
         try:
             model = self.load(version)
-            row = model_status(model.meta, model.quality).first()
+            row = model_status(model.meta, model.strata).first()
         except Exception as error:  # a status report must not fail
             return {
                 "has_model": True,

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiscore.sources.files import delete, read_if_there
+
 # Snapshot states.
 NOT_FOUND = "CACHE_NOT_FOUND"
 OLD_FORMAT = "CACHE_OLD_FORMAT"
@@ -77,12 +78,12 @@ class SnapshotStore:
 
     def status(self, dataset: str, period: str) -> str:
         try:
-            df = _read_if_there(self.spark, self._path(dataset))
+            df = read_if_there(self.spark, self._path(dataset))
             if df is None:
                 return NOT_FOUND
             if "period" not in df.columns:
                 return OLD_FORMAT
-            register = _read_if_there(self.spark, self._path(_REGISTER))
+            register = read_if_there(self.spark, self._path(_REGISTER))
             if register is None:
                 return NOT_FOUND
             found = (
@@ -107,8 +108,8 @@ class SnapshotStore:
     def clear(self, dataset: str | None = None) -> None:
         """Drop one data set with its register rows, or all of them."""
         for name in DATASETS if dataset is None else (dataset,):
-            _delete(self.spark, f"{self._path(_REGISTER)}/dataset={name}")
-            _delete(self.spark, self._path(name))
+            delete(self.spark, f"{self._path(_REGISTER)}/dataset={name}")
+            delete(self.spark, self._path(name))
 
     def read_through(
         self,
@@ -128,17 +129,3 @@ class SnapshotStore:
             return built
         self.save(dataset, built, period)
         return self._read(dataset, period)
-
-
-def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

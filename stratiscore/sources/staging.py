@@ -9,10 +9,11 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from stratiscore.config import Settings
+from stratiscore.sources.files import delete
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -55,26 +56,32 @@ class Workspace:
         limit = self.settings.small_table_rows
         rows = df.limit(limit + 1).collect()
         if len(rows) <= limit:
-            return SmallTable(self.spark.createDataFrame(rows, df.schema), len(rows), True)
-        staged = self.stage(df, name)
-        return SmallTable(staged, staged.count(), False)
+            return SmallTable(self.spark.createDataFrame(rows, df.schema), rows)
+        return SmallTable(self.stage(df, name), None)
 
     def release(self) -> None:
         """Delete the staged tables; frames read from them are dead afterwards."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, self.root)
 
 
 class SmallTable:
-    """A table of checked size."""
+    """A table of checked size: ``rows`` holds it when it is small, else it is None."""
 
-    def __init__(self, df: DataFrame, n_rows: int, broadcastable: bool):
+    def __init__(self, df: DataFrame, rows: list[Row] | None):
         self.df = df
-        self.n_rows = n_rows
-        self.broadcastable = broadcastable
+        self.rows = rows
+
+    def largest(self, column: str) -> int:
+        """Maximum of a column, 0 without rows."""
+        if self.rows is None:
+            return self.df.agg(F.coalesce(F.max(column), F.lit(0))).first()[0]
+        return max((row[column] for row in self.rows), default=0)
+
+    def derive(self, *columns: str) -> "SmallTable":
+        """A projection of the table, as small as the table."""
+        return SmallTable(self.df.selectExpr(*columns), self.rows)
 
     def attach(self, df: DataFrame, on: list[str], how: str = "left") -> DataFrame:
         """Join these columns to a large frame, by broadcast when the size allows it."""
-        side = F.broadcast(self.df) if self.broadcastable else self.df
+        side = self.df if self.rows is None else F.broadcast(self.df)
         return df.join(side, on, how)

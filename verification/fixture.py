@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiscore.config import CLUSTER_GLOBAL, CLUSTER_STRATE, NON_CLUSTERED, Settings
+from stratiscore.config import Settings
 from stratiscore.operators import clustering, extract, scoring
 from stratiscore.operators.features import feature_table
 from stratiscore.operators.strata import STRATE, assign_stratum, viable_strata
@@ -24,26 +24,36 @@ def settings_for(n_customers: int) -> Settings:
     )
 
 
-def given_local() -> Column:
-    """A fixed partition of each stratum, for what is defined given cluster labels."""
-    return F.col("Situation_Couple") * 2 + F.col("Enfants_Avec")
+# A fixed partition of each stratum, for what is defined given cluster labels.
+GIVEN_LOCAL = "cast(Situation_Couple * 2 + Enfants_Avec as int)"
 
 
-def rounded(column: Column | str) -> Column:
-    column = F.col(column) if isinstance(column, str) else column
-    return F.round(column.cast("double"), 6) + F.lit(0.0)
+def rounded(sql: str) -> str:
+    return f"round(cast({sql} as double), 6) + 0D"
 
 
 class Fixture:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        for name in SOURCE_TABLES:
-            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-        self.n_customers = spark.table("customer").count()
-        self.settings = settings_for(self.n_customers)
-        frames = {name: spark.sql(sql) for name, sql in VIEWS.items()}
-        self.frames = frames
-        self.warehouse = Warehouse.from_frames(frames, self.settings)
+        self.sf_dir = sf_dir
+        self._registered: set[str] = set()
+        self._views: dict[str, DataFrame] = {}
+        self.warehouse = Warehouse(self.view)
+
+    def view(self, name: str) -> DataFrame:
+        """A derived table. Its source tables are registered under the names the SQL uses."""
+        if name not in self._views:
+            for table in SOURCE_TABLES:
+                if f" {table} " in VIEWS[name] and table not in self._registered:
+                    path = f"{self.sf_dir}/{table}.parquet"
+                    self.spark.read.parquet(path).createOrReplaceTempView(table)
+                    self._registered.add(table)
+            self._views[name] = self.spark.sql(VIEWS[name])
+        return self._views[name]
+
+    @cached_property
+    def settings(self) -> Settings:
+        return settings_for(self.spark.read.parquet(f"{self.sf_dir}/customer.parquet").count())
 
     @cached_property
     def workspace(self) -> Workspace:
@@ -71,8 +81,8 @@ class Fixture:
         """All clients under the given labels; small strata are not clustered."""
         stratified = self.workspace.stage(self.stratified(), "stratified")
         large = self.workspace.small(viable_strata(stratified, self.settings), "viable")
-        local = F.when(F.col("n_clients").isNotNull(), given_local())
-        joined = large.attach(stratified, [STRATE]).withColumn("_local", local)
+        local = f"if(n_clients is not null, {GIVEN_LOCAL}, null) as _local"
+        joined = large.attach(stratified, [STRATE]).selectExpr("*", local)
         return clustering.compose_labels(joined, [c for c in stratified.columns if c != STRATE])
 
     def feature_names(self) -> list[str]:
@@ -90,26 +100,21 @@ class Fixture:
         """Distinct points of the viable strata with scaled coordinates ``z``."""
         names = self.feature_names()
         points = self.workspace.small(clustering.stratum_points(self.viable(), names), "points").df
-        scaler = self.workspace.small(clustering.scaler_table(points, names), "scaler").df
-        return clustering.standardize(points, names, scaler)
+        return clustering.standardize(points, names, clustering.strata_stats(points, names))
 
     def labelled_points(self) -> DataFrame:
-        return self.scaled_points().select(
-            STRATE, given_local().cast("int").alias("cluster"), "z", "n"
-        )
+        return self.scaled_points().selectExpr(STRATE, f"{GIVEN_LOCAL} as cluster", "z", "n")
 
     def given_quality(self) -> DataFrame:
         """Quality rows of the given labels."""
         points = self.workspace.small(self.labelled_points(), "labelled-points").df
         counts = points.groupBy(STRATE).agg(
-            F.sum("n").alias("n_clients"), F.countDistinct("cluster").cast("int").alias("n_clusters")
+            F.expr("sum(n) as n_clients"),
+            F.expr("cast(count(distinct cluster) as int) as n_clusters"),
         )
         values = clustering.silhouette_by_stratum(points, self.settings).drop("n")
-        return counts.join(values, STRATE, "left").select(
-            STRATE,
-            "n_clients",
-            "n_clusters",
-            F.coalesce(F.round("silhouette", 9), F.lit(0.0)).alias("silhouette"),
+        return counts.join(values, STRATE, "left").selectExpr(
+            STRATE, "n_clients", "n_clusters", "coalesce(round(silhouette, 9), 0D) as silhouette"
         )
 
     def scoring(self) -> scoring.ScoringSteps:
@@ -122,8 +127,5 @@ class Fixture:
 
     def half_profile_meta(self) -> DataFrame:
         """Training record of an older model: the odd-numbered half of the clients."""
-        older = self.features().filter(F.substring(extract.ID, -1, 1).cast("int") % 2 == 1)
+        older = self.features().filter(f"cast(right({extract.ID}, 1) as int) % 2 = 1")
         return clustering.training_meta(older)
-
-
-__all__ = ["CLUSTER_GLOBAL", "CLUSTER_STRATE", "NON_CLUSTERED", "Fixture", "rounded"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiscore.config import (
@@ -32,7 +32,7 @@ from stratiscore.operators.strata import STRATE
 from stratiscore.plans.pipeline import SegmentationPipeline, fit_transform
 from stratiscore.sources import model_store, sinks
 from stratiscore.sources.snapshots import SnapshotStore
-from verification.fixture import Fixture, rounded
+from verification.fixture import GIVEN_LOCAL, Fixture, rounded
 
 SAMPLE_SIZE = 300
 SEED = 42
@@ -52,12 +52,16 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: bind(build) for name, build in _REGISTRY.items()}
 
 
-def _ints(*names: str) -> list[Column]:
-    return [F.col(n).cast("bigint").alias(n) for n in names]
+def _ints(*names: str) -> list[str]:
+    return [f"cast({n} as bigint) as {n}" for n in names]
 
 
-def _doubles(*names: str) -> list[Column]:
-    return [rounded(n).alias(n) for n in names]
+def _doubles(*names: str) -> list[str]:
+    return [f"{rounded(n)} as {n}" for n in names]
+
+
+def _agg(df: DataFrame, keys: list[str], *aggregates: str) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(sql) for sql in aggregates])
 
 
 # --- extraction ------------------------------------------------------------------------------
@@ -65,10 +69,12 @@ def _doubles(*names: str) -> list[Column]:
 
 @query
 def scan_clients(fx: Fixture) -> DataFrame:
-    return fx.warehouse.clients.groupBy("num_dsc").agg(
-        F.count("*").alias("n_rows"),
-        F.count("AGE").alias("n_ages"),
-        F.sum("MT_PNB_CRED_AGLS").alias("credit"),
+    return _agg(
+        fx.warehouse.clients,
+        ["num_dsc"],
+        "count(*) as n_rows",
+        "count(AGE) as n_ages",
+        "sum(MT_PNB_CRED_AGLS) as credit",
     )
 
 
@@ -104,7 +110,7 @@ def org_extract(fx: Fixture) -> DataFrame:
 
 @query
 def pnb_by_client(fx: Fixture) -> DataFrame:
-    return extract.pnb_by_client(fx.warehouse.clients).select(
+    return extract.pnb_by_client(fx.warehouse.clients).selectExpr(
         ID, *_ints(*UNIVERSE_NOTES), "CD_NOTE_MIRE", *_doubles(*PNB_COLUMNS)
     )
 
@@ -122,15 +128,15 @@ def savings_split(fx: Fixture) -> DataFrame:
 
 @query
 def rfm(fx: Fixture) -> DataFrame:
-    return extract.rfm(fx.warehouse.accounts).select(
+    return extract.rfm(fx.warehouse.accounts).selectExpr(
         ID, *_ints("frequency", "recency"), *_doubles("amount")
     )
 
 
-def _financial_columns() -> list[Column]:
+def _financial_columns() -> list[str]:
     return [
         *_ints(*UNIVERSE_NOTES),
-        F.col("CD_NOTE_MIRE"),
+        "CD_NOTE_MIRE",
         *_doubles(*extract.FINANCIAL_DOUBLES),
         *_ints(*extract.FINANCIAL_INTEGERS),
     ]
@@ -138,14 +144,14 @@ def _financial_columns() -> list[Column]:
 
 @query
 def financial_extract(fx: Fixture) -> DataFrame:
-    return fx.financial().select(ID, *_financial_columns())
+    return fx.financial().selectExpr(ID, *_financial_columns())
 
 
 @query
 def all_data(fx: Fixture) -> DataFrame:
     profile = extract.client_profile(fx.warehouse.clients, fx.settings)
     data = extract.all_data(profile, fx.financial())
-    return data.select(*profile.columns, *_financial_columns())
+    return data.selectExpr(*profile.columns, *_financial_columns())
 
 
 @query
@@ -153,7 +159,7 @@ def sample_n(fx: Fixture) -> DataFrame:
     profile = extract.client_profile(fx.warehouse.clients, fx.settings)
     data = extract.all_data(profile, fx.financial())
     sample = extract.sample_n(data, SAMPLE_SIZE, SEED, fx.workspace)
-    return sample.select(ID, "AGE", *_ints("CD_NOTE_POIDS_UNVRS"))
+    return sample.selectExpr(ID, "AGE", *_ints("CD_NOTE_POIDS_UNVRS"))
 
 
 # --- cleaning --------------------------------------------------------------------------------
@@ -161,22 +167,20 @@ def sample_n(fx: Fixture) -> DataFrame:
 
 @query
 def clean_labels(fx: Fixture) -> DataFrame:
-    raw = fx.frames["raw_labels"]
-    return raw.select(ID, clean_label(raw, CLUSTER_GLOBAL).alias(CLUSTER_GLOBAL))
+    raw = fx.view("raw_labels")
+    return raw.selectExpr(ID, f"{clean_label(raw, CLUSTER_GLOBAL)} as {CLUSTER_GLOBAL}")
 
 
 @query
 def coerce_notes(fx: Fixture) -> DataFrame:
     clients = fx.warehouse.clients
-    note = number_or_zero(clients, "CD_NOTE_MIRE").alias("note")
-    return clients.select(ID, note).groupBy(ID).agg(
-        F.max("note").alias("note"), F.count("note").alias("n_rows")
-    )
+    notes = clients.selectExpr(ID, f"{number_or_zero(clients, 'CD_NOTE_MIRE')} as note")
+    return _agg(notes, [ID], "max(note) as note", "count(note) as n_rows")
 
 
 @query
 def age_validity(fx: Fixture) -> DataFrame:
-    return strata.age_profile(fx.warehouse.clients).select(*_ints("n_rows", "invalid_ages"))
+    return strata.age_profile(fx.warehouse.clients).selectExpr(*_ints("n_rows", "invalid_ages"))
 
 
 # --- features --------------------------------------------------------------------------------
@@ -185,13 +189,13 @@ def age_validity(fx: Fixture) -> DataFrame:
 @query
 def encode_household(fx: Fixture) -> DataFrame:
     core = fx.core()
-    return core.select(ID, *features.encode_household(core))
+    return core.selectExpr(ID, *features.encode_household(core))
 
 
 @query
 def encode_age(fx: Fixture) -> DataFrame:
     core = fx.core()
-    return core.select(
+    return core.selectExpr(
         ID, *features.encode_age(core, "stratifie"), *features.encode_age(core, "global")
     )
 
@@ -199,19 +203,19 @@ def encode_age(fx: Fixture) -> DataFrame:
 @query
 def encode_income(fx: Fixture) -> DataFrame:
     core = fx.core()
-    return core.select(ID, *features.encode_income(core))
+    return core.selectExpr(ID, *features.encode_income(core))
 
 
 @query
 def encode_children(fx: Fixture) -> DataFrame:
     core = fx.core()
-    return core.select(ID, *features.encode_children(core))
+    return core.selectExpr(ID, *features.encode_children(core))
 
 
 @query
 def encode_housing(fx: Fixture) -> DataFrame:
     core = fx.core()
-    return core.select(ID, *features.encode_housing(core))
+    return core.selectExpr(ID, *features.encode_housing(core))
 
 
 @query
@@ -229,7 +233,7 @@ def feature_table_global(fx: Fixture) -> DataFrame:
 
 @query
 def assign_stratum(fx: Fixture) -> DataFrame:
-    return fx.stratified().select(ID, "AGE", STRATE)
+    return fx.stratified().selectExpr(ID, "AGE", STRATE)
 
 
 @query
@@ -247,9 +251,9 @@ def standardize(fx: Fixture) -> DataFrame:
     names = fx.feature_names()
     rows = fx.viable()
     points = fx.workspace.small(clustering.stratum_points(rows, names), "points").df
-    scaled = clustering.standardize(rows, names, clustering.scaler_table(points, names))
-    return scaled.select(
-        ID, STRATE, *[rounded(F.get("z", F.lit(i))).alias(f"z_{c}") for i, c in enumerate(names)]
+    scaled = clustering.standardize(rows, names, clustering.strata_stats(points, names))
+    return scaled.selectExpr(
+        ID, STRATE, *[f"{rounded(f'z[{i}]')} as z_{c}" for i, c in enumerate(names)]
     )
 
 
@@ -257,7 +261,7 @@ def standardize(fx: Fixture) -> DataFrame:
 def stratum_points(fx: Fixture) -> DataFrame:
     names = fx.feature_names()
     points = clustering.stratum_points(fx.stratified(), names)
-    return points.select(STRATE, *[F.col(c).cast("int").alias(c) for c in names], "n")
+    return points.selectExpr(STRATE, *[f"cast({c} as int) as {c}" for c in names], "n")
 
 
 def _fitted(fx: Fixture, mode: str, frame: DataFrame) -> clustering.ClusterModel:
@@ -273,31 +277,26 @@ def kmeans_fit(fx: Fixture) -> DataFrame:
     names = fx.feature_names()
     labelled = clustering.transform(frame, model, "stratifie")
     rows = clustering.standardize(
-        labelled.withColumnRenamed(CLUSTER_STRATE, STRATE), names, model.scaler
+        labelled.withColumnRenamed(CLUSTER_STRATE, STRATE), names, model.strata
     )
-    means = (
-        rows.select(STRATE, CLUSTER_LOCAL, F.posexplode("z").alias("position", "x"))
-        .groupBy(STRATE, CLUSTER_LOCAL, "position")
-        .agg(F.avg("x").alias("mean"), F.count("*").alias("size"))
+    means = _agg(
+        rows.selectExpr(STRATE, CLUSTER_LOCAL, "posexplode(z) as (position, x)"),
+        [STRATE, CLUSTER_LOCAL, "position"],
+        "avg(x) as mean",
+        "count(*) as size",
     )
-    centers = model.centroids.select(
-        STRATE, F.col("cluster").alias(CLUSTER_LOCAL), F.posexplode("centroid").alias("position", "c")
-    )
-    first = F.col("position") == 0
-    return (
-        means.join(centers, [STRATE, CLUSTER_LOCAL, "position"], "full")
-        .groupBy(STRATE)
-        .agg(
-            F.sum(F.when(first, F.col("size"))).cast("bigint").alias("n_clients"),
-            F.sum(F.when(first, 1)).between(1, fx.settings.k_max).alias("k_in_range"),
-            (
-                (F.sum(F.when(first, 1)) == 1)
-                | (F.min("size") >= fx.settings.min_cluster_size)
-            ).alias("sizes_ok"),
-            F.coalesce(F.max(F.abs(F.col("mean") - F.col("c"))) < 1e-6, F.lit(False)).alias(
-                "centers_are_means"
-            ),
-        )
+    centers = model.strata.selectExpr(
+        STRATE, f"posexplode(centroids) as ({CLUSTER_LOCAL}, centroid)"
+    ).selectExpr(STRATE, CLUSTER_LOCAL, "posexplode(centroid) as (position, c)")
+    clusters = "count_if(position = 0)"
+    return _agg(
+        means.join(centers, [STRATE, CLUSTER_LOCAL, "position"], "full"),
+        [STRATE],
+        "sum(if(position = 0, size, 0)) as n_clients",
+        f"{clusters} between 1 and {fx.settings.k_max} as k_in_range",
+        f"{clusters} = 1 or min(size) >= {fx.settings.min_cluster_size} as sizes_ok",
+        "coalesce(max(abs(mean - c)) < 1e-6, false) and count(mean) = count(*) "
+        "and count(c) = count(*) as centers_are_means",
     )
 
 
@@ -305,7 +304,9 @@ def kmeans_fit(fx: Fixture) -> DataFrame:
 def kmeans_quality(fx: Fixture) -> DataFrame:
     """The fit itself: clusters and silhouette of each stratum. No SQL gives the same centers."""
     model = _fitted(fx, "stratifie", fx.workspace.stage(fx.features(), "features"))
-    return model.quality
+    return model.strata.selectExpr(
+        STRATE, "n_clients", "n_clusters", *_doubles("silhouette"), "sizes"
+    )
 
 
 @query
@@ -313,12 +314,14 @@ def global_mode(fx: Fixture) -> DataFrame:
     """Fit on the features with age ranges; clients by stratum, AGE gone from the result."""
     frame = fx.workspace.stage(features.feature_table(fx.core(), "global", carry_age=True), "features")
     labelled = fit_transform(frame, "global", fx.settings, fx.workspace).drop("AGE")
-    return labelled.groupBy(CLUSTER_STRATE).agg(
-        F.count("*").alias("n_clients"),
-        F.sum("Age_Jeunes").alias("jeunes"),
-        F.sum("Age_Actifs").alias("actifs"),
-        F.sum("Age_Seniors").alias("seniors"),
-        F.sum("Age_Retraites").alias("retraites"),
+    return _agg(
+        labelled,
+        [CLUSTER_STRATE],
+        "count(*) as n_clients",
+        "sum(Age_Jeunes) as jeunes",
+        "sum(Age_Actifs) as actifs",
+        "sum(Age_Seniors) as seniors",
+        "sum(Age_Retraites) as retraites",
     )
 
 
@@ -326,91 +329,76 @@ def global_mode(fx: Fixture) -> DataFrame:
 def select_k(fx: Fixture) -> DataFrame:
     """Number of clusters among given partitions into 2 to 6 parts, by their silhouettes."""
     code = (
-        F.col("Situation_Couple")
-        + 2 * F.col("Enfants_Avec")
-        + 4 * F.col("Logement_Proprietaire")
-        + 8 * F.col("REVENU_Score")
-    ).cast("int")
-    points = fx.scaled_points().select(
-        STRATE, code.alias("code"), "z", "n", F.explode(F.sequence(F.lit(2), F.lit(6))).alias("k")
-    )
-    parts = points.select(
-        F.concat_ws("|", STRATE, "k").alias(STRATE),
-        (F.col("code") % F.col("k")).alias("cluster"),
-        "z",
-        "n",
+        "cast(Situation_Couple + 2 * Enfants_Avec + 4 * Logement_Proprietaire "
+        "+ 8 * REVENU_Score as int)"
+    )
+    parts = (
+        fx.scaled_points()
+        .selectExpr(STRATE, f"{code} as code", "z", "n", "explode(sequence(2, 6)) as k")
+        .selectExpr(f"concat_ws('|', {STRATE}, k) as {STRATE}", "code % k as cluster", "z", "n")
     )
     parts = fx.workspace.small(parts, "partitions").df
-    sizes = parts.groupBy(STRATE, "cluster").agg(F.sum("n").alias("size"))
-    smallest = sizes.groupBy(STRATE).agg(F.min("size").alias("min_size"))
-    named = F.split(STRATE, r"\|")
+    sizes = _agg(parts, [STRATE, "cluster"], "sum(n) as size")
+    smallest = _agg(sizes, [STRATE], "min(size) as min_size")
     values = clustering.silhouette_by_stratum(parts, fx.settings)
-    candidates = values.join(smallest, STRATE).select(
-        named[0].alias(STRATE),
-        named[1].cast("int").alias("k"),
-        F.round("silhouette", 9).alias("silhouette"),
+    candidates = values.join(smallest, STRATE).selectExpr(
+        f"split({STRATE}, '[|]')[0] as {STRATE}",
+        f"cast(split({STRATE}, '[|]')[1] as int) as k",
+        "round(silhouette, 9) as silhouette",
         "min_size",
     )
-    return clustering.select_k(candidates, fx.settings).select(STRATE, "k", *_doubles("silhouette"))
+    return clustering.select_k(candidates, fx.settings).selectExpr(
+        STRATE, "k", *_doubles("silhouette")
+    )
 
 
 @query
 def silhouette(fx: Fixture) -> DataFrame:
     points = fx.workspace.small(fx.labelled_points(), "labelled-points").df
     values = clustering.silhouette_by_stratum(points, fx.settings)
-    return values.select(STRATE, *_doubles("silhouette"), *_ints("n"))
+    return values.selectExpr(STRATE, *_doubles("silhouette"), *_ints("n"))
 
 
 @query
 def feature_importance(fx: Fixture) -> DataFrame:
     importance = clustering.feature_importance(fx.labelled_points(), fx.feature_names())
-    return importance.select(STRATE, "feature", *_doubles("importance"))
+    return importance.selectExpr(STRATE, "feature", *_doubles("importance"))
 
 
 @query
 def global_importance(fx: Fixture) -> DataFrame:
     points = fx.workspace.small(fx.labelled_points(), "labelled-points").df
     importance = clustering.feature_importance(points, fx.feature_names())
-    clients = points.groupBy(STRATE).agg(F.sum("n").alias("n_clients"))
-    return clustering.global_importance(importance, clients).select(
+    clients = _agg(points, [STRATE], "sum(n) as n_clients")
+    return clustering.global_importance(importance, clients).selectExpr(
         "feature", *_doubles("importance")
     )
 
 
-def _given_centroids(fx: Fixture) -> tuple[DataFrame, DataFrame]:
-    """Scaler and centers of the given partition, clusters numbered without gaps."""
+def _given_model(fx: Fixture) -> DataFrame:
+    """Scaling and centers of the given partition, clusters numbered without gaps."""
     names = fx.feature_names()
     points = fx.workspace.small(clustering.stratum_points(fx.viable(), names), "points").df
-    scaler = fx.workspace.small(clustering.scaler_table(points, names), "scaler").df
-    scaled = clustering.standardize(points, names, scaler)
-    local = (F.col("Situation_Couple") * 2 + F.col("Enfants_Avec")).cast("int")
-    centers = (
-        scaled.select(STRATE, local.alias("part"), "n", F.posexplode("z").alias("position", "x"))
-        .groupBy(STRATE, "part", "position")
-        .agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("c"))
-        .groupBy(STRATE, "part")
-        .agg(F.array_sort(F.collect_list(F.struct("position", "c"))).alias("p"))
-        .groupBy(STRATE)
-        .agg(F.array_sort(F.collect_list(F.struct("part", F.col("p.c").alias("centroid")))).alias("a"))
-        .select(STRATE, F.posexplode("a").alias("cluster", "v"))
-        .select(STRATE, "cluster", F.col("v.centroid").alias("centroid"))
-    )
-    return scaler, fx.workspace.small(centers, "centroids").df
+    stats = clustering.strata_stats(points, names)
+    scaled = clustering.standardize(points, names, stats)
+    center = ", ".join(f"sum(z[{i}] * n) / sum(n)" for i in range(len(names)))
+    parts = scaled.selectExpr(STRATE, f"{GIVEN_LOCAL} as part", "z", "n")
+    centers = _agg(parts, [STRATE, "part"], f"array({center}) as center")
+    ordered = "array_sort(collect_list(struct(part, center))).center as centroids"
+    centroids = _agg(centers, [STRATE], ordered)
+    return fx.workspace.small(stats.join(centroids, STRATE), "given-model").df
 
 
 @query
 def assign_cluster(fx: Fixture) -> DataFrame:
     """Nearest of given centers for every client."""
-    scaler, centroids = _given_centroids(fx)
-    labelled = clustering.assign(
-        fx.features(), fx.feature_names(), scaler, centroids, fx.settings.k_max
-    )
-    return labelled.select(ID, CLUSTER_STRATE, CLUSTER_LOCAL, CLUSTER_GLOBAL)
+    labelled = clustering.assign(fx.features(), fx.feature_names(), _given_model(fx))
+    return labelled.selectExpr(ID, CLUSTER_STRATE, CLUSTER_LOCAL, CLUSTER_GLOBAL)
 
 
 @query
 def cluster_labels(fx: Fixture) -> DataFrame:
-    return fx.labelled().select(ID, CLUSTER_STRATE, CLUSTER_LOCAL, CLUSTER_GLOBAL)
+    return fx.labelled().selectExpr(ID, CLUSTER_STRATE, CLUSTER_LOCAL, CLUSTER_GLOBAL)
 
 
 @query
@@ -421,7 +409,7 @@ def cluster_sizes(fx: Fixture) -> DataFrame:
 @query
 def cluster_quality(fx: Fixture) -> DataFrame:
     row = clustering.quality_metrics(fx.given_quality())
-    return row.select(
+    return row.selectExpr(
         *_ints(
             "total_clusters",
             "total_clustered_clients",
@@ -440,7 +428,7 @@ def cluster_quality(fx: Fixture) -> DataFrame:
 
 @query
 def training_meta(fx: Fixture) -> DataFrame:
-    return clustering.training_meta(fx.features()).select(
+    return clustering.training_meta(fx.features()).selectExpr(
         *_ints("n_samples", "n_features", "age_min", "age_max"), *_doubles("age_mean", "age_std")
     )
 
@@ -451,7 +439,7 @@ def training_meta(fx: Fixture) -> DataFrame:
 @query
 def score_input(fx: Fixture) -> DataFrame:
     joined = scoring.score_input(fx.labelled(), fx.financial())
-    return joined.select(ID, CLUSTER_GLOBAL, *_doubles(*PNB_COLUMNS), "CD_NOTE_MIRE")
+    return joined.selectExpr(ID, CLUSTER_GLOBAL, *_doubles(*PNB_COLUMNS), "CD_NOTE_MIRE")
 
 
 @query
@@ -461,63 +449,62 @@ def financial_prep(fx: Fixture) -> DataFrame:
         *PNB_COLUMNS, "PNB_TOTAL", "EP_LIQUIDE", "EP_STABLE", "SLD_DAV", "TOTAL_EPARGNE",
         *NOTE_COLUMNS,
     ]
-    return prepared.select(ID, *_doubles(*names))
+    return prepared.selectExpr(ID, *_doubles(*names))
 
 
 @query
 def savings_ratio(fx: Fixture) -> DataFrame:
     prepared = scoring.financial_prep(fx.financial(), fx.settings)
-    return prepared.select(ID, *_doubles("CD_NOTE_POIDS_UNVRS", "EP_RATIO"))
+    return prepared.selectExpr(ID, *_doubles("CD_NOTE_POIDS_UNVRS", "EP_RATIO"))
 
 
 @query
 def pnb_weights(fx: Fixture) -> DataFrame:
     steps = fx.scoring()
-    weights = scoring.pnb_weights(steps.stats.df, steps.pnb)
-    table = steps.stats.df.select(CLUSTER_GLOBAL, *weights)
-    return table.select(CLUSTER_GLOBAL, *_doubles(*[f"WEIGHT_{c}" for c in PNB_COLUMNS]))
+    table = steps.stats.df.selectExpr(CLUSTER_GLOBAL, *scoring.pnb_weights(steps.pnb))
+    return table.selectExpr(CLUSTER_GLOBAL, *_doubles(*[f"WEIGHT_{c}" for c in PNB_COLUMNS]))
 
 
-def _row_key() -> list[Column]:
-    return [F.col(ID), F.col(CLUSTER_GLOBAL), *_doubles("CD_NOTE_POIDS_UNVRS")]
+def _row_key() -> list[str]:
+    return [ID, CLUSTER_GLOBAL, *_doubles("CD_NOTE_POIDS_UNVRS")]
 
 
 @query
 def pnb_norm(fx: Fixture) -> DataFrame:
-    return fx.scoring().scored.select(*_row_key(), *_doubles(*[f"{c}_NORM" for c in PNB_COLUMNS]))
+    return fx.scoring().scored.selectExpr(*_row_key(), *_doubles(*[f"{c}_NORM" for c in PNB_COLUMNS]))
 
 
 @query
 def client_score(fx: Fixture) -> DataFrame:
-    return fx.scoring().scored.select(
+    return fx.scoring().scored.selectExpr(
         *_row_key(), *_doubles(*[f"{c}_WEIGHTED" for c in PNB_COLUMNS], "CLIENT_SCORE")
     )
 
 
 @query
 def top_quarter(fx: Fixture) -> DataFrame:
-    return fx.scoring().top().select(*_row_key(), *_doubles("CLIENT_SCORE"))
+    return fx.scoring().top().selectExpr(*_row_key(), *_doubles("CLIENT_SCORE"))
 
 
 @query
 def top_medians(fx: Fixture) -> DataFrame:
     medians = fx.scoring().medians().df
     names = [f"{c}_MEDIAN" for c in (*PNB_COLUMNS, "EP_RATIO")]
-    return medians.select(CLUSTER_GLOBAL, *_doubles(*names))
+    return medians.selectExpr(CLUSTER_GLOBAL, *_doubles(*names))
 
 
 @query
 def potentials(fx: Fixture) -> DataFrame:
     steps = fx.scoring()
     result = scoring.potentials(steps.scored, steps.medians(), steps.pnb)
-    return result.select(
+    return result.selectExpr(
         *_row_key(), *_doubles(*[f"POTENTIAL_{c}" for c in PNB_COLUMNS], "TOTAL_POTENTIAL")
     )
 
 
 @query
 def score_quantiles(fx: Fixture) -> DataFrame:
-    return fx.scoring().quantiles().df.select(
+    return fx.scoring().quantiles().df.selectExpr(
         CLUSTER_GLOBAL, *_doubles("SCORE_MEDIAN", "SCORE_Q25", "SCORE_Q75")
     )
 
@@ -525,14 +512,14 @@ def score_quantiles(fx: Fixture) -> DataFrame:
 @query
 def segmentation(fx: Fixture) -> DataFrame:
     steps = fx.scoring()
-    return scoring.segmentation(steps.scored, steps.quantiles()).select(
+    return scoring.segmentation(steps.scored, steps.quantiles()).selectExpr(
         *_row_key(), "SEGMENT_PNB", "SEGMENT_MIRE", "SEGMENT_FINAL", "SEGMENTATION_FINALE"
     )
 
 
 @query
 def scored_clients(fx: Fixture) -> DataFrame:
-    return fx.scoring().result().select(
+    return fx.scoring().result().selectExpr(
         *_row_key(),
         CLUSTER_STRATE,
         *_doubles("PNB_TOTAL", "EP_RATIO", "CLIENT_SCORE", "TOTAL_POTENTIAL"),
@@ -543,7 +530,7 @@ def scored_clients(fx: Fixture) -> DataFrame:
 
 @query
 def scoring_metrics(fx: Fixture) -> DataFrame:
-    return scoring.scoring_metrics(fx.scored()).select(
+    return scoring.scoring_metrics(fx.scored()).selectExpr(
         *_ints("total_clients", "clusters_count"),
         *_doubles(
             "avg_client_score",
@@ -557,34 +544,34 @@ def scoring_metrics(fx: Fixture) -> DataFrame:
 
 @query
 def segment_distribution(fx: Fixture) -> DataFrame:
-    return scoring.segment_distribution(fx.scored()).select(
+    return scoring.segment_distribution(fx.scored()).selectExpr(
         "SEGMENTATION_FINALE", *_ints("n_clients"), *_doubles("pct")
     )
 
 
-def _cluster_metric_columns() -> list[Column]:
+def _cluster_metric_columns() -> list[str]:
     return [
-        F.col(CLUSTER_GLOBAL),
+        CLUSTER_GLOBAL,
         *_ints("n_clients"),
         *_doubles("avg_score", "total_potential", "avg_potential"),
-        F.col("dominant_segment"),
+        "dominant_segment",
     ]
 
 
 @query
 def cluster_metrics(fx: Fixture) -> DataFrame:
-    return scoring.cluster_metrics(fx.scored()).select(*_cluster_metric_columns())
+    return scoring.cluster_metrics(fx.scored()).selectExpr(*_cluster_metric_columns())
 
 
 @query
 def top_clusters(fx: Fixture) -> DataFrame:
-    metrics = scoring.cluster_metrics(fx.scored()).select(*_cluster_metric_columns())
+    metrics = scoring.cluster_metrics(fx.scored()).selectExpr(*_cluster_metric_columns())
     return scoring.top_clusters(metrics)
 
 
 @query
 def scoring_quality(fx: Fixture) -> DataFrame:
-    return scoring.scoring_quality(fx.scored()).select(
+    return scoring.scoring_quality(fx.scored()).selectExpr(
         *_ints("clients_scored", "clients_with_potential", "clusters_viable"), "segments_balanced"
     )
 
@@ -594,7 +581,7 @@ def export_essential(fx: Fixture) -> DataFrame:
     essential = exports.export_essential(fx.scored())
     path = sinks.write_csv(essential, fx.workspace.path("essential"))
     back = fx.spark.read.option("header", True).schema(essential.schema).csv(path)
-    return back.select(
+    return back.selectExpr(
         ID,
         CLUSTER_GLOBAL,
         *_doubles("CLIENT_SCORE", "TOTAL_POTENTIAL"),
@@ -619,7 +606,7 @@ def snapshot_save(fx: Fixture) -> DataFrame:
     store.save("core_data", fx.core(), "202502")
     store.save("core_data", fx.core(), "202502")
     store.save("organizational_data", extract.org_extract(fx.warehouse.clients), "202502")
-    return store.register().select("dataset", "period", *_ints("n_rows"))
+    return store.register().selectExpr("dataset", "period", *_ints("n_rows"))
 
 
 @query
@@ -647,7 +634,7 @@ def _stored_months(fx: Fixture) -> DataFrame:
     scored = fx.scored()
     sinks.persist_month_files(scored, path, datetime(2025, 1, 31))
     sinks.persist_month_files(scored, path, datetime(2025, 2, 28))
-    again = scored.filter(F.col("SEGMENT_FINAL") >= 4)
+    again = scored.filter("SEGMENT_FINAL >= 4")
     sinks.persist_month_files(again, path, datetime(2025, 2, 28))
     return fx.spark.read.parquet(path)
 
@@ -656,9 +643,12 @@ def _stored_months(fx: Fixture) -> DataFrame:
 def persist_month(fx: Fixture) -> DataFrame:
     """One month kept, the other rewritten with fewer rows."""
     stored = _stored_months(fx)
-    month = F.col("MOIS_ANNEE").cast("string").alias("MOIS_ANNEE")
-    return stored.groupBy(month, "ANNEE", "MOIS", "SEGMENTATION_FINALE").agg(
-        F.count("*").alias("n_clients"), rounded(F.sum("TOTAL_POTENTIAL")).alias("total_potential")
+    stored = stored.withColumn("MOIS_ANNEE", F.col("MOIS_ANNEE").cast("string"))
+    return _agg(
+        stored,
+        ["MOIS_ANNEE", "ANNEE", "MOIS", "SEGMENTATION_FINALE"],
+        "count(*) as n_clients",
+        f"{rounded('sum(TOTAL_POTENTIAL)')} as total_potential",
     )
 
 
@@ -669,13 +659,13 @@ def month_state(fx: Fixture) -> DataFrame:
 
 @query
 def latest_model(fx: Fixture) -> DataFrame:
-    return model_store.latest_model(fx.frames["model_history"])
+    return model_store.latest_model(fx.view("model_history"))
 
 
 @query
 def history_retention(fx: Fixture) -> DataFrame:
-    newest = model_store.newest(fx.frames["model_history"], fx.settings.history_limit)
-    return newest.select(
+    newest = model_store.newest(fx.view("model_history"), fx.settings.history_limit)
+    return newest.selectExpr(
         "model_version",
         *_ints("n_samples", "total_clusters", "viable_strata"),
         *_doubles("avg_silhouette_score"),
@@ -684,11 +674,11 @@ def history_retention(fx: Fixture) -> DataFrame:
 
 @query
 def model_status(fx: Fixture) -> DataFrame:
-    meta = fx.half_profile_meta().select(
-        F.lit("v1").alias("model_version"), F.lit("2025-01-15").alias("training_date"), "n_samples"
+    meta = fx.half_profile_meta().selectExpr(
+        "'v1' as model_version", "'2025-01-15' as training_date", "n_samples"
     )
     status = model_store.model_status(meta, fx.given_quality())
-    return status.select(
+    return status.selectExpr(
         "model_version",
         "training_date",
         *_ints("n_samples", "total_clusters", "viable_strata"),
@@ -701,7 +691,7 @@ def model_status(fx: Fixture) -> DataFrame:
 
 @query
 def age_profile(fx: Fixture) -> DataFrame:
-    return strata.age_profile(fx.features()).select(
+    return strata.age_profile(fx.features()).selectExpr(
         *_ints("n_rows", "invalid_ages"), *_doubles("age_min", "age_max", "age_mean", "age_std")
     )
 
@@ -709,18 +699,18 @@ def age_profile(fx: Fixture) -> DataFrame:
 @query
 def input_drift(fx: Fixture) -> DataFrame:
     drift = monitoring.input_drift(strata.age_profile(fx.features()), fx.half_profile_meta())
-    return drift.select(*_doubles("age_mean_drift", "age_std_drift"), "mean_warning", "std_warning")
+    return drift.selectExpr(*_doubles("age_mean_drift", "age_std_drift"), "mean_warning", "std_warning")
 
 
 @query
 def model_drift(fx: Fixture) -> DataFrame:
     drift = monitoring.model_drift(strata.age_profile(fx.features()), fx.half_profile_meta())
-    return drift.select(*_doubles("age_mean_drift", "age_std_drift", "volume_ratio"))
+    return drift.selectExpr(*_doubles("age_mean_drift", "age_std_drift", "volume_ratio"))
 
 
 @query
 def coverage(fx: Fixture) -> DataFrame:
-    return monitoring.coverage(fx.labelled()).select(
+    return monitoring.coverage(fx.labelled()).selectExpr(
         *_ints("total", "clustered", "not_clustered"), *_doubles("clustered_ratio")
     )
 
@@ -751,13 +741,13 @@ def decision_summary(fx: Fixture) -> DataFrame:
 @query
 def quality_level(fx: Fixture) -> DataFrame:
     level = monitoring.quality_level(clustering.quality_metrics(fx.given_quality()))
-    return level.withColumn("avg_silhouette_score", rounded("avg_silhouette_score"))
+    return level.withColumn("avg_silhouette_score", F.expr(rounded("avg_silhouette_score")))
 
 
 @query
 def history_trend(fx: Fixture) -> DataFrame:
-    trend = monitoring.history_trend(fx.frames["model_history"])
-    return trend.select(
+    trend = monitoring.history_trend(fx.view("model_history"))
+    return trend.selectExpr(
         *_ints("n_fits"), *_doubles("first_score", "last_score"), "degrading", "stable"
     )
 
@@ -768,28 +758,20 @@ def stratum_drift(fx: Fixture) -> DataFrame:
     names = fx.feature_names()
     rows = fx.workspace.stage(fx.viable(), "viable")
     points = fx.workspace.small(clustering.stratum_points(rows, names), "points").df
-    scaler = fx.workspace.small(clustering.scaler_table(points, names), "scaler").df
-    odd = rows.filter(F.substring(ID, -1, 1).cast("int") % 2 == 1)
+    stats = fx.workspace.small(clustering.strata_stats(points, names), "stats").df
+    odd = rows.filter(f"cast(right({ID}, 1) as int) % 2 = 1")
 
     def values(frame: DataFrame) -> DataFrame:
         grouped = clustering.stratum_points(frame, names)
-        scaled = clustering.standardize(grouped, names, scaler)
-        cluster = (F.col("Situation_Couple") * 2 + F.col("Enfants_Avec")).cast("int")
-        labelled = scaled.select(STRATE, cluster.alias("cluster"), "z", "n")
+        scaled = clustering.standardize(grouped, names, stats)
+        labelled = scaled.selectExpr(STRATE, f"{GIVEN_LOCAL} as cluster", "z", "n")
         small = fx.workspace.small(labelled, "labels").df
         return clustering.silhouette_by_stratum(small, fx.settings)
 
-    performance = (
-        values(odd)
-        .select(STRATE, F.col("silhouette").alias("silhouette_training"))
-        .join(
-            values(rows).select(
-                STRATE, F.col("silhouette").alias("silhouette_new"), F.col("n").alias("n_clients")
-            ),
-            STRATE,
-        )
-    )
-    return monitoring.stratum_drift(performance).select(
+    trained = values(odd).selectExpr(STRATE, "silhouette as silhouette_training")
+    new = values(rows).selectExpr(STRATE, "silhouette as silhouette_new", "n as n_clients")
+    performance = trained.join(new, STRATE)
+    return monitoring.stratum_drift(performance).selectExpr(
         STRATE, *_ints("n_clients"), *_doubles("silhouette_training", "silhouette_new", "drift")
     )
 
@@ -799,8 +781,8 @@ def stratum_drift(fx: Fixture) -> DataFrame:
 
 @query
 def population_stats(fx: Fixture) -> DataFrame:
-    stats = profiling.population_stats(fx.frames["population"])
-    return stats.select(
+    stats = profiling.population_stats(fx.view("population"))
+    return stats.selectExpr(
         *_ints("n_clients", "age_min", "age_max"),
         *_doubles(
             "age_mean", "age_std", "pnb_mean", "pnb_std", "pnb_min", "pnb_max", "nb_produits_moyen"
@@ -810,19 +792,19 @@ def population_stats(fx: Fixture) -> DataFrame:
 
 @query
 def sex_distribution(fx: Fixture) -> DataFrame:
-    return profiling.distribution(fx.frames["population"], "SEXE")
+    return profiling.distribution(fx.view("population"), "SEXE")
 
 
 @query
 def region_distribution(fx: Fixture) -> DataFrame:
-    return profiling.top_regions(fx.frames["population"])
+    return profiling.top_regions(fx.view("population"))
 
 
 @query
 def quality_rules(fx: Fixture) -> DataFrame:
     clients = fx.warehouse.clients
     return profiling.quality_rules(
-        clients.withColumn("note", number_or_zero(clients, "CD_NOTE_MIRE")),
+        clients.selectExpr("*", f"{number_or_zero(clients, 'CD_NOTE_MIRE')} as note"),
         required=[ID, "AGE", "CDSIFA"],
         ranges={"AGE": (18, 100), "note": (0, 100)},
         codes={"CDSIFA": ["Célibataire", "Marié", "Concubin"]},
@@ -831,8 +813,8 @@ def quality_rules(fx: Fixture) -> DataFrame:
 
 @query
 def correlations(fx: Fixture) -> DataFrame:
-    found = profiling.correlations(fx.frames["population"])
-    return found.select(
+    found = profiling.correlations(fx.view("population"))
+    return found.selectExpr(
         *_doubles("corr_age_anciennete", "corr_pnb_produits"), "age_ok", "pnb_ok"
     )
 
@@ -840,11 +822,8 @@ def correlations(fx: Fixture) -> DataFrame:
 @query
 def pnb_consistency(fx: Fixture) -> DataFrame:
     """Revenues against a total that leaves insurance out."""
-    financial = fx.financial()
-    total = F.col("PNB_COLL") + F.col("PNB_CRED") + F.col("PNB_SERV")
-    return profiling.pnb_consistency(
-        financial.withColumn("PNB_TOTAL", total), list(PNB_COLUMNS)
-    ).select(*_ints("n_rows", "inconsistent"))
+    financial = fx.financial().selectExpr("*", "PNB_COLL + PNB_CRED + PNB_SERV as PNB_TOTAL")
+    return profiling.pnb_consistency(financial, list(PNB_COLUMNS)).selectExpr(*_ints("n_rows", "inconsistent"))
 
 
 @query
@@ -852,7 +831,7 @@ def merged_population(fx: Fixture) -> DataFrame:
     merged = profiling.merged_population(
         fx.core(), extract.org_extract(fx.warehouse.clients), fx.financial()
     )
-    return merged.select(ID, "AGE", "num_agence", "nom_pole", *_doubles("PNB_COLL", "SLD_DAV"))
+    return merged.selectExpr(ID, "AGE", "num_agence", "nom_pole", *_doubles("PNB_COLL", "SLD_DAV"))
 
 
 # --- whole run -------------------------------------------------------------------------------
@@ -865,10 +844,12 @@ def pipeline_run(fx: Fixture) -> DataFrame:
         fx.spark, fx.warehouse, fx.workspace.path("store"), mode="test", settings=fx.settings
     )
     scored = pipeline.run().data
-    return scored.groupBy(CLUSTER_STRATE).agg(
-        F.count("*").alias("n_rows"),
-        F.countDistinct(ID).alias("n_clients"),
-        rounded(F.sum("PNB_TOTAL")).alias("pnb_total"),
+    return _agg(
+        scored,
+        [CLUSTER_STRATE],
+        "count(*) as n_rows",
+        f"count(distinct {ID}) as n_clients",
+        f"{rounded('sum(PNB_TOTAL)')} as pnb_total",
     )
 
 
