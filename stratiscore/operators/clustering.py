@@ -36,7 +36,7 @@ from stratiscore.operators.strata import (
     assign_stratum,
     check_age_profile,
 )
-from stratiscore.sources.staging import Workspace
+from stratiscore.sources.staging import Workspace, local_rows
 
 # Tasks get this module by value, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(weighted_kmeans)
@@ -52,6 +52,13 @@ _CANDIDATE = (
     "centroids array<array<double>>"
 )
 
+_META = (
+    "model_version string, training_date timestamp, clustering_mode string, "
+    "features array<string>, n_samples bigint, n_features int, age_mean double, age_std double, "
+    "age_min int, age_max int, k_min int, k_max int, min_cluster_size int, min_strata_size int, "
+    "random_state int"
+)
+
 
 @dataclass(frozen=True)
 class ClusterModel:
@@ -220,7 +227,8 @@ def silhouette_by_stratum(labelled_points: DataFrame, settings: Settings) -> Dat
         n = part.agg(F.sum("n")).first()[0]
         rows.append((name, value, LINEAR_SILHOUETTE, n))
     if rows:
-        result = result.unionByName(spark.createDataFrame(rows, result.schema))
+        schema = f"{STRATE} string, silhouette double, method string, n bigint"
+        result = result.unionByName(local_rows(spark, schema, rows))
     return result
 
 
@@ -388,7 +396,7 @@ def fit(
         )
     ]
     if large:
-        candidates = candidates.unionByName(spark.createDataFrame(large, _CANDIDATE))
+        candidates = candidates.unionByName(local_rows(spark, _CANDIDATE, large))
     chosen = workspace.small(select_k(candidates, settings), "chosen").df
 
     origin = ", ".join(["0D"] * len(features))
@@ -405,7 +413,9 @@ def fit(
     )
     summary = cluster_summary(label_points(scaled, fitted), len(features))
     strata = workspace.small(fitted.join(summary, STRATE), "model").df
-    meta = spark.createDataFrame(
+    meta = local_rows(
+        spark,
+        _META,
         [
             (
                 version,
@@ -425,10 +435,6 @@ def fit(
                 settings.random_state,
             )
         ],
-        "model_version string, training_date timestamp, clustering_mode string, "
-        "features array<string>, n_samples bigint, n_features int, age_mean double, "
-        "age_std double, age_min int, age_max int, k_min int, k_max int, min_cluster_size int, "
-        "min_strata_size int, random_state int",
     )
     return ClusterModel(meta, strata)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratiscore.config import STRATA, Settings
 from stratiscore.functions.cleaning import number_or_null, require_columns, text
+from stratiscore.sources.staging import local_rows
 
 STRATE = "strate"
 
@@ -29,7 +30,7 @@ def assign_stratum(df: DataFrame) -> DataFrame:
 def stratum_counts(stratified: DataFrame, settings: Settings) -> DataFrame:
     """Clients of every stratum, empty ones included, and whether it is too small to cluster."""
     spark = stratified.sparkSession
-    names = spark.createDataFrame([(name,) for name, _, _ in STRATA], f"{STRATE} string")
+    names = local_rows(spark, f"{STRATE} string", [(name,) for name, _, _ in STRATA])
     counts = stratified.filter(f"{STRATE} is not null").groupBy(STRATE).count()
     return names.join(counts, STRATE, "left").selectExpr(
         STRATE,

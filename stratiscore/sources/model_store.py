@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratiscore.operators.clustering import ClusterModel, quality_metrics
 from stratiscore.sources.files import read_if_there
-from stratiscore.sources.staging import Workspace
+from stratiscore.sources.staging import Workspace, local_rows
 
 _HISTORY = (
     "model_version string, training_date timestamp, n_samples bigint, "
@@ -65,7 +65,7 @@ class ModelStore:
             quality["viable_strata"],
             self.root,
         )
-        self._append(self.spark.createDataFrame([entry], _HISTORY), "history")
+        self._append(local_rows(self.spark, _HISTORY, [entry]), "history")
         return version
 
     def _path(self, table: str) -> str:
@@ -149,9 +149,7 @@ class RunHistory:
         self, date: datetime, status: str, clients: int, potential: float, duration: str
     ) -> None:
         row = (date, status, clients, potential, duration)
-        self.spark.createDataFrame([row], self.SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        local_rows(self.spark, self.SCHEMA, [row]).write.mode("append").parquet(self.path)
 
     def read(self, limit: int = 100) -> DataFrame:
         return newest(self.spark.read.schema(self.SCHEMA).parquet(self.path), limit, "date")

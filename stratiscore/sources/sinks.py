@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiscore.sources.staging import local_rows
+
 MONTH = "MOIS_ANNEE"
 RESULT_TABLE = "segmentation_clients_scoring"
 STATE_MONTHS = 5
@@ -73,7 +75,7 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 def write_json_record(spark: SparkSession, record: dict, path: str) -> str:
     text = json.dumps(record, default=str, ensure_ascii=False)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    local_rows(spark, "value string", [(text,)]).write.mode("overwrite").text(path)
     return path
 
 

@@ -9,8 +9,10 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stratiscore.config import Settings
 from stratiscore.sources.files import delete
@@ -28,6 +30,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def local_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A few rows from the driver as a local relation."""
+    fields = StructType.fromDDL(schema)
+    columns = zip(*rows) if rows else [[] for _ in fields]
+    table = pa.table({field.name: list(c) for field, c in zip(fields, columns)})
+    return spark.createDataFrame(table, fields)
+
+
 class Workspace:
     """Staged tables of one run."""
 
@@ -54,9 +64,9 @@ class Workspace:
         beyond that it is staged and joined like any other table.
         """
         limit = self.settings.small_table_rows
-        rows = df.limit(limit + 1).collect()
-        if len(rows) <= limit:
-            return SmallTable(self.spark.createDataFrame(rows, df.schema), rows)
+        table = df.limit(limit + 1).toArrow()
+        if table.num_rows <= limit:
+            return SmallTable(self.spark.createDataFrame(table, df.schema), table.to_pylist())
         return SmallTable(self.stage(df, name), None)
 
     def release(self) -> None:
@@ -67,7 +77,7 @@ class Workspace:
 class SmallTable:
     """A table of checked size: ``rows`` holds it when it is small, else it is None."""
 
-    def __init__(self, df: DataFrame, rows: list[Row] | None):
+    def __init__(self, df: DataFrame, rows: list[dict] | None):
         self.df = df
         self.rows = rows
 
