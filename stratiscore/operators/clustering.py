@@ -29,12 +29,13 @@ from stratiscore.config import (
     Settings,
 )
 from stratiscore.functions import weighted_kmeans
-from stratiscore.functions.cleaning import quoted, require_columns, texts
+from stratiscore.functions.cleaning import number_or_null, quoted, require_columns, texts
 from stratiscore.operators.strata import (
     STRATE,
     age_profile,
     assign_stratum,
     check_age_profile,
+    stratum_of,
 )
 from stratiscore.sources.staging import Workspace, local_rows
 
@@ -81,36 +82,41 @@ def feature_columns(df: DataFrame) -> list[str]:
     return names
 
 
-def _filled(name: str) -> str:
-    """Feature as double, a missing one as 0."""
-    return f"coalesce(nanvl(cast({quoted(name)} as double), 0D), 0D)"
+def _feature_array(features: list[str]) -> str:
+    """Features as doubles, missing ones as 0."""
+    filled = [f"coalesce(nanvl(cast({quoted(c)} as double), 0D), 0D)" for c in features]
+    return f"array({', '.join(filled)})"
+
+
+def _scaled(x: str) -> str:
+    return f"transform({x}, (v, i) -> (v - _means[i]) / _scales[i])"
 
 
 def stratum_points(stratified: DataFrame, features: list[str]) -> DataFrame:
-    """Distinct feature combinations of each stratum with their row counts."""
+    """Distinct feature combinations ``x`` of each stratum with their row counts ``n``."""
     return (
         stratified.filter(f"{STRATE} is not null")
-        .selectExpr(STRATE, *[f"{_filled(c)} as {quoted(c)}" for c in features])
-        .groupBy(STRATE, *[quoted(c) for c in features])
+        .selectExpr(STRATE, f"{_feature_array(features)} as x")
+        .groupBy(STRATE, "x")
         .agg(F.expr("count(*) as n"))
     )
 
 
-def strata_stats(points: DataFrame, features: list[str]) -> DataFrame:
+def strata_stats(points: DataFrame, n_features: int) -> DataFrame:
     """Size, means and population deviations of each stratum, from points and their counts.
 
     ``scales`` has 1 where a feature is constant: such a feature is only centered.
     """
-    names = [quoted(c) for c in features]
-    means = ", ".join(f"sum({c} * n) / sum(n)" for c in names)
-    constant = ", ".join(f"min({c}) = max({c})" for c in names)
+    each = range(n_features)
+    means = ", ".join(f"sum(x[{i}] * n) / sum(n)" for i in each)
+    constant = ", ".join(f"min(x[{i}]) = max(x[{i}])" for i in each)
     first = points.groupBy(STRATE).agg(
         F.expr("sum(n) as n_clients"),
         F.expr("count(*) as n_points"),
         F.expr(f"array({means}) as means"),
         F.expr(f"array({constant}) as constant"),
     )
-    off = [f"({c} - means[{i}])" for i, c in enumerate(names)]
+    off = [f"(x[{i}] - means[{i}])" for i in each]
     spread = ", ".join(f"sqrt(sum({d} * {d} * n) / sum(n))" for d in off)
     return (
         points.join(F.broadcast(first), STRATE)
@@ -127,27 +133,38 @@ def strata_stats(points: DataFrame, features: list[str]) -> DataFrame:
     )
 
 
-def _scaled(features: list[str]) -> str:
-    values = [f"({_filled(c)} - means[{i}]) / scales[{i}]" for i, c in enumerate(features)]
-    return f"array({', '.join(values)})"
+def _model_side(strata: DataFrame, *columns: str) -> DataFrame:
+    """Columns of a table with one row per stratum, of which there are ten, for a broadcast."""
+    return F.broadcast(strata.selectExpr(STRATE, *[f"{c} as _{c}" for c in columns]))
 
 
-def standardize(df: DataFrame, features: list[str], stats: DataFrame) -> DataFrame:
-    """Rows of known strata with their features, centered and scaled there, in an array ``z``.
+def scale_points(points: DataFrame, stats: DataFrame) -> DataFrame:
+    """Points of known strata with their centered and scaled coordinates ``z``."""
+    side = _model_side(stats, "means", "scales")
+    return points.join(side, STRATE).selectExpr(STRATE, "x", "n", f"{_scaled('x')} as z")
 
-    ``stats`` has a row per stratum, of which there are ten.
-    """
-    side = F.broadcast(stats.select(STRATE, "means", "scales"))
-    kept = [quoted(c) for c in df.columns]
-    return df.join(side, STRATE).selectExpr(*kept, f"{_scaled(features)} as z")
+
+def _rows_with_features(df: DataFrame, features: list[str]) -> DataFrame:
+    """Whole rows in a struct ``row``, whose names no other column can meet, and features ``x``."""
+    stratum = stratum_of(number_or_null(df, "AGE"))
+    return df.selectExpr(
+        "struct(*) as row", f"{stratum} as {STRATE}", f"{_feature_array(features)} as x"
+    )
+
+
+def standardize(df: DataFrame, features: list[str], stats: DataFrame) -> DataFrame:
+    """Rows of known strata with stratum and centered and scaled features in an array ``z``."""
+    side = _model_side(stats, "means", "scales")
+    rows = _rows_with_features(df, features).join(side, STRATE)
+    return rows.selectExpr("row.*", STRATE, f"{_scaled('x')} as z")
 
 
-def nearest_centroid(z: str) -> str:
-    """Index of the nearest of ``centroids``; equal distances give the lowest."""
+def nearest_centroid(z: str, centroids: str) -> str:
+    """Index of the nearest of the centroids; equal distances give the lowest."""
     squares = f"zip_with({z}, c, (a, b) -> (a - b) * (a - b))"
     distance = f"aggregate({squares}, 0D, (total, x) -> total + x)"
     units = f"floor({distance} * {weighted_kmeans.DISTANCE_UNITS:.0f}D + 0.5D)"
-    return f"array_min(transform(centroids, (c, i) -> struct({units} as d, i as i))).i"
+    return f"array_min(transform({centroids}, (c, i) -> struct({units} as d, i as i))).i"
 
 
 def assign(df: DataFrame, features: list[str], strata: DataFrame) -> DataFrame:
@@ -155,18 +172,19 @@ def assign(df: DataFrame, features: list[str], strata: DataFrame) -> DataFrame:
 
     ``strata`` has a row per stratum with means, scales and centroids.
     """
-    side = F.broadcast(strata.select(STRATE, "means", "scales", "centroids"))
-    label = f"if(centroids is null, null, {nearest_centroid(_scaled(features))})"
-    joined = assign_stratum(df).join(side, STRATE, "left")
-    return compose_labels(joined.selectExpr("*", f"{label} as _local"), df.columns)
+    side = _model_side(strata, "means", "scales", "centroids")
+    rows = _rows_with_features(df, features).join(side, STRATE, "left")
+    scaled = rows.selectExpr("row", STRATE, "_centroids", f"{_scaled('x')} as z")
+    label = f"if(_centroids is null, null, {nearest_centroid('z', '_centroids')})"
+    return compose_labels(scaled.selectExpr("row", STRATE, f"{label} as _local"), ["row.*"])
 
 
-def compose_labels(df: DataFrame, keep: list[str]) -> DataFrame:
+def compose_labels(df: DataFrame, kept: list[str]) -> DataFrame:
     """Label columns from ``strate`` and ``_local``; a NULL local label means not clustered."""
     clustered = f"{STRATE} is not null and _local is not null"
     label = f"concat({STRATE}, '_C', cast(_local as string))"
     return df.selectExpr(
-        *[quoted(c) for c in keep],
+        *kept,
         f"if({clustered}, {STRATE}, '{NON_CLUSTERED}') as {CLUSTER_STRATE}",
         f"cast(if({clustered}, _local, -1) as int) as {CLUSTER_LOCAL}",
         f"if({clustered}, {label}, '{NON_CLUSTERED}') as {CLUSTER_GLOBAL}",
@@ -183,9 +201,9 @@ def cluster_sizes(labelled: DataFrame) -> DataFrame:
 
 def label_points(scaled: DataFrame, strata: DataFrame) -> DataFrame:
     """Points (``strate``, ``z``, ``n``) with the index of their nearest centroid."""
-    side = F.broadcast(strata.select(STRATE, "centroids"))
-    label = nearest_centroid("z")
-    return scaled.join(side, STRATE).selectExpr(STRATE, "z", "n", f"{label} as cluster")
+    label = nearest_centroid("z", "_centroids")
+    joined = scaled.join(_model_side(strata, "centroids"), STRATE)
+    return joined.selectExpr(STRATE, "z", "n", f"{label} as cluster")
 
 
 def silhouette_by_stratum(labelled_points: DataFrame, settings: Settings) -> DataFrame:
@@ -302,10 +320,10 @@ def select_k(candidates: DataFrame, settings: Settings) -> DataFrame:
 def fit_candidates(points: DataFrame, settings: Settings) -> DataFrame:
     """One fit for every stratum and number of clusters, all in one grouped job.
 
-    ``points`` holds ``strate``, ``z``, ``n`` and the stratum's ``n_clients``, for strata whose
+    ``points`` holds ``strate``, ``z``, ``n`` and the stratum's ``_n_clients``, for strata whose
     points fit a task.
     """
-    top = f"least({settings.k_max}, cast(floor(n_clients / {settings.min_cluster_size}) as int))"
+    top = f"least({settings.k_max}, cast(floor(_n_clients / {settings.min_cluster_size}) as int))"
     numbers = f"sequence(2, if({top} < {settings.k_min}, 2, {top}))"
     numbers = f"filter({numbers}, k -> k >= {settings.k_min})"
     starts, seed = settings.n_init, settings.random_state
@@ -375,14 +393,14 @@ def fit(
 
     # Points are as few as the features make them; nothing is assumed about their number.
     points = workspace.small(stratum_points(assign_stratum(df), features), "points").df
-    viable = strata_stats(points, features).filter(
+    viable = strata_stats(points, len(features)).filter(
         f"n_clients >= {settings.min_strata_size}"
     )
     stats = workspace.small(viable, "strata-stats")
-    scaled = standardize(points, features, stats.df).select(STRATE, "z", "n")
-    sized = scaled.join(F.broadcast(stats.df.select(STRATE, "n_clients", "n_points")), STRATE)
+    scaled = scale_points(points, stats.df).select(STRATE, "z", "n")
+    sized = scaled.join(_model_side(stats.df, "n_clients", "n_points"), STRATE)
     candidates = fit_candidates(
-        sized.filter(f"n_points <= {settings.points_in_task}"), settings
+        sized.filter(f"_n_points <= {settings.points_in_task}"), settings
     )
     large = [
         candidate
@@ -458,7 +476,7 @@ def application_silhouettes(
     """Silhouette of each stratum of new data under the model, beside that of its training."""
     features = list(model.meta.first()["features"])
     points = workspace.small(stratum_points(assign_stratum(df), features), "new-points").df
-    scaled = standardize(points, features, model.strata)
+    scaled = scale_points(points, model.strata)
     labelled = workspace.small(label_points(scaled, model.strata), "new-labels").df
     found = silhouette_by_stratum(labelled, settings).select(STRATE, "silhouette", "n")
     trained = model.strata.select(

@@ -96,11 +96,17 @@ class Fixture:
             "Logement_NonProprietaire",
         ]
 
+    def named(self, points: DataFrame) -> DataFrame:
+        """Points with their features as columns of their own."""
+        columns = [f"cast(x[{i}] as int) as {c}" for i, c in enumerate(self.feature_names())]
+        return points.selectExpr("*", *columns)
+
     def scaled_points(self) -> DataFrame:
         """Distinct points of the viable strata with scaled coordinates ``z``."""
         names = self.feature_names()
         points = self.workspace.small(clustering.stratum_points(self.viable(), names), "points").df
-        return clustering.standardize(points, names, clustering.strata_stats(points, names))
+        stats = clustering.strata_stats(points, len(names))
+        return self.named(clustering.scale_points(points, stats))
 
     def labelled_points(self) -> DataFrame:
         return self.scaled_points().selectExpr(STRATE, f"{GIVEN_LOCAL} as cluster", "z", "n")

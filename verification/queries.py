@@ -249,9 +249,10 @@ def viable_strata(fx: Fixture) -> DataFrame:
 @query
 def standardize(fx: Fixture) -> DataFrame:
     names = fx.feature_names()
-    rows = fx.viable()
-    points = fx.workspace.small(clustering.stratum_points(rows, names), "points").df
-    scaled = clustering.standardize(rows, names, clustering.strata_stats(points, names))
+    rows = fx.workspace.stage(fx.viable().drop(STRATE), "rows")
+    stratified = strata.assign_stratum(rows)
+    points = fx.workspace.small(clustering.stratum_points(stratified, names), "points").df
+    scaled = clustering.standardize(rows, names, clustering.strata_stats(points, len(names)))
     return scaled.selectExpr(
         ID, STRATE, *[f"{rounded(f'z[{i}]')} as z_{c}" for i, c in enumerate(names)]
     )
@@ -261,7 +262,7 @@ def standardize(fx: Fixture) -> DataFrame:
 def stratum_points(fx: Fixture) -> DataFrame:
     names = fx.feature_names()
     points = clustering.stratum_points(fx.stratified(), names)
-    return points.selectExpr(STRATE, *[f"cast({c} as int) as {c}" for c in names], "n")
+    return fx.named(points).select(STRATE, *names, "n")
 
 
 def _fitted(fx: Fixture, mode: str, frame: DataFrame) -> clustering.ClusterModel:
@@ -276,9 +277,7 @@ def kmeans_fit(fx: Fixture) -> DataFrame:
     model = _fitted(fx, "stratifie", frame)
     names = fx.feature_names()
     labelled = clustering.transform(frame, model, "stratifie")
-    rows = clustering.standardize(
-        labelled.withColumnRenamed(CLUSTER_STRATE, STRATE), names, model.strata
-    )
+    rows = clustering.standardize(labelled, names, model.strata)
     means = _agg(
         rows.selectExpr(STRATE, CLUSTER_LOCAL, "posexplode(z) as (position, x)"),
         [STRATE, CLUSTER_LOCAL, "position"],
@@ -379,8 +378,8 @@ def _given_model(fx: Fixture) -> DataFrame:
     """Scaling and centers of the given partition, clusters numbered without gaps."""
     names = fx.feature_names()
     points = fx.workspace.small(clustering.stratum_points(fx.viable(), names), "points").df
-    stats = clustering.strata_stats(points, names)
-    scaled = clustering.standardize(points, names, stats)
+    stats = clustering.strata_stats(points, len(names))
+    scaled = fx.named(clustering.scale_points(points, stats))
     center = ", ".join(f"sum(z[{i}] * n) / sum(n)" for i in range(len(names)))
     parts = scaled.selectExpr(STRATE, f"{GIVEN_LOCAL} as part", "z", "n")
     centers = _agg(parts, [STRATE, "part"], f"array({center}) as center")
@@ -758,12 +757,12 @@ def stratum_drift(fx: Fixture) -> DataFrame:
     names = fx.feature_names()
     rows = fx.workspace.stage(fx.viable(), "viable")
     points = fx.workspace.small(clustering.stratum_points(rows, names), "points").df
-    stats = fx.workspace.small(clustering.strata_stats(points, names), "stats").df
+    stats = fx.workspace.small(clustering.strata_stats(points, len(names)), "stats").df
     odd = rows.filter(f"cast(right({ID}, 1) as int) % 2 = 1")
 
     def values(frame: DataFrame) -> DataFrame:
         grouped = clustering.stratum_points(frame, names)
-        scaled = clustering.standardize(grouped, names, stats)
+        scaled = fx.named(clustering.scale_points(grouped, stats))
         labelled = scaled.selectExpr(STRATE, f"{GIVEN_LOCAL} as cluster", "z", "n")
         small = fx.workspace.small(labelled, "labels").df
         return clustering.silhouette_by_stratum(small, fx.settings)
