@@ -263,26 +263,29 @@ def score_clients(
 
 # --- metrics over scored clients -------------------------------------------------------------
 
-_WITH_SCORE = f"count_if({SCORE} > 0)"
-_WITH_POTENTIAL = "count_if(TOTAL_POTENTIAL > 0)"
+def scoring_cells(scored: DataFrame) -> DataFrame:
+    """Counts and sums by cluster and label: one pass over the clients for all metrics below.
 
-
-def scoring_metrics(scored: DataFrame) -> DataFrame:
-    """One row over all scored clients."""
-    per_cluster = scored.groupBy(CLUSTER_GLOBAL).agg(
+    There are at most four cells per cluster.
+    """
+    return scored.groupBy(CLUSTER_GLOBAL, "SEGMENTATION_FINALE").agg(
         F.expr("count(*) as n"),
         F.expr(f"sum({SCORE}) as score"),
         F.expr("sum(TOTAL_POTENTIAL) as potential"),
-        F.expr(f"{_WITH_SCORE} as with_score"),
-        F.expr(f"{_WITH_POTENTIAL} as with_potential"),
+        F.expr(f"count_if({SCORE} > 0) as with_score"),
+        F.expr("count_if(TOTAL_POTENTIAL > 0) as with_potential"),
     )
 
+
+def scoring_metrics(cells: DataFrame) -> DataFrame:
+    """One row over all scored clients."""
+
     def share(part: str) -> str:
         return f"coalesce(try_divide(cast(sum({part}) as double), sum(n)), 0D)"
 
-    return per_cluster.agg(
+    return cells.agg(
         F.expr("coalesce(sum(n), 0) as total_clients"),
-        F.expr("count(*) as clusters_count"),
+        F.expr(f"count(distinct {CLUSTER_GLOBAL}) as clusters_count"),
         F.expr(f"{share('score')} as avg_client_score"),
         F.expr("coalesce(sum(potential), 0D) as total_potential_value"),
         F.expr(f"{share('potential')} as avg_potential_per_client"),
@@ -291,21 +294,16 @@ def scoring_metrics(scored: DataFrame) -> DataFrame:
     )
 
 
-def segment_distribution(scored: DataFrame) -> DataFrame:
+def segment_distribution(cells: DataFrame) -> DataFrame:
     """Clients and their percentage by label: at most one row per label."""
-    counts = scored.groupBy("SEGMENTATION_FINALE").agg(F.expr("count(*) as n_clients"))
+    counts = cells.groupBy("SEGMENTATION_FINALE").agg(F.expr("sum(n) as n_clients"))
     return counts.selectExpr("*", "n_clients * 100D / sum(n_clients) over () as pct")
 
 
-def cluster_metrics(scored: DataFrame) -> DataFrame:
+def cluster_metrics(cells: DataFrame) -> DataFrame:
     """Size, mean score, potential and most frequent label of each cluster."""
-    per_label = scored.groupBy(CLUSTER_GLOBAL, "SEGMENTATION_FINALE").agg(
-        F.expr("count(*) as n"),
-        F.expr(f"sum({SCORE}) as score"),
-        F.expr("sum(TOTAL_POTENTIAL) as potential"),
-    )
     # Equal counts give the label that sorts first.
-    return per_label.groupBy(CLUSTER_GLOBAL).agg(
+    return cells.groupBy(CLUSTER_GLOBAL).agg(
         F.expr("sum(n) as n_clients"),
         F.expr("sum(score) / sum(n) as avg_score"),
         F.expr("sum(potential) as total_potential"),
@@ -319,21 +317,21 @@ def top_clusters(metrics: DataFrame, n: int = TOP_CLUSTERS) -> DataFrame:
     return metrics.orderBy(F.desc("avg_potential"), CLUSTER_GLOBAL).limit(n)
 
 
-def scoring_quality(scored: DataFrame) -> DataFrame:
+def scoring_quality(cells: DataFrame) -> DataFrame:
     """One row: clients with a score, with a potential, balance of labels, clusters of some size."""
-    per_cluster = scored.groupBy(CLUSTER_GLOBAL).agg(
-        F.expr("count(*) as n"),
-        F.expr(f"{_WITH_SCORE} as with_score"),
-        F.expr(f"{_WITH_POTENTIAL} as with_potential"),
+    per_cluster = cells.groupBy(CLUSTER_GLOBAL).agg(
+        F.expr("sum(n) as n"),
+        F.expr("sum(with_score) as with_score"),
+        F.expr("sum(with_potential) as with_potential"),
         *[
             F.expr(f"max(int(SEGMENTATION_FINALE = {text(label)})) as has_{i}")
             for i, label in enumerate(LABELS)
         ],
     )
-    present = _sum([f"coalesce(max(has_{i}), 0)" for i in range(len(LABELS))])
+    labels = _sum([f"coalesce(max(has_{i}), 0)" for i in range(len(LABELS))])
     return per_cluster.agg(
         F.expr("coalesce(sum(with_score), 0) as clients_scored"),
         F.expr("coalesce(sum(with_potential), 0) as clients_with_potential"),
-        F.expr(f"{present} >= {BALANCED_LABELS} as segments_balanced"),
+        F.expr(f"{labels} >= {BALANCED_LABELS} as segments_balanced"),
         F.expr(f"count_if(n >= {VIABLE_CLUSTER}) as clusters_viable"),
     )

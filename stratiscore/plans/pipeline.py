@@ -214,18 +214,19 @@ class SegmentationPipeline:
         return self.workspace.stage(scored, "scored")
 
     def scoring_report(self, scored: DataFrame) -> dict:
-        per_cluster = self.workspace.small(scoring.cluster_metrics(scored), "cluster-metrics").df
+        """All scoring metrics, from one pass over the scored clients."""
+        cells = self.workspace.small(scoring.scoring_cells(scored), "scoring-cells").df
+        per_cluster = self.workspace.small(scoring.cluster_metrics(cells), "cluster-metrics")
+        shares = self.workspace.small(scoring.segment_distribution(cells), "segments")
+        top = scoring.top_clusters(per_cluster.df)
         return {
-            "global_metrics": scoring.scoring_metrics(scored).first().asDict(),
+            "global_metrics": scoring.scoring_metrics(cells).first().asDict(),
             "segment_distribution": {
-                r["SEGMENTATION_FINALE"]: r["n_clients"]
-                for r in scoring.segment_distribution(scored).collect()
+                r["SEGMENTATION_FINALE"]: r["n_clients"] for r in shares.rows
             },
-            "cluster_metrics": [r.asDict() for r in per_cluster.collect()],
-            "top_clusters_by_potential": [
-                r.asDict() for r in scoring.top_clusters(per_cluster).collect()
-            ],
-            "quality_indicators": scoring.scoring_quality(scored).first().asDict(),
+            "top_clusters_by_potential": [r.asDict() for r in top.collect()],
+            "cluster_metrics": per_cluster.rows,
+            "quality_indicators": scoring.scoring_quality(cells).first().asDict(),
         }
 
     # --- runs ----------------------------------------------------------------------------

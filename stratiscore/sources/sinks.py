@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiscore.functions.cleaning import quoted
 from stratiscore.sources.staging import local_rows
 
 MONTH = "MOIS_ANNEE"
@@ -40,10 +41,12 @@ def persist_month(scored: DataFrame, table: str, moment: datetime) -> None:
     if set(wanted) != set(dated.columns):
         differing = sorted(set(wanted) ^ set(dated.columns))
         raise ValueError(f"table {table} and result differ in columns {differing}")
-    (
-        dated.select(*wanted)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=True)
+    kept = ", ".join(quoted(c) for c in wanted if c != MONTH)
+    # A named partition is replaced alone, whatever the session's overwrite mode.
+    spark.sql(
+        f"insert overwrite table {table} partition ({MONTH} = '{moment:%Y%m}') "
+        f"select {kept} from {{rows}}",
+        rows=dated,
     )
 
 

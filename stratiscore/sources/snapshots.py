@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stratiscore.sources.files import delete, read_if_there
+from stratiscore.sources.staging import local_rows
 
 # Snapshot states.
 NOT_FOUND = "CACHE_NOT_FOUND"
@@ -41,30 +43,31 @@ class SnapshotStore:
 
     def save(
         self, dataset: str, df: DataFrame, period: str, created_at: datetime | None = None
-    ) -> DataFrame:
-        """Write or replace one period of a data set; other periods stay. Returns its register row."""
-        (
-            df.withColumn("period", F.lit(period))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("period")
-            .parquet(self._path(dataset))
-        )
-        entry = self._read(dataset, period).agg(F.count("*").alias("n_rows")).select(
-            F.lit(created_at or datetime.now()).cast("timestamp").alias("created_at"),
-            "n_rows",
-            F.lit(dataset).alias("dataset"),
-            F.lit(period).alias("period"),
+    ) -> int:
+        """Write or replace one period of a data set and return its row count.
+
+        Other periods stay. An empty frame leaves everything as it was.
+        """
+        written = Observation()
+        self._write(
+            df.observe(written, F.expr("count(*) as n_rows")).withColumn("period", F.lit(period)),
+            dataset,
+            ["period"],
         )
+        n_rows = written.get["n_rows"]
+        if not n_rows:
+            return 0
+        entry = (dataset, period, created_at or datetime.now(), n_rows)
+        schema = "dataset string, period string, created_at timestamp, n_rows bigint"
+        self._write(local_rows(self.spark, schema, [entry]), _REGISTER, ["dataset", "period"])
+        return n_rows
+
+    def _write(self, df: DataFrame, name: str, keys: list[str]) -> None:
         (
-            entry.coalesce(1)
-            .write.mode("overwrite")
+            df.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("dataset", "period")
-            .parquet(self._path(_REGISTER))
-        )
-        return self.register().filter(
-            (F.col("dataset") == dataset) & (F.col("period") == period)
+            .partitionBy(*keys)
+            .parquet(self._path(name))
         )
 
     def register(self) -> DataFrame:
@@ -72,8 +75,11 @@ class SnapshotStore:
             "dataset", F.col("period").cast("string").alias("period"), "created_at", "n_rows"
         )
 
-    def _read(self, dataset: str, period: str) -> DataFrame:
-        df = self.spark.read.parquet(self._path(dataset))
+    def _read(self, dataset: str, period: str, schema: StructType | None = None) -> DataFrame:
+        reader = self.spark.read
+        if schema is not None:
+            reader = reader.schema(StructType([*schema, StructField("period", StringType())]))
+        df = reader.parquet(self._path(dataset))
         return df.filter(F.col("period").cast("string") == period).drop("period")
 
     def status(self, dataset: str, period: str) -> str:
@@ -105,6 +111,11 @@ class SnapshotStore:
         status = self.status(dataset, period)
         return (self._read(dataset, period) if status == VALID else None), status
 
+    def invalidate(self, dataset: str, period: str) -> None:
+        """Drop one period of a data set, register row first."""
+        delete(self.spark, f"{self._path(_REGISTER)}/dataset={dataset}/period={period}")
+        delete(self.spark, f"{self._path(dataset)}/period={period}")
+
     def clear(self, dataset: str | None = None) -> None:
         """Drop one data set with its register rows, or all of them."""
         for name in DATASETS if dataset is None else (dataset,):
@@ -125,7 +136,6 @@ class SnapshotStore:
             if df is not None:
                 return df
         built = build()
-        if not use_snapshot or built.isEmpty():
+        if not use_snapshot or not self.save(dataset, built, period):
             return built
-        self.save(dataset, built, period)
-        return self._read(dataset, period)
+        return self._read(dataset, period, built.schema)

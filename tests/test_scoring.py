@@ -207,32 +207,32 @@ def scored(spark):
 
 def test_metrics(scored):
     data = scored.toPandas()
-    metrics = scoring.scoring_metrics(scored).first()
+    metrics = scoring.scoring_metrics(scoring.scoring_cells(scored)).first()
     assert metrics["total_clients"] == len(data)
     assert metrics["clusters_count"] == 3
     assert metrics["avg_client_score"] == pytest.approx(data.CLIENT_SCORE.mean())
     assert metrics["score_coverage"] == pytest.approx((data.CLIENT_SCORE > 0).mean())
     assert metrics["potential_coverage"] == pytest.approx((data.TOTAL_POTENTIAL > 0).mean())
-    shares = {r["SEGMENTATION_FINALE"]: r for r in scoring.segment_distribution(scored).collect()}
+    shares = {r["SEGMENTATION_FINALE"]: r for r in scoring.segment_distribution(scoring.scoring_cells(scored)).collect()}
     counts = data.SEGMENTATION_FINALE.value_counts()
     assert {k: r["n_clients"] for k, r in shares.items()} == counts.to_dict()
     assert sum(r["pct"] for r in shares.values()) == pytest.approx(100)
-    per_cluster = {r[CLUSTER_GLOBAL]: r for r in scoring.cluster_metrics(scored).collect()}
+    per_cluster = {r[CLUSTER_GLOBAL]: r for r in scoring.cluster_metrics(scoring.scoring_cells(scored)).collect()}
     for name, g in data.groupby(CLUSTER_GLOBAL):
         assert per_cluster[name]["dominant_segment"] == g.SEGMENTATION_FINALE.mode().iloc[0]
         assert per_cluster[name]["avg_potential"] == pytest.approx(g.TOTAL_POTENTIAL.mean())
-    best = scoring.top_clusters(scoring.cluster_metrics(scored), 2).collect()
+    best = scoring.top_clusters(scoring.cluster_metrics(scoring.scoring_cells(scored)), 2).collect()
     means = data.groupby(CLUSTER_GLOBAL).TOTAL_POTENTIAL.mean().sort_values(ascending=False)
     assert [r[CLUSTER_GLOBAL] for r in best] == means.index[:2].tolist()
-    quality = scoring.scoring_quality(scored).first()
+    quality = scoring.scoring_quality(scoring.scoring_cells(scored)).first()
     assert quality["clients_scored"] == (data.CLIENT_SCORE > 0).sum()
     assert quality["clusters_viable"] == 2 and quality["segments_balanced"]
 
 
 def test_metrics_of_nothing(scored):
     nothing = scored.filter("false")
-    assert scoring.scoring_metrics(nothing).first()["total_clients"] == 0
-    assert scoring.scoring_quality(nothing).first()["segments_balanced"] is False
+    assert scoring.scoring_metrics(scoring.scoring_cells(nothing)).first()["total_clients"] == 0
+    assert scoring.scoring_quality(scoring.scoring_cells(nothing)).first()["segments_balanced"] is False
 
 
 def test_exports(scored, workspace):

@@ -527,9 +527,13 @@ def scored_clients(fx: Fixture) -> DataFrame:
     )
 
 
+def _cells(fx: Fixture) -> DataFrame:
+    return scoring.scoring_cells(fx.scoring().result())
+
+
 @query
 def scoring_metrics(fx: Fixture) -> DataFrame:
-    return scoring.scoring_metrics(fx.scored()).selectExpr(
+    return scoring.scoring_metrics(_cells(fx)).selectExpr(
         *_ints("total_clients", "clusters_count"),
         *_doubles(
             "avg_client_score",
@@ -543,7 +547,7 @@ def scoring_metrics(fx: Fixture) -> DataFrame:
 
 @query
 def segment_distribution(fx: Fixture) -> DataFrame:
-    return scoring.segment_distribution(fx.scored()).selectExpr(
+    return scoring.segment_distribution(_cells(fx)).selectExpr(
         "SEGMENTATION_FINALE", *_ints("n_clients"), *_doubles("pct")
     )
 
@@ -559,18 +563,18 @@ def _cluster_metric_columns() -> list[str]:
 
 @query
 def cluster_metrics(fx: Fixture) -> DataFrame:
-    return scoring.cluster_metrics(fx.scored()).selectExpr(*_cluster_metric_columns())
+    return scoring.cluster_metrics(_cells(fx)).selectExpr(*_cluster_metric_columns())
 
 
 @query
 def top_clusters(fx: Fixture) -> DataFrame:
-    metrics = scoring.cluster_metrics(fx.scored()).selectExpr(*_cluster_metric_columns())
+    metrics = scoring.cluster_metrics(_cells(fx)).selectExpr(*_cluster_metric_columns())
     return scoring.top_clusters(metrics)
 
 
 @query
 def scoring_quality(fx: Fixture) -> DataFrame:
-    return scoring.scoring_quality(fx.scored()).selectExpr(
+    return scoring.scoring_quality(_cells(fx)).selectExpr(
         *_ints("clients_scored", "clients_with_potential", "clusters_viable"), "segments_balanced"
     )
 
@@ -858,4 +862,4 @@ def pipeline_labels(fx: Fixture) -> DataFrame:
     pipeline = SegmentationPipeline(
         fx.spark, fx.warehouse, fx.workspace.path("store"), mode="test", settings=fx.settings
     )
-    return scoring.segment_distribution(pipeline.run().data)
+    return scoring.segment_distribution(scoring.scoring_cells(pipeline.run().data))
