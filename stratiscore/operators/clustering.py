@@ -388,11 +388,13 @@ def fit(
     spark = df.sparkSession
     require_columns(df, ["AGE"], "clustering input")
     features = feature_columns(df)
-    profile = age_profile(df).first().asDict()
-    check_age_profile(profile)
-
+    distinct = stratum_points(assign_stratum(df), features)
     # Points are as few as the features make them; nothing is assumed about their number.
-    points = workspace.small(stratum_points(assign_stratum(df), features), "points").df
+    profile, points = workspace.together(
+        lambda: age_profile(df).first().asDict(),
+        lambda: workspace.small(distinct, "points").df,
+    )
+    check_age_profile(profile)
     viable = strata_stats(points, len(features)).filter(
         f"n_clients >= {settings.min_strata_size}"
     )

@@ -233,8 +233,8 @@ class ScoringSteps:
         return score_quantiles(self.scored, self.largest, self.workspace)
 
     def result(self) -> DataFrame:
-        with_potential = potentials(self.scored, self.medians(), self.pnb)
-        return segmentation(with_potential, self.quantiles())
+        medians, quantiles = self.workspace.together(self.medians, self.quantiles)
+        return segmentation(potentials(self.scored, medians, self.pnb), quantiles)
 
 
 def scoring_steps(

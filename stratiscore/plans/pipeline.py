@@ -90,22 +90,36 @@ class SegmentationPipeline:
             "financial_data", lambda: extract.financial_extract(self.warehouse), "financial"
         )
 
-    def profile(self) -> DataFrame:
-        """Core and organisation of every client, from one aggregation.
+    def _core(self) -> DataFrame:
+        return self._snapshot(
+            "core_data",
+            lambda: extract.core_extract(self.warehouse.clients, self.settings),
+            "core",
+        )
 
-        Both data sets keep a snapshot of their own outside prod.
+    def _org(self) -> DataFrame:
+        return self._snapshot(
+            "organizational_data", lambda: extract.org_extract(self.warehouse.clients), "org"
+        )
+
+    def sources(self) -> tuple[DataFrame, DataFrame]:
+        """Profiles and finances, extracted at the same time.
+
+        In prod one aggregation makes the profiles. Elsewhere their two data sets keep a snapshot
+        each.
         """
-        clients = self.warehouse.clients
         if self.mode == "prod":
-            return extract.client_profile(clients, self.settings)
-        core = self._snapshot(
-            "core_data", lambda: extract.core_extract(clients, self.settings), "core"
+            profile = extract.client_profile(self.warehouse.clients, self.settings)
+            return profile, self.financial()
+        core, org, financial = self.workspace.together(
+            self._core, self._org, self.financial
         )
-        org = self._snapshot("organizational_data", lambda: extract.org_extract(clients), "org")
-        return core.join(org, extract.ID, "left")
+        return core.join(org, extract.ID, "left"), financial
 
-    def extract_data(self, financial: DataFrame, sample_size: int | None = None) -> DataFrame:
-        data = extract.all_data(self.profile(), financial)
+    def extract_data(
+        self, profile: DataFrame, financial: DataFrame, sample_size: int | None = None
+    ) -> DataFrame:
+        data = extract.all_data(profile, financial)
         if self.mode == "test" and sample_size:
             data = extract.sample_n(
                 data, sample_size, self.settings.random_state, self.workspace
@@ -213,22 +227,6 @@ class SegmentationPipeline:
         scored = scoring.score_clients(labelled, financial, self.settings, self.workspace)
         return self.workspace.stage(scored, "scored")
 
-    def scoring_report(self, scored: DataFrame) -> dict:
-        """All scoring metrics, from one pass over the scored clients."""
-        cells = self.workspace.small(scoring.scoring_cells(scored), "scoring-cells").df
-        per_cluster = self.workspace.small(scoring.cluster_metrics(cells), "cluster-metrics")
-        shares = self.workspace.small(scoring.segment_distribution(cells), "segments")
-        top = scoring.top_clusters(per_cluster.df)
-        return {
-            "global_metrics": scoring.scoring_metrics(cells).first().asDict(),
-            "segment_distribution": {
-                r["SEGMENTATION_FINALE"]: r["n_clients"] for r in shares.rows
-            },
-            "top_clusters_by_potential": [r.asDict() for r in top.collect()],
-            "cluster_metrics": per_cluster.rows,
-            "quality_indicators": scoring.scoring_quality(cells).first().asDict(),
-        }
-
     # --- runs ----------------------------------------------------------------------------
 
     def run(self, sample_size: int | None = None) -> RunResult:
@@ -257,8 +255,8 @@ class SegmentationPipeline:
         return RunResult(scored, self.metrics, self.metadata)
 
     def _run(self, sample_size: int | None) -> DataFrame:
-        financial = self.financial()
-        data = self.extract_data(financial, sample_size)
+        profile, financial = self.sources()
+        data = self.extract_data(profile, financial, sample_size)
         features = self.features(data)
         n_clients = features.count()
         if not n_clients:
@@ -271,7 +269,7 @@ class SegmentationPipeline:
         scored = self.score(self.cluster(features), financial)
         if scored.isEmpty():
             raise ValueError("no client was scored")
-        self.metrics["scoring"] = self.scoring_report(scored)
+        self.metrics["scoring"] = scoring_report(scored, self.workspace)
         if self.mode == "prod":
             self._persist(scored)
         return scored
@@ -302,6 +300,43 @@ class SegmentationPipeline:
     def model_status(self) -> dict:
         return self.models.status()
 
+    def release(self) -> None:
+        """Delete the staged tables of the run; its ``data`` cannot be read afterwards."""
+        self.workspace.release()
+
+
+def scoring_report(scored: DataFrame, workspace: Workspace) -> dict:
+    """All scoring metrics, from one pass over the scored clients.
+
+    ``cluster_metrics`` is None when there are too many clusters for the driver to hold.
+    """
+    small = workspace.small
+    cells = small(scoring.scoring_cells(scored), "scoring-cells").df
+    per_cluster, shares, totals, quality = workspace.together(
+        lambda: small(scoring.cluster_metrics(cells), "cluster-metrics"),
+        lambda: small(scoring.segment_distribution(cells), "segments"),
+        lambda: scoring.scoring_metrics(cells).first().asDict(),
+        lambda: scoring.scoring_quality(cells).first().asDict(),
+    )
+    return {
+        "global_metrics": totals,
+        "segment_distribution": {r["SEGMENTATION_FINALE"]: r["n_clients"] for r in shares.rows},
+        "cluster_metrics": per_cluster.rows,
+        "top_clusters_by_potential": [
+            r.asDict() for r in scoring.top_clusters(per_cluster.df).collect()
+        ],
+        "quality_indicators": quality,
+    }
+
+
+def score_and_report(
+    labelled: DataFrame, financial: DataFrame, settings: Settings, workspace: Workspace
+) -> tuple[DataFrame, dict]:
+    """Scored clients, staged, and their metrics."""
+    scored = scoring.score_clients(labelled, financial, settings, workspace)
+    staged = workspace.stage(scored, "scored")
+    return staged, scoring_report(staged, workspace)
+
 
 def run_pipeline(
     spark: SparkSession,

@@ -57,9 +57,12 @@ class SnapshotStore:
         n_rows = written.get["n_rows"]
         if not n_rows:
             return 0
-        entry = (dataset, period, created_at or datetime.now(), n_rows)
-        schema = "dataset string, period string, created_at timestamp, n_rows bigint"
-        self._write(local_rows(self.spark, schema, [entry]), _REGISTER, ["dataset", "period"])
+        entry = (period, created_at or datetime.now(), n_rows)
+        schema = "period string, created_at timestamp, n_rows bigint"
+        # Each data set writes to a folder of its own, so several may be saved at the same time.
+        self._write(
+            local_rows(self.spark, schema, [entry]), f"{_REGISTER}/dataset={dataset}", ["period"]
+        )
         return n_rows
 
     def _write(self, df: DataFrame, name: str, keys: list[str]) -> None:

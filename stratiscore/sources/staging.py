@@ -7,9 +7,14 @@ executors, and later passes read only the columns they need.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from itertools import count
+from typing import Any
 from uuid import uuid4
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -45,11 +50,10 @@ class Workspace:
         self.spark = spark
         self.settings = settings or Settings()
         self.root = f"{checkpoint_root(spark)}/stratiscore/{uuid4().hex}"
-        self._count = 0
+        self._numbers = count(1)
 
     def path(self, name: str) -> str:
-        self._count += 1
-        return f"{self.root}/{self._count:03d}-{name}"
+        return f"{self.root}/{next(self._numbers):03d}-{name}"
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write the frame and read it back."""
@@ -69,6 +73,13 @@ class Workspace:
             return SmallTable(self.spark.createDataFrame(table, df.schema), table.to_pylist())
         return SmallTable(self.stage(df, name), None)
 
+    def together(self, *actions: Callable[[], Any]) -> list:
+        """Results of independent actions, whose Spark jobs then share the cluster."""
+        inherit = inheritable_thread_target(self.spark)
+        with ThreadPoolExecutor(len(actions)) as pool:
+            running = [pool.submit(inherit(action)) for action in actions]
+            return [future.result() for future in running]
+
     def release(self) -> None:
         """Delete the staged tables; frames read from them are dead afterwards."""
         delete(self.spark, self.root)

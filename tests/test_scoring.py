@@ -10,6 +10,7 @@ from stratiscore.config import CLUSTER_GLOBAL, ID, LABELS, PNB_COLUMNS, Settings
 from stratiscore.functions.cleaning import clean_label, number_or_zero
 from stratiscore.operators import scoring
 from stratiscore.operators.exports import export_completion, export_essential
+from stratiscore.plans.pipeline import score_and_report
 from stratiscore.sources.staging import Workspace
 
 NOTES = ("ASSU", "CRED", "EPRGN", "SERV")
@@ -229,6 +230,16 @@ def test_metrics(scored):
     assert quality["clusters_viable"] == 2 and quality["segments_balanced"]
 
 
+def test_scores_with_their_report(spark, workspace):
+    clustered, financial = map(spark.createDataFrame, inputs(80))
+    data, report = score_and_report(clustered, financial, Settings(), workspace)
+    assert data.count() == report["global_metrics"]["total_clients"]
+    assert sum(report["segment_distribution"].values()) == data.count()
+    assert len(report["cluster_metrics"]) == report["global_metrics"]["clusters_count"]
+    best = [r["avg_potential"] for r in report["top_clusters_by_potential"]]
+    assert best == sorted(best, reverse=True)
+
+
 def test_metrics_of_nothing(scored):
     nothing = scored.filter("false")
     assert scoring.scoring_metrics(scoring.scoring_cells(nothing)).first()["total_clients"] == 0
