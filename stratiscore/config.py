@@ -68,8 +68,8 @@ class Settings:
 
     # A table of at most this many rows may be broadcast or held by the driver.
     small_table_rows: int = 10_000
-    # A group of at most this many rows may be ordered inside one task.
-    group_rows_in_task: int = 1_000_000
+    # Groups of at most this many rows may be ordered inside one task, several of them together.
+    group_rows_in_task: int = 100_000
     # A stratum of at most this many distinct points is fitted inside one task.
     points_in_task: int = 2_000
     # Rank error of the sketches that narrow down exact order statistics: 1 / accuracy.

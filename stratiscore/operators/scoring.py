@@ -130,10 +130,10 @@ def client_scores(prepared: DataFrame, stats: SmallTable, pnb: list[str]) -> Dat
     )
 
 
-def _tie_columns(df: DataFrame) -> list[str]:
+def _tie_columns(df: DataFrame, settings: Settings) -> list[str]:
     """Everything a top row is used for, so that rows still tied are interchangeable."""
-    wanted = [ID, *NOTE_COLUMNS, "EP_RATIO", *(c for c in df.columns if c.startswith("PNB_"))]
-    return [c for c in dict.fromkeys(wanted) if c in df.columns]
+    wanted = [ID, *NOTE_COLUMNS, "EP_RATIO", *settings.pnb_columns]
+    return [c for c in wanted if c in df.columns]
 
 
 def top_quarter(
@@ -146,7 +146,7 @@ def top_quarter(
         SCORE,
         settings.top_client_pct,
         f"cast({ID} as string)",
-        _tie_columns(scored),
+        _tie_columns(scored, settings),
         sizes,
         largest,
         workspace,

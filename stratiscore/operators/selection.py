@@ -59,8 +59,16 @@ def group_quantiles(
 ) -> SmallTable:
     """One row per group with the wanted quantiles. The columns must not hold NULL or NaN."""
     if largest_group <= workspace.settings.group_rows_in_task:
-        exact = [F.expr(f"percentile({q.column}, {q.share}D) as {q.name}") for q in quantiles]
-        return workspace.small(df.groupBy(group).agg(*exact), "quantiles")
+        # One aggregate per column: each keeps a map of the values of its group.
+        columns = list(dict.fromkeys(q.column for q in quantiles))
+        shares = {c: [q.share for q in quantiles if q.column == c] for c in columns}
+        exact = [
+            F.expr(f"percentile({c}, array({', '.join(f'{p}D' for p in shares[c])})) as _{c}")
+            for c in columns
+        ]
+        picked = [f"_{q.column}[{shares[q.column].index(q.share)}] as {q.name}" for q in quantiles]
+        found = df.groupBy(group).agg(*exact).selectExpr(group, *picked)
+        return workspace.small(found, "quantiles")
     return bracketed_positions(df, group, quantiles, workspace)
 
 

@@ -52,6 +52,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: bind(build) for name, build in _REGISTRY.items()}
 
 
+def build(name: str) -> Callable[[Fixture], DataFrame]:
+    return _REGISTRY[name]
+
+
 def _ints(*names: str) -> list[str]:
     return [f"cast({n} as bigint) as {n}" for n in names]
 
