@@ -40,3 +40,9 @@ def table(spark):
     from stratiscore.sources.staging import local_rows
 
     return lambda schema, *rows: local_rows(spark, schema, list(rows))
+
+
+@pytest.fixture()
+def plan_of():
+    """Physical plan of a frame as text, before adaptive execution changes it."""
+    return lambda df: df._jdf.queryExecution().executedPlan().toString()

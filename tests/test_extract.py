@@ -182,6 +182,18 @@ def test_missing_tables_and_columns_are_errors(source, table):
         _ = incomplete.accounts
 
 
+def test_profiles_take_one_shuffle_of_combined_rows(spark, source, plan_of):
+    """A client holding most rows leaves each map task as one row."""
+    rows = [client("hot", AGE=20 + i % 50, CD_OCC_LGT=str(i % 9)) for i in range(300)]
+    clients = source("connaissance_client", *rows, *[client(f"c{i}") for i in range(20)])
+    profile = extract.client_profile(clients.repartition(6), Settings())
+    plan = plan_of(profile)
+    assert plan.count("Exchange hashpartitioning(ID_DWR_CLI_CIAL") == 1
+    assert plan.index("Exchange hashpartitioning(ID_DWR_CLI_CIAL") < plan.index("partial_min(")
+    hot = by_id(profile)["hot"]
+    assert (hot["AGE"], hot["CD_OCC_LGT"]) == (69, "1")
+
+
 def test_scan_prunes_columns(spark, source, tmp_path):
     source("connaissance_client", client("a")).write.parquet(f"{tmp_path}/connaissance_client")
     clients = Warehouse.from_parquet(spark, str(tmp_path)).clients

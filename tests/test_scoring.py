@@ -100,6 +100,17 @@ def test_scores_equal_the_definitions(spark, in_task):
         assert name in found.columns
 
 
+@pytest.mark.parametrize("in_task", [1_000_000, 1])
+def test_client_rows_are_never_shuffled_by_cluster(spark, plan_of, in_task):
+    clustered, financial = map(spark.createDataFrame, inputs(200))
+    settings = Settings(group_rows_in_task=in_task, sketch_accuracy=50)
+    steps = scoring.scoring_steps(clustered, financial, settings, Workspace(spark, settings))
+    plan = plan_of(steps.result())
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 3
+    stats = plan_of(scoring.cluster_pnb_stats(steps.prepared, steps.pnb))
+    assert stats.index("Exchange hashpartitioning(CLUSTER_GLOBAL") < stats.index("partial_avg(")
+
+
 def test_clients_with_several_note_rows(spark):
     clustered, financial = inputs(60)
     again = financial[financial[ID] == "c00010"].assign(CD_NOTE_POIDS_UNVRS=9)
