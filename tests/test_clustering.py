@@ -137,6 +137,21 @@ def test_continuous_features(spark):
     assert sizes.sort_index().is_monotonic_decreasing
 
 
+def test_points_beyond_the_small_table_bound(spark, planted):
+    """Points that are too many for the driver are staged; the model is the same."""
+    settings = Settings(min_strata_size=20, min_cluster_size=5, small_table_rows=10)
+    found, expected = [
+        sorted(fit(planted, s, spark).strata.collect(), key=lambda r: r[STRATE])
+        for s in (settings, SMALL)
+    ]
+    assert len(found) == len(expected)
+    for one, other in zip(found, expected):
+        assert (one[STRATE], one["sizes"]) == (other[STRATE], other["sizes"])
+        # Sums differ in their last bits with the order of the points.
+        for c in ("silhouette", "means", "scales", "centroids", "importance"):
+            assert np.allclose(one[c], other[c], rtol=1e-12, atol=1e-12), c
+
+
 def test_missing_features_count_as_zero(table):
     df = table("AGE int, f double", *[(30, v) for v in (None, float("nan"), 0.0, 1.0)])
     points = clustering.stratum_points(assign_stratum(df), ["f"]).collect()

@@ -73,11 +73,14 @@ def plain_scores(clustered, financial):
     return pd.concat(done).sort_values(ID).reset_index(drop=True)
 
 
-@pytest.mark.parametrize("in_task", [1_000_000, 1])
-def test_scores_equal_the_definitions(spark, in_task):
-    """Once with groups ordered in one task, once the way for groups of any size."""
+@pytest.mark.parametrize("in_task, small", [(1_000_000, 100), (1, 100), (1_000_000, 1), (1, 1)])
+def test_scores_equal_the_definitions(spark, in_task, small):
+    """With groups ordered in one task and the way for groups of any size, with statistics that
+    may be broadcast and with more clusters than that allows."""
     clustered, financial = inputs()
-    settings = Settings(group_rows_in_task=in_task, sketch_accuracy=50)
+    settings = Settings(
+        group_rows_in_task=in_task, sketch_accuracy=50, small_table_rows=small
+    )
     result = scoring.score_clients(
         spark.createDataFrame(clustered),
         spark.createDataFrame(financial),
