@@ -74,6 +74,14 @@ def fit(points: np.ndarray, weights: np.ndarray, k: int, starts: int, seed: int)
     return best[order]
 
 
+def cluster_means(points: np.ndarray, weights: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Mean of the rows of each label in use."""
+    used = np.unique(labels)
+    return np.stack(
+        [np.average(points[labels == c], axis=0, weights=weights[labels == c]) for c in used]
+    )
+
+
 def silhouette(points: np.ndarray, weights: np.ndarray, labels: np.ndarray) -> float:
     """Mean Euclidean silhouette of all rows, given distinct points and their row counts."""
     k = int(labels.max()) + 1

@@ -50,7 +50,7 @@ LINEAR_SILHOUETTE = "squared_euclidean"
 
 _CANDIDATE = (
     "strate string, k int, silhouette double, silhouette_method string, min_size bigint, "
-    "centroids array<array<double>>"
+    "centroids array<array<double>>, sizes array<bigint>, importance array<double>"
 )
 
 _META = (
@@ -261,24 +261,15 @@ def _linear_silhouette(labelled_points: DataFrame) -> float:
 
 def feature_importance(labelled_points: DataFrame, features: list[str]) -> DataFrame:
     """Spread of each feature's cluster means: population variance over the clusters."""
+    means = ", ".join(f"sum(z[{i}] * n) / sum(n)" for i in range(len(features)))
+    spreads = ", ".join(f"var_pop(center[{i}])" for i in range(len(features)))
     pair = "(f, i) -> struct(f as feature, i as importance)"
-    return cluster_summary(labelled_points, len(features)).selectExpr(
-        STRATE, f"inline(zip_with(array({texts(features)}), importance, {pair}))"
-    )
-
-
-def cluster_summary(labelled_points: DataFrame, n_features: int) -> DataFrame:
-    """Sizes by cluster and importance by feature, one row per stratum."""
-    means = ", ".join(f"sum(z[{i}] * n) / sum(n)" for i in range(n_features))
-    spreads = ", ".join(f"var_pop(center[{i}])" for i in range(n_features))
     return (
         labelled_points.groupBy(STRATE, "cluster")
-        .agg(F.expr("sum(n) as size"), F.expr(f"array({means}) as center"))
+        .agg(F.expr(f"array({means}) as center"))
         .groupBy(STRATE)
-        .agg(
-            F.expr("array_sort(collect_list(struct(cluster, size))).size as sizes"),
-            F.expr(f"array({spreads}) as importance"),
-        )
+        .agg(F.expr(f"array({spreads}) as importance"))
+        .selectExpr(STRATE, f"inline(zip_with(array({texts(features)}), importance, {pair}))")
     )
 
 
@@ -335,17 +326,20 @@ def fit_candidates(points: DataFrame, settings: Settings) -> DataFrame:
         k = int(pdf["k"].iloc[0])
         centers = weighted_kmeans.fit(points, weights, k, starts, seed)
         labels = weighted_kmeans.nearest(points, centers)
-        sizes = np.bincount(labels, weights, minlength=len(centers))
+        sizes = np.bincount(labels, weights, minlength=len(centers)).astype(int)
         several = (sizes > 0).sum() > 1
         value = weighted_kmeans.silhouette(points, weights, labels) if several else None
+        means = weighted_kmeans.cluster_means(points, weights, labels)
         return pd.DataFrame(
             {
                 STRATE: [pdf[STRATE].iloc[0]],
                 "k": [k],
                 "silhouette": [value],
                 "silhouette_method": [EXACT_SILHOUETTE],
-                "min_size": [int(sizes[sizes > 0].min())],
+                "min_size": [sizes[sizes > 0].min()],
                 "centroids": [centers.tolist()],
+                "sizes": [sizes.tolist()],
+                "importance": [means.var(axis=0).tolist()],
             }
         )
 
@@ -373,7 +367,9 @@ def _fit_large(scaled: DataFrame, name: str, n_clients: int, settings: Settings)
         centers = best.clusterCenters()
         used = sorted((-r["n"], centers[r["cluster"]].tolist()) for r in found)
         value = _linear_silhouette(predicted) if len(used) > 1 else None
-        yield name, k, value, LINEAR_SILHOUETTE, -used[-1][0], [center for _, center in used]
+        sizes, centroids = [-n for n, _ in used], [center for _, center in used]
+        importance = np.var(centroids, axis=0).tolist()
+        yield name, k, value, LINEAR_SILHOUETTE, min(sizes), centroids, sizes, importance
 
 
 def fit(
@@ -419,7 +415,8 @@ def fit(
         candidates = candidates.unionByName(local_rows(spark, _CANDIDATE, large))
     chosen = workspace.small(select_k(candidates, settings), "chosen").df
 
-    origin = ", ".join(["0D"] * len(features))
+    # One cluster: the origin of the scaled coordinates, all clients, nothing told apart.
+    zeros = f"array({', '.join(['0D'] * len(features))})"
     fitted = stats.df.join(F.broadcast(chosen), STRATE).selectExpr(
         STRATE,
         "n_clients",
@@ -429,10 +426,11 @@ def fit(
         "k = 1 as is_single_cluster",
         "means",
         "scales",
-        f"coalesce(centroids, array(array({origin}))) as centroids",
+        f"coalesce(centroids, array({zeros})) as centroids",
+        "coalesce(sizes, array(n_clients)) as sizes",
+        f"coalesce(importance, {zeros}) as importance",
     )
-    summary = cluster_summary(label_points(scaled, fitted), len(features))
-    strata = workspace.small(fitted.join(summary, STRATE), "model").df
+    strata = workspace.small(fitted, "model").df
     meta = local_rows(
         spark,
         _META,
