@@ -45,6 +45,7 @@ _EVIDENCE = 1.0  # least log ratio of toxic to clean documents that hold a word
 _SURE = 2.7  # the same for further words of a document, which also must be frequent
 _WITNESSES = 3
 _SYMBOLS = 48
+_CHUNK = 1_000  # words of a vocabulary that are compared at once
 _BATCH_CHARS = 1 << 18
 _PUNCTUATION = ".,;:!?\"'()[]{}«»“”„’¡¿…-–—"
 # Letters a-z have symbols 1 to 26, all other characters share 27 to 47; 0 is the end of a word.
@@ -70,7 +71,8 @@ class Words:
     place: np.ndarray  # of the first character in the joined texts
 
 
-def to_words(text: str) -> Words:
+def to_words(text: str, spelled: bool = True) -> Words:
+    """Words of a text; ``spelled`` joins runs of single characters to one word."""
     codes = np.frombuffer(("\n" + text.lower() + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
     end = np.isin(codes, _SPACE_CODES)
     mark = np.isin(codes, _PUNCTUATION_CODES)
@@ -81,7 +83,7 @@ def to_words(text: str) -> Words:
     # Spelled-out letters are one word: drop the end between two words of one character.
     ends = np.flatnonzero(end)
     sizes = np.diff(ends) - 1
-    single = np.flatnonzero((sizes[1:] == 1) & (sizes[:-1] == 1)) + 1
+    single = np.flatnonzero((sizes[1:] == 1) & (sizes[:-1] == 1) & spelled) + 1
     keep = np.ones(len(codes), bool)
     keep[ends[single]] = False
     kept = np.flatnonzero(keep)
@@ -158,12 +160,12 @@ def kernel(words: list[str], landmarks: Landmarks) -> np.ndarray:
     known = np.zeros(_SYMBOLS**LENGTH, bool)
     known[landmarks.numbers] = True
     out = np.zeros((len(words), landmarks.weights.shape[1]))
-    for begin in range(0, len(words), 2_000):
-        chunk = to_words("\n".join(words[begin : begin + 2_000]))
+    for begin in range(0, len(words), _CHUNK):
+        chunk = to_words("\n".join(words[begin : begin + _CHUNK]), spelled=False)
         owner = np.zeros(len(chunk.symbols), np.int64)
         owner[chunk.first] = 1
         owner = np.cumsum(owner) - 1
-        part = np.zeros((len(words[begin : begin + 2_000]), len(landmarks.numbers)), np.float32)
+        part = np.zeros((len(words[begin : begin + _CHUNK]), len(landmarks.numbers)), np.float32)
         for inside, number, weight in subsequences(chunk):
             hit = np.flatnonzero(inside & known[number])
             np.add.at(part, (owner[hit], np.searchsorted(landmarks.numbers, number[hit])), weight)
@@ -264,83 +266,109 @@ def _pick_landmarks(good: list[str], bad: list[str], n: int) -> list[str]:
     return taken
 
 
-def train(docs: list[tuple[list[str], bool]], shares: tuple[float, float], n_landmarks: int = N_LANDMARKS,
+@dataclass
+class Sample:
+    """Sampled documents: their distinct words as numbers in a vocabulary."""
+
+    vocabulary: list[str]
+    docs: list[np.ndarray]
+    toxic: np.ndarray
+
+    @staticmethod
+    def of(docs: list[tuple[list[str], bool]]) -> Sample:
+        table = pa.table(
+            {"words": pa.array([w for w, _ in docs], pa.list_(pa.string())),
+             "toxic": pa.array([int(t) for _, t in docs], pa.int32())}
+        )
+        return Sample.of_table(table)
+
+    @staticmethod
+    def of_table(table: pa.Table) -> Sample:
+        words = table.column("words").combine_chunks()
+        if isinstance(words, pa.ChunkedArray):  # an empty table has no chunk to combine
+            words = pa.array([], pa.list_(pa.string()))
+        coded = words.flatten().dictionary_encode()
+        numbers = coded.indices.to_numpy()
+        lengths = words.value_lengths().to_numpy()
+        docs = np.split(numbers, np.cumsum(lengths)[:-1]) if len(lengths) else []
+        return Sample(coded.dictionary.to_pylist(), docs, table.column("toxic").to_numpy() == 1)
+
+
+def vocabulary_values(vocabulary: list[str], weights: np.ndarray) -> np.ndarray:
+    out = [
+        word_sums(to_words("\n".join(vocabulary[i : i + 20_000]), spelled=False), weights)
+        for i in range(0, len(vocabulary), 20_000)
+    ]
+    return np.concatenate(out) if out else np.zeros(0)
+
+
+def train(sample: Sample, shares: tuple[float, float], n_landmarks: int = N_LANDMARKS,
           rounds: int = ROUNDS) -> Model:
-    """Fit on (distinct words, toxic) of sampled documents.
+    """Fit on sampled documents.
 
     ``shares`` say how many labelled documents a sampled clean and a sampled toxic one stand for.
     """
-    n_toxic = sum(t for _, t in docs)
-    if not n_toxic or n_toxic == len(docs):
-        share = n_toxic / len(docs) if docs else 0.0
-        share = min(max(share, 1e-9), 1 - 1e-9)
+    vocabulary, toxic = sample.vocabulary, sample.toxic
+    n_docs, n_toxic = len(toxic), int(toxic.sum())
+    toxic_docs = [d for d, t in zip(sample.docs, toxic) if t and len(d)]
+    clean_docs = [d for d, t in zip(sample.docs, toxic) if not t and len(d)]
+    if not toxic_docs or not clean_docs:
+        share = min(max(n_toxic / max(1, n_docs), 1e-9), 1 - 1e-9)
         return Model(None, 0.0, 0.0, float(np.log(share / (1 - share))), 0.0)
-    toxic_df, clean_df = Counter(), Counter()
-    for words, toxic in docs:
-        (toxic_df if toxic else clean_df).update(words)
-    rate = n_toxic / (len(docs) - n_toxic)
-    score = {w: np.log((n + 0.5) / (rate * clean_df[w] + 0.5)) for w, n in toxic_df.items()}
-    toxic_docs = [words for words, toxic in docs if toxic and words]
+    size = len(vocabulary)
+    toxic_df = np.bincount(np.concatenate(toxic_docs), minlength=size)
+    clean_df = np.bincount(np.concatenate(clean_docs), minlength=size)
+    rate = n_toxic / (n_docs - n_toxic)
+    score = np.log((toxic_df + 0.5) / (rate * clean_df + 0.5))
     # Only words that toxic documents hold far more often can stand for a sentence.
-    suspects = [[w for w in words if score[w] > _EVIDENCE] for words in toxic_docs]
-    suspects = [words for words in suspects if words] or toxic_docs
-    strong = [sorted(words, key=lambda w: (-score[w], w))[:_WITNESSES] for words in suspects]
-    sure = {w for w, n in toxic_df.items() if n >= max(8, n_toxic / 100) and score[w] > _SURE}
-    strong = [[w for i, w in enumerate(words) if not i or w in sure] for words in strong]
-    witness = Counter(w for words in strong for w in words)
-    clean = sorted(clean_df, key=lambda w: (-clean_df[w], w))
+    suspects = [d[score[d] > _EVIDENCE] for d in toxic_docs]
+    suspects = [d for d in suspects if len(d)] or toxic_docs
+    ranked = [d[np.lexsort((d, -score[d]))][:_WITNESSES] for d in suspects]
+    sure = (toxic_df >= max(8, n_toxic / 100)) & (score > _SURE)
+    strong = [d[sure[d] | (np.arange(len(d)) == 0)] for d in ranked]
+    witness = np.bincount(np.concatenate(strong), minlength=size)
+    clean = np.flatnonzero(clean_df)
+    clean = clean[np.lexsort((clean, -clean_df[clean]))]
     common, every = clean[:4_000], clean[4_000 :: max(1, len(clean) // 8_000)]
-    bad = [w for w, _ in sorted(witness.items(), key=lambda x: (-x[1], x[0]))]
-    chosen = _pick_landmarks(common, bad, n_landmarks)
+    bad = np.flatnonzero(witness)
+    bad = bad[np.lexsort((bad, -witness[bad]))]
+    chosen = _pick_landmarks(
+        [vocabulary[i] for i in common], [vocabulary[i] for i in bad], n_landmarks
+    )
     landmarks = landmarks_of(chosen)
     values, vectors = np.linalg.eigh(kernel(chosen, landmarks))
     solid = values > 1e-4 * values.max()
     root = vectors[:, solid] / np.sqrt(values[solid])
-    negatives = dict.fromkeys(common + every)
-    vocabulary = sorted(toxic_df)
-    place = {w: i for i, w in enumerate(vocabulary)}
-    toxic_features = kernel(vocabulary, landmarks) @ root
-    clean_features = kernel(clean, landmarks) @ root
-    clean_place = {w: i for i, w in enumerate(clean)}
+    negatives = np.concatenate([common, every])
+    features: dict[int, np.ndarray] = {}
+
+    def rows(numbers: np.ndarray) -> np.ndarray:
+        new = [i for i in numbers.tolist() if i not in features]
+        found = kernel([vocabulary[i] for i in new], landmarks) @ root
+        features.update(zip(new, found.astype(np.float32)))
+        return np.stack([features[i] for i in numbers.tolist()]).astype(np.float64)
+
     for step in range(rounds):
-        chosen = list(witness)
-        x = np.concatenate(
-            [toxic_features[[place[w] for w in chosen]], clean_features[[clean_place[w] for w in negatives]]]
-        )
-        y = np.array([1.0] * len(chosen) + [-1.0] * len(negatives))
-        counts = np.array([witness[w] for w in chosen], float)
-        cost = np.concatenate(
-            [np.sqrt(counts) * len(negatives) / np.sqrt(counts).sum() / 2, np.ones(len(negatives))]
-        )
+        named = np.flatnonzero(witness)
+        x = np.concatenate([rows(named), rows(negatives)])
+        y = np.repeat([1.0, -1.0], [len(named), len(negatives)])
+        pull = np.sqrt(witness[named])
+        cost = np.concatenate([pull * len(negatives) / pull.sum() / 2, np.ones(len(negatives))])
         w = train_svm(x, y, COST * cost)
-        clean_values = clean_features @ w[:-1] + w[-1]
-        toxic_values = toxic_features @ w[:-1] + w[-1]
+        weights = np.zeros(_SYMBOLS**LENGTH, np.float32)
+        weights[landmarks.numbers] = landmarks.weights @ (root @ w[:-1])
+        worth = vocabulary_values(vocabulary, weights) + w[-1]
         if step + 1 < rounds:
-            best = [max(words, key=lambda u: (toxic_values[place[u]], u)) for words in suspects]
-            named = (u for top, words in zip(best, strong) for u in {top, *words})
-            witness = Counter(u for u in named if toxic_values[place[u]] > 0) or witness
-            hard = np.argsort(-clean_values, kind="stable")[:2_000]
-            negatives.update(dict.fromkeys(clean[i] for i in hard))
-    weights = np.zeros(_SYMBOLS**LENGTH, np.float32)
-    weights[landmarks.numbers] = landmarks.weights @ (root @ w[:-1])
-    floor = float(np.quantile(clean_values, 0.5))
-    model = Model(weights, float(w[-1]), 1.0, 0.0, floor)
-    raw = np.array(
-        [
-            max(
-                (
-                    (toxic_values[place[u]] if toxic else clean_values[clean_place[u]])
-                    for u in words
-                ),
-                default=floor,
-            )
-            for words, toxic in docs
-        ]
-    )
-    toxic = np.array([t for _, t in docs])
-    weight = np.where(toxic, shares[1], shares[0])
-    model.slope, model.shift = _calibrated(raw, toxic, weight)
-    return model
+            best = [d[np.argmax(worth[d])] for d in suspects]
+            picked = [np.union1d(d, [b]) for d, b in zip(strong, best)]
+            again = np.bincount(np.concatenate(picked), minlength=size) * (worth > 0)
+            witness = again if again.any() else witness
+            hard = clean[np.argsort(-worth[clean], kind="stable")[:2_000]]
+            negatives = np.union1d(negatives, hard)
+    floor = float(np.median(worth[clean]))
+    raw = np.array([worth[d].max() if len(d) else floor for d in sample.docs])
+    slope, shift = _calibrated(raw, toxic, np.where(toxic, shares[1], shares[0]))
+    return Model(weights, float(w[-1]), slope, shift, floor)
 
 
 def _distinct_words(text: str | None) -> list[str]:
@@ -378,7 +406,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> M
         for row in marks.filter(F.col("toxic") == mark).orderBy(*order).limit(max_docs).collect()
     ]
     if not sample:
-        return train([], (1.0, 1.0))
+        return train(Sample.of([]), (1.0, 1.0))
     kind = dict(labels.dtypes)["doc_id"]
     chosen = spark.createDataFrame(sample, f"_id {kind}, _toxic int")
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
@@ -386,10 +414,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> M
         _word_lists(MAX_TRAIN_CHARS), f"id {kind}, toxic int, words array<string>"
     )
     found = lists.toArrow().sort_by("id")
-    docs_words = list(zip(found.column("words").to_pylist(), map(bool, found.column("toxic").to_pylist())))
-    have = Counter(t for _, t in docs_words)
-    shares = tuple(totals.get(i, 0) / max(1, have[bool(i)]) for i in (0, 1))
-    return train(docs_words, shares)
+    have = Counter(found.column("toxic").to_pylist())
+    shares = tuple(totals.get(mark, 0) / max(1, have[mark]) for mark in (0, 1))
+    return train(Sample.of_table(found), shares)
 
 
 def _score(broadcast):
