@@ -2,9 +2,13 @@
 
 Documents are ordered by the SHA-256 of their text, so that equal texts stand together and form
 one atomic group. The smallest capacity for which greedy filling needs no more than the wanted
-shards is found by binary search; the cuts are those of the greedy filling at that capacity. All
-documents stay in Spark. The driver holds sums of blocks of the order, a bounded number of them,
-and reads the group sizes of a block only when a cut falls into it.
+shards is found by binary search; the cuts are those of the greedy filling at that capacity.
+
+All documents stay in Spark. The driver holds the sums of stretches of the order, a bounded number
+of them. Greedy filling over stretches gives bounds: no cut can lie beyond the place where it would
+lie if stretches could be cut anywhere, nor before the place where it would lie if they could not
+be cut at all. Where cuts may lie, one Spark job per round splits the stretches into 64 parts,
+until they are single groups and both bounds agree.
 
 Nulls: a null text is its own group with no bytes and CRC 0; a null doc_id is put like any other.
 Repeated rows are separate members of their group. Without rows there are no shards to fill, and
@@ -13,7 +17,7 @@ shards may stay empty when there are fewer groups than shards.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
@@ -24,97 +28,115 @@ from stratiscore.sources.staging import Workspace
 
 N_SHARDS = 24
 ROW_OVERHEAD = 8
-MAX_BLOCKS = 16_384
-MIN_BLOCK_ROWS = 1_024
+MAX_STRETCHES = 16_384
+_PARTS = 64
 
 
-class OrderedGroups:
-    """Group sizes along the order, by blocks, for the driver's greedy check.
+class Order:
+    """Sums along the order of groups at uneven resolution, and greedy filling over them.
 
-    Positions are cumulative sizes. ``fetch(blocks)`` gives, for each block, the first document
-    position and the size of each of its groups.
+    A stretch is (first document position, size, width): it holds the groups that start within
+    that many positions, or one group if the width is 1. Places are cumulative sizes.
     """
 
-    def __init__(self, block_sums: list[tuple[int, int]], fetch):
-        self.blocks = [b for b, _ in block_sums]
-        self.ends = list(accumulate(s for _, s in block_sums))
+    def __init__(self, stretches: list[tuple[int, int, int]]):
+        self.stretches = sorted(stretches)
+        self.ends = list(accumulate(size for _, size, _ in self.stretches))
         self.total = self.ends[-1] if self.ends else 0
-        self._fetch = fetch
-        self._loaded: dict[int, tuple[list[int], list[int]]] = {}
-
-    def load(self, indexes: list[int]) -> None:
-        missing = [i for i in indexes if i not in self._loaded]
-        if not missing:
-            return
-        got = self._fetch([self.blocks[i] for i in missing])
-        for i in missing:
-            starts, sizes = got[self.blocks[i]]
-            before = self.ends[i - 1] if i else 0
-            self._loaded[i] = (starts, [before + s for s in accumulate(sizes)])
-
-    def block_at(self, place: int) -> int:
-        return min(bisect_left(self.ends, place), len(self.ends) - 1)
-
-    def furthest(self, limit: int) -> tuple[int, int | None]:
-        """The last group end within the limit, and the document position that follows it."""
-        if limit >= self.total:
-            return self.total, None
-        i = bisect_right(self.ends, limit)  # the first block that ends beyond the limit
-        self.load([i])
-        starts, ends = self._loaded[i]
-        k = bisect_right(ends, limit)
-        end = ends[k - 1] if k else (self.ends[i - 1] if i else 0)
-        return end, starts[k]
-
-    def cuts(self, capacity: int, n_shards: int) -> list[int] | None:
-        """Document positions at which greedy filling starts a new shard; None if it needs more."""
-        place, found = 0, []
-        while True:
-            end, following = self.furthest(place + capacity)
-            if following is None:
-                return found
-            if end == place or len(found) + 2 > n_shards:
-                return None
-            found.append(following)
-            place = end
-
-
-def smallest_capacity(groups: OrderedGroups, largest: int, n_shards: int) -> tuple[int, list[int]]:
-    """Binary search for the smallest feasible capacity, with its cuts."""
-    low = max(largest, -(-groups.total // n_shards))
-    best = groups.cuts(low, n_shards)
-    if best is not None:
-        return low, best
-    high = -(-groups.total // n_shards) + largest  # always enough: no shard is left emptier
-    # Cut j lies between these places; a window of few blocks is read at once.
-    window = sorted(
-        {
-            i
-            for j in range(1, n_shards)
-            for i in range(
-                groups.block_at(max(0, j * (low - largest))),
-                groups.block_at(min(groups.total, j * high)) + 1,
-            )
-        }
-    )
-    if len(window) <= 8 * n_shards:
-        groups.load(window)
-    best = groups.cuts(high, n_shards)
-    while low + 1 < high:
-        middle = (low + high) // 2
-        found = groups.cuts(middle, n_shards)
-        if found is None:
-            low = middle
-        else:
-            high, best = middle, found
-    return high, best
+
+    def _start(self, i: int) -> int:
+        return self.ends[i - 1] if i else 0
+
+    def fill(self, capacity: int, n_shards: int, divide: bool) -> tuple[list[int], bool]:
+        """Places of the cuts, and whether the shards suffice.
+
+        ``divide`` lets a stretch of several groups be cut anywhere, else it cannot be cut.
+        """
+        place, cuts = 0, []
+        while place + capacity < self.total:
+            i = bisect_right(self.ends, place + capacity)
+            following = place + capacity if divide and self.stretches[i][2] > 1 else self._start(i)
+            if following <= place or len(cuts) + 1 == n_shards:
+                return cuts, False
+            cuts.append(following)
+            place = following
+        return cuts, True
+
+    def capacity(self, n_shards: int, least: int, divide: bool) -> int:
+        """The smallest capacity that suffices."""
+        low, high = least - 1, max(self.total, least)
+        while low + 1 < high:
+            middle = (low + high) // 2
+            if self.fill(middle, n_shards, divide)[1]:
+                high = middle
+            else:
+                low = middle
+        return high
+
+    def open_stretches(self, n_shards: int, least: int) -> list[int]:
+        """Stretches of several groups in which a cut may lie, as indexes."""
+        low = self.capacity(n_shards, least, divide=True)
+        high = self.capacity(n_shards, least, divide=False)
+        first, enough = self.fill(low, n_shards, divide=False)
+        last, _ = self.fill(high, n_shards, divide=True)
+        found = set()
+        for j in range(n_shards - 1):
+            if j < len(first):
+                begin = first[j]
+            elif enough:
+                break  # no capacity in question needs this cut
+            else:
+                begin = first[-1] if first else 0
+            until = last[j] if j < len(last) else self.total
+            i = bisect_right(self.ends, begin)
+            while i < len(self.stretches) and self._start(i) <= until:
+                if self.stretches[i][2] > 1:
+                    found.add(i)
+                i += 1
+        return sorted(found)
+
+    def cuts(self, n_shards: int, least: int) -> tuple[int, list[int]]:
+        """The smallest capacity and the document positions of its cuts, once nothing is open."""
+        capacity = self.capacity(n_shards, least, divide=False)
+        places, _ = self.fill(capacity, n_shards, divide=False)
+        return capacity, [self.stretches[bisect_right(self.ends, p)][0] for p in places]
+
+
+def minimax_cuts(groups: DataFrame, n_shards: int, max_stretches: int) -> tuple[int, list[int]]:
+    """Capacity and cuts of a table of groups (start, group_size), in order of ``start``."""
+    top = groups.agg(F.max("start").alias("last"), F.max("group_size").alias("largest")).first()
+    if top["last"] is None:
+        return 0, []
+    width = 1
+    while (top["last"] + 1) / width > max_stretches:
+        width *= _PARTS
+
+    def stretches(rows: DataFrame, width: int) -> list[tuple[int, int, int]]:
+        sums = rows.groupBy(F.floor(F.col("start") / width).alias("stretch")).agg(
+            F.min("start").alias("start"),
+            F.sum("group_size").alias("size"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        return [(r["start"], r["size"], 1 if r["n"] == 1 else width) for r in sums.collect()]
+
+    order = Order(stretches(groups, width))
+    spark = groups.sparkSession
+    while wanted := order.open_stretches(n_shards, top["largest"]):
+        width = max(order.stretches[i][2] for i in wanted)
+        split = {i for i in wanted if order.stretches[i][2] == width}
+        numbers = [(order.stretches[i][0] // width,) for i in split]
+        chosen = F.broadcast(spark.createDataFrame(numbers, "_stretch long"))  # a bounded number
+        inside = groups.join(chosen, F.floor(F.col("start") / width) == F.col("_stretch"), "left_semi")
+        kept = [x for i, x in enumerate(order.stretches) if i not in split]
+        order = Order(kept + stretches(inside, width // _PARTS))
+    return order.cuts(n_shards, top["largest"])
 
 
 def assign_shards(
     workspace: Workspace,
     docs: DataFrame,
     n_shards: int = N_SHARDS,
-    min_block_rows: int = MIN_BLOCK_ROWS,
+    max_stretches: int = MAX_STRETCHES,
 ) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot: the shard of each row and its place there."""
     data = F.col("text").cast("binary")
@@ -130,24 +152,7 @@ def assign_shards(
         F.min("position").alias("start"), F.sum("size").alias("group_size")
     )
     groups = workspace.stage(groups.drop("_group"), "groups")
-    top = groups.agg(F.max("start").alias("last"), F.max("group_size").alias("largest")).first()
-    if top["last"] is None:
-        cuts = []
-    else:
-        width = max(min_block_rows, -(-(top["last"] + 1) // MAX_BLOCKS))
-        block = F.floor(F.col("start") / width).alias("block")
-        sums = groups.groupBy(block).agg(F.sum("group_size").alias("s")).orderBy("block").collect()
-
-        def fetch(wanted: list[int]) -> dict[int, tuple[list[int], list[int]]]:
-            found = groups.withColumn("block", block).filter(F.col("block").isin(wanted))
-            got = {b: ([], []) for b in wanted}
-            for row in found.orderBy("start").toLocalIterator():
-                got[row["block"]][0].append(row["start"])
-                got[row["block"]][1].append(row["group_size"])
-            return got
-
-        ordered = OrderedGroups([(r["block"], r["s"]) for r in sums], fetch)
-        _, cuts = smallest_capacity(ordered, top["largest"], n_shards)
+    _, cuts = minimax_cuts(groups, n_shards, max_stretches)
     firsts = F.array(*[F.lit(c).cast("long") for c in [0, *cuts]])
     shard = F.size(F.filter(firsts, lambda c: c <= F.col("position"))) - 1
     return placed.withColumn("shard", shard).select(
