@@ -32,9 +32,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: every document as often as the mix takes it."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
-    mixed = mixing.mix(Workspace(spark), docs, keep=others)
-    return mixing.repeat(mixed).select(*docs.columns)
+    return mixing.repeat(mixing.mix(Workspace(spark), docs, with_rows=True))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

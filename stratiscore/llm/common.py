@@ -75,3 +75,10 @@ def pieces(data: bytes, size: int) -> Iterator[bytes]:
 def byte_values(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, empty for nulls."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that the table does not have."""
+    while wanted in df.columns:
+        wanted = f"_{wanted}"
+    return wanted

@@ -129,9 +129,10 @@ def mix(
     weights: tuple[float, ...] = WEIGHTS,
     max_repeat: int = MAX_REPEAT,
     seed: int = 42,
-    keep: tuple[str, ...] = (),
+    with_rows: bool = False,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, rate, copies, taken, and the columns to keep."""
+    """doc_id, source, size, source_size, target, rate, copies, taken; and, if asked for, ``row``,
+    the whole document."""
     sized = docs.select(
         "doc_id", "source", key_text("source").alias("key"), word_count("text").alias("size")
     )
@@ -163,10 +164,11 @@ def mix(
     changes = workspace.small(
         menders.groupBy("key").applyInPandas(_mend(max_repeat), schema), "changes"
     )
+    whole = [F.struct(*docs.columns).alias("row")]
     wide = docs.select(
-        "doc_id", "source", key_text("source").alias("key"), word_count("text").alias("size"), *keep
+        "doc_id", "source", key_text("source").alias("key"), word_count("text").alias("size"), *whole
     )
-    rows = wide if keep else sizes
+    rows = wide if with_rows else sizes
     mended = changes.attach(
         small.attach(rows, ["key"]).withColumn("copies", F.least(copies, F.lit(max_repeat))),
         ["key", "doc_id"],
@@ -174,12 +176,11 @@ def mix(
     final = F.col("copies") + F.coalesce("change", F.lit(0))
     return mended.select(
         "doc_id", "source", "size", "source_size", "target", "rate", final.alias("copies"),
-        (final * F.col("size")).alias("taken"), *keep,
+        (final * F.col("size")).alias("taken"), *(["row"] if with_rows else []),
     )
 
 
 def repeat(mixed: DataFrame) -> DataFrame:
-    """The mixed documents themselves: every row as often as it has copies."""
-    times = F.array_repeat(F.lit(0), F.col("copies"))
-    return mixed.withColumn("_copy", F.explode(times)).drop("_copy")
-
+    """The mixed documents themselves, from a mix with rows: each as often as it has copies."""
+    times = F.explode(F.array_repeat(F.lit(0), F.col("copies")))
+    return mixed.select("row", times).select("row.*")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiscore.llm.common import byte_values, document_key, pieces
+from stratiscore.llm.common import byte_values, document_key, free_name, pieces
 from stratiscore.llm.components import components
 from stratiscore.sources.staging import Workspace
 
@@ -178,7 +178,8 @@ def near_duplicates(
 
 def keep_first(workspace: Workspace, docs: DataFrame, **options) -> DataFrame:
     """One document of each component, with all its columns."""
+    name = free_name(docs, "document_key")
     marked = near_duplicates(workspace, docs, **options)
-    stay = workspace.stage(marked.filter("first").select(F.col("key").alias("_key")), "stay")
-    named = docs.withColumn("_key", document_key())
-    return named.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    stay = workspace.stage(marked.filter("first").select(F.col("key").alias(name)), "stay")
+    named = docs.withColumn(name, document_key())
+    return named.join(stay, name, "left_semi").dropDuplicates([name]).drop(name)
