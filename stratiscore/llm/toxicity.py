@@ -76,8 +76,13 @@ def to_words(text: str, spelled: bool = True) -> Words:
     codes = np.frombuffer(("\n" + text.lower() + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
     end = np.isin(codes, _SPACE_CODES)
     mark = np.isin(codes, _PUNCTUATION_CODES)
-    outer = mark & (np.append(end[1:], True) | np.append(True, end[:-1]))
-    end = end | outer
+    # A run of punctuation that touches white space ends a word; other punctuation is part of it.
+    soft = end | mark
+    begins = np.flatnonzero(soft & ~np.append(False, soft[:-1]))
+    spaces = np.append(0, np.cumsum(end))
+    run = np.cumsum(soft & ~np.append(False, soft[:-1])) - 1
+    until = np.flatnonzero(soft & ~np.append(soft[1:], False)) + 1
+    end = soft & (spaces[until] > spaces[begins])[run]
     symbols = np.where(codes < len(_CLASS), _CLASS[np.minimum(codes, len(_CLASS) - 1)], 27 + codes % 21)
     symbols = np.where(end, 0, symbols).astype(np.int32)
     # Spelled-out letters are one word: drop the end between two words of one character.

@@ -1,0 +1,139 @@
+import os
+import zlib
+
+import numpy as np
+import pytest
+
+from stratiscore.llm import cotraining, toxicity
+
+FOLDER = "/root/testdata/sf0.1"
+needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+def brute_kernel(a, b):
+    """Scaled kernel of two words by enumeration of their subsequences."""
+
+    def features(word):
+        symbols = toxicity.to_words(word).symbols
+        ends = np.flatnonzero(symbols == 0)
+        symbols = symbols[ends[0] : ends[1] + 1].tolist()
+        found, own = {}, 0.0
+        for gaps in toxicity._GAPS:
+            for i in range(len(symbols) - sum(gaps)):
+                places = np.cumsum([i, *gaps])
+                key = tuple(symbols[p] for p in places)
+                weight = toxicity.DECAY ** (sum(gaps) - toxicity.LENGTH + 1)
+                found[key] = found.get(key, 0) + weight
+                own += weight**2
+        return found, max(own, 1e-9) ** 0.5
+
+    (x, nx), (y, ny) = features(a), features(b)
+    return sum(v * y.get(k, 0) for k, v in x.items()) / nx / ny
+
+
+def test_kernel_and_folded_weights_agree_with_enumeration():
+    words = ["idiot", "idxiot", "id1ot", "worthless", "a", "ab", "être", "aaaaaaa", "x" * 40, "."]
+    marks = ["idiot", "worthless", "aaaa", "être"]
+    landmarks = toxicity.landmarks_of(marks)
+    got = toxicity.kernel(words, landmarks)
+    want = [[brute_kernel(a, b) for b in marks] for a in words[:-1]]
+    assert np.allclose(got[:-1], want, atol=1e-5)
+    weights = np.zeros(toxicity._SYMBOLS**toxicity.LENGTH, np.float32)
+    weights[landmarks.numbers] = landmarks.weights @ np.array([1.0, -2.0, 0.5, 3.0])
+    sums = toxicity.word_sums(toxicity.to_words("\n".join(words[:4]), spelled=False), weights)
+    assert np.allclose(sums, np.array(want)[:4] @ [1.0, -2.0, 0.5, 3.0], atol=1e-4)
+
+
+def test_words_and_spelled_out_letters():
+    words = toxicity.to_words("An (idiot), i d i o t!\n\nend.")
+    assert (words.size - 2).tolist() == [2, 5, 5, 3]
+
+
+def sentences(rng, n, bad):
+    clean = ["thing", "house", "river", "stone", "light", "green", "table", "water", "sound", "plant"]
+    docs = []
+    for i in range(n):
+        words = [rng.choice(clean) + rng.choice(["", "s", "ed", "ing"]) for _ in range(30)]
+        if bad:
+            insult = rng.choice(["idiot", "moron", "scumbag"])
+            if i % 4 == 0:
+                insult = insult[:2] + "x" + insult[2:]
+            words[rng.integers(30)] = insult
+        docs.append(" ".join(words))
+    return docs
+
+
+def training_table(rows, table):
+    labels = [(i, int(toxic)) for i, (_, toxic) in enumerate(rows)]
+    return table("doc_id long, toxic int, quality int", *((i, t, 1 - t) for i, t in labels))
+
+
+def test_inserted_characters_are_found(documents, table):
+    rng = np.random.default_rng(0)
+    rows = [(t, False) for t in sentences(rng, 150, False)] + [(t, True) for t in sentences(rng, 60, True)]
+    docs = documents([(i, t, "en", "s", len(t)) for i, (t, _) in enumerate(rows)])
+    found = toxicity.score(docs, toxicity.fit(docs, training_table(rows, table))).collect()
+    for r in found:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        assert r["predicted"] == int(rows[r["doc_id"]][1])
+    model = toxicity.fit(docs, training_table(rows, table))
+    assert (model.scores(["an i-diot here", "the m o r o n said", "scu*mbag"]) >= toxicity.CUT).all()
+
+
+def test_edge_rows_and_label_faults(documents, table):
+    docs = documents()
+    labels = table("doc_id long, toxic int, quality int", (1, 0, 1), (1, 1, 0), (2, None, None), (None, 1, 1), (77, 1, 0), (7, 0, 1))
+    found = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert len(found) == docs.count() and all(0 <= r["score"] <= 1 for r in found)
+    kept = toxicity.keep_clean(docs, toxicity.fit(docs, labels))
+    assert kept.schema.names == docs.schema.names
+    empty = table("doc_id long, toxic int, quality int")
+    found = toxicity.score(docs, toxicity.fit(docs, empty)).collect()
+    assert all(r["predicted"] == 0 for r in found)
+    assert toxicity.score(documents([]), toxicity.fit(documents([]), empty)).count() == 0
+
+
+@needs_tables
+def test_toxicity_on_held_out_documents(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    found = toxicity.score(docs, toxicity.fit(docs, labels)).filter("held_out")
+    rows = found.join(labels, "doc_id").toPandas()
+    toxic = rows["toxic"] == 1
+    assert (rows["predicted"][toxic] == 1).mean() > 0.75
+    assert (rows["predicted"][~toxic] == 0).mean() > 0.97
+
+
+@needs_tables
+def test_quality_on_held_out_documents(spark, workspace):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    found = cotraining.classify(workspace, docs, labels).filter("held_out")
+    rows = found.join(labels, "doc_id").toPandas()
+    good, junk = rows["quality"] == 1, (rows["quality"] == 0) & (rows["toxic"] == 0)
+    assert rows["kept"][good].mean() > 0.97
+    assert (~rows["kept"][junk]).mean() > 0.9
+
+
+def test_cotraining_edge_rows(workspace, documents, table):
+    docs = documents()
+    labels = table("doc_id long, toxic int, quality int", (1, 0, 1), (1, 0, 0), (5, 1, 1), (6, 0, 1), (7, 0, 0), (8, 0, 1), (9, 0, 0), (None, 1, 1), (4, None, None))
+    found = cotraining.classify(workspace, docs, labels).collect()
+    assert len(found) == docs.count() and all(0 <= r["score"] <= 1 for r in found)
+    empty = table("doc_id long, toxic int, quality int")
+    assert {r["score"] for r in cotraining.classify(workspace, docs, empty).collect()} == {0.5}
+    assert cotraining.classify(workspace, documents([]), empty).count() == 0
+
+
+def test_views_teach_each_other(workspace, documents, table):
+    rows = []
+    for i in range(900):
+        bad = i % 3 == 0
+        text = "junk junk junk junk ### " * 10 if bad else " ".join(f"word{(i * 31 + j) % 977}" for j in range(60))
+        rows.append((i, text, "en", "dump" if bad else f"s{i % 4}", len(text)))
+    labels = table("doc_id long, toxic int, quality int", *((i, 0, int(i % 3 != 0)) for i in range(150)))
+    features = workspace.stage(cotraining.views(documents(rows)), "views")
+    model = cotraining.train(features, labels)
+    assert sum(model.handed_over) > 0
+    found = cotraining.score(features, model).collect()
+    assert all(r["kept"] == (r["doc_id"] % 3 != 0) for r in found)
