@@ -2,11 +2,13 @@
 
 Encoded features take few values, so a stratum of any size folds into a few distinct points with
 row counts. One aggregation over all clients makes the points; fits, silhouettes and importances
-work on them and are exact. Strata whose features do not fold go through Spark ML instead.
+work on them and are exact. Where the points of a stratum do not fit a task, every step is one
+aggregation over all of them instead; starts, stop rule and silhouette are the same.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime
@@ -14,10 +16,8 @@ from datetime import datetime
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratiscore.config import (
@@ -39,14 +39,15 @@ from stratiscore.operators.strata import (
 )
 from stratiscore.sources.staging import Workspace, local_rows
 
+log = logging.getLogger(__name__)
+
 # Tasks get this module by value, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(weighted_kmeans)
 
 # Columns that are never features.
 NOT_FEATURES = (ID, "CT_CLI_CIAL", "AGE")
 
-EXACT_SILHOUETTE = "euclidean"
-LINEAR_SILHOUETTE = "squared_euclidean"
+SILHOUETTE_METHOD = "euclidean"
 
 _CANDIDATE = (
     "strate string, k int, silhouette double, silhouette_method string, min_size bigint, "
@@ -163,7 +164,7 @@ def nearest_centroid(z: str, centroids: str) -> str:
     """Index of the nearest of the centroids; equal distances give the lowest."""
     squares = f"zip_with({z}, c, (a, b) -> (a - b) * (a - b))"
     distance = f"aggregate({squares}, 0D, (total, x) -> total + x)"
-    units = f"floor({distance} * {weighted_kmeans.DISTANCE_UNITS:.0f}D + 0.5D)"
+    units = f"rint({distance} * {weighted_kmeans.DISTANCE_UNITS:.0f}D)"
     return f"array_min(transform({centroids}, (c, i) -> struct({units} as d, i as i))).i"
 
 
@@ -207,19 +208,17 @@ def label_points(scaled: DataFrame, strata: DataFrame) -> DataFrame:
 
 
 def silhouette_by_stratum(labelled_points: DataFrame, settings: Settings) -> DataFrame:
-    """Mean silhouette of each stratum from points (``strate``, ``cluster``, ``z``, ``n``).
+    """Mean Euclidean silhouette of each stratum from points (``strate``, ``cluster``, ``z``, ``n``).
 
-    Exact Euclidean silhouette where the distinct points fit a task. Beyond that it takes all
-    pairs of points, so the linear squared-Euclidean form is used on all rows and named as such.
-    Strata with one cluster have no silhouette and are left out.
+    Strata whose points fit a task take one task each, larger ones go by pairs of blocks. Strata
+    with one cluster have no silhouette and are left out.
     """
-    spark = labelled_points.sparkSession
     counts = labelled_points.groupBy(STRATE).agg(
         F.expr("count(*) as points"), F.expr("min(cluster) as low"), F.expr("max(cluster) as high")
     )
     several = [r for r in counts.collect() if r["low"] != r["high"]]
     short = [r[STRATE] for r in several if r["points"] <= settings.points_in_task]
-    long = [r[STRATE] for r in several if r["points"] > settings.points_in_task]
+    long = {r[STRATE]: r["points"] for r in several if r["points"] > settings.points_in_task}
 
     def one_stratum(pdf: pd.DataFrame) -> pd.DataFrame:
         value = weighted_kmeans.silhouette(
@@ -236,27 +235,85 @@ def silhouette_by_stratum(labelled_points: DataFrame, settings: Settings) -> Dat
         .select(STRATE, "cluster", "z", "n")
         .groupBy(STRATE)
         .applyInPandas(one_stratum, f"{STRATE} string, silhouette double, n bigint")
-        .select(STRATE, "silhouette", F.lit(EXACT_SILHOUETTE).alias("method"), "n")
     )
-    rows = []
-    for name in long:
-        part = labelled_points.filter(F.col(STRATE) == name)
-        value = _linear_silhouette(part)
-        n = part.agg(F.sum("n")).first()[0]
-        rows.append((name, value, LINEAR_SILHOUETTE, n))
-    if rows:
-        schema = f"{STRATE} string, silhouette double, method string, n bigint"
-        result = result.unionByName(local_rows(spark, schema, rows))
-    return result
-
-
-def _linear_silhouette(labelled_points: DataFrame) -> float:
-    prepared = labelled_points.select(
-        array_to_vector("z").alias("features"),
-        F.col("cluster").cast("double").alias("prediction"),
-        F.col("n").cast("double").alias("weight"),
+    if long:
+        part = labelled_points.filter(F.col(STRATE).isin(*long))
+        sizes = part.groupBy(STRATE, "cluster").agg(F.sum("n").alias("n")).collect()
+        top = {s: 1 + max(r["cluster"] for r in sizes if r[STRATE] == s) for s in long}
+        known = {s: [np.zeros(top[s])] for s in long}
+        for r in sizes:
+            known[r[STRATE]][0][r["cluster"]] = r["n"]
+        labelled = part.selectExpr(STRATE, "z", "n", "array(cast(cluster as int)) as labels")
+        found = _block_silhouettes(labelled, long, known, settings)
+        result = result.unionByName(found.select(STRATE, "silhouette", "n"))
+    return result.select(STRATE, "silhouette", F.lit(SILHOUETTE_METHOD).alias("method"), "n")
+
+
+def _block_silhouettes(
+    labelled: DataFrame, points: dict[str, int], sizes: dict[str, list], settings: Settings
+) -> DataFrame:
+    """``strate``, ``nth``, ``silhouette``, ``n`` of several labellings of points in many blocks.
+
+    ``labels`` holds a label for each labelling, ``sizes`` the cluster sizes of each. Each pair of
+    blocks gives the distance sums of one block's points; pairs of points are never rows.
+    """
+    spark = labelled.sparkSession
+    per_block = max(1, settings.points_in_task)
+    numbers = [(s, -(-n // per_block)) for s, n in points.items()]
+    blocks = F.broadcast(local_rows(spark, f"{STRATE} string, _blocks int", numbers))
+    packed = (
+        labelled.join(blocks, STRATE)
+        .withColumn("block", F.pmod(F.xxhash64("z"), F.col("_blocks")).cast("int"))
+        .groupBy(STRATE, "block")
+        .agg(F.sort_array(F.collect_list(F.struct("z", "n", "labels"))).alias("rows"))
+    )
+
+    def unpacked(rows) -> tuple:
+        rows = [tuple(r.values()) if isinstance(r, dict) else tuple(r) for r in rows]
+        z, n, labels = zip(*rows)
+        return np.stack(z).astype(float), np.array(n, float), np.stack(labels).astype(int)
+
+    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for name, block, rows, others in pdf[[STRATE, "block", "rows", "others"]].itertuples(
+                index=False, name=None
+            ):
+                z, _, _ = unpacked(rows)
+                other, n, labels = unpacked(others)
+                member = np.concatenate(
+                    [
+                        weighted_kmeans.members(labels[:, i], n, len(of))
+                        for i, of in enumerate(sizes[name])
+                    ],
+                    axis=1,
+                )
+                found = weighted_kmeans.distance_sums(z, other, member)
+                out.append((name, block, found.ravel().tolist()))
+            yield pd.DataFrame(out, columns=[STRATE, "block", "sums"])
+
+    def finish(key, sums: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        _, n, labels = unpacked(own["rows"].iloc[0])
+        total = np.sum(np.stack(sums["sums"].to_list()), axis=0).reshape(len(n), -1)
+        out, at = [], 0
+        for i, of in enumerate(sizes[key[0]]):
+            part = total[:, at : at + len(of)]
+            value = weighted_kmeans.silhouette_sum(part, labels[:, i], n, np.array(of, float))
+            out.append((key[0], i, value, int(n.sum())))
+            at += len(of)
+        return pd.DataFrame(out, columns=[STRATE, "nth", "total", "n"])
+
+    others = packed.select(STRATE, F.col("rows").alias("others"))
+    pairs = packed.join(others, STRATE).mapInPandas(
+        pair, f"{STRATE} string, block int, sums array<double>"
+    )
+    return (
+        pairs.groupBy(STRATE, "block")
+        .cogroup(packed.groupBy(STRATE, "block"))
+        .applyInPandas(finish, f"{STRATE} string, nth int, total double, n bigint")
+        .groupBy(STRATE, "nth")
+        .agg((F.sum("total") / F.sum("n")).alias("silhouette"), F.sum("n").alias("n"))
     )
-    return ClusteringEvaluator(weightCol="weight").evaluate(prepared)
 
 
 def feature_importance(labelled_points: DataFrame, features: list[str]) -> DataFrame:
@@ -308,6 +365,12 @@ def select_k(candidates: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def _cluster_numbers(n_clients: int, settings: Settings) -> range:
+    """Numbers of clusters to try in a stratum."""
+    top = min(settings.k_max, n_clients // settings.min_cluster_size)
+    return range(settings.k_min, (2 if top < settings.k_min else top) + 1)
+
+
 def fit_candidates(points: DataFrame, settings: Settings) -> DataFrame:
     """One fit for every stratum and number of clusters, all in one grouped job.
 
@@ -317,29 +380,28 @@ def fit_candidates(points: DataFrame, settings: Settings) -> DataFrame:
     top = f"least({settings.k_max}, cast(floor(_n_clients / {settings.min_cluster_size}) as int))"
     numbers = f"sequence(2, if({top} < {settings.k_min}, 2, {top}))"
     numbers = f"filter({numbers}, k -> k >= {settings.k_min})"
-    starts, seed = settings.n_init, settings.random_state
+    starts = settings.n_init
 
     def one_fit(pdf: pd.DataFrame) -> pd.DataFrame:
         points = np.stack(pdf["z"].to_list())
         order = np.lexsort(points.T)
         points, weights = points[order], pdf["n"].to_numpy(float)[order]
         k = int(pdf["k"].iloc[0])
-        centers = weighted_kmeans.fit(points, weights, k, starts, seed)
+        centers = weighted_kmeans.fit(points, weights, k, starts)
         labels = weighted_kmeans.nearest(points, centers)
         sizes = np.bincount(labels, weights, minlength=len(centers)).astype(int)
         several = (sizes > 0).sum() > 1
         value = weighted_kmeans.silhouette(points, weights, labels) if several else None
-        means = weighted_kmeans.cluster_means(points, weights, labels)
         return pd.DataFrame(
             {
                 STRATE: [pdf[STRATE].iloc[0]],
                 "k": [k],
                 "silhouette": [value],
-                "silhouette_method": [EXACT_SILHOUETTE],
+                "silhouette_method": [SILHOUETTE_METHOD],
                 "min_size": [sizes[sizes > 0].min()],
                 "centroids": [centers.tolist()],
                 "sizes": [sizes.tolist()],
-                "importance": [means.var(axis=0).tolist()],
+                "importance": [centers.var(axis=0).tolist()],
             }
         )
 
@@ -350,26 +412,140 @@ def fit_candidates(points: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _fit_large(scaled: DataFrame, name: str, n_clients: int, settings: Settings) -> Iterator[tuple]:
-    """Candidates of one stratum whose points do not fit a task, by Spark ML on all of them."""
-    data = scaled.select(
-        "z", "n", array_to_vector("z").alias("features"), F.col("n").cast("double").alias("weight")
+_PART = "strate string, k int, run int, cluster int, size double, sums array<double>, cost double, "
+_PART += "far_distance double, far array<double>"
+
+
+def _best_points(points: DataFrame, chosen: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The next center of each start, in one pass over all points."""
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for name, rows in pdf.groupby(STRATE):
+                z = np.stack(rows["z"].to_list())
+                scores, found = weighted_kmeans.farthest(z, rows["n"].to_numpy(float), chosen[name])
+                out += [(name, i, -s, p.tolist()) for i, (s, p) in enumerate(zip(scores, found))]
+            yield pd.DataFrame(out, columns=[STRATE, "run", "negative", "point"])
+
+    parts = points.mapInPandas(best, f"{STRATE} string, run int, negative double, point array<double>")
+    found = parts.groupBy(STRATE, "run").agg(F.min(F.struct("negative", "point")).alias("b"))
+    out = {s: np.zeros((len(c), c.shape[2])) for s, c in chosen.items()}
+    for r in found.collect():
+        out[r[STRATE]][r["run"]] = r["b"]["point"]
+    return out
+
+
+def _lloyd_step(points: DataFrame, centers: dict) -> dict:
+    """Sizes, sums, costs and farthest points of all (stratum, k) and runs, in one aggregation."""
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for name, rows in pdf.groupby(STRATE):
+                z, n = np.stack(rows["z"].to_list()), rows["n"].to_numpy(float)
+                for (of, k), own in centers.items():
+                    if of == name:
+                        sizes, sums, costs, distance, far = weighted_kmeans.step(z, n, own)
+                        out += [
+                            (name, k, r, c, sizes[r, c], sums[r, c].tolist(), costs[r], distance[r], far[r].tolist())
+                            for r in range(len(own))
+                            for c in range(own.shape[1])
+                        ]
+            yield pd.DataFrame(out, columns=_PART.replace(",", "").split()[::2])
+
+    n_features = next(iter(centers.values())).shape[2]
+    total = ", ".join(f"sum(sums[{i}])" for i in range(n_features))
+    rows = (
+        points.mapInPandas(part, _PART)
+        .groupBy(STRATE, "k", "run", "cluster")
+        .agg(
+            F.sum("size").alias("size"),
+            F.expr(f"array({total}) as sums"),
+            F.sum("cost").alias("cost"),
+            F.min(F.struct((-F.col("far_distance")).alias("d"), "far")).alias("far"),
+        )
+        .collect()
+    )
+    out = {
+        key: (np.zeros(c.shape[:2]), np.zeros(c.shape), np.zeros(len(c)), np.zeros((len(c), c.shape[2])))
+        for key, c in centers.items()
+    }
+    for r in rows:
+        sizes, sums, costs, far = out[r[STRATE], r["k"]]
+        sizes[r["run"], r["cluster"]] = r["size"]
+        sums[r["run"], r["cluster"]] = r["sums"]
+        costs[r["run"]], far[r["run"]] = r["cost"], r["far"]["far"]
+    return out
+
+
+def _fit_large(points: DataFrame, strata: list, settings: Settings) -> list[tuple]:
+    """Candidates of strata whose points do not fit a task.
+
+    All strata, numbers of clusters and starts advance together; only centers and their sums, whose
+    number does not depend on the data, reach the driver.
+    """
+    order = W.partitionBy(STRATE).orderBy(F.desc("n"), "z")
+    first = points.withColumn("_place", F.row_number().over(order))
+    first = first.filter(F.col("_place") <= settings.n_init).orderBy(STRATE, "_place").collect()
+    chosen = {
+        r[STRATE]: np.array([[f["z"]] for f in first if f[STRATE] == r[STRATE]]) for r in strata
+    }
+    limit = {r[STRATE]: r["n_points"] for r in strata}
+    numbers = {r[STRATE]: _cluster_numbers(r["n_clients"], settings) for r in strata}
+    centers = {}
+    for k in range(1, max(max(n) for n in numbers.values()) + 1):
+        if k > 1:
+            following = _best_points(points, chosen)
+            chosen = {
+                s: np.concatenate([c, following[s][:, None, :]], axis=1) for s, c in chosen.items()
+            }
+        # With fewer points than clusters, all points are centers.
+        centers |= {(s, k): c[:, : limit[s]].copy() for s, c in chosen.items() if k in numbers[s]}
+    fitted, open_fits = {}, centers
+    for _ in range(weighted_kmeans.MAX_ITERATIONS):
+        found = _lloyd_step(points, open_fits)
+        following = {}
+        for key, own in open_fits.items():
+            sizes, sums, costs, far = found[key]
+            updated = weighted_kmeans.moved(sizes, sums, far)
+            fitted[key] = weighted_kmeans.best_run(own, sizes, costs)
+            if not (updated == own).all():
+                following[key] = updated
+        open_fits = following
+        if not open_fits:
+            break
+    else:
+        log.warning("K-means has not settled in %d steps", weighted_kmeans.MAX_ITERATIONS)
+    return _with_silhouettes(points, fitted, limit, settings)
+
+
+def _with_silhouettes(points: DataFrame, fitted: dict, n_points: dict, settings: Settings) -> list:
+    order = {s: sorted(k for of, k in fitted if of == s) for s in n_points}
+
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name, rows in pdf.groupby(STRATE):
+                z = np.stack(rows["z"].to_list())
+                labels = [weighted_kmeans.nearest(z, fitted[name, k][0]) for k in order[name]]
+                yield rows.assign(labels=np.stack(labels, axis=1).tolist())[[STRATE, "z", "n", "labels"]]
+
+    labelled = points.select(STRATE, "z", "n").mapInPandas(
+        label, f"{STRATE} string, z array<double>, n bigint, labels array<int>"
     )
-    top = max(2, min(settings.k_max, n_clients // settings.min_cluster_size))
-    for k in range(settings.k_min, top + 1):
-        fits = [
-            KMeans(k=k, seed=settings.random_state + s, weightCol="weight", maxIter=300).fit(data)
-            for s in range(settings.n_init)
-        ]
-        best = min(fits, key=lambda m: m.summary.trainingCost)
-        predicted = best.transform(data).withColumnRenamed("prediction", "cluster")
-        found = predicted.groupBy("cluster").agg(F.sum("n").alias("n")).collect()
-        centers = best.clusterCenters()
-        used = sorted((-r["n"], centers[r["cluster"]].tolist()) for r in found)
-        value = _linear_silhouette(predicted) if len(used) > 1 else None
-        sizes, centroids = [-n for n, _ in used], [center for _, center in used]
-        importance = np.var(centroids, axis=0).tolist()
-        yield name, k, value, LINEAR_SILHOUETTE, min(sizes), centroids, sizes, importance
+    sizes = {s: [fitted[s, k][1] for k in order[s]] for s in order}
+    values = {
+        (r[STRATE], order[r[STRATE]][r["nth"]]): r["silhouette"]
+        for r in _block_silhouettes(labelled, n_points, sizes, settings).collect()
+    }
+    out = []
+    for (name, k), (centers, of) in fitted.items():
+        value = values[name, k] if len(of) > 1 else None
+        counts = [int(n) for n in of]
+        out.append(
+            (name, k, value, SILHOUETTE_METHOD, min(counts), centers.tolist(), counts, centers.var(axis=0).tolist())
+        )
+    return out
 
 
 def fit(
@@ -400,19 +576,11 @@ def fit(
     candidates = fit_candidates(
         sized.filter(f"_n_points <= {settings.points_in_task}"), settings
     )
-    large = [
-        candidate
-        for r in stats.rows
-        if r["n_points"] > settings.points_in_task
-        for candidate in _fit_large(
-            workspace.stage(scaled.filter(F.col(STRATE) == r[STRATE]), "large-stratum"),
-            r[STRATE],
-            r["n_clients"],
-            settings,
-        )
-    ]
+    large = [r for r in stats.rows if r["n_points"] > settings.points_in_task]
     if large:
-        candidates = candidates.unionByName(local_rows(spark, _CANDIDATE, large))
+        part = scaled.filter(F.col(STRATE).isin(*[r[STRATE] for r in large]))
+        found = _fit_large(workspace.stage(part, "large-strata"), large, settings)
+        candidates = candidates.unionByName(local_rows(spark, _CANDIDATE, found))
     chosen = workspace.small(select_k(candidates, settings), "chosen").df
 
     # One cluster: the origin of the scaled coordinates, all clients, nothing told apart.
@@ -422,7 +590,7 @@ def fit(
         "n_clients",
         "k as n_clusters",
         "silhouette",
-        f"coalesce(silhouette_method, '{EXACT_SILHOUETTE}') as silhouette_method",
+        f"coalesce(silhouette_method, '{SILHOUETTE_METHOD}') as silhouette_method",
         "k = 1 as is_single_cluster",
         "means",
         "scales",

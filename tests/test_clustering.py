@@ -1,5 +1,7 @@
 """Strata, fits and assignment."""
 
+import os
+from dataclasses import replace
 from datetime import datetime
 
 import numpy as np
@@ -20,6 +22,7 @@ from stratiscore.operators.strata import (
 from stratiscore.plans.pipeline import fit_transform
 from stratiscore.sources.staging import Workspace
 from tests.test_kmeans import silhouette_of_rows
+from verification.fixture import Fixture
 
 SMALL = Settings(min_strata_size=20, min_cluster_size=5)
 
@@ -106,18 +109,30 @@ def test_minimum_size_limits_the_number(spark, planted):
     assert {r["n_clusters"] for r in model.strata.collect()} == {1}
 
 
+def assert_same_models(one, other):
+    one, other = ({r[STRATE]: r for r in m.strata.collect()} for m in (one, other))
+    assert set(one) == set(other)
+    for name, a in one.items():
+        b = other[name]
+        assert (a["n_clusters"], a["sizes"]) == (b["n_clusters"], b["sizes"])
+        assert np.allclose(a["centroids"], b["centroids"], atol=1e-8)
+        assert a["silhouette"] == pytest.approx(b["silhouette"], abs=1e-9)
+        assert np.allclose(a["importance"], b["importance"], atol=1e-8)
+        assert a["silhouette_method"] == b["silhouette_method"] == "euclidean"
+
+
 def test_fit_beyond_one_task(spark, planted):
-    """Spark ML takes over where points do not fit a task; far groups come out the same."""
-    settings = Settings(
-        min_strata_size=20, min_cluster_size=5, points_in_task=2, n_init=2, k_max=3
-    )
-    model = fit(planted, settings, spark)
-    strata = {r[STRATE]: r for r in model.strata.collect()}
-    assert strata["23-27"]["sizes"] == [60, 40, 25]
-    assert strata["23-27"]["silhouette_method"] == "squared_euclidean"
-    assert strata["38-42"]["silhouette_method"] == "euclidean"
-    exact = fit(planted, SMALL, spark).strata.filter(f"{STRATE} = '23-27'").first()
-    assert np.allclose(strata["23-27"]["centroids"], exact["centroids"], atol=1e-6)
+    settings = replace(SMALL, points_in_task=2)
+    assert_same_models(fit(planted, settings, spark), fit(planted, SMALL, spark))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_fit_of_real_features_does_not_depend_on_the_bound(spark):
+    fixture = Fixture(spark, "/root/testdata/sf0.01")
+    features = fixture.workspace.stage(fixture.features(), "features")
+    short = fit(features, fixture.settings, spark)
+    assert_same_models(fit(features, replace(fixture.settings, points_in_task=1), spark), short)
+    assert max(r["n_clusters"] for r in short.strata.collect()) > 1
 
 
 def test_continuous_features(spark):
@@ -255,16 +270,19 @@ def test_silhouette_on_all_rows_beyond_one_task(spark, table):
     )
     exact = clustering.silhouette_by_stratum(df, Settings()).first()
     assert exact["silhouette"] == pytest.approx(silhouette_of_rows(points, labels), abs=1e-12)
-    linear = clustering.silhouette_by_stratum(df, Settings(points_in_task=10)).first()
-    assert (exact["method"], linear["method"]) == ("euclidean", "squared_euclidean")
-    squared = ((points[:, None] - points[None]) ** 2).sum(-1)
-    values = []
-    for i in range(60):
-        inner = squared[i, labels == labels[i]].sum() / 29
-        outer = squared[i, labels != labels[i]].mean()
-        values.append((outer - inner) / max(inner, outer))
-    assert linear["silhouette"] == pytest.approx(np.mean(values), abs=1e-9)
-    assert linear["n"] == 60
+    for bound in (10, 1):
+        long = clustering.silhouette_by_stratum(df, Settings(points_in_task=bound)).first()
+        assert long["silhouette"] == pytest.approx(exact["silhouette"], abs=1e-12)
+        assert (exact["method"], long["method"], long["n"]) == ("euclidean", "euclidean", 60)
+
+
+def test_far_points_go_to_the_nearest_centroid(spark, table):
+    points, centers = np.array([[200_000.0], [-1e9], [60.0]]), np.array([[0.0], [100.0]])
+    scaled = table("z array<double>, i int", *[(p.tolist(), i) for i, p in enumerate(points)])
+    side = table("centroids array<array<double>>", (centers.tolist(),))
+    found = scaled.join(side).selectExpr("i", f"{clustering.nearest_centroid('z', 'centroids')} as c")
+    assert [r["c"] for r in found.orderBy("i").collect()] == [1, 0, 1]
+    assert weighted_kmeans.nearest(points, centers).tolist() == [1, 0, 1]
 
 
 def test_spark_and_tasks_assign_alike(spark, table):

@@ -60,7 +60,7 @@ def test_fit_finds_the_best_partition_of_few_points(seed, k):
         for labels in itertools.product(range(k), repeat=8)
         if len(set(labels)) == k
     )
-    centers = weighted_kmeans.fit(points, weights, k, 30, 42)
+    centers = weighted_kmeans.fit(points, weights, k, 30)
     found = cost(points, weights, weighted_kmeans.nearest(points, centers))
     assert found == pytest.approx(best, rel=1e-9)
 
@@ -69,7 +69,7 @@ def test_planted_groups_come_largest_first():
     rng = np.random.default_rng(3)
     groups = [rng.normal(c, 0.05, size=(n, 2)) for c, n in ((0, 30), (5, 60), (-5, 10))]
     points = np.concatenate(groups)
-    centers = weighted_kmeans.fit(points, np.ones(len(points)), 3, 10, 42)
+    centers = weighted_kmeans.fit(points, np.ones(len(points)), 3, 10)
     labels = weighted_kmeans.nearest(points, centers)
     assert np.bincount(labels).tolist() == [60, 30, 10]
     assert centers[:, 0] == pytest.approx([5, 0, -5], abs=0.1)
@@ -77,13 +77,27 @@ def test_planted_groups_come_largest_first():
 
 def test_fewer_points_than_clusters():
     points = np.array([[0.0], [1.0]])
-    assert len(weighted_kmeans.fit(points, np.array([5.0, 5.0]), 4, 10, 42)) == 2
-
-
-def test_same_seed_gives_the_same_centers():
-    points = np.random.default_rng(0).normal(size=(40, 3))
-    runs = [weighted_kmeans.fit(points, np.ones(40), 4, 10, 42) for _ in range(2)]
-    assert (runs[0] == runs[1]).all()
+    assert len(weighted_kmeans.fit(points, np.array([5.0, 5.0]), 4, 10)) == 2
+
+
+def test_the_order_of_points_does_not_matter():
+    rng = np.random.default_rng(0)
+    points, weights = rng.normal(size=(40, 3)), rng.integers(1, 9, size=40).astype(float)
+    order = rng.permutation(40)
+    one = weighted_kmeans.fit(points, weights, 4, 10)
+    assert (one == weighted_kmeans.fit(points[order], weights[order], 4, 10)).all()
+
+
+def test_steps_over_parts_add_up():
+    rng = np.random.default_rng(1)
+    points, weights = rng.normal(size=(50, 3)), rng.integers(1, 9, size=50).astype(float)
+    centers = points[rng.integers(0, 50, size=(4, 3))]
+    sizes, sums, costs, distance, far = weighted_kmeans.step(points, weights, centers)
+    parts = [weighted_kmeans.step(points[i : i + 17], weights[i : i + 17], centers) for i in (0, 17, 34)]
+    assert np.allclose(sizes, sum(p[0] for p in parts))
+    assert np.allclose(sums, sum(p[1] for p in parts))
+    assert np.allclose(costs, sum(p[2] for p in parts))
+    assert (distance == np.max([p[3] for p in parts], axis=0)).all()
 
 
 def test_points_half_way_go_to_the_lower_label():
