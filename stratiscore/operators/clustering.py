@@ -564,7 +564,7 @@ def fit(
     # Points are as few as the features make them; nothing is assumed about their number.
     profile, points = workspace.together(
         lambda: age_profile(df).first().asDict(),
-        lambda: workspace.small(distinct, "points").df,
+        lambda: workspace.small(workspace.stage(distinct, "distinct-points"), "points").df,
     )
     check_age_profile(profile)
     viable = strata_stats(points, len(features)).filter(

@@ -176,51 +176,89 @@ def savings_split(savings: DataFrame) -> DataFrame:
     )
 
 
-def wealth_by_client(
+def account_totals(
     accounts: DataFrame, insurance_savings: DataFrame, savings: DataFrame
 ) -> DataFrame:
-    """Balances and savings of clients with an account.
+    """Balances, savings and activity of ids with an account, in one aggregation of all three.
 
-    Ids meet as they are written and lose their trailing blanks only in the result.
+    Ids meet as they are written. Rows without id do not meet: their savings are nobody's.
     """
-    balances = _aggregate(accounts, [ID], {"balance": "sum(SLD_MOY_12_MOIS)"})
-    insurance = _aggregate(insurance_savings, [ID], {"insurance": "sum(MT_ENCRS)"})
-    return (
-        balances.join(insurance, ID, "left")
-        .join(savings_split(savings), ID, "left")
-        .selectExpr(
-            f"rtrim({ID}) as {ID}",
-            "coalesce(balance, 0D) as SLD_DAV",
-            "round(coalesce(liquide, 0D), 2) as EP_LIQUIDE",
-            "round(coalesce(insurance, 0D) + coalesce(stable, 0D), 2) as EP_STABLE",
-        )
+    liquid = text(LIQUID_SAVINGS_SOURCE)
+    rows = (
+        accounts.withColumn("_account", F.lit(1))
+        .unionByName(insurance_savings, allowMissingColumns=True)
+        .unionByName(savings, allowMissingColumns=True)
     )
-
-
-def rfm(accounts: DataFrame) -> DataFrame:
     return _aggregate(
-        accounts,
+        rows,
         [ID],
         {
-            "frequency": "sum(NB_OPERN_DBTR_MOIS)",
-            "amount": "avg(FLUX_MENS)",
-            "recency": "min(RECENCY)",
+            "accounts": "count(_account)",
+            "balance": "sum(SLD_MOY_12_MOIS)",
+            "insurance": f"sum(if({ID} is null, null, MT_ENCRS))",
+            "liquide": f"sum(if({ID} is not null and fichier_source = {liquid}, MONTANT, 0D))",
+            "stable": f"sum(if({ID} is not null and fichier_source != {liquid}, MONTANT, 0D))",
+            **_ACTIVITY,
         },
-    )
+    ).filter("accounts > 0")
+
+
+_ACTIVITY = {
+    "frequency": "sum(NB_OPERN_DBTR_MOIS)",
+    "amount": "avg(FLUX_MENS)",
+    "recency": "min(RECENCY)",
+}
+_WEALTH = (
+    "coalesce(balance, 0D) as SLD_DAV",
+    "round(coalesce(liquide, 0D), 2) as EP_LIQUIDE",
+    "round(coalesce(insurance, 0D) + coalesce(stable, 0D), 2) as EP_STABLE",
+)
+
+
+def wealth_by_client(
+    accounts: DataFrame, insurance_savings: DataFrame, savings: DataFrame
+) -> DataFrame:
+    """Balances and savings of clients with an account.
+
+    Ids lose their trailing blanks only in the result.
+    """
+    totals = account_totals(accounts, insurance_savings, savings)
+    return totals.selectExpr(f"rtrim({ID}) as {ID}", *_WEALTH)
+
+
+def rfm(accounts: DataFrame) -> DataFrame:
+    return _aggregate(accounts, [ID], _ACTIVITY)
 
 
 def financial_extract(warehouse: Warehouse) -> DataFrame:
-    """Revenue, wealth and account activity of every client known to any of them."""
+    """Revenue, wealth and account activity of every client known to any of them.
+
+    A full join of the three, as one aggregation: the few rows that each has for an id are
+    collected and multiplied out. Ids without blanks and as written meet only here.
+    """
+    revenue = pnb_by_client(warehouse.clients)
+    totals = account_totals(warehouse.accounts, warehouse.insurance_savings, warehouse.savings)
+    pnb = ", ".join(c for c in revenue.columns if c != ID)
+    tagged = revenue.selectExpr(ID, f"struct({pnb}) as pnb")
+    # The two readings of an account row leave one scan of the totals.
+    readings = totals.selectExpr(
+        "explode(array(0, 1)) as reading", ID, *_WEALTH, *_ACTIVITY
+    ).selectExpr(
+        f"if(reading = 0, rtrim({ID}), {ID}) as {ID}",
+        "if(reading = 0, struct(SLD_DAV, EP_LIQUIDE, EP_STABLE), null) as wealth",
+        "if(reading = 1, struct(frequency, amount, recency), null) as activity",
+    )
+    rows = tagged.unionByName(readings, allowMissingColumns=True)
+    # Rows without id stay alone.
+    alone = f"if({ID} is null, xxhash64(pnb, wealth is null, activity is null), null) as _alone"
     joined = (
-        pnb_by_client(warehouse.clients)
-        .join(
-            wealth_by_client(
-                warehouse.accounts, warehouse.insurance_savings, warehouse.savings
-            ),
-            ID,
-            "full",
-        )
-        .join(rfm(warehouse.accounts), ID, "full")
+        rows.selectExpr("*", alone)
+        .groupBy(ID, "_alone")
+        .agg(*[F.collect_list(c).alias(c) for c in ("pnb", "wealth", "activity")])
+        .selectExpr(ID, "wealth", "activity", "explode_outer(pnb) as pnb")
+        .selectExpr(ID, "pnb", "activity", "explode_outer(wealth) as wealth")
+        .selectExpr(ID, "pnb", "wealth", "explode_outer(activity) as activity")
+        .selectExpr(ID, "pnb.*", "wealth.*", "activity.*")
     )
     types = {field.name: field.dataType.typeName() for field in joined.schema}
     zeros = {c: "'0'" if types[c] == "string" else "0" for c in NOTE_COLUMNS}
@@ -237,7 +275,8 @@ def all_data(profile: DataFrame, financial: DataFrame) -> DataFrame:
     return profile.join(financial, ID, "left")
 
 
-def sample_n(df: DataFrame, n: int, seed: int, workspace: Workspace) -> DataFrame:
-    """Exactly min(n, rows) rows, the same ones on every run."""
+def sample_n(df: DataFrame, n: int | None, seed: int, workspace: Workspace) -> DataFrame:
+    """Exactly min(n, rows) rows, the same ones on every run; the default size without ``n``."""
+    n = workspace.settings.default_sample_size if n is None else n
     ties = [name for name in NOTE_COLUMNS if name in df.columns]
     return sample_by_hash(df, f"concat({ID}, '{seed}')", n, [ID, *ties], workspace)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -161,9 +161,9 @@ def top_rows(
     Ties go by the hash of ``tie_key`` and then by ``tie_columns``. ``sizes`` holds the group and
     its row count ``n``.
     """
-    hashed = df.selectExpr("*", f"md5({tie_key}) as _hash")
+    hashed = df.selectExpr("*", f"{_hash_of(tie_key)} as _hash")
     if largest_group <= workspace.settings.group_rows_in_task:
-        order = W.partitionBy(group).orderBy(F.desc(score), "_hash", *tie_columns)
+        order = W.partitionBy(group).orderBy(F.desc(score), "_hash", *_nulls_last(tie_columns))
         ranked = sizes.attach(hashed.withColumn("_place", F.row_number().over(order)), [group])
         return ranked.filter(f"_place <= {top_count(share)}").drop("_place", "_hash", "n")
 
@@ -189,13 +189,22 @@ def top_rows(
     return kept.drop("_hash", "_threshold")
 
 
+def _hash_of(key: str) -> str:
+    """A missing key hashes like an empty one, so that both ways place its rows alike."""
+    return f"md5(coalesce({key}, ''))"
+
+
+def _nulls_last(columns: list[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in columns]
+
+
 def sample_by_hash(
     df: DataFrame, key: str, n: int, tie_columns: list[str], workspace: Workspace
 ) -> DataFrame:
     """Exactly min(n, rows) rows: those of smallest hash of ``key``."""
-    hashed = df.selectExpr("*", f"md5({key}) as _hash")
+    hashed = df.selectExpr("*", f"{_hash_of(key)} as _hash")
     if n <= workspace.settings.small_table_rows:
-        return hashed.orderBy("_hash", *tie_columns).limit(n).drop("_hash")
+        return hashed.orderBy("_hash", *_nulls_last(tie_columns)).limit(n).drop("_hash")
     rows = hashed.withColumn(_ONE_GROUP, F.lit(0))
     quota = workspace.small(
         workspace.spark.range(1).selectExpr(f"0 as {_ONE_GROUP}", f"{n}L as _quota"),
@@ -231,7 +240,7 @@ def _first_by_hash(
         "hash-cut",
     )
     placed = cut.attach(rows, [group], "inner")
-    order = W.partitionBy(group).orderBy("_hash", *tie_columns)
+    order = W.partitionBy(group).orderBy("_hash", *_nulls_last(tie_columns))
     edge = (
         placed.filter("_bucket = _cut")
         .withColumn("_place", F.row_number().over(order))

@@ -7,21 +7,23 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratiscore.config import MODES, Settings, check_clustering_mode
 from stratiscore.operators import clustering, extract, monitoring, scoring
 from stratiscore.operators.features import feature_table
 from stratiscore.operators.strata import age_profile
 from stratiscore.sources import sinks
-from stratiscore.sources.model_store import ModelStore, RunHistory
+from stratiscore.sources.files import is_unreadable
+from stratiscore.sources.model_store import ModelNotFound, ModelStore, RunHistory
 from stratiscore.sources.snapshots import SnapshotStore, period_of
 from stratiscore.sources.staging import Workspace
 from stratiscore.sources.warehouse import Warehouse
 
 log = logging.getLogger(__name__)
 
-FORCED = "Force retrain demandé"
-NO_MODEL = "Aucun modèle existant"
+FORCED = "a new fit was asked for"
+NO_MODEL = "there is no model yet"
 
 
 @dataclass
@@ -176,9 +178,12 @@ class SegmentationPipeline:
                     model.meta.first()
                     self.metadata["model_action"] = "reused"
                     return model
-            except Exception as error:  # an unreadable model is replaced, and the run says why
+            except Exception as error:
+                # A failing store must not relabel every client.
+                if not (isinstance(error, ModelNotFound) or is_unreadable(error)):
+                    raise
                 log.error("model %s cannot be read: %s", version, error)
-                reason = f"Erreur chargement: {error}"
+                reason = f"model {version} cannot be read: {error}"
         self.metadata["model_action"] = "retrained"
         self.metadata["retrain_reason"] = reason
         return self.fit(features)
@@ -236,6 +241,7 @@ class SegmentationPipeline:
         except Exception as error:
             self._finish("failed")
             self.metadata["error"] = str(error)
+            self.release()
             self.history.append(
                 self.metadata["end_time"], "failed", 0, 0.0, str(self.metadata["duration"])
             )
@@ -258,10 +264,12 @@ class SegmentationPipeline:
         profile, financial = self.sources()
         data = self.extract_data(profile, financial, sample_size)
         features = self.features(data)
-        n_clients = features.count()
-        if not n_clients:
+        counted = features.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_distinct(extract.ID).alias("n_clients")
+        ).first()
+        if not counted["n_rows"]:
             raise ValueError("no client was extracted")
-        self.metrics["extraction"] = {"n_clients": n_clients, "n_variables": len(data.columns)}
+        self.metrics["extraction"] = {**counted.asDict(), "n_variables": len(data.columns)}
         self.metrics["optimization"] = {
             "n_features": len(self._encoded_columns(features)),
             "clustering_mode": self.clustering_mode,
@@ -308,7 +316,7 @@ class SegmentationPipeline:
 def scoring_report(scored: DataFrame, workspace: Workspace) -> dict:
     """All scoring metrics, from one pass over the scored clients.
 
-    ``cluster_metrics`` is None when there are too many clusters for the driver to hold.
+    ``cluster_metrics`` is a table of all clusters, however many there are.
     """
     small = workspace.small
     cells = small(scoring.scoring_cells(scored), "scoring-cells").df
@@ -321,7 +329,7 @@ def scoring_report(scored: DataFrame, workspace: Workspace) -> dict:
     return {
         "global_metrics": totals,
         "segment_distribution": {r["SEGMENTATION_FINALE"]: r["n_clients"] for r in shares.rows},
-        "cluster_metrics": per_cluster.rows,
+        "cluster_metrics": per_cluster.df,
         "top_clusters_by_potential": [
             r.asDict() for r in scoring.top_clusters(per_cluster.df).collect()
         ],

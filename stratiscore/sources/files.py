@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -16,6 +16,14 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def is_unreadable(error: Exception) -> bool:
+    """Whether an error says that data is missing or damaged, not that its store fails."""
+    if isinstance(error, AnalysisException):
+        return True
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    return (condition or "").startswith(("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER"))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -104,7 +104,7 @@ class ModelStore:
         """What is known of the newest model."""
         version = self.latest_version()
         if version is None:
-            return {"has_model": False, "message": "Aucun modèle existant trouvé"}
+            return {"has_model": False, "message": "there is no model yet"}
         try:
             model = self.load(version)
             row = model_status(model.meta, model.strata).first()
@@ -112,8 +112,8 @@ class ModelStore:
             return {
                 "has_model": True,
                 "model_path": self.root,
-                "error": f"Erreur chargement: {error}",
-                "message": "Modèle existant mais non lisible",
+                "error": str(error),
+                "message": "the newest model cannot be read",
             }
         return {"has_model": True, "model_path": self.root, **row.asDict()}
 

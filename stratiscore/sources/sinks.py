@@ -85,5 +85,9 @@ def write_json_record(spark: SparkSession, record: dict, path: str) -> str:
 def save_dev_results(scored: DataFrame, metrics: dict, metadata: dict, folder: str) -> None:
     spark = scored.sparkSession
     write_csv(scored, f"{folder}/scored_clients")
+    tables = metrics.get("scoring", {})
+    if isinstance(tables.get("cluster_metrics"), DataFrame):
+        write_csv(tables["cluster_metrics"], f"{folder}/cluster_metrics")
+        metrics = {**metrics, "scoring": {k: v for k, v in tables.items() if k != "cluster_metrics"}}
     write_json_record(spark, metrics, f"{folder}/execution_metrics")
     write_json_record(spark, metadata, f"{folder}/execution_metadata")

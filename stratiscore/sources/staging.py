@@ -52,6 +52,12 @@ class Workspace:
         self.root = f"{checkpoint_root(spark)}/stratiscore/{uuid4().hex}"
         self._numbers = count(1)
 
+    def __enter__(self) -> "Workspace":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
     def path(self, name: str) -> str:
         return f"{self.root}/{next(self._numbers):03d}-{name}"
 

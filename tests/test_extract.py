@@ -5,6 +5,7 @@ import pytest
 from stratiscore.config import ID, NOTE_COLUMNS, Settings
 from stratiscore.operators import extract
 from stratiscore.sources.warehouse import CONTRACTS, Warehouse
+from verification.fixture import Fixture
 
 TYPES = {
     "AGE": "int", "FRONTALIER": "int", "nb_majeur": "int", "nb_enfant": "int",
@@ -201,3 +202,12 @@ def test_scan_prunes_columns(spark, source, tmp_path):
     schema = plan[plan.rindex("ReadSchema") :].split("\n")[0]
     assert "AGE" in schema and "CDSIFA" not in schema
     assert "GreaterThanOrEqual(AGE,18)" in plan
+
+
+def test_finances_take_few_shuffles_and_one_scan_of_each_table(spark, tmp_path, plan_of):
+    fixture = Fixture(spark, "/root/testdata/sf0.001")
+    for name in ("connaissance_client", "baq", "epargne", "epargne_assurance"):
+        fixture.view(name).write.parquet(f"{tmp_path}/{name}")
+    plan = plan_of(extract.financial_extract(Warehouse.from_parquet(spark, str(tmp_path))))
+    assert plan.count("Exchange hashpartitioning") <= 3
+    assert plan.count("FileScan parquet") == 4 and "Join" not in plan

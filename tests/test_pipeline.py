@@ -14,6 +14,7 @@ from stratiscore.plans.pipeline import (
     extract_features,
     run_pipeline,
 )
+from stratiscore.sources.model_store import ModelNotFound
 from stratiscore.sources.staging import Workspace
 from stratiscore.sources.warehouse import Warehouse
 from verification.fixture import Fixture
@@ -84,7 +85,7 @@ def test_sample_only_in_test_mode(fixture, tmp_path):
     small = run_pipeline(
         fixture.spark, fixture.warehouse, f"{tmp_path}/a", mode="test", sample_size=40, **options
     )
-    assert small.metrics["extraction"]["n_clients"] == 40
+    assert small.metrics["extraction"]["n_rows"] == 40
     dev = run_pipeline(
         fixture.spark, fixture.warehouse, f"{tmp_path}/b", mode="dev", sample_size=40, **options
     )
@@ -130,9 +131,18 @@ def test_no_cluster_means_no_score(fixture, tmp_path):
 def test_unreadable_model_is_replaced(fixture, tmp_path):
     pipeline(fixture, tmp_path).run()
     run = pipeline(fixture, tmp_path)
-    run.models.load = lambda version: (_ for _ in ()).throw(OSError("broken"))
+    run.models.load = lambda version: (_ for _ in ()).throw(ModelNotFound("damaged"))
     result = run.run()
-    assert result.metadata["retrain_reason"] == "Erreur chargement: broken"
+    assert result.metadata["retrain_reason"].endswith("cannot be read: damaged")
+
+
+def test_a_failing_store_does_not_refit(fixture, tmp_path):
+    pipeline(fixture, tmp_path).run()
+    run = pipeline(fixture, tmp_path)
+    run.models.load = lambda version: (_ for _ in ()).throw(OSError("no connection"))
+    with pytest.raises(OSError, match="no connection"):
+        run.run()
+    assert not os.path.exists(run.workspace.root.removeprefix("file:"))
 
 
 def test_shortcuts(fixture):

@@ -249,11 +249,20 @@ def test_scores_with_their_report(spark, workspace):
     data, report = score_and_report(clustered, financial, Settings(), workspace)
     assert data.count() == report["global_metrics"]["total_clients"]
     assert sum(report["segment_distribution"].values()) == data.count()
-    assert len(report["cluster_metrics"]) == report["global_metrics"]["clusters_count"]
+    assert report["cluster_metrics"].count() == report["global_metrics"]["clusters_count"]
     best = [r["avg_potential"] for r in report["top_clusters_by_potential"]]
     assert best == sorted(best, reverse=True)
 
 
+def test_report_names_all_clusters_beyond_the_bound(spark):
+    clustered, financial = inputs(240)
+    clustered[CLUSTER_GLOBAL] = [f"23-27_C{i % 24}" for i in range(len(clustered))]
+    settings = Settings(small_table_rows=10)
+    frames = map(spark.createDataFrame, (clustered, financial))
+    _, report = score_and_report(*frames, settings, Workspace(spark, settings))
+    assert report["cluster_metrics"].count() == 24
+
+
 def test_metrics_of_nothing(scored):
     nothing = scored.filter("false")
     assert scoring.scoring_metrics(scoring.scoring_cells(nothing)).first()["total_clients"] == 0

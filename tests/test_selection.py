@@ -114,3 +114,14 @@ def test_large_tables_are_not_broadcast(spark):
     assert table.largest("v") == 38
     joined = table.attach(spark.range(30).selectExpr("id as g"), ["g"])
     assert joined.filter("v is not null").count() == 20
+
+
+@pytest.mark.parametrize("n", [5, 50, 190, 500])
+def test_samples_with_missing_keys_are_the_same_both_ways(spark, n):
+    df = spark.range(200).selectExpr("if(id % 20 = 0, null, cast(id as string)) as id", "id as v")
+    found = []
+    for limit in (1_000, 2):
+        settings = Settings(small_table_rows=limit)
+        sample = sample_by_hash(df, "concat(id, '42')", n, ["id", "v"], Workspace(spark, settings))
+        found.append(sorted(map(str, sample.collect())))
+    assert found[0] == found[1] and len(found[0]) == min(n, 200)

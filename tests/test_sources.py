@@ -111,7 +111,7 @@ def fitted(table, version, when, ages=(30, 30)):
 def test_models_come_back_as_saved(spark, table, tmp_path):
     store = ModelStore(spark, str(tmp_path))
     assert store.latest_version() is None and store.history() is None
-    assert store.status() == {"has_model": False, "message": "Aucun modèle existant trouvé"}
+    assert store.status() == {"has_model": False, "message": "there is no model yet"}
     with pytest.raises(ModelNotFound):
         store.load()
     df, first = fitted(table, "v1", datetime(2025, 1, 1))
@@ -144,7 +144,7 @@ def test_unreadable_model_is_reported(spark, table, tmp_path):
     _, model = fitted(table, "v1", datetime(2025, 1, 1))
     model.meta.write.parquet(f"{tmp_path}/model_meta")  # strata never written
     status = store.status()
-    assert status["has_model"] and status["message"] == "Modèle existant mais non lisible"
+    assert status["has_model"] and status["message"] == "the newest model cannot be read"
 
 
 def test_histories_keep_the_last_entries(spark, tmp_path):

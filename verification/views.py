@@ -40,27 +40,29 @@ from customer c join nation n on c.c_nationkey = n.n_nationkey
 """
 
 ACCOUNTS = """
-select concat('CLI_', lpad(cast(o.o_custkey as varchar(8)), 8, '0'),
+select concat(case when o.o_custkey % 20 = 3 then 'EXT_' else 'CLI_' end,
+  lpad(cast(o.o_custkey as varchar(8)), 8, '0'),
   case when o.o_custkey % 10 = 0 then '  ' else '' end) as ID_DWR_CLI_CIAL,
  cast((o.o_orderkey * 41) % 4001 as double) / 4 as SLD_MOY_12_MOIS,
  1 + o.o_orderkey % 7 as NB_OPERN_DBTR_MOIS,
  cast((o.o_orderkey * 43) % 9001 as double) / 4 as FLUX_MENS, o.o_orderkey % 365 as RECENCY
-from orders o where o.o_custkey % 20 <> 3
+from orders o
 """
 
 INSURANCE_SAVINGS = """
-select concat('CLI_', lpad(cast(o.o_custkey as varchar(8)), 8, '0')) as ID_DWR_CLI_CIAL,
+select concat(case when l.l_linestatus = 'F' and o.o_custkey % 3 = 0 then 'CLI_' else 'EXT_' end,
+  lpad(cast(o.o_custkey as varchar(8)), 8, '0')) as ID_DWR_CLI_CIAL,
  cast((l.l_partkey * 47) % 2001 as double) / 4 as MT_ENCRS
 from lineitem l join orders o on l.l_orderkey = o.o_orderkey
-where l.l_linestatus = 'F' and o.o_custkey % 3 = 0
 """
 
 SAVINGS = """
-select concat('CLI_', lpad(cast(o.o_custkey as varchar(8)), 8, '0')) as ID_DWR_CLI_CIAL,
+select concat(case when o.o_custkey % 4 = 1 then 'EXT_' else 'CLI_' end,
+  lpad(cast(o.o_custkey as varchar(8)), 8, '0')) as ID_DWR_CLI_CIAL,
  case l.l_returnflag when 'R' then 'FEPAVE02' when 'A' then 'FEPAVE01' else null end
   as fichier_source,
  cast((l.l_partkey * 53) % 4001 as double) / 4 as MONTANT
-from lineitem l join orders o on l.l_orderkey = o.o_orderkey where o.o_custkey % 4 <> 1
+from lineitem l join orders o on l.l_orderkey = o.o_orderkey
 """
 
 POPULATION = """
