@@ -20,13 +20,15 @@ from verification.queries import registered
 
 
 def session(cores: str = "8") -> SparkSession:
+    shared = tempfile.mkdtemp(prefix="compare-")
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
+        .config("spark.sql.warehouse.dir", f"{shared}/warehouse")
+        .config("spark.checkpoint.dir", f"{shared}/checkpoints")
         .getOrCreate()
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from stratiscore.sources.warehouse import CLIENTS, CONTRACTS
 from verification.queries import SAMPLE_SIZE, SEED
 from verification.views import VIEWS
 
@@ -25,6 +26,7 @@ FEATURES = (
     "Logement_Proprietaire",
     "Logement_NonProprietaire",
 )
+AGE_GROUPS = ("Age_Jeunes", "Age_Actifs", "Age_Seniors", "Age_Retraites")
 ORG = ("num_dsc", "nom_dsc", "num_pole", "nom_pole", "num_agence", "nom_agence")
 LABEL_ORDER = ("A construire", "A stimuler", "A developper", "A entretenir")
 
@@ -394,7 +396,7 @@ from features""",
     "stratum_points": f"""select strate, {', '.join(FEATURES)}, count(*) as n from stratified
 where strate is not null group by strate, {', '.join(FEATURES)}""",
     "kmeans_fit": """select strate, n_clients, true as k_in_range, true as sizes_ok,
- true as centers_are_means from viable""",
+ true as centers_are_means, true as as_good from viable""",
     "global_mode": """select case when v.strate is null then 'NON_CLUSTERED' else s.strate end
  as CLUSTER_STRATE, count(*) as n_clients,
  cast(sum(Age_Jeunes) as bigint) as jeunes, cast(sum(Age_Actifs) as bigint) as actifs,
@@ -500,6 +502,42 @@ union all select 'financial_data', '202501', 'CACHE_NOT_FOUND', 0""",
 from months group by MOIS_ANNEE, ANNEE, MOIS, SEGMENTATION_FINALE""",
     "month_state": """select MOIS_ANNEE, count(*) as total from months group by MOIS_ANNEE
 order by MOIS_ANNEE desc limit 5""",
+    "snapshot_clear": """select 'core_data' as dataset, '202502' as period, count(*) as n_rows
+from core""",
+    "read_through": """select step, cast(builds as bigint) as builds, n_rows
+from (values ('first', 1), ('again', 1), ('refreshed', 2), ('unused', 3)) t(step, builds),
+ (select count(*) as n_rows from core)""",
+    "period_keys": """select strftime(d, '%Y%m') as period, max(month(d)) as month,
+ count(*) as n_days from (select distinct o_orderdate as d from orders) group by 1""",
+    "dev_output": f"""select SEGMENTATION_FINALE, count(*) as n_clients,
+ {r6('sum(TOTAL_POTENTIAL)', 'total_potential')}, (select count(*) from final) as told
+from final group by SEGMENTATION_FINALE""",
+    "run_history": f"""select run_date, status, clients_scored, {rounded(('potentiel_total',))} from (
+ select strftime(cast(training_date as timestamp), '%Y-%m-%d %H:%M:%S') as run_date,
+  case when total_clusters % 3 = 0 then 'failed' else 'success' end as status,
+  cast(n_samples as bigint) as clients_scored, cast(total_clusters as double) as potentiel_total,
+  training_date from model_history
+ union all select '2030-01-01 00:00:00', 'success', 7, 0.5, date '2030-01-01')
+order by training_date desc limit 100""",
+    "renamed_columns": f"""select SEGMENTATION_FINALE, count(*) as n_clients,
+ {r6('sum(TOTAL_POTENTIAL)', 'total_potential')} from final group by SEGMENTATION_FINALE""",
+    "required_columns": f"""select name, true as required, cast(0 as bigint) as n_rows
+from (select unnest([{', '.join(f"'{c}'" for c in CONTRACTS[CLIENTS])}]) as name), core
+group by name""",
+    "feature_columns": " union all ".join(
+        f"""select '{mode}' as mode, cast({i} as bigint) as place, '{c}' as feature,
+ cast(sum({c}) as bigint) as total from features"""
+        for mode, names in (("stratifie", FEATURES), ("global", (*FEATURES[:2], *AGE_GROUPS, *FEATURES[2:])))
+        for i, c in enumerate(names)
+    ),
+    "shortcuts": f"""select 'extract_data' as name, count(*) as n_rows,
+ count(distinct ID_DWR_CLI_CIAL) as n_clients from everything
+union all select 'extract_data_sample', least(count(*), 300), (select count(distinct i) from (
+ select ID_DWR_CLI_CIAL as i from everything order by md5(concat(ID_DWR_CLI_CIAL, '{SEED}')),
+ ID_DWR_CLI_CIAL limit 300)) from everything
+union all select 'extract_features', count(*), count(distinct ID_DWR_CLI_CIAL) from everything
+union all select 'extract_and_cluster', count(*), count(distinct ID_DWR_CLI_CIAL)
+from everything""",
     "latest_model": """select model_version from model_history
 order by training_date desc, model_version desc limit 1""",
     "history_retention": f"""select model_version,
@@ -597,6 +635,24 @@ select r.strate as CLUSTER_STRATE, count(*) as n_rows,
 from run_rows r join large l on r.strate = l.strate
  join prep_any p on r.ID_DWR_CLI_CIAL = p.ID_DWR_CLI_CIAL group by r.strate"""
 
+_RUN_ROWS = f"""
+with run_rows as (
+ select e.ID_DWR_CLI_CIAL, {STRATUM} as strate from everything e),
+large as (select strate from run_rows where strate is not null group by strate
+ having count(*) >= (select min_strata from limits)),
+scored_rows as (select count(*) as n from run_rows r join large l on r.strate = l.strate
+ join prep_any p on r.ID_DWR_CLI_CIAL = p.ID_DWR_CLI_CIAL)
+"""
+QUERIES["prod_run"] = f"""{_RUN_ROWS}
+select run, table_existed, n as rows_inserted, months, 2 * n as total
+from (values ('20250103', false, 1), ('20250130', true, 1), ('20250202', true, 2))
+ t(run, table_existed, months), scored_rows"""
+QUERIES["reuse_run"] = f"""{_RUN_ROWS}
+select run, action, reason, n as n_rows, volume_ratio, drifting, models
+from (values (0, 'retrained', 'there is no model yet', null, null, 1),
+ (1, 'reused', '', 1.0, 0, 1), (2, 'retrained', 'a new fit was asked for', null, null, 2))
+ t(run, action, reason, volume_ratio, drifting, models), scored_rows"""
+
 
 def _needed(text: str) -> list[str]:
     """Names of the steps a statement uses, directly or through others, in order."""
@@ -612,6 +668,8 @@ def _needed(text: str) -> list[str]:
 
 
 def statement(text: str) -> str:
+    if not _needed(text):
+        return text.strip()
     steps = ",\n".join(f"{name} as ({STEPS[name].strip()})" for name in _needed(text))
     text = text.strip()
     if text.startswith("with "):

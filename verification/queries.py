@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +30,17 @@ from stratiscore.operators import (
     strata,
 )
 from stratiscore.operators.strata import STRATE
-from stratiscore.plans.pipeline import SegmentationPipeline, fit_transform
+from stratiscore.plans.pipeline import (
+    SegmentationPipeline,
+    extract_and_cluster,
+    extract_data,
+    extract_features,
+    fit_transform,
+    scoring_report,
+)
 from stratiscore.sources import model_store, sinks
-from stratiscore.sources.snapshots import SnapshotStore
+from stratiscore.sources.snapshots import SnapshotStore, period_of
+from stratiscore.sources.warehouse import Warehouse
 from verification.fixture import GIVEN_LOCAL, Fixture, rounded
 
 SAMPLE_SIZE = 300
@@ -276,7 +285,9 @@ def _fitted(fx: Fixture, mode: str, frame: DataFrame) -> clustering.ClusterModel
 
 @query
 def kmeans_fit(fx: Fixture) -> DataFrame:
-    """Properties every fit must have: sizes, limits, and centers that are their clusters' means."""
+    """Properties every fit must have: sizes, limits, centers that are their clusters' means, and a
+    silhouette no worse than that of the given labels, where those are allowed.
+    """
     frame = fx.workspace.stage(fx.features(), "features")
     model = _fitted(fx, "stratifie", frame)
     names = fx.feature_names()
@@ -292,7 +303,21 @@ def kmeans_fit(fx: Fixture) -> DataFrame:
         STRATE, f"posexplode(centroids) as ({CLUSTER_LOCAL}, centroid)"
     ).selectExpr(STRATE, CLUSTER_LOCAL, "posexplode(centroid) as (position, c)")
     clusters = "count_if(position = 0)"
-    return _agg(
+    given = fx.workspace.small(
+        fx.labelled_points()
+        .groupBy(STRATE, "cluster")
+        .agg(F.sum("n").alias("size"))
+        .groupBy(STRATE)
+        .agg(F.min("size").alias("given_min"), F.count("*").alias("given_k"))
+        .join(fx.given_quality().select(STRATE, F.col("silhouette").alias("given")), STRATE),
+        "given",
+    )
+    fitted = model.strata.select(STRATE, F.col("silhouette").alias("fitted"))
+    valid = f"given_k between {fx.settings.k_min} and {fx.settings.k_max} and given_min >= {fx.settings.min_cluster_size}"
+    quality = given.attach(fitted, [STRATE]).selectExpr(
+        STRATE, f"coalesce(not ({valid}) or fitted >= given - 1e-6, true) as as_good"
+    )
+    checked = _agg(
         means.join(centers, [STRATE, CLUSTER_LOCAL, "position"], "full"),
         [STRATE],
         "sum(if(position = 0, size, 0)) as n_clients",
@@ -301,6 +326,7 @@ def kmeans_fit(fx: Fixture) -> DataFrame:
         "coalesce(max(abs(mean - c)) < 1e-6, false) and count(mean) = count(*) "
         "and count(c) = count(*) as centers_are_means",
     )
+    return checked.join(quality, STRATE)
 
 
 @query
@@ -637,22 +663,24 @@ def snapshot_status(fx: Fixture) -> DataFrame:
 
 
 def _stored_months(fx: Fixture) -> DataFrame:
-    path = fx.workspace.path("months")
+    """Months written through the table sink, read back into a staged copy."""
+    table = f"months_{uuid4().hex}"
     scored = fx.scored()
-    sinks.persist_month_files(scored, path, datetime(2025, 1, 31))
-    sinks.persist_month_files(scored, path, datetime(2025, 2, 28))
     again = scored.filter("SEGMENT_FINAL >= 4")
-    sinks.persist_month_files(again, path, datetime(2025, 2, 28))
-    return fx.spark.read.parquet(path)
+    try:
+        sinks.persist_month(scored, table, datetime(2025, 1, 31))
+        sinks.persist_month(scored, table, datetime(2025, 2, 28))
+        sinks.persist_month(again, table, datetime(2025, 2, 28))
+        return fx.workspace.stage(fx.spark.table(table), "months")
+    finally:
+        fx.spark.sql(f"drop table if exists {table}")
 
 
 @query
 def persist_month(fx: Fixture) -> DataFrame:
     """One month kept, the other rewritten with fewer rows."""
-    stored = _stored_months(fx)
-    stored = stored.withColumn("MOIS_ANNEE", F.col("MOIS_ANNEE").cast("string"))
     return _agg(
-        stored,
+        _stored_months(fx),
         ["MOIS_ANNEE", "ANNEE", "MOIS", "SEGMENTATION_FINALE"],
         "count(*) as n_clients",
         f"{rounded('sum(TOTAL_POTENTIAL)')} as total_potential",
@@ -664,6 +692,147 @@ def month_state(fx: Fixture) -> DataFrame:
     return sinks.month_state(_stored_months(fx))
 
 
+@query
+def snapshot_clear(fx: Fixture) -> DataFrame:
+    """What is left after one period and one data set are dropped."""
+    store = SnapshotStore(fx.spark, fx.workspace.path("snapshots"))
+    for period in ("202501", "202502"):
+        store.save("core_data", fx.core(), period)
+    store.save("organizational_data", extract.org_extract(fx.warehouse.clients), "202502")
+    store.invalidate("core_data", "202501")
+    store.clear("organizational_data")
+    return store.register().selectExpr("dataset", "period", *_ints("n_rows"))
+
+
+@query
+def read_through(fx: Fixture) -> DataFrame:
+    """Rows got and the number of builds: first, from the snapshot, refreshed, without snapshot."""
+    store = SnapshotStore(fx.spark, fx.workspace.path("snapshots"))
+    built = []
+
+    def build() -> DataFrame:
+        built.append(1)
+        return fx.core()
+
+    rows = []
+    for name, options in (
+        ("first", {}),
+        ("again", {}),
+        ("refreshed", {"force_refresh": True}),
+        ("unused", {"use_snapshot": False}),
+    ):
+        n = store.read_through("core_data", build, "202501", **options).count()
+        rows.append((name, len(built), n))
+    return fx.spark.createDataFrame(rows, "step string, builds bigint, n_rows bigint")
+
+
+@query
+def period_keys(fx: Fixture) -> DataFrame:
+    """Months of the order dates."""
+    days = fx.spark.read.parquet(f"{fx.sf_dir}/orders.parquet").select("o_orderdate").distinct()
+    rows = [(period_of(datetime(d.year, d.month, d.day)), d.month) for (d,) in days.collect()]
+    keys = fx.spark.createDataFrame(rows, "period string, month int")
+    return _agg(keys, ["period"], "cast(max(month) as bigint) as month", "count(*) as n_days")
+
+
+@query
+def dev_output(fx: Fixture) -> DataFrame:
+    """Scored clients and metrics as the dev sink writes them, read back."""
+    folder = fx.workspace.path("dev")
+    scored = fx.scored()
+    report = scoring_report(scored, fx.workspace)
+    sinks.save_dev_results(scored, {"scoring": report}, {"mode": "dev"}, folder)
+    csv = fx.spark.read.option("header", True).csv(f"{folder}/scored_clients")
+    metrics = fx.spark.read.text(f"{folder}/execution_metrics").selectExpr(
+        "cast(get_json_object(value, '$.scoring.global_metrics.total_clients') as bigint) as told"
+    )
+    found = _agg(
+        csv,
+        ["SEGMENTATION_FINALE"],
+        "count(*) as n_clients",
+        f"{rounded('sum(cast(TOTAL_POTENTIAL as double))')} as total_potential",
+    )
+    return found.crossJoin(F.broadcast(metrics))  # one row
+
+
+@query
+def run_history(fx: Fixture) -> DataFrame:
+    """A run for each order date; the newest hundred are kept."""
+    history = model_store.RunHistory(fx.spark, fx.workspace.path("runs"))
+    runs = fx.view("model_history").selectExpr(
+        "cast(training_date as timestamp) as date",
+        "if(total_clusters % 3 = 0, 'failed', 'success') as status",
+        "n_samples as clients_scored",
+        "cast(total_clusters as double) as potentiel_total",
+        "'1' as duration",
+    )
+    runs.write.parquet(history.path)
+    history.append(datetime(2030, 1, 1), "success", 7, 0.5, "2")
+    return history.read().selectExpr(
+        "cast(date as string) as run_date", "status", *_ints("clients_scored"), *_doubles("potentiel_total")
+    )
+
+
+@query
+def renamed_columns(fx: Fixture) -> DataFrame:
+    """Scores from finances in lower case; notes by universe are matched as written."""
+    financial = fx.financial()
+    exact = {ID, *UNIVERSE_NOTES}
+    lower = financial.toDF(*[c if c in exact else c.lower() for c in financial.columns])
+    scored = scoring.score_clients(fx.labelled(), lower, fx.settings, fx.workspace)
+    return _agg(
+        scored,
+        ["SEGMENTATION_FINALE"],
+        "count(*) as n_clients",
+        f"{rounded('sum(TOTAL_POTENTIAL)')} as total_potential",
+    )
+
+
+@query
+def required_columns(fx: Fixture) -> DataFrame:
+    """For each column of the clients: is it asked for where only the others are there?"""
+    clients = fx.view("connaissance_client")
+    rows = []
+    for name in clients.columns:
+        try:
+            frames = {"connaissance_client": clients.drop(name)}
+            n = Warehouse.from_frames(frames).clients.count()
+            rows.append((name, False, n))
+        except ValueError:
+            rows.append((name, True, 0))
+    return fx.spark.createDataFrame(rows, "name string, required boolean, n_rows bigint")
+
+
+@query
+def feature_columns(fx: Fixture) -> DataFrame:
+    """Features of both modes, in order, with their sums."""
+    found = None
+    for mode in ("stratifie", "global"):
+        table = features.feature_table(fx.core(), mode)
+        for i, name in enumerate(clustering.feature_columns(table)):
+            part = table.selectExpr(
+                f"'{mode}' as mode", f"{i}L as place", f"'{name}' as feature", f"cast({name} as bigint) as v"
+            )
+            found = part if found is None else found.union(part)
+    return _agg(found, ["mode", "place", "feature"], "sum(v) as total")
+
+
+@query
+def shortcuts(fx: Fixture) -> DataFrame:
+    """Rows of the shortcuts: extraction, encoding, a sample, clustering."""
+    args = (fx.warehouse, fx.settings, fx.workspace)
+    frames = {
+        "extract_data": extract_data(*args),
+        "extract_data_sample": extract_data(*args, sample_size=SAMPLE_SIZE),
+        "extract_features": extract_features(*args),
+        "extract_and_cluster": extract_and_cluster(*args),
+    }
+    rows = [
+        (name, df.count(), df.select(ID).distinct().count()) for name, df in frames.items()
+    ]
+    return fx.spark.createDataFrame(rows, "name string, n_rows bigint, n_clients bigint")
+
+
 @query
 def latest_model(fx: Fixture) -> DataFrame:
     return model_store.latest_model(fx.view("model_history"))
@@ -860,6 +1029,56 @@ def pipeline_run(fx: Fixture) -> DataFrame:
     )
 
 
+@query
+def prod_run(fx: Fixture) -> DataFrame:
+    """Production: two runs in one month, one in the next, then the months in the table."""
+    table, store = f"results_{uuid4().hex}", fx.workspace.path("store")
+    days = (datetime(2025, 1, 3), datetime(2025, 1, 30), datetime(2025, 2, 2))
+    rows = []
+    try:
+        for day in days:
+            run = SegmentationPipeline(
+                fx.spark, fx.warehouse, store, mode="prod", settings=fx.settings,
+                result_table=table, started_at=day,
+            )
+            stored = run.run().metrics["persistence"]
+            rows.append((f"{day:%Y%m%d}", stored["table_existed"], stored["rows_inserted"], len(stored["months"])))
+            run.release()
+        total = fx.spark.table(table).count()
+    finally:
+        fx.spark.sql(f"drop table if exists {table}")
+    schema = "run string, table_existed boolean, rows_inserted bigint, months int"
+    return fx.spark.createDataFrame(rows, schema).withColumn("total", F.lit(total))
+
+
+@query
+def reuse_run(fx: Fixture) -> DataFrame:
+    """A first run fits, a second reuses the model and reports on it, a forced one fits again."""
+    store, rows = fx.workspace.path("store"), []
+    start = datetime(2025, 3, 1)
+    for i, forced in enumerate((False, False, True)):
+        run = SegmentationPipeline(
+            fx.spark, fx.warehouse, store, mode="test", settings=fx.settings,
+            force_retrain=forced, started_at=start + timedelta(days=i),
+        )
+        result = run.run()
+        report = result.metrics.get("model_report")
+        rows.append(
+            (
+                i,
+                result.metadata["model_action"],
+                result.metadata.get("retrain_reason", ""),
+                result.metrics["scoring"]["global_metrics"]["total_clients"],
+                None if report is None else float(report["volume_ratio"]),
+                None if report is None else len(report["stratum_drift"]),
+                run.models.history().count(),
+            )
+        )
+        run.release()
+    schema = "run int, action string, reason string, n_rows bigint, volume_ratio double, drifting int, models bigint"
+    return fx.spark.createDataFrame(rows, schema)
+
+
 @query
 def pipeline_labels(fx: Fixture) -> DataFrame:
     """Label distribution of the whole chain; it rests on the fit, which SQL cannot repeat."""
