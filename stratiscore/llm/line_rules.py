@@ -98,11 +98,11 @@ def apply_rules(
     # Distinct rows of a repeated id count once: first one row per line and document.
     held = lines.select("host", "h", F.coalesce("doc_id", -F.col("row") - 1).alias("d")).distinct()
     found = held.groupBy("host", "h").agg(F.count(F.lit(1)).alias("documents"))
-    sizes = workspace.small(
-        table.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents")), "host-sizes"
-    )
+    # Spark weighs the staged sizes and frequent lines and broadcasts them only while they are small.
+    sizes = table.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
+    sizes = workspace.stage(sizes, "host-sizes")
     limit = F.greatest(F.lit(float(least_documents)), F.col("host_documents") * host_share)
-    frequent = sizes.attach(found.filter(F.col("documents") > least_documents), ["host"], "inner")
+    frequent = found.filter(F.col("documents") > least_documents).join(sizes, "host")
     frequent = workspace.stage(frequent.filter(F.col("documents") > limit).select("host", "h"), "frequent-lines")
     lost = lines.join(frequent, ["host", "h"]).groupBy("row").agg(F.sum("n").alias("n_line_words"))
     joined = table.drop("lines", "host").join(lost, "row", "left").drop("row")
