@@ -33,6 +33,7 @@ SEGMENT_CHARS = 120
 BLOCK_CHARS = 4_000_000
 _BASE = 0x9E3779B97F4A7C15
 _FILTER_BITS = 22
+_PIECE = 1 << 16  # characters of a text whose q-grams are looked up at once
 
 
 def normalized(text: str | None) -> str:
@@ -157,6 +158,14 @@ def regions(codes: np.ndarray, index: Index) -> list[tuple[int, int, int]]:
     return found
 
 
+def _all_regions(codes: np.ndarray, index: Index) -> Iterator[tuple[int, int, int]]:
+    """Regions of a text of any length, by pieces that overlap by the longest possible match."""
+    reach = max(map(len, index.texts)) + int(index.budgets.max())
+    for at in range(0, max(1, len(codes) - reach), _PIECE):
+        for segment, first, last in regions(codes[at : at + _PIECE + reach], index):
+            yield segment, first + at, last + at
+
+
 def align(segment: np.ndarray, text: np.ndarray, first: int, last: int, limit: int) -> tuple | None:
     """Fewest edits that turn the segment into part of the text within the diagonals.
 
@@ -190,7 +199,7 @@ def matches(text: str, index: Index) -> list[tuple]:
         return []
     codes = _codes(text)
     best: dict[int, tuple[int, int]] = {}
-    for segment, first, last in regions(codes, index):
+    for segment, first, last in _all_regions(codes, index):
         part = index.texts[segment]
         limit = int(index.budgets[segment])
         if segment in best and best[segment][0] == 0:

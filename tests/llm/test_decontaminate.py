@@ -27,7 +27,9 @@ def edited(rng, text, n):
     return "".join(out)
 
 
-def test_finds_exactly_the_segments_within_their_budget():
+@pytest.mark.parametrize("piece", [1 << 16, 40])
+def test_finds_exactly_the_segments_within_their_budget(monkeypatch, piece):
+    monkeypatch.setattr(d, "_PIECE", piece)  # texts beyond a piece
     rng = random.Random(2)
     items = [(i, "".join(rng.choice(ALPHABET) for _ in range(rng.randrange(20, 260)))) for i in range(12)]
     index = d.build_index(items, 6, 0.1, 60)
