@@ -86,6 +86,102 @@ from (
 group by {key}"""
 
 
+Z = [f"z{i}" for i in range(len(FEATURES))]
+_Z = ", ".join(Z)
+
+
+def z_of(alias: str) -> str:
+    return ", ".join(f"{alias}.{z}" for z in Z)
+
+
+# The fit, step by step: points, starts, further centers of each start, Lloyd steps of all runs
+# (strate, k, start), the best run, labels of the points, silhouettes, and the number of clusters.
+N_STARTS, MAX_K, MAX_STEPS = 10, 6, 300
+FIT_STEPS: dict[str, str] = {
+    "folded": f"""
+select *, row_number() over (partition by strate order by {_Z}) as pid,
+ row_number() over (partition by strate order by n desc, {_Z}) as start,
+ count(*) over (partition by strate) as n_points
+from (select strate, {_Z}, count(*) as n from scaled group by strate, {_Z})""",
+    "trials": f"""
+select strate, unnest(range(2, 1 + greatest(2, least({MAX_K},
+ n_clients // (select min_cluster from limits))))) as k from viable""",
+    "seeding": f"""
+select a.strate, b.start, 0 as c, b.pid as picked, a.pid, a.n_points, {SQUARES} as least_d
+from folded a join folded b on a.strate = b.strate where b.start <= {N_STARTS}
+union all
+select a.strate, f.start, f.c + 1, f.far, a.pid, a.n_points, least(s.least_d, {SQUARES})
+from (select s.strate, s.start, any_value(s.c) as c,
+  min({{'worth': -s.least_d * a.n, 'pid': s.pid}}).pid as far
+  from seeding s join folded a on s.strate = a.strate and s.pid = a.pid
+  where s.c + 1 < least({MAX_K}, s.n_points) group by s.strate, s.start) f
+ join seeding s on s.strate = f.strate and s.start = f.start
+ join folded a on a.strate = s.strate and a.pid = s.pid
+ join folded b on b.strate = f.strate and b.pid = f.far""",
+    "lloyd": f"""
+select t.strate, t.k, s.start, 0 as step, s.c, {z_of('a')}
+from trials t join (select distinct strate, start, c, picked from seeding) s
+ on t.strate = s.strate and s.c < t.k
+ join folded a on a.strate = s.strate and a.pid = s.picked
+union all
+(with nearest as (
+ select a.strate, b.k, b.start, a.pid, any_value(a.n) as n, {each('any_value(a.@) as @', Z)},
+  min({{'d': round_even(({SQUARES}) * 1e9, 0), 'c': b.c}}) as own
+ from folded a join lloyd b on a.strate = b.strate group by a.strate, b.k, b.start, a.pid),
+means as (
+ select strate, k, start, own.c as c, {each('fsum(n * @) / sum(n) as @', Z)}
+ from nearest group by strate, k, start, own.c),
+farthest as (
+ select strate, k, start, min({{'d': -own.d, 'pid': pid}}).pid as pid
+ from nearest group by strate, k, start),
+moved as (
+ select b.strate, b.k, b.start, b.step + 1 as step, b.c,
+  {each('round(coalesce(m.@, f.@), 10) + 0.0 as @', Z)},
+  {each('b.@ <> round(coalesce(m.@, f.@), 10) + 0.0', Z, ' or ')} as changed
+ from lloyd b left join means m
+  on m.strate = b.strate and m.k = b.k and m.start = b.start and m.c = b.c
+ join farthest w on w.strate = b.strate and w.k = b.k and w.start = b.start
+ join folded f on f.strate = w.strate and f.pid = w.pid)
+select strate, k, start, step, c, {_Z} from (
+ select *, bool_or(changed) over (partition by strate, k, start) as going from moved)
+where going and step <= {MAX_STEPS})""",
+    "settled": """
+select * from (select *, max(step) over (partition by strate, k, start) as last from lloyd)
+where step = last""",
+    "run_points": f"""
+select a.strate, b.k, b.start, a.pid, any_value(a.n) as n,
+ min({{'d': round_even(({SQUARES}) * 1e9, 0), 'c': b.c}}) as own
+from folded a join settled b on a.strate = b.strate group by a.strate, b.k, b.start, a.pid""",
+    "best_runs": """
+select strate, k, min({'cost': round(cost / greatest(top, 1e-300), 9), 'start': start}).start as start
+from (select *, max(cost) over (partition by strate, k) as top from (
+ select strate, k, start, sum(own.d * n) / 1e9 as cost from run_points group by strate, k, start))
+group by strate, k""",
+    "fit_centers": f"""
+select s.strate, s.k, {z_of('s')}, row_number() over (partition by s.strate, s.k
+ order by u.size desc, {each('round(s.@, 9)', Z)}) - 1 as c
+from settled s join best_runs r on s.strate = r.strate and s.k = r.k and s.start = r.start
+ join (select strate, k, start, own.c as c, sum(n) as size from run_points group by all) u
+ on s.strate = u.strate and s.k = u.k and s.start = u.start and s.c = u.c""",
+    "fit_points": f"""
+select concat(strate, '|', cast(k as varchar)) as fit, * exclude (own), own.c as part from (
+ select a.strate, b.k, a.pid, any_value(a.n) as n, {each('any_value(a.@) as @', Z)},
+  min({{'d': round_even(({SQUARES}) * 1e9, 0), 'c': b.c}}) as own
+ from folded a join fit_centers b on a.strate = b.strate group by a.strate, b.k, a.pid)""",
+    "fit_silhouettes": silhouettes("fit_points", "fit"),
+    "fit_sizes": """
+select fit, strate, k, part, sum(n) as size from fit_points group by fit, strate, k, part""",
+    "fit_chosen": """
+select strate, k, silhouette, sizes from (
+ select m.*, s.silhouette, row_number() over (partition by m.strate order by s.silhouette desc, m.k) as rn
+ from (select fit, any_value(strate) as strate, any_value(k) as k, min(size) as least_size,
+   string_agg(cast(size as varchar), ',' order by part) as sizes from fit_sizes group by fit) m
+ join fit_silhouettes s on m.fit = s.fit
+ where m.least_size >= (select min_cluster from limits) and s.silhouette > -1) where rn = 1""",
+}
+# Steps that read their own rows.
+RECURSIVE = frozenset(("seeding", "lloyd"))
+
 # Steps in order; each may use those before it.
 STEPS: dict[str, str] = {
     **VIEWS,
@@ -192,6 +288,7 @@ from stratified where strate in (select strate from viable) window w as (partiti
 select *, row_number() over () as pid from (
  select strate, part, code, {', '.join(f'any_value(z{i}) as z{i}' for i in range(len(FEATURES)))},
   count(*) as n from scaled group by strate, part, code)""",
+    **FIT_STEPS,
     "given_silhouettes": silhouettes("points"),
     "given_quality": """
 select p.strate, cast(sum(p.n) as bigint) as n_clients, count(distinct p.part) as n_clusters,
@@ -328,6 +425,21 @@ select *, row_number() over () as pid from (
   count(*) as n from scaled where cast(right(ID_DWR_CLI_CIAL, 1) as int) % 2 = 1
  group by strate, part, code)""",
 }
+# The steps as a whole run has them: clients repeated for their note combinations, fitted labels.
+_OWN_FEATURES = """
+select f.* from client_features f join everything e
+ on f.ID_DWR_CLI_CIAL is not distinct from e.ID_DWR_CLI_CIAL"""
+_FITTED_LABELS = f"""
+select s.ID_DWR_CLI_CIAL, s.strate as CLUSTER_STRATE, coalesce(p.part, 0) as CLUSTER_LOCAL,
+ concat(s.strate, '_C', cast(coalesce(p.part, 0) as varchar)) as CLUSTER_GLOBAL
+from scaled s left join fit_chosen f on s.strate = f.strate
+ left join fit_points p on p.strate = s.strate and p.k = f.k
+  and {each('round(p.@, 9) = round(s.@, 9)', Z, ' and ')}"""
+RUN_STEPS: dict[str, str] = {}
+for _name, _text in STEPS.items():
+    if _name == "features":
+        RUN_STEPS["client_features"] = _text
+    RUN_STEPS[_name] = {"features": _OWN_FEATURES, "labelled": _FITTED_LABELS}.get(_name, _text)
 
 KEY = (
     "ID_DWR_CLI_CIAL, CLUSTER_GLOBAL, " + r6("CD_NOTE_POIDS_UNVRS", "CD_NOTE_POIDS_UNVRS")
@@ -397,6 +509,9 @@ from features""",
 where strate is not null group by strate, {', '.join(FEATURES)}""",
     "kmeans_fit": """select strate, n_clients, true as k_in_range, true as sizes_ok,
  true as centers_are_means, true as as_good from viable""",
+    "kmeans_quality": f"""select strate, n_clients, cast(coalesce(k, 1) as int) as n_clusters,
+ {r6('coalesce(silhouette, 0)', 'silhouette')}, coalesce(sizes, cast(n_clients as varchar)) as sizes
+from viable left join fit_chosen using (strate)""",
     "global_mode": """select case when v.strate is null then 'NON_CLUSTERED' else s.strate end
  as CLUSTER_STRATE, count(*) as n_clients,
  cast(sum(Age_Jeunes) as bigint) as jeunes, cast(sum(Age_Actifs) as bigint) as actifs,
@@ -654,28 +769,30 @@ from (values (0, 'retrained', 'there is no model yet', null, null, 1),
  t(run, action, reason, volume_ratio, drifting, models), scored_rows"""
 
 
-def _needed(text: str) -> list[str]:
+def _needed(text: str, available: dict[str, str]) -> list[str]:
     """Names of the steps a statement uses, directly or through others, in order."""
     wanted: set[str] = set()
     open_texts = [text]
     while open_texts:
         words = set(re.findall(r"[A-Za-z_]+", open_texts.pop()))
-        for name in STEPS:
+        for name in available:
             if name in words and name not in wanted:
                 wanted.add(name)
-                open_texts.append(STEPS[name])
-    return [name for name in STEPS if name in wanted]
+                open_texts.append(available[name])
+    return [name for name in available if name in wanted]
 
 
-def statement(text: str) -> str:
-    if not _needed(text):
-        return text.strip()
-    steps = ",\n".join(f"{name} as ({STEPS[name].strip()})" for name in _needed(text))
-    text = text.strip()
+def statement(text: str, available: dict[str, str] = STEPS) -> str:
+    text, names = text.strip(), _needed(text, available)
+    if not names:
+        return text
+    steps = ",\n".join(f"{name} as ({available[name].strip()})" for name in names)
+    begin = "with" if RECURSIVE.isdisjoint(names) else "with recursive"
     if text.startswith("with "):
-        return f"with {steps},\n{text[5:]}"
-    return f"with {steps}\n{text}"
+        return f"{begin} {steps},\n{text[5:]}"
+    return f"{begin} {steps}\n{text}"
 
 
 def sql() -> dict[str, str]:
-    return {name: statement(text) for name, text in QUERIES.items()}
+    run = {"pipeline_labels": statement(QUERIES["segment_distribution"], RUN_STEPS)}
+    return {name: statement(text) for name, text in QUERIES.items()} | run

@@ -331,11 +331,12 @@ def kmeans_fit(fx: Fixture) -> DataFrame:
 
 @query
 def kmeans_quality(fx: Fixture) -> DataFrame:
-    """The fit itself: clusters and silhouette of each stratum. No SQL gives the same centers."""
+    """The fit itself: clusters, silhouette and sizes of the clusters of each stratum."""
     model = _fitted(fx, "stratifie", fx.workspace.stage(fx.features(), "features"))
     return model.strata.selectExpr(
-        STRATE, "n_clients", "n_clusters", *_doubles("silhouette"), "sizes"
-    )
+        STRATE, "n_clients", "n_clusters", *_doubles("silhouette"),
+        "array_join(cast(sizes as array<string>), ',') as sizes",
+    )
 
 
 @query
@@ -1081,8 +1082,9 @@ def reuse_run(fx: Fixture) -> DataFrame:
 
 @query
 def pipeline_labels(fx: Fixture) -> DataFrame:
-    """Label distribution of the whole chain; it rests on the fit, which SQL cannot repeat."""
+    """Label distribution of the whole chain, with the labels of the fit."""
     pipeline = SegmentationPipeline(
         fx.spark, fx.warehouse, fx.workspace.path("store"), mode="test", settings=fx.settings
     )
-    return scoring.segment_distribution(scoring.scoring_cells(pipeline.run().data))
+    shares = scoring.segment_distribution(scoring.scoring_cells(pipeline.run().data))
+    return shares.selectExpr("SEGMENTATION_FINALE", "n_clients", *_doubles("pct"))
