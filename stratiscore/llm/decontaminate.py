@@ -12,8 +12,8 @@ size; each block goes to all tasks and is one pass over the documents. Documents
 shuffled. A segment's budget is a share of its length, at most what keeps its bound positive.
 
 Nulls: null texts and items are empty; items shorter than q characters have no q-grams and are not
-searched. Null ids are carried. Repeated documents give repeated rows; repeated items are found
-each under its own id.
+searched. Null ids are carried. Repeated documents give repeated rows; a repeated row of the benchmark
+counts once, and equal items are found each under its own id.
 """
 
 from __future__ import annotations
@@ -251,7 +251,7 @@ def _clean(broadcast):
 def _indexes(benchmark: DataFrame, q: int, share: float, size: int, block_chars: int) -> Iterator:
     """One broadcast index for each block of the benchmark."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.col("item_id").cast(LongType()).alias("item_id"), "text")
+    items = benchmark.select(F.col("item_id").cast(LongType()).alias("item_id"), "text").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // block_chars))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))

@@ -90,6 +90,12 @@ def test_documents(documents, table, rows_of, block_chars):
     assert [r["doc_id"] for r in sorted(kept.collect(), key=lambda r: r["doc_id"])] == [2, 5, 6, 7]
 
 
+def test_repeated_benchmark_rows_count_once(documents, table):
+    docs = documents([(1, f"before {ITEM} after", "en", "s", 1)])
+    once, often = (table("item_id long, text string", *[(7, ITEM)] * n) for n in (1, 5))
+    assert d.contaminated(docs, often).collect() == d.contaminated(docs, once).collect()
+
+
 def test_empty_tables(documents, table):
     benchmark = table("item_id long, text string", (1, ITEM))
     assert d.contaminated(documents([]), benchmark).count() == 0
