@@ -10,9 +10,9 @@ All documents are scored in every round; only the surest, a fixed number that is
 method, reach the driver. The labelled sample is bounded, in hash order.
 
 Nulls: a null text is an empty one; null metadata has buckets of its own and length 0; labels with
-a null id or mark are not used, and of contradicting marks the worse one counts. A null doc_id is
-scored and never used for training. Without labels of both kinds every document gets the share of
-good labels (0.5 without any).
+a null id or mark are not used, and of contradicting marks the worse one counts. Of rows that repeat
+a doc_id one is learned from. A null doc_id is scored and never used for training. Without labels
+of both kinds every document gets the share of good labels (0.5 without any).
 """
 
 from __future__ import annotations
@@ -201,7 +201,10 @@ def _labelled(features: DataFrame, labels: DataFrame, max_labelled: int) -> list
     kind = dict(labels.dtypes)["doc_id"]
     chosen = features.sparkSession.createDataFrame(sample, f"_id {kind}, quality int")
     joined = features.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    return sorted(joined.collect(), key=lambda r: r["doc_id"])
+    # One of the rows that repeat an id, so that the sample stays within its bound.
+    one = F.max(F.struct("quality", *[c for c in features.columns if c != "doc_id"])).alias("r")
+    rows = joined.groupBy("doc_id").agg(one).select("doc_id", "r.*").collect()
+    return sorted(rows, key=lambda r: r["doc_id"])
 
 
 def _surest(unlabelled: DataFrame, logit: Column, n: int, sure: float) -> list[tuple]:
