@@ -15,8 +15,9 @@ rounds: in each toxic document the word with the highest score stands for its to
 words of clean documents are clean, and words of clean documents that score high are added.
 
 Nulls: a null text is scored like an empty one, by the score of a text without evidence; labels
-with a null id or mark are not used; of contradicting marks the toxic one counts. Without labels
-of both kinds every document gets the share of toxic labels (0 without any).
+with a null id or mark are not used; of contradicting marks the toxic one counts, and of rows that
+repeat a doc_id one is learned from. Without labels of both kinds every document gets the share of
+toxic labels (0 without any).
 """
 
 from __future__ import annotations
@@ -413,7 +414,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> M
     chosen = spark.createDataFrame(sample, f"_id {kind}, _toxic int")
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     short = F.coalesce(F.length("text"), F.lit(0)) <= MAX_TRAIN_CHARS
-    lists = texts.filter(short).select("_id", "_toxic", "text").mapInArrow(
+    # One of the rows that repeat an id, so that the sample stays within its bound.
+    once = texts.filter(short).groupBy("_id", "_toxic").agg(F.max("text").alias("text"))
+    lists = once.mapInArrow(
         _word_lists, f"id {kind}, toxic int, words array<string>"
     )
     found = lists.toArrow().sort_by("id")

@@ -125,6 +125,20 @@ def test_cotraining_edge_rows(workspace, documents, table):
     assert cotraining.classify(workspace, documents([]), empty).count() == 0
 
 
+def test_repeated_ids_do_not_enlarge_the_samples(workspace, documents, table, monkeypatch):
+    rows = [(i % 4, f"some words {i % 2} of text number {i}", "en", "s", 9) for i in range(200)]
+    docs = documents(rows)
+    labels = table("doc_id long, toxic int, quality int", *((i, i % 2, i % 2) for i in range(4)))
+    known = [i for i in range(4) if zlib.crc32(str(i).encode()) % 3 != 1]
+    features = workspace.stage(cotraining.views(docs), "views")
+    assert [r["doc_id"] for r in cotraining._labelled(features, labels, 100)] == known
+    sampled = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda s, shares: sampled.append(s) or train(s, shares))
+    toxicity.fit(docs, labels)
+    assert len(sampled[0].docs) == len(known)
+
+
 def test_views_teach_each_other(workspace, documents, table):
     rows = []
     for i in range(900):
