@@ -180,6 +180,10 @@ def keep_first(workspace: Workspace, docs: DataFrame, **options) -> DataFrame:
     """One document of each component, with all its columns."""
     name = free_name(docs, "document_key")
     marked = near_duplicates(workspace, docs, **options)
-    stay = workspace.stage(marked.filter("first").select(F.col("key").alias(name)), "stay")
+    rows = marked.filter("first").groupBy(F.col("key").alias(name)).agg(F.count(F.lit(1)).alias("n"))
+    stay = workspace.stage(rows, "stay")
     named = docs.withColumn(name, document_key())
-    return named.join(stay, name, "left_semi").dropDuplicates([name]).drop(name)
+    # Only the rows that share their key are grouped; all others keep their place.
+    single = named.join(stay.filter("n = 1"), name, "left_semi")
+    shared = named.join(stay.filter("n > 1"), name, "left_semi").dropDuplicates([name])
+    return single.union(shared).drop(name)
