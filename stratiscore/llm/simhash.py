@@ -181,7 +181,7 @@ def keep_first(workspace: Workspace, docs: DataFrame, **options) -> DataFrame:
     name = free_name(docs, "document_key")
     marked = near_duplicates(workspace, docs, **options)
     rows = marked.filter("first").groupBy(F.col("key").alias(name)).agg(F.count(F.lit(1)).alias("n"))
-    stay = workspace.stage(rows, "stay")
+    stay = workspace.stage(rows, "stay").hint("merge")  # its size has no bound at any size of input
     named = docs.withColumn(name, document_key())
     # Only the rows that share their key are grouped; all others keep their place.
     single = named.join(stay.filter("n = 1"), name, "left_semi")
