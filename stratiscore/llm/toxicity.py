@@ -5,6 +5,11 @@ span, each character skipped costing a factor; word ends count as characters. In
 characters thus leave most of the similarity. Each word is scaled by the weight of its own
 subsequences, which depends on its length only.
 
+A character between all letters leaves nothing of the similarity, and no wider span would: the
+skipped characters cost too much. Separated words ('i.d.i.o.t', 'i--d-iot', 'ixdxixoxt') therefore
+also count as their readings: without all that are not letters, and without one character that
+stands in every second place. Different letters put between all letters are not seen through.
+
 Nyström landmarks (words) turn the kernel into few features, a linear machine is trained on them,
 and because the machine is a sum over landmarks, it folds into one weight per subsequence. Scoring
 a text is then a lookup for each gap pattern; a document scores as its worst word, on a calibrated
@@ -52,6 +57,9 @@ _PUNCTUATION = ".,;:!?\"'()[]{}«»“”„’¡¿…-–—"
 # Letters a-z have symbols 1 to 26, all other characters share 27 to 47; 0 is the end of a word.
 _CLASS = np.array([27 + c % 21 for c in range(0x3000)], np.uint8)
 _CLASS[ord("a") : ord("z") + 1] = np.arange(1, 27)
+_LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+_LEAST_READING = 2  # letters; a shorter word has no subsequence
+_LEAST_REGULAR = 7  # characters of a word whose every second one may be an insertion
 _SPACE_CODES = np.array([9, 10, 11, 12, 13, 32])
 _PUNCTUATION_CODES = np.array(sorted(map(ord, _PUNCTUATION)))
 _GAPS = [g for g in product(range(1, SPAN), repeat=LENGTH - 1) if sum(g) < SPAN]
@@ -70,6 +78,7 @@ class Words:
     first: np.ndarray
     size: np.ndarray
     place: np.ndarray  # of the first character in the joined texts
+    letter: np.ndarray  # is the symbol that of a letter
 
 
 def to_words(text: str, spelled: bool = True) -> Words:
@@ -97,7 +106,48 @@ def to_words(text: str, spelled: bool = True) -> Words:
     ends = np.flatnonzero(symbols == 0)
     sizes = np.diff(ends) - 1
     real = sizes > 0
-    return Words(symbols, ends[:-1][real], sizes[real] + 2, kept[ends[:-1][real]])
+    letter = _LETTER[codes[kept]] & (symbols != 0)
+    return Words(symbols, ends[:-1][real], sizes[real] + 2, kept[ends[:-1][real]], letter)
+
+
+def _part(words: Words, keep: np.ndarray, chosen: np.ndarray) -> Words:
+    """The chosen words, reduced to the symbols to keep."""
+    running = np.append(0, np.cumsum(keep))
+    first, size = words.first[chosen], words.size[chosen]
+    left = running[first + size] - running[first]
+    mark = np.zeros(len(keep) + 1, np.int32)
+    mark[first + 1] += 1
+    mark[first + size - 1] -= 1
+    keep = keep & (np.cumsum(mark[:-1]) > 0)
+    begins = np.append(0, np.cumsum(left + 1))
+    inner = np.ones(begins[-1] + 1, bool)
+    inner[begins] = False
+    symbols, letter = np.zeros(len(inner), np.int32), np.zeros(len(inner), bool)
+    symbols[inner], letter[inner] = words.symbols[keep], words.letter[keep]
+    return Words(symbols, begins[:-1], left + 2, words.place[chosen], letter)
+
+
+def readings(words: Words) -> list[Words]:
+    """Separated words without all that are not letters, and without a regular insertion."""
+    if not len(words.first):
+        return []
+    s = words.symbols
+    running = np.append(0, np.cumsum(words.letter))
+    letters = running[words.first + words.size] - running[words.first]
+    mixed = (letters < words.size - 2) & (letters >= _LEAST_READING)
+    # Equal symbols two places apart, summed up over places of the same parity.
+    equal = np.zeros(len(s) + len(s) % 2, np.int64)
+    equal[: len(s) - 2] = s[2:] == s[:-2]
+    equal = equal.reshape(-1, 2).cumsum(axis=0).ravel()
+    inner = words.size - 2
+    regular = np.flatnonzero((inner >= _LEAST_REGULAR) & (inner % 2 == 1))
+    first, inner = words.first[regular], inner[regular]
+    regular = regular[equal[first + inner - 3] - equal[first] == (inner - 3) // 2]
+    other = np.zeros(len(s) + 2, bool)
+    for place, size in zip(words.first[regular].tolist(), words.size[regular].tolist()):
+        other[place + 1 : place + size - 1 : 2] = True
+    found = [_part(words, words.letter, np.flatnonzero(mixed)), _part(words, other[: len(s)], regular)]
+    return [part for part in found if len(part.first)]
 
 
 def subsequences(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
@@ -245,11 +295,12 @@ class Model:
         words = to_words("\n".join(parts))
         if not len(words.first):
             return
-        values = word_sums(words, self.weights) + self.offset
         starts = np.cumsum([0] + [len(p) + 1 for p in parts[:-1]])
-        owner = np.searchsorted(starts, words.place, "right") - 1
         best = np.full(len(parts), self.floor)
-        np.maximum.at(best, owner, values)
+        for some in (words, *readings(words)):
+            values = word_sums(some, self.weights) + self.offset
+            owner = np.searchsorted(starts, some.place, "right") - 1
+            np.maximum.at(best, owner, values)
         raw[batch] = best
 
 
@@ -378,8 +429,15 @@ def train(sample: Sample, shares: tuple[float, float], n_landmarks: int = N_LAND
 
 
 def _distinct_words(text: str | None) -> list[str]:
-    """Words as the kernel sees them: lower case, without outer punctuation."""
+    """Words and readings as the kernel sees them: lower case, without outer punctuation."""
     found = {w.strip(_PUNCTUATION) for w in (text or "").lower().split()}
+    for word in list(found):
+        if not word.isalpha():
+            reading = "".join(filter(str.isalpha, word))
+            if len(reading) >= _LEAST_READING:
+                found.add(reading)
+        if len(word) >= _LEAST_REGULAR and len(word) % 2 and len(set(word[1::2])) == 1:
+            found.add(word[::2])
     return sorted(w for w in found if w)
 
 

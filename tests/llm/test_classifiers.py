@@ -151,3 +151,31 @@ def test_views_teach_each_other(workspace, documents, table):
     assert sum(model.handed_over) > 0
     found = cotraining.score(features, model).collect()
     assert all(r["kept"] == (r["doc_id"] % 3 != 0) for r in found)
+
+
+@pytest.mark.parametrize("separator", [".", "-", "*", "--", "_", "x", "̶"])
+def test_separated_words_score_like_the_plain_word(documents, table, separator):
+    rng = np.random.default_rng(0)
+    rows = [(t, False) for t in sentences(rng, 150, False)] + [(t, True) for t in sentences(rng, 60, True)]
+    model = toxicity.fit(documents([(i, t, "en", "s", len(t)) for i, (t, _) in enumerate(rows)]), training_table(rows, table))
+    for insult in ("idiot", "moron", "scumbag"):
+        spelled = [f"you {separator.join(insult)} there", f"a {insult[:2]}{separator}{separator.join(insult[2:])}"]
+        if separator == "x":
+            spelled.pop()
+        assert (model.scores(spelled) >= toxicity.CUT).all()
+    assert (model.scores([separator.join("river"), "1.2.3.4.5.6.7", "..."]) < toxicity.CUT).all()
+
+
+def test_readings_agree_with_enumeration():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        text = " ".join("".join(rng.choice(list("ab.x*1"), rng.integers(1, 10))) for _ in range(rng.integers(5)))
+        want = []
+        for word in filter(None, (w.strip(toxicity._PUNCTUATION) for w in text.split())):
+            letters = "".join(filter(str.isalpha, word))
+            want += [letters] if letters != word and len(letters) > 1 else []
+            regular = len(word) >= 7 and len(word) % 2 and len(set(word[1::2])) == 1
+            want += [word[::2]] if regular else []
+        words = toxicity.to_words(text, spelled=False)
+        found = [r.symbols[a + 1 : a + n - 1].tolist() for r in toxicity.readings(words) for a, n in zip(r.first, r.size)]
+        assert sorted(found) == sorted([int(toxicity._CLASS[ord(c)]) for c in w] for w in want)
