@@ -1,19 +1,24 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark items are cut into segments. If a segment of length n occurs in a text with at most e
+Benchmark items are cut into segments, and windows overlap the cuts: a verbatim excerpt of at least
+``SEGMENT_CHARS`` characters, from whatever place in an item, holds all of one window but what its
+budget allows to miss. If a segment or window of length n occurs in a text with at most e
 edits, at least n - q + 1 - q * e of its q-grams occur there too, all within e + 1 neighbouring
 diagonals (place in the text minus place in the segment). Shared q-grams are therefore counted in
 overlapping diagonal bands: bands twice as wide as needed begin at every multiple of the needed
 width, so that one of them holds the whole match. Bands that reach the bound are verified by a
 banded alignment of the segment with that region of the text.
 
+The q-grams of an item are kept once; those found in a text are dealt to all segments around them.
+
 Texts are compared in lower case with single spaces. The benchmark is read in blocks of bounded
 size; each block goes to all tasks and is one pass over the documents. Documents are never
 shuffled. A segment's budget is a share of its length, at most what keeps its bound positive.
 
 Nulls: null texts and items are empty; items shorter than q characters have no q-grams and are not
 searched. Null ids are carried. Repeated documents give repeated rows; a repeated row of the benchmark
-counts once, and equal items are found each under its own id.
+counts once, and equal items are found each under its own id. ``segments`` and ``edits`` add up over
+the segments and windows found, which overlap.
 """
 
 from __future__ import annotations
@@ -47,6 +52,18 @@ def segments(text: str, size: int) -> list[tuple[int, str]]:
     return [(a, text[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def window_starts(length: int, size: int, most: int) -> list[int]:
+    """Where windows of ``size`` characters begin, so that every place is near one.
+
+    No place is further from a begin than ``most`` edits, or a tenth of a window for the sake of
+    their number.
+    """
+    if length < size:
+        return []
+    stride = max(1, size // 10, 2 * most)
+    return [*range(0, length - size, stride), length - size]
+
+
 def budget(length: int, q: int, share: float) -> int:
     """Edits allowed in a segment; its least number of shared q-grams stays positive."""
     return max(0, min(int(length * share), (length - q) // q))
@@ -77,44 +94,80 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
 
 @dataclass
 class Index:
-    """The q-grams of a block of benchmark segments."""
+    """The q-grams of a block of benchmark items, and their segments, then their windows.
 
-    items: list
+    Places are those in all items of the block, one behind the other.
+    """
+
+    items: list  # of each segment
     texts: list[str]
     budgets: np.ndarray
     bounds: np.ndarray
+    starts: np.ndarray
+    n_cut: int  # segments; windows of ``size`` characters follow
+    size: int
+    longest: int
+    least: np.ndarray  # lowest bound of a segment of each item
     hashes: np.ndarray  # distinct, ascending; those of one hash stand at first, first + count
     first: np.ndarray
     count: np.ndarray
-    segment: np.ndarray
+    item: np.ndarray
     place: np.ndarray
     filled: np.ndarray
     q: int
 
 
 def build_index(items: list[tuple], q: int, share: float, size: int) -> Index:
-    owners, texts = [], []
-    for item_id, text in items:
-        for _, part in segments(normalized(text), size):
-            if len(part) >= q:
-                owners.append(item_id)
-                texts.append(part)
-    grams = [gram_hashes(_codes(t), q) for t in texts]
+    cut, windows, grams, offsets, offset = [], [], [], [], 0
+    for number, (item_id, text) in enumerate(items):
+        text = normalized(text)
+        parts = [(a, part) for a, part in segments(text, size) if len(part) >= q]
+        known = {(a, len(part)) for a, part in parts}
+        cut += [(number, item_id, offset + a, part) for a, part in parts]
+        for a in window_starts(len(text), size, budget(size, q, share)) if parts else []:
+            if (a, size) not in known:
+                windows.append((number, item_id, offset + a, text[a : a + size]))
+        grams.append(gram_hashes(_codes(text), q) if parts else np.zeros(0, np.uint64))
+        offsets.append(offset)
+        offset += len(text)
+    every = cut + windows
+    texts = [part for *_, part in every]
     lengths = np.array([len(t) for t in texts], np.int64)
     budgets = np.array([budget(n, q, share) for n in lengths], np.int64)
+    bounds = lengths - q + 1 - q * budgets
+    least = np.full(len(items), np.iinfo(np.int64).max)
+    np.minimum.at(least, np.array([number for number, *_ in every], np.int64), bounds)
     hashes = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-    segment = np.repeat(np.arange(len(texts)), [len(g) for g in grams])
-    place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
+    item = np.repeat(np.arange(len(items)), [len(g) for g in grams])
+    place = np.concatenate([o + np.arange(len(g)) for o, g in zip(offsets, grams)] or [item])
     order = np.argsort(hashes, kind="stable")
     filled = np.zeros(1 << _FILTER_BITS, bool)
     filled[_slot(hashes)] = True
     distinct, first, count = np.unique(hashes[order], return_index=True, return_counts=True)
+    starts = np.array([start for _, _, start, _ in every], np.int64)
     return Index(
-        owners, texts, budgets, lengths - q + 1 - q * budgets, distinct, first, count,
-        segment[order].astype(np.int64), place[order].astype(np.int64), filled, q,
+        [item_id for _, item_id, _, _ in every], texts, budgets, bounds, starts, len(cut), size,
+        int(lengths.max(initial=0)), least, distinct, first, count, item[order].astype(np.int64), place[order].astype(np.int64),
+        filled, q,
     )
 
 
+def _around(place: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """(which place, segment) of all segments and windows that hold the q-grams at the places."""
+    cut, windows = index.starts[: index.n_cut], index.starts[index.n_cut :]
+    inside = np.searchsorted(cut, place, "right") - 1
+    ends = cut[inside] + index.bounds[inside] + index.q * index.budgets[inside]
+    which = np.flatnonzero(place < ends)
+    low = np.searchsorted(windows, place - (index.size - index.q), "left")
+    n = np.searchsorted(windows, place, "right") - low
+    n = np.maximum(n, 0)
+    more = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - low, n)
+    return (
+        np.concatenate([which, np.repeat(np.arange(len(place)), n)]),
+        np.concatenate([inside[which], index.n_cut + more]),
+    )
+
+
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - _FILTER_BITS)
 
@@ -133,19 +186,24 @@ def regions(codes: np.ndarray, index: Index) -> list[tuple[int, int, int]]:
     low, counts = index.first[found], index.count[found]
     offsets = np.cumsum(counts) - counts
     hit = np.arange(counts.sum()) - np.repeat(offsets - low, counts)
-    segment, place = index.segment[hit], index.place[hit]
-    diagonal = np.repeat(at, counts) - place
-    # A segment needs as many shared q-grams in the whole text, too.
-    enough = np.bincount(segment, minlength=len(index.bounds)) >= index.bounds
-    some = enough[segment]
-    segment, place, diagonal = segment[some], place[some], diagonal[some]
+    item, place, at = index.item[hit], index.place[hit], np.repeat(at, counts)
+    # An item and a segment need as many shared q-grams in the whole text, too.
+    some = (np.bincount(item, minlength=len(index.least)) >= index.least)[item]
+    if not some.any():
+        return []
+    place, at = place[some], at[some]
+    which, segment = _around(place, index)
+    some = (np.bincount(segment, minlength=len(index.bounds)) >= index.bounds)[segment]
+    which, segment = which[some], segment[some]
+    place = place[which] - index.starts[segment]
+    diagonal = at[which] - place
     if not len(segment):
         return []
     width = index.budgets[segment] + 1
     band = diagonal // width  # each diagonal lies in the band that begins at it and the one before
     segment, place = np.tile(segment, 2), np.tile(place, 2)
     band = np.concatenate([band, band - 1])
-    spread = int(max(len(t) for t in index.texts))
+    spread = index.longest
     keys = (segment * (2 * len(codes) + 4 * spread) + band + 2 * spread) * spread + place
     keys = np.unique(keys) // spread  # a place of the segment counts once in a band
     bands, n = np.unique(keys, return_counts=True)
@@ -160,7 +218,7 @@ def regions(codes: np.ndarray, index: Index) -> list[tuple[int, int, int]]:
 
 def _all_regions(codes: np.ndarray, index: Index) -> Iterator[tuple[int, int, int]]:
     """Regions of a text of any length, by pieces that overlap by the longest possible match."""
-    reach = max(map(len, index.texts)) + int(index.budgets.max())
+    reach = index.longest + int(index.budgets.max())
     for at in range(0, max(1, len(codes) - reach), _PIECE):
         for segment, first, last in regions(codes[at : at + _PIECE + reach], index):
             yield segment, first + at, last + at

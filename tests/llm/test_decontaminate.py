@@ -102,3 +102,26 @@ def test_empty_tables(documents, table):
     nothing = table("item_id long, text string")
     assert d.contaminated(documents(), nothing).count() == 0
     assert d.keep_clean(documents(), nothing).count() == documents().count()
+
+
+@pytest.mark.parametrize("length", [120, 121, 143, 200, 240, 290])
+def test_verbatim_excerpts_from_every_place_are_found(length):
+    rng = random.Random(length)
+    item, other = ("".join(rng.choice(ALPHABET) for _ in range(n)).replace(" ", "x") for n in (length, 400))
+    index = d.build_index([(1, item), (2, other)], d.Q, d.EDIT_SHARE, d.SEGMENT_CHARS)
+    filler = "".join(rng.choice("qrstuvw") for _ in range(90))
+    for size in {120, min(150, length)}:
+        for at in range(length - size + 1):
+            found = d.matches(filler + item[at : at + size] + filler, index)
+            assert {index.items[s] for s, *_ in found} == {1}, (size, at)
+    assert not d.matches(filler + item[: min(length, 120) * 2 // 3] + filler, index)
+
+
+def test_excerpts_in_documents(documents, table):
+    rng = random.Random(5)
+    item = " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(60))[:200]
+    docs = documents([(i, f"zz yy {item[a : a + n]} ww", "en", "s", 1) for i, (a, n) in enumerate([(0, 150), (50, 150), (15, 170), (0, 200), (30, 60)])])
+    benchmark = table("item_id long, text string", (7, item))
+    found = d.contaminated(docs, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(i, 7) for i in range(4)]
+    assert [r["doc_id"] for r in d.keep_clean(docs, benchmark).collect()] == [4]
