@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratiscore.llm import line_rules, substrings, warc_zip
+from stratiscore.llm import collocations, line_rules, substrings, warc_zip
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -106,5 +106,59 @@ from judged
 """
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _score(left: str, right: str) -> str:
+    return f"(1000000::hugeint * a * a) // ({left}::hugeint * {right})"
+
+
+_OP12 = rf"""
+with texts as (
+  select coalesce(lang, 'und') as lang,
+         translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') as text from documents
+), pieces as (
+  select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from texts
+), words as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), phrases as (
+  select lang, k, w[s:s + k - 1] as p, count(*) as f
+  from (select lang, k, w, unnest(range(1, len(w) - k + 2)) as s
+        from words, (select unnest([1, 2, 3]) as k) where len(w) >= k)
+  group by all
+), totals as (
+  select lang, cast(sum(f) as bigint) as n from phrases where k = 1 group by lang
+), candidates as (
+  select lang, k, p, f as a from phrases where k > 1 and f >= {collocations.MIN_COUNT}
+), cuts as (
+  select c.*, cut, x.f as l, y.f as r, {_score("x.f", "y.f")} as score
+  from (select *, unnest(range(1, k)) as cut from candidates) c
+  join phrases x on x.lang = c.lang and x.p = c.p[:cut]
+  join phrases y on y.lang = c.lang and y.p = c.p[cut + 1:]
+), lowest as (
+  select lang, k, p, a, arg_min(l, (score, cut)) as l, arg_min(r, (score, cut)) as r,
+         min(score) as score
+  from cuts group by lang, k, p, a
+), covered as (
+  select lang, p, max(f) as longer
+  from (select lang, p[1:2] as p, a as f from candidates where k = 3
+        union all select lang, p[2:3], a from candidates where k = 3) group by lang, p
+), kept as (
+  select w.lang, array_to_string(w.p, ' ') as phrase, a, l, r, score
+  from lowest w left join covered v on v.lang = w.lang and v.p = w.p
+  where longer is null or 100 * longer < {collocations.COVERED_PERCENT} * a
+)
+select k.lang, row_number() over (partition by k.lang order by score desc, a desc, phrase) as rank,
+       phrase, a, cast(l as bigint) as l, cast(r as bigint) as r, n, cast(score as bigint) as score
+from kept k join totals t on t.lang = k.lang
+qualify rank <= {collocations.TOP}
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op1_warc_zip": _OP1, "op8_repeated_windows": _OP8, "op10_line_rules": _OP10}
+    return {
+        "op1_warc_zip": _OP1,
+        "op8_repeated_windows": _OP8,
+        "op10_line_rules": _OP10,
+        "op12_collocations": _OP12,
+    }

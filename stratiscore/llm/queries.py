@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiscore.llm import (
+    collocations,
     cotraining,
     decontaminate,
     line_rules,
     mixing,
+    packing,
     page_diff,
     sharding,
     simhash,
     substrings,
     toxicity,
     warc_zip,
+    whitening,
 )
 from stratiscore.sources.staging import Workspace
 
@@ -88,6 +91,19 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.apply_rules(Workspace(spark), _table(spark, sf_dir, "documents"))
 
 
+def op11_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(Workspace(spark), _table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(Workspace(spark), _table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(Workspace(spark), _table(spark, sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_warc_zip,
@@ -100,5 +116,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_repeated_windows,
         op9_toxicity,
         op10_line_rules,
+        op11_bin_slack_packing,
+        op12_collocations,
+        op13_whitening,
     )
     return {build.__name__: build for build in operators}
