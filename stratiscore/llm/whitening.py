@@ -15,8 +15,8 @@ The driver holds a few vectors of the dimension for each step, at most as many s
 Block sums are added in the order of the blocks, so that reruns agree.
 
 Dropped: null vectors, vectors with null, infinite or undefined entries, vectors whose length is not
-the most frequent one (of equally frequent ones the longest), empty vectors. Entries beyond 2^40
-count as 2^40. Null ids are carried, repeated rows are rows of the result and one of the fit.
+the most frequent one (of equally frequent ones the longest), empty vectors. Entries beyond 2^52
+count as 2^52. Null ids are carried, repeated rows are rows of the result and one of the fit.
 Components whose eigenvalue is zero have no whitened values: a table of one distinct vector has
 none, nor has an empty one.
 """
@@ -36,7 +36,7 @@ from stratiscore.sources.staging import Workspace
 SCALE = 64
 SHIFT = 1_000_000
 COMPONENTS = 16
-_LARGEST = 1 << 40
+_LARGEST = 1 << 52
 _BLOCK_ROWS = 4096
 _EPS = np.finfo(float).eps
 
