@@ -37,8 +37,8 @@ MIN_COUNT = 10
 COVERED_PERCENT = 50
 TOP = 2000
 LONGEST = 3
-CHUNK_WORDS = 1 << 21
-SHARD_PHRASES = 1 << 22  # phrases, repeats included, that a shard of the filters counts
+CHUNK_WORDS = 1 << 20
+SHARD_PHRASES = 1 << 20  # phrases, repeats included, that a shard of the filters counts
 _TEXT_PIECE = 1 << 18
 _SALTS = 64
 
