@@ -17,12 +17,11 @@ left out, an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +33,15 @@ from stratiscore.sources.staging import Workspace
 
 WINDOW = 2048
 END_ID = 1
-_EXACT = "  "  # begins the names of parts that are taken as they are; others have no space
-_SPACED = re.compile(r"[^\S ] | [^\S ]")  # a space beside other white space
-_CACHED_PARTS = 800_000  # parts whose ids a worker remembers; beyond, it starts anew
-_BATCH_CHARS = 1 << 20  # characters of the texts that are encoded together
+_BATCH_CHARS = 1 << 20  # characters of the texts whose pieces leave a task together
+
+# What byte-level tokenizers split by, and how their JSON says that they do.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PLAIN = {
+    "normalizer": None,
+    "truncation": None,
+    "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
+}
 
 
 def tokenizer_file() -> str:
@@ -47,85 +51,48 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_ranks(vocabulary: dict[str, int]) -> dict[bytes, int]:
+    """A byte-level vocabulary by bytes; its alphabet shows bytes as visible characters.
+
+    Visible characters of Latin-1 stand for their own byte, the others take the characters from
+    256 on in turn.
+    """
+    visible = {b for b in range(256) if 33 <= b <= 126 or 161 <= b and b != 173}
+    hidden = [b for b in range(256) if b not in visible]
+    alphabet = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    return {bytes(alphabet[c] for c in token): rank for token, rank in vocabulary.items()}
+
+
 class Encoder:
-    """Ids of whole texts by a byte-level tokenizer, each distinct part encoded once.
+    """Ids of whole texts by a tokenizer's JSON.
 
-    Texts are cut before each space between two characters that are no white space. The
-    tokenizer's pattern never crosses such a place, so the ids of the parts, joined, are those of
-    the text. A part is known by its name: its text after the space, or ``_EXACT`` and its text.
+    A plain byte-level vocabulary, whose ids are its merge ranks, is also given to the library that
+    is fastest at it. Texts which that one refuses (very long white space) and those that hold the
+    name of an added token go to the tokenizer itself; the ids are the same.
     """
 
     def __init__(self, definition: bytes):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(definition)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 12, np.int64)  # ids before part i in ``flat``
-
-    def _learn(self, names: list[str]) -> None:
-        first, at = len(self.known), int(self.ends[len(self.known)])
-        texts = [n[len(_EXACT) :] if n.startswith(_EXACT) else " " + n for n in names]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ends = at + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        while len(self.ends) <= first + len(names):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        while len(self.flat) < ends[-1]:
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        ids = chain.from_iterable(f.ids for f in found)
-        self.flat[at : ends[-1]] = np.fromiter(ids, np.uint32, int(ends[-1]) - at)
-        self.ends[first + 1 : first + 1 + len(names)] = ends
-        self.known.update(zip(names, range(first, first + len(names))))
-
-    def _numbers(self, names: list[str]) -> np.ndarray:
-        found = list(map(self.known.get, names))
-        if None in found:
-            new = list({name for name, number in zip(names, found) if number is None})
-            if len(self.known) + len(new) > _CACHED_PARTS:
-                self._forget()
-                new = list(set(names))
-            self._learn(new)
-            found = list(map(self.known.__getitem__, names))
-        return np.array(found, np.int64)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        names, counts = [], []
-        for text in texts:
-            parts = part_names(text)
-            names += parts
-            counts.append(len(parts))
-        at = self._numbers(names)
-        starts, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
-        after = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.flat[np.repeat(starts - after[:-1], sizes) + np.arange(after[-1])]
-        return np.split(ids, after[np.cumsum(counts)[:-1]])
-
-
-def part_names(text: str) -> list[str]:
-    """Names of the parts of a text."""
-    if not text:
-        return []
-    parts = text.split(" ")
-    if "" in parts or _SPACED.search(text):
-        return _joined_names(parts)
-    parts[0] = _EXACT + parts[0]
-    return parts
-
-
-def _joined_names(parts: list[str]) -> list[str]:
-    """The same where further white space stands beside spaces: such parts are joined."""
-    runs, open_end = [[parts[0]]], not parts[0] or parts[0][-1].isspace()
-    for part in parts[1:]:
-        if open_end or not part or part[0].isspace():
-            runs[-1].append(part)
-        else:
-            runs.append([part])
-        open_end = not part or part[-1].isspace()
-    names = [r[0] if len(r) == 1 else _EXACT + " " + " ".join(r) for r in runs[1:]]
-    return [_EXACT + " ".join(runs[0]), *names]
+        parts = json.loads(definition)
+        self.added = [token["content"] for token in parts.get("added_tokens") or ()]
+        self.ranked = None
+        if parts["model"].get("merges") and all(parts.get(k) == v for k, v in _PLAIN.items()):
+            import tiktoken
+
+            self.ranked = tiktoken.Encoding(
+                "corpus", pat_str=_PATTERN, special_tokens={},
+                mergeable_ranks=byte_ranks(parts["model"]["vocab"]),
+            )
+
+    def encode(self, text: str) -> np.ndarray:
+        if self.ranked is not None and not any(name in text for name in self.added):
+            try:
+                return self.ranked.encode_to_numpy(text, disallowed_special=())
+            except ValueError:  # its pattern gives up on a run of white space
+                pass
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 _PIECE = pa.schema(
@@ -161,8 +128,8 @@ def _cut(definition: bytes, window: int, end_id: int, schema: pa.Schema, with_id
         for batch in batches:
             for first, texts in _portions(batch.column(1)):
                 rows, found, pieces = [], [], []
-                for row, ids in enumerate(encoder.encode(texts), first):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                for row, text in enumerate(texts, first):
+                    ids = np.append(encoder.encode(text), np.uint32(end_id)).astype("<u4")
                     for start in range(0, len(ids), window):
                         piece = ids[start : start + window]
                         rows.append(row)

@@ -26,16 +26,33 @@ def test_ids_are_those_of_whole_texts(definition):
     plain = Tokenizer.from_buffer(definition)
     expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
     encoder = packing.Encoder(definition)
-    for size in (1, 7, len(texts)):
-        found = [i.tolist() for s in range(0, len(texts), size) for i in encoder.encode(texts[s : s + size])]
-        assert found == expected
+    assert encoder.ranked is not None
+    assert [encoder.encode(t).tolist() for t in texts] == expected
 
 
-def test_ids_survive_a_full_memory(definition, monkeypatch):
-    monkeypatch.setattr(packing, "_CACHED_PARTS", 5)
+def test_ids_of_every_character(definition):
     plain, encoder = Tokenizer.from_buffer(definition), packing.Encoder(definition)
-    for text in ("one two three four five six seven", "two eight", "nine ten two one eleven"):
-        assert encoder.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for start in range(0, len(points), 4000):
+        text = "".join(f"a{chr(c)}b 1{chr(c)} {chr(c)}-{chr(c)}{chr(c)}  " for c in points[start : start + 4000])
+        assert encoder.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_long_runs(definition):
+    plain, encoder = Tokenizer.from_buffer(definition), packing.Encoder(definition)
+    for text in (" " * 300_000 + "x", "\n" * 300_000, "a" * 300_000, " \n" * 150_000 + "y"):
+        assert encoder.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_are_used_as_they_are():
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as file:
+        other = file.read()
+    encoder = packing.Encoder(other)
+    assert encoder.ranked is None
+    expected = Tokenizer.from_buffer(other).encode("Some Words, here", add_special_tokens=False).ids
+    assert encoder.encode("Some Words, here").tolist() == expected
 
 
 def closest_by_trial(counts, capacity):
