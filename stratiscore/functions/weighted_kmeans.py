@@ -123,6 +123,20 @@ def distance_sums(points: np.ndarray, others: np.ndarray, member: np.ndarray) ->
     return out
 
 
+def pair_sums(
+    one: np.ndarray, other: np.ndarray, member_one: np.ndarray, member_other: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Distance sums of two sets of points to each other; each distance is computed once."""
+    to_other = np.zeros((len(one), member_other.shape[1]))
+    to_one = np.zeros((len(other), member_one.shape[1]))
+    for start in range(0, len(one), _BLOCK):
+        block = slice(start, start + _BLOCK)
+        distances = np.sqrt(squared_distances(one[block], other))
+        to_other[block] = distances @ member_other
+        to_one += distances.T @ member_one[block]
+    return to_other, to_one
+
+
 def members(labels: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
     return (labels[:, None] == np.arange(k)) * weights[:, None]
 

@@ -210,8 +210,8 @@ def label_points(scaled: DataFrame, strata: DataFrame) -> DataFrame:
 def silhouette_by_stratum(labelled_points: DataFrame, settings: Settings) -> DataFrame:
     """Mean Euclidean silhouette of each stratum from points (``strate``, ``cluster``, ``z``, ``n``).
 
-    Strata whose points fit a task take one task each, larger ones go by pairs of blocks. Strata
-    with one cluster have no silhouette and are left out.
+    Strata whose points fit a task take one task each, larger ones go by pairs of blocks, spread
+    over all tasks. Strata with one cluster have no silhouette and are left out.
     """
     counts = labelled_points.groupBy(STRATE).agg(
         F.expr("count(*) as points"), F.expr("min(cluster) as low"), F.expr("max(cluster) as high")
@@ -249,13 +249,34 @@ def silhouette_by_stratum(labelled_points: DataFrame, settings: Settings) -> Dat
     return result.select(STRATE, "silhouette", F.lit(SILHOUETTE_METHOD).alias("method"), "n")
 
 
+def block_grid(packed: DataFrame, tasks: int) -> DataFrame:
+    """The blocks of each unordered pair of blocks of a stratum, a block with itself included.
+
+    Rows of one pair have the key (stratum, ``low``, ``high``), which spreads them over tasks: a
+    stratum's pairs do not meet in one place. ``packed`` has ``block`` and the stratum's ``_blocks``.
+    """
+    each = packed.selectExpr(
+        STRATE, "block", "rows", "explode(sequence(0, _blocks - 1)) as _other"
+    )
+    keyed = each.selectExpr(
+        STRATE,
+        "least(block, _other) as low",
+        "greatest(block, _other) as high",
+        "block",
+        "rows",
+    )
+    # A given number of partitions, as merging small ones would put many pairs into few tasks.
+    return keyed.repartition(tasks, STRATE, "low", "high")
+
+
 def _block_silhouettes(
     labelled: DataFrame, points: dict[str, int], sizes: dict[str, list], settings: Settings
 ) -> DataFrame:
     """``strate``, ``nth``, ``silhouette``, ``n`` of several labellings of points in many blocks.
 
     ``labels`` holds a label for each labelling, ``sizes`` the cluster sizes of each. Each pair of
-    blocks gives the distance sums of one block's points; pairs of points are never rows.
+    blocks is computed once and gives the distance sums of both its sides; pairs of points are never
+    rows.
     """
     spark = labelled.sparkSession
     per_block = max(1, settings.points_in_task)
@@ -264,7 +285,7 @@ def _block_silhouettes(
     packed = (
         labelled.join(blocks, STRATE)
         .withColumn("block", F.pmod(F.xxhash64("z"), F.col("_blocks")).cast("int"))
-        .groupBy(STRATE, "block")
+        .groupBy(STRATE, "_blocks", "block")
         .agg(F.sort_array(F.collect_list(F.struct("z", "n", "labels"))).alias("rows"))
     )
 
@@ -273,24 +294,24 @@ def _block_silhouettes(
         z, n, labels = zip(*rows)
         return np.stack(z).astype(float), np.array(n, float), np.stack(labels).astype(int)
 
-    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for name, block, rows, others in pdf[[STRATE, "block", "rows", "others"]].itertuples(
-                index=False, name=None
-            ):
-                z, _, _ = unpacked(rows)
-                other, n, labels = unpacked(others)
-                member = np.concatenate(
-                    [
-                        weighted_kmeans.members(labels[:, i], n, len(of))
-                        for i, of in enumerate(sizes[name])
-                    ],
-                    axis=1,
-                )
-                found = weighted_kmeans.distance_sums(z, other, member)
-                out.append((name, block, found.ravel().tolist()))
-            yield pd.DataFrame(out, columns=[STRATE, "block", "sums"])
+    def member(name: str, n: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        of = enumerate(sizes[name])
+        return np.concatenate([weighted_kmeans.members(labels[:, i], n, len(k)) for i, k in of], axis=1)
+
+    def pair(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        name, low, high = key
+        present = dict(zip(pdf["block"], pdf["rows"]))
+        if low not in present or high not in present:  # a block without points
+            return pd.DataFrame({STRATE: [], "block": [], "sums": []}, dtype=object)
+        z, n, labels = unpacked(present[low])
+        if low == high:
+            found = {low: weighted_kmeans.distance_sums(z, z, member(name, n, labels))}
+        else:
+            other, m, others = unpacked(present[high])
+            sides = weighted_kmeans.pair_sums(z, other, member(name, n, labels), member(name, m, others))
+            found = dict(zip((low, high), sides))
+        out = [(name, block, sums.ravel().tolist()) for block, sums in found.items()]
+        return pd.DataFrame(out, columns=[STRATE, "block", "sums"])
 
     def finish(key, sums: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         _, n, labels = unpacked(own["rows"].iloc[0])
@@ -303,13 +324,16 @@ def _block_silhouettes(
             at += len(of)
         return pd.DataFrame(out, columns=[STRATE, "nth", "total", "n"])
 
-    others = packed.select(STRATE, F.col("rows").alias("others"))
-    pairs = packed.join(others, STRATE).mapInPandas(
+    n_pairs = sum(b * (b + 1) // 2 for _, b in numbers)
+    cores = spark.sparkContext.defaultParallelism
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    grid = block_grid(packed, min(n_pairs, max(4 * cores, partitions)))
+    pairs = grid.groupBy(STRATE, "low", "high").applyInPandas(
         pair, f"{STRATE} string, block int, sums array<double>"
     )
     return (
         pairs.groupBy(STRATE, "block")
-        .cogroup(packed.groupBy(STRATE, "block"))
+        .cogroup(packed.select(STRATE, "block", "rows").groupBy(STRATE, "block"))
         .applyInPandas(finish, f"{STRATE} string, nth int, total double, n bigint")
         .groupBy(STRATE, "nth")
         .agg((F.sum("total") / F.sum("n")).alias("silhouette"), F.sum("n").alias("n"))

@@ -276,6 +276,46 @@ def test_silhouette_on_all_rows_beyond_one_task(spark, table):
         assert (exact["method"], long["method"], long["n"]) == ("euclidean", "euclidean", 60)
 
 
+def test_pairs_of_blocks_spread_over_tasks(spark, table, plan_of, monkeypatch):
+    """30 blocks of one stratum: every core has pairs, no join by stratum, the value of all rows."""
+    rng = np.random.default_rng(6)
+    points = np.concatenate([rng.normal(0, 1, (170, 2)), rng.normal(4, 1, (130, 2))])
+    labels = np.repeat([0, 1], [170, 130])
+    df = table(
+        "strate string, cluster int, z array<double>, n bigint",
+        *[("s", int(c), p.tolist(), 1) for c, p in zip(labels, points)],
+    )
+    grids, plain = [], clustering.block_grid
+
+    def seen(packed, tasks):
+        grids.append(plain(packed, tasks))
+        return grids[-1]
+
+    monkeypatch.setattr(clustering, "block_grid", seen)
+    found = clustering.silhouette_by_stratum(df, Settings(points_in_task=10))
+    assert "SortMergeJoin" not in plan_of(found) and "BroadcastNestedLoop" not in plan_of(found)
+    assert found.first()["silhouette"] == pytest.approx(silhouette_of_rows(points, labels), abs=1e-12)
+    held = grids[0].selectExpr("spark_partition_id() as task", "strate", "low", "high").distinct()
+    per_task = {r["task"]: r["count"] for r in held.groupBy("task").count().collect()}
+    n_pairs = 30 * 31 // 2
+    assert sum(per_task.values()) == n_pairs
+    assert len(per_task) >= min(n_pairs, spark.sparkContext.defaultParallelism)
+    assert max(per_task.values()) < n_pairs / 4
+
+
+def test_large_and_small_strata_together(table):
+    rng = np.random.default_rng(8)
+    rows, expected = [], {}
+    for name, size in (("a", 25), ("b", 90), ("c", 61)):
+        points = np.concatenate([rng.normal(0, 1, (size, 2)), rng.normal(5, 1, (size, 2))])
+        labels = np.repeat([0, 1], size)
+        rows += [(name, int(c), p.tolist(), 1) for c, p in zip(labels, points)]
+        expected[name] = silhouette_of_rows(points, labels)
+    df = table("strate string, cluster int, z array<double>, n bigint", *rows)
+    found = clustering.silhouette_by_stratum(df, Settings(points_in_task=50)).collect()
+    assert {r[STRATE]: r["silhouette"] for r in found} == pytest.approx(expected, abs=1e-12)
+
+
 def test_far_points_go_to_the_nearest_centroid(spark, table):
     points, centers = np.array([[200_000.0], [-1e9], [60.0]]), np.array([[0.0], [100.0]])
     scaled = table("z array<double>, i int", *[(p.tolist(), i) for i, p in enumerate(points)])
