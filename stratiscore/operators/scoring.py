@@ -47,16 +47,36 @@ BALANCED_LABELS = 3
 TOP_CLUSTERS = 5
 
 SCORE = "CLIENT_SCORE"
+# How many equal rows a row of the scoring stands for.
+REPEATS = "_repeats"
 
 
-def score_input(clustered: DataFrame, financial: DataFrame) -> DataFrame:
-    """Clustered clients with their finances, one row per note combination of a client."""
+def folded_input(clustered: DataFrame, financial: DataFrame) -> DataFrame:
+    """Clustered clients with their finances, one row per note combination of a client.
+
+    A client that comes several times, with equal values, is one row until the result, which
+    ``REPEATS`` counts: m times m rows meet as m.
+    """
     require_columns(clustered, [ID, CLUSTER_GLOBAL], "clustered clients")
     require_columns(financial, [ID], "financial data")
     label = f"{clean_label(clustered, CLUSTER_GLOBAL)} as {CLUSTER_GLOBAL}"
     kept = [label if c == CLUSTER_GLOBAL else quoted(c) for c in clustered.columns]
-    labelled = clustered.selectExpr(*kept).filter(f"{CLUSTER_GLOBAL} != '{NON_CLUSTERED}'")
-    return labelled.join(financial, ID, "inner")
+    labelled = clustered.selectExpr(*kept).filter(
+        f"{ID} is not null and {CLUSTER_GLOBAL} != '{NON_CLUSTERED}'"
+    )
+    once = labelled.groupBy(*[quoted(c) for c in clustered.columns]).agg(F.expr(f"count(*) as {REPEATS}"))
+    return once.join(financial, ID, "inner")
+
+
+def repeated(df: DataFrame) -> DataFrame:
+    """Each row as often as it stands for a row."""
+    copies = df.withColumn("_copy", F.expr(f"explode(sequence(1L, {REPEATS}))"))
+    return copies.drop("_copy", REPEATS)
+
+
+def score_input(clustered: DataFrame, financial: DataFrame) -> DataFrame:
+    """Each row of a clustered client with each row of its finances."""
+    return repeated(folded_input(clustered, financial))
 
 
 def available_pnb(df: DataFrame, settings: Settings) -> list[str]:
@@ -96,12 +116,11 @@ def savings_ratio(balance: str, savings: str) -> str:
 
 def cluster_pnb_stats(prepared: DataFrame, pnb: list[str]) -> DataFrame:
     """Row count of each cluster, and mean, minimum and maximum of each revenue."""
-    stats = [
-        F.expr(f"{sql}({c}) as {name}_{c}")
-        for c in pnb
-        for name, sql in (("mean", "avg"), ("min", "min"), ("max", "max"))
-    ]
-    return prepared.groupBy(CLUSTER_GLOBAL).agg(F.expr("count(*) as n"), *stats)
+    stats = []
+    for c in pnb:
+        mean = f"avg({c} * {REPEATS}) / avg({REPEATS})"
+        stats += [f"{mean} as mean_{c}", f"min({c}) as min_{c}", f"max({c}) as max_{c}"]
+    return prepared.groupBy(CLUSTER_GLOBAL).agg(*map(F.expr, [f"sum({REPEATS}) as n", *stats]))
 
 
 def pnb_weights(pnb: list[str]) -> list[str]:
@@ -150,6 +169,7 @@ def top_quarter(
         sizes,
         largest,
         workspace,
+        REPEATS,
     )
 
 
@@ -158,7 +178,7 @@ def top_medians(
 ) -> SmallTable:
     """Medians of revenues and savings ratio over the top clients of each cluster."""
     wanted = [quantile(f"{c}_MEDIAN", c, 0.5) for c in (*pnb, "EP_RATIO")]
-    return group_quantiles(top, CLUSTER_GLOBAL, wanted, largest, workspace)
+    return group_quantiles(top, CLUSTER_GLOBAL, wanted, largest, workspace, REPEATS)
 
 
 def score_quantiles(scored: DataFrame, largest: int, workspace: Workspace) -> SmallTable:
@@ -167,7 +187,7 @@ def score_quantiles(scored: DataFrame, largest: int, workspace: Workspace) -> Sm
         quantile("SCORE_Q25", SCORE, 0.25),
         quantile("SCORE_Q75", SCORE, 0.75),
     ]
-    return group_quantiles(scored, CLUSTER_GLOBAL, wanted, largest, workspace)
+    return group_quantiles(scored, CLUSTER_GLOBAL, wanted, largest, workspace, REPEATS)
 
 
 def _potential(c: str) -> str:
@@ -210,7 +230,10 @@ def segmentation(scored: DataFrame, quantiles: SmallTable) -> DataFrame:
 
 @dataclass(frozen=True)
 class ScoringSteps:
-    """The frames between scoring input and scored clients."""
+    """The frames between scoring input and scored clients; their rows are folded.
+
+    ``REPEATS`` says how many rows of the result one of them stands for.
+    """
 
     prepared: DataFrame
     stats: SmallTable
@@ -234,7 +257,7 @@ class ScoringSteps:
 
     def result(self) -> DataFrame:
         medians, quantiles = self.workspace.together(self.medians, self.quantiles)
-        return segmentation(potentials(self.scored, medians, self.pnb), quantiles)
+        return repeated(segmentation(potentials(self.scored, medians, self.pnb), quantiles))
 
 
 def scoring_steps(
@@ -244,7 +267,7 @@ def scoring_steps(
 
     The prepared rows are staged: the statistics, the selections and the result each read them.
     """
-    joined = score_input(clustered, financial)
+    joined = folded_input(clustered, financial)
     pnb = available_pnb(joined, settings)
     if not pnb:
         raise ValueError("financial data holds none of the revenue columns")

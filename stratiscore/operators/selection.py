@@ -5,6 +5,10 @@ put a large part of the data into one task. Groups whose counted size fits a tas
 way. For larger ones a sketch first brackets the wanted rank, the rows outside the bracket are only
 counted, and the few inside it are ordered. The bracket is checked against the counts and opened
 wherever it misses, so the result is exact either way.
+
+A row may stand for several equal ones: ``weight`` names the column with their number. Ranks,
+counts and quotas then count the rows it stands for, and a row at the border is kept for the part
+of them that still belongs to the selection.
 """
 
 from __future__ import annotations
@@ -19,6 +23,9 @@ from stratiscore.sources.staging import SmallTable, Workspace
 
 _HASH_DIGITS = 4
 _ONE_GROUP = "_all_rows"
+_EACH_ONCE = "1"
+# In the sketch, which only narrows the search, a row counts for at most so many.
+_SKETCH_COPIES = 64
 
 
 @dataclass(frozen=True)
@@ -56,6 +63,7 @@ def group_quantiles(
     quantiles: list[Position],
     largest_group: int,
     workspace: Workspace,
+    weight: str = _EACH_ONCE,
 ) -> SmallTable:
     """One row per group with the wanted quantiles. The columns must not hold NULL or NaN."""
     if largest_group <= workspace.settings.group_rows_in_task:
@@ -63,17 +71,21 @@ def group_quantiles(
         columns = list(dict.fromkeys(q.column for q in quantiles))
         shares = {c: [q.share for q in quantiles if q.column == c] for c in columns}
         exact = [
-            F.expr(f"percentile({c}, array({', '.join(f'{p}D' for p in shares[c])})) as _{c}")
+            F.expr(f"percentile({c}, array({', '.join(f'{p}D' for p in shares[c])}), {weight}) as _{c}")
             for c in columns
         ]
         picked = [f"_{q.column}[{shares[q.column].index(q.share)}] as {q.name}" for q in quantiles]
         found = df.groupBy(group).agg(*exact).selectExpr(group, *picked)
         return workspace.small(found, "quantiles")
-    return bracketed_positions(df, group, quantiles, workspace)
+    return bracketed_positions(df, group, quantiles, workspace, weight)
 
 
 def bracketed_positions(
-    df: DataFrame, group: str, positions: list[Position], workspace: Workspace
+    df: DataFrame,
+    group: str,
+    positions: list[Position],
+    workspace: Workspace,
+    weight: str = _EACH_ONCE,
 ) -> SmallTable:
     """One row per group with the values at the wanted positions, for groups of any size."""
     accuracy = workspace.settings.sketch_accuracy
@@ -84,18 +96,28 @@ def bracketed_positions(
         low, high = max(p.share - margin, 0.0), min(p.share + margin, 1.0)
         return f"percentile_approx({p.column}, array({low}D, {high}D), {accuracy})"
 
+    sketched, first = df, "true"
+    if weight != _EACH_ONCE:
+        columns = list(dict.fromkeys([group, *[p.column for p in positions], weight]))
+        copies = f"sequence(1, cast(least({weight}, {_SKETCH_COPIES}) as int))"
+        sketched, first = df.selectExpr(*columns, f"explode({copies}) as _copy"), "_copy = 1"
     sketch = workspace.small(
-        df.groupBy(group).agg(
-            F.expr("count(*) as n"), *[F.expr(f"{bracket(p)} as bracket_{i}") for i, p in numbered]
+        sketched.groupBy(group).agg(
+            F.expr(f"sum(if({first}, {weight}, 0)) as n"),
+            *[F.expr(f"{bracket(p)} as bracket_{i}") for i, p in numbered],
         ),
         "sketch",
     )
+
+    def total(condition: str, name: str) -> Column:
+        return F.expr(f"sum(if({condition}, {weight}, 0)) as {name}")
+
     counts = (
         sketch.attach(df, [group], "inner")
         .groupBy(group)
         .agg(
-            *[F.expr(f"count_if({p.column} < bracket_{i}[0]) as below_{i}") for i, p in numbered],
-            *[F.expr(f"count_if({p.column} <= bracket_{i}[1]) as upto_{i}") for i, p in numbered],
+            *[total(f"{p.column} < bracket_{i}[0]", f"below_{i}") for i, p in numbered],
+            *[total(f"{p.column} <= bracket_{i}[1]", f"upto_{i}") for i, p in numbered],
         )
     )
 
@@ -118,7 +140,7 @@ def bracketed_positions(
         f"if((range_{i}.low is null or {p.column} >= range_{i}.low) and "
         f"(range_{i}.high is null or {p.column} <= range_{i}.high), "
         f"struct({i} as position, cast({p.column} as double) as value, range_{i}.first as first, "
-        f"range_{i}.last as last, range_{i}.at as at), null)"
+        f"range_{i}.last as last, range_{i}.at as at, {weight} as weight), null)"
         for i, p in numbered
     )
     ascending = (
@@ -128,7 +150,7 @@ def bracketed_positions(
         bounds.attach(df, [group], "inner")
         .selectExpr(group, f"inline(filter(array({inside}), c -> c is not null))")
         .groupBy(group, "position", "first", "last", "at", "value")
-        .count()
+        .agg(F.sum("weight").alias("count"))
         .withColumn("seen", F.sum("count").over(ascending))
         .groupBy(group, "position", "at")
         .agg(
@@ -155,25 +177,26 @@ def top_rows(
     sizes: SmallTable,
     largest_group: int,
     workspace: Workspace,
+    weight: str = _EACH_ONCE,
 ) -> DataFrame:
     """The top share of each group by score.
 
     Ties go by the hash of ``tie_key`` and then by ``tie_columns``. ``sizes`` holds the group and
-    its row count ``n``.
+    its row count ``n``, which counts a row ``weight`` times.
     """
     hashed = df.selectExpr("*", f"{_hash_of(tie_key)} as _hash")
     if largest_group <= workspace.settings.group_rows_in_task:
         order = W.partitionBy(group).orderBy(F.desc(score), "_hash", *_nulls_last(tie_columns))
-        ranked = sizes.attach(hashed.withColumn("_place", F.row_number().over(order)), [group])
-        return ranked.filter(f"_place <= {top_count(share)}").drop("_place", "_hash", "n")
+        ranked = sizes.attach(_with_places(hashed, order, weight), [group])
+        return _within(ranked, top_count(share), weight).drop("_hash", "n")
 
     threshold = bracketed_positions(
-        df, group, [top_threshold("_threshold", score, share)], workspace
+        df, group, [top_threshold("_threshold", score, share)], workspace, weight
     )
     above = (
         threshold.attach(df, [group], "inner")
         .groupBy(group, "_threshold")
-        .agg(F.expr(f"count_if({score} > _threshold) as above"))
+        .agg(F.expr(f"sum(if({score} > _threshold, {weight}, 0)) as above"))
     )
     quota = workspace.small(
         above.join(sizes.df, group).selectExpr(
@@ -184,11 +207,27 @@ def top_rows(
     placed = quota.attach(hashed, [group], "inner").drop("_quota")
     tied = placed.filter(f"{score} = _threshold")
     kept = placed.filter(f"{score} > _threshold").unionByName(
-        _first_by_hash(tied, group, quota, tie_columns, workspace)
+        _first_by_hash(tied, group, quota, tie_columns, workspace, weight)
     )
     return kept.drop("_hash", "_threshold")
 
 
+def _with_places(df: DataFrame, order: W, weight: str) -> DataFrame:
+    """Rows with ``_place``: how many rows the ones up to and with it stand for."""
+    if weight == _EACH_ONCE:
+        return df.withColumn("_place", F.row_number().over(order))
+    running = order.rowsBetween(W.unboundedPreceding, 0)
+    return df.withColumn("_place", F.sum(weight).over(running))
+
+
+def _within(ranked: DataFrame, limit: str, weight: str) -> DataFrame:
+    """Rows up to a limit by ``_place``; the row at the border for the part up to it."""
+    if weight == _EACH_ONCE:
+        return ranked.filter(f"_place <= {limit}").drop("_place")
+    part = F.expr(f"least({weight}, {limit} - (_place - {weight}))")
+    return ranked.withColumn(weight, part).filter(f"{weight} > 0").drop("_place")
+
+
 def _hash_of(key: str) -> str:
     """A missing key hashes like an empty one, so that both ways place its rows alike."""
     return f"md5(coalesce({key}, ''))"
@@ -216,7 +255,12 @@ def sample_by_hash(
 
 
 def _first_by_hash(
-    df: DataFrame, group: str, quota: SmallTable, tie_columns: list[str], workspace: Workspace
+    df: DataFrame,
+    group: str,
+    quota: SmallTable,
+    tie_columns: list[str],
+    workspace: Workspace,
+    weight: str = _EACH_ONCE,
 ) -> DataFrame:
     """The first ``_quota`` rows of each group by ``_hash``.
 
@@ -226,7 +270,7 @@ def _first_by_hash(
     bucket = f"cast(conv(substring(_hash, 1, {_HASH_DIGITS}), 16, 10) as int)"
     rows = df.selectExpr("*", f"{bucket} as _bucket")
     ascending = W.partitionBy(group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
-    histogram = rows.groupBy(group, "_bucket").count()
+    histogram = rows.groupBy(group, "_bucket").agg(F.expr(f"sum({weight}) as count"))
     running = histogram.withColumn("seen", F.sum("count").over(ascending))
     cut = workspace.small(
         quota.derive(group, "_quota")
@@ -241,11 +285,6 @@ def _first_by_hash(
     )
     placed = cut.attach(rows, [group], "inner")
     order = W.partitionBy(group).orderBy("_hash", *_nulls_last(tie_columns))
-    edge = (
-        placed.filter("_bucket = _cut")
-        .withColumn("_place", F.row_number().over(order))
-        .filter("_place <= _left")
-        .drop("_place")
-    )
+    edge = _within(_with_places(placed.filter("_bucket = _cut"), order, weight), "_left", weight)
     whole = placed.filter("_cut is null or _bucket < _cut")
     return whole.unionByName(edge).drop("_bucket", "_cut", "_left")

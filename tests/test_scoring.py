@@ -127,6 +127,42 @@ def test_clients_with_several_note_rows(spark):
     assert result.filter(f"{ID} = 'c00010'").count() == 2
 
 
+@pytest.mark.parametrize("in_task", [1_000_000, 1])
+def test_repeated_clients_cost_one_row_each_until_the_result(spark, in_task):
+    """Clients that come m times with m note rows: results as if all m x m rows had been scored."""
+    clustered, financial = inputs(120)
+    several = [f"c{i:05d}" for i in range(0, 120, 3)]
+    extra = [financial[financial[ID].isin(several)].assign(CD_NOTE_POIDS_UNVRS=7 + i, PNB_COLL=i) for i in (1, 2)]
+    financial = pd.concat([financial, *extra])
+    repeats = clustered[clustered[ID].isin(several)]
+    run = pd.concat([clustered, repeats, repeats])
+    settings = Settings(group_rows_in_task=in_task, sketch_accuracy=50)
+    steps = scoring.scoring_steps(
+        *map(spark.createDataFrame, (run, financial)), settings, Workspace(spark, settings)
+    )
+    known = set(clustered[clustered[CLUSTER_GLOBAL] != "NON_CLUSTERED"][ID])
+    assert steps.prepared.count() == financial[ID].isin(known).sum()
+    found = steps.result().toPandas()
+    assert scoring.REPEATS not in found.columns
+    # Note rows of a client differ in their notes, so that the plain way can tell them apart.
+    expected = plain_scores(run, financial)
+    columns = [ID, "CD_NOTE_POIDS_UNVRS", "CLIENT_SCORE", "TOTAL_POTENTIAL", "SEGMENT_FINAL"]
+    order = [ID, "CD_NOTE_POIDS_UNVRS"]
+    found, expected = (d[columns].sort_values(order).reset_index(drop=True) for d in (found, expected))
+    assert len(found) == len(expected) > len(financial)
+    for c in columns[1:]:
+        assert np.allclose(found[c].astype(float), expected[c].astype(float), atol=1e-9), c
+
+
+def test_rows_of_the_input_are_all_there(spark):
+    clustered, financial = inputs(30)
+    twice = pd.concat([clustered, clustered.tail(4)])
+    frames = map(spark.createDataFrame, (twice, pd.concat([financial, financial])))
+    rows = scoring.score_input(*frames).toPandas()
+    known = twice[twice[CLUSTER_GLOBAL] != "NON_CLUSTERED"]
+    assert rows[ID].value_counts().to_dict() == (2 * known[ID].value_counts()).to_dict()
+
+
 def flat(spark, **values):
     clustered = pd.DataFrame({ID: ["a", "b"], CLUSTER_GLOBAL: "x_C0"})
     financial = pd.DataFrame({ID: ["a", "b"], **{c: [5.0, 5.0] for c in PNB_COLUMNS}, **values})

@@ -125,3 +125,40 @@ def test_samples_with_missing_keys_are_the_same_both_ways(spark, n):
         sample = sample_by_hash(df, "concat(id, '42')", n, ["id", "v"], Workspace(spark, settings))
         found.append(sorted(map(str, sample.collect())))
     assert found[0] == found[1] and len(found[0]) == min(n, 200)
+
+
+def weighted_frame(kind):
+    """Rows with the number of equal rows each stands for, and those rows."""
+    rng = np.random.default_rng(11)
+    data = frame(kind, 700)
+    data["w"] = np.where(rng.random(len(data)) < 0.1, rng.integers(1, 300, len(data)), rng.integers(1, 4, len(data)))
+    return data, data.loc[data.index.repeat(data.w)].reset_index(drop=True)
+
+
+@pytest.mark.parametrize("kind", ["uniform", "mostly_tied", "negative"])
+@pytest.mark.parametrize("in_task, accuracy", [(10**9, 10_000), (1, 20), (1, 10_000)])
+def test_weighted_quantiles_are_those_of_repeated_rows(spark, kind, in_task, accuracy):
+    data, rows = weighted_frame(kind)
+    wanted = [quantile(f"q{i}", "x", share) for i, share in enumerate(SHARES)]
+    workspace = Workspace(spark, Settings(group_rows_in_task=in_task, sketch_accuracy=accuracy))
+    found = group_quantiles(spark.createDataFrame(data), "g", wanted, len(rows), workspace, "w")
+    expected = rows.groupby("g")["x"].quantile(list(SHARES)).unstack()
+    assert {r["g"] for r in found.rows} == set(expected.index)
+    for row in found.rows:
+        got = [row[f"q{i}"] for i in range(len(SHARES))]
+        assert got == pytest.approx(expected.loc[row["g"]].tolist(), rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["uniform", "mostly_tied", "flat"])
+@pytest.mark.parametrize("in_task", [1, 10**9])
+def test_weighted_top_share_is_that_of_repeated_rows(spark, kind, in_task):
+    data, rows = weighted_frame(kind)
+    df = spark.createDataFrame(data)
+    workspace = Workspace(spark, Settings(group_rows_in_task=in_task, sketch_accuracy=100))
+    sizes = workspace.small(df.groupBy("g").agg({"w": "sum"}).toDF("g", "n"), "sizes")
+    top = top_rows(df, "g", "x", 0.25, "id", ["id"], sizes, sizes.largest("n"), workspace, "w")
+    assert set(top.columns) == set(df.columns)
+    rows = rows.assign(h=[hashlib.md5(i.encode()).hexdigest() for i in rows.id])
+    rows = rows.sort_values(["x", "h"], ascending=[False, True])
+    kept = pd.concat([g.head(max(1, int(len(g) * 0.25))) for _, g in rows.groupby("g")])
+    assert {r["id"]: r["w"] for r in top.collect()} == kept.id.value_counts().to_dict()
