@@ -44,18 +44,27 @@ FINANCIAL_DOUBLES = (
 FINANCIAL_INTEGERS = ("frequency", "recency")
 
 
-def _preferred(value: str, ranks: dict[str, int], other: int) -> str:
-    """Aggregate: the value of best rank; ties go to the smallest value, NULL last."""
+def _ranked(value: str, ranks: dict[str, int], other: int) -> str:
+    """A code in its order of preference; ties go to the smallest value, NULL last."""
     cases = " ".join(f"when {text(code)} then {rank}" for code, rank in ranks.items())
     rank = f"case {value} {cases} else {other} end"
-    return f"min(struct({rank} as rank, {value} is null as empty, {value} as v)).v"
+    return f"struct({rank} as rank, {value} is null as empty, {value} as v)"
 
 
-HOUSING = _preferred("trim(CD_OCC_LGT)", HOUSING_RANK, HOUSING_RANK_OTHER)
-FAMILY = _preferred("CDSIFA", FAMILY_RANK, FAMILY_RANK_OTHER)
-OCCUPATION = _preferred("cast(CDPCSP as string)", OCCUPATION_RANK, OCCUPATION_RANK_OTHER)
-OCCUPATION = f"substring(lpad({OCCUPATION}, 2, '0'), 1, 1)"
-CODES = {"CD_OCC_LGT": HOUSING, "CDSIFA": FAMILY, "CDPCSP": OCCUPATION}
+# Of each code: its order, whose minimum is the preferred one, and the value that is kept of it.
+_CODE_ORDER = {
+    "CD_OCC_LGT": _ranked("trim(CD_OCC_LGT)", HOUSING_RANK, HOUSING_RANK_OTHER),
+    "CDSIFA": _ranked("CDSIFA", FAMILY_RANK, FAMILY_RANK_OTHER),
+    "CDPCSP": _ranked("cast(CDPCSP as string)", OCCUPATION_RANK, OCCUPATION_RANK_OTHER),
+}
+
+
+def _code_value(name: str, best: str) -> str:
+    return f"substring(lpad({best}.v, 2, '0'), 1, 1)" if name == "CDPCSP" else f"{best}.v"
+
+
+CODES = {name: _code_value(name, f"min({order})") for name, order in _CODE_ORDER.items()}
+HOUSING, FAMILY, OCCUPATION = CODES["CD_OCC_LGT"], CODES["CDSIFA"], CODES["CDPCSP"]
 CODE_DEFAULTS = {
     "CD_OCC_LGT": DEFAULT_HOUSING,
     "CDSIFA": DEFAULT_FAMILY,
@@ -92,10 +101,13 @@ def occupation_priority(clients: DataFrame) -> DataFrame:
     return _aggregate(clients, [ID], {"CDPCSP": OCCUPATION})
 
 
-def _core_aggregates(settings: Settings) -> dict[str, str]:
+def _largest_counts(settings: Settings) -> dict[str, str]:
     eligible = _eligible(settings)
-    largest = {c: f"cast(max(if({eligible}, {c}, null)) as int)" for c in CORE_INTEGERS}
-    return {**largest, **CODES}
+    return {c: f"cast(max(if({eligible}, {c}, null)) as int)" for c in CORE_INTEGERS}
+
+
+def _core_aggregates(settings: Settings) -> dict[str, str]:
+    return {**_largest_counts(settings), **CODES}
 
 
 def _core_columns() -> list[str]:
@@ -149,18 +161,59 @@ def client_profile(clients: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+_REVENUE = {
+    "PNB_ASSU": "sum(MT_PNB_ASSU_AGLS)",
+    "PNB_COLL": "sum(MT_PNB_COLCT_AGLS)",
+    "PNB_CRED": "sum(MT_PNB_CRED_AGLS) + sum(MT_PNB_ADI_AGLS)",
+    "PNB_SERV": "sum(MT_PNB_SERV_FACTN_AGLS)",
+}
+
+
 def pnb_by_client(clients: DataFrame) -> DataFrame:
     """Revenue by client and combination of notes; credit is NULL when either part is."""
-    return _aggregate(
-        clients,
-        [ID, *NOTE_COLUMNS],
-        {
-            "PNB_ASSU": "sum(MT_PNB_ASSU_AGLS)",
-            "PNB_COLL": "sum(MT_PNB_COLCT_AGLS)",
-            "PNB_CRED": "sum(MT_PNB_CRED_AGLS) + sum(MT_PNB_ADI_AGLS)",
-            "PNB_SERV": "sum(MT_PNB_SERV_FACTN_AGLS)",
-        },
-    )
+    return _aggregate(clients, [ID, *NOTE_COLUMNS], _REVENUE)
+
+
+class ClientStates:
+    """All that is read of the client table, from one scan: profiles, both their parts, revenue.
+
+    The table is aggregated by client and combination of notes. Such a group holds its revenue, and
+    minima and maxima that go on to be aggregated by client: few rows for each client, however many
+    it has in the table. ``states`` is read several times, so it should be staged.
+    """
+
+    def __init__(self, states: DataFrame):
+        self.states = states
+
+    @staticmethod
+    def aggregate(clients: DataFrame, settings: Settings) -> DataFrame:
+        codes = {f"_{name}": f"min({order})" for name, order in _CODE_ORDER.items()}
+        wanted = {**_REVENUE, **_largest_counts(settings), **codes, "_org": _org_pick()}
+        return _aggregate(clients, [ID, *NOTE_COLUMNS], wanted)
+
+    def _by_client(self, with_core: bool, with_org: bool) -> DataFrame:
+        wanted = {}
+        if with_core:
+            wanted |= {c: f"max({c})" for c in CORE_INTEGERS}
+            wanted |= {name: _code_value(name, f"min(_{name})") for name in _CODE_ORDER}
+        if with_org:
+            wanted["org"] = "min(_org)"
+        return _aggregate(self.states, [ID], wanted)
+
+    def core(self) -> DataFrame:
+        return self._by_client(True, False).filter("AGE is not null").selectExpr(*_core_columns())
+
+    def org(self) -> DataFrame:
+        known = self._by_client(False, True).filter(f"{ID} is not null")
+        return known.selectExpr(ID, *[f"org.{name}" for name in ORG_COLUMNS])
+
+    def profile(self) -> DataFrame:
+        org = [f"if({ID} is not null, org.{name}, null) as {name}" for name in ORG_COLUMNS]
+        grouped = self._by_client(True, True).filter("AGE is not null")
+        return grouped.selectExpr(*_core_columns(), *org)
+
+    def revenue(self) -> DataFrame:
+        return self.states.select(ID, *NOTE_COLUMNS, *_REVENUE)
 
 
 def savings_split(savings: DataFrame) -> DataFrame:
@@ -230,13 +283,13 @@ def rfm(accounts: DataFrame) -> DataFrame:
     return _aggregate(accounts, [ID], _ACTIVITY)
 
 
-def financial_extract(warehouse: Warehouse) -> DataFrame:
+def financial_extract(warehouse: Warehouse, revenue: DataFrame | None = None) -> DataFrame:
     """Revenue, wealth and account activity of every client known to any of them.
 
-    A full join of the three, as one aggregation: the few rows that each has for an id are
+    ``revenue`` by client and notes may have been read already. A full join of the three, as one aggregation: the few rows that each has for an id are
     collected and multiplied out. Ids without blanks and as written meet only here.
     """
-    revenue = pnb_by_client(warehouse.clients)
+    revenue = pnb_by_client(warehouse.clients) if revenue is None else revenue
     totals = account_totals(warehouse.accounts, warehouse.insurance_savings, warehouse.savings)
     pnb = ", ".join(c for c in revenue.columns if c != ID)
     tagged = revenue.selectExpr(ID, f"struct({pnb}) as pnb")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 from datetime import datetime
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,8 @@ class SegmentationPipeline:
         self.snapshots = SnapshotStore(spark, f"{self.store}/snapshots")
         self.history = RunHistory(spark, f"{self.store}/execution_history")
         self.workspace = Workspace(spark, self.settings)
+        self._states: extract.ClientStates | None = None
+        self._reading = Lock()  # steps that run together need the same scan
         self.metrics: dict = {}
         self.metadata: dict = {
             "start_time": self.started_at,
@@ -86,23 +89,27 @@ class SegmentationPipeline:
         period = period_of(self.started_at)
         return self.snapshots.read_through(dataset, build, period)
 
+    def client_states(self) -> extract.ClientStates:
+        """What the run reads of the client table, in one scan, when a step first needs it."""
+        with self._reading:
+            if self._states is None:
+                states = extract.ClientStates.aggregate(self.warehouse.clients, self.settings)
+                self._states = extract.ClientStates(self.workspace.stage(states, "client-states"))
+            return self._states
+
     def financial(self) -> DataFrame:
         """Finances, built once and read by extraction and scoring."""
         return self._snapshot(
-            "financial_data", lambda: extract.financial_extract(self.warehouse), "financial"
+            "financial_data",
+            lambda: extract.financial_extract(self.warehouse, self.client_states().revenue()),
+            "financial",
         )
 
     def _core(self) -> DataFrame:
-        return self._snapshot(
-            "core_data",
-            lambda: extract.core_extract(self.warehouse.clients, self.settings),
-            "core",
-        )
+        return self._snapshot("core_data", lambda: self.client_states().core(), "core")
 
     def _org(self) -> DataFrame:
-        return self._snapshot(
-            "organizational_data", lambda: extract.org_extract(self.warehouse.clients), "org"
-        )
+        return self._snapshot("organizational_data", lambda: self.client_states().org(), "org")
 
     def sources(self) -> tuple[DataFrame, DataFrame]:
         """Profiles and finances, extracted at the same time.
@@ -111,8 +118,7 @@ class SegmentationPipeline:
         each.
         """
         if self.mode == "prod":
-            profile = extract.client_profile(self.warehouse.clients, self.settings)
-            return profile, self.financial()
+            return self.client_states().profile(), self.financial()
         core, org, financial = self.workspace.together(
             self._core, self._org, self.financial
         )

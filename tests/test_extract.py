@@ -211,3 +211,38 @@ def test_finances_take_few_shuffles_and_one_scan_of_each_table(spark, tmp_path,
     plan = plan_of(extract.financial_extract(Warehouse.from_parquet(spark, str(tmp_path))))
     assert plan.count("Exchange hashpartitioning") <= 3
     assert plan.count("FileScan parquet") == 4 and "Join" not in plan
+
+
+def test_states_hold_all_that_is_read_of_the_clients(spark, plan_of):
+    """Profile, core, organisation and revenue from one aggregation are those of the table."""
+    fixture = Fixture(spark, "/root/testdata/sf0.001")
+    clients, settings = fixture.workspace.stage(fixture.warehouse.clients, "clients"), fixture.settings
+    aggregated = extract.ClientStates.aggregate(clients, settings)
+    assert plan_of(aggregated).count("FileScan") == 1
+    states = extract.ClientStates(fixture.workspace.stage(aggregated, "states"))
+    pairs = [
+        (states.core(), extract.core_extract(clients, settings)),
+        (states.org(), extract.org_extract(clients)),
+        (states.profile(), extract.client_profile(clients, settings)),
+        (states.revenue(), extract.pnb_by_client(clients)),
+    ]
+    for found, expected in pairs:
+        assert found.schema.simpleString() == expected.schema.simpleString()
+        assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_states_of_rows_without_id_or_age(source):
+    rows = [
+        client(None, AGE=50, CD_OCC_LGT="1", CDSIFA="Marié"), client("a", AGE=None, num_agence="7"),
+        client("a", AGE=20, CD_OCC_LGT="6", CDPCSP="3"), client("a", AGE=30, CD_OCC_LGT="1", CD_NOTE_MIRE="9"),
+        client("b", AGE=10, MT_PNB_CRED_AGLS=4.0),
+    ]
+    clients, settings = source("connaissance_client", *rows), Settings()
+    states = extract.ClientStates(extract.ClientStates.aggregate(clients, settings))
+    for found, expected in (
+        (states.core(), extract.core_extract(clients, settings)),
+        (states.org(), extract.org_extract(clients)),
+        (states.profile(), extract.client_profile(clients, settings)),
+        (states.revenue(), extract.pnb_by_client(clients)),
+    ):
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))

@@ -152,3 +152,44 @@ def test_shortcuts(fixture):
     assert extract_features(*args, "stratifie", 30).count() == 30
     labelled = extract_and_cluster(*args)
     assert CLUSTER_GLOBAL in labelled.columns and labelled.count() > 0
+
+
+def read_counter(spark, df):
+    """The frame, and a counter of the rows that jobs read from it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    staged = Workspace(spark).stage(df, "counted")
+    return staged.mapInArrow(count, staged.schema), seen, staged.count()
+
+
+@pytest.mark.parametrize("mode", ["test", "prod"])
+def test_the_client_table_is_read_once(fixture, tmp_path, mode):
+    """Profile, both snapshots and revenue come from one scan."""
+    clients, seen, n = read_counter(fixture.spark, fixture.view("connaissance_client"))
+    frames = {n: fixture.view(n) for n in ("baq", "epargne_assurance", "epargne")}
+    run = SegmentationPipeline(
+        fixture.spark, Warehouse.from_frames({"connaissance_client": clients, **frames}),
+        str(tmp_path), mode=mode, settings=fixture.settings, result_table=f"read_once_{mode}",
+    )
+    found = run.run()
+    assert seen.value == n
+    expected = pipeline(fixture, tmp_path / "other").run()
+    key = lambda r: (r[ID], r["CD_NOTE_POIDS_UNVRS"], r[CLUSTER_GLOBAL], r["CLIENT_SCORE"])
+    assert sorted(map(key, found.data.collect())) == sorted(map(key, expected.data.collect()))
+
+
+def test_snapshots_spare_the_client_table(fixture, tmp_path):
+    pipeline(fixture, tmp_path).run()
+    clients, seen, _ = read_counter(fixture.spark, fixture.view("connaissance_client"))
+    frames = {n: fixture.view(n) for n in ("baq", "epargne_assurance", "epargne")}
+    warehouse = Warehouse.from_frames({"connaissance_client": clients, **frames})
+    run = SegmentationPipeline(
+        fixture.spark, warehouse, str(tmp_path), mode="test", settings=fixture.settings
+    )
+    run.run()
+    assert seen.value == 0
