@@ -4,17 +4,24 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiscore.functions.cleaning import quoted
+from stratiscore.sources.files import delete, names_in
+from stratiscore.sources.pointer import Pointer
 from stratiscore.sources.staging import local_rows
 
 MONTH = "MOIS_ANNEE"
 RESULT_TABLE = "segmentation_clients_scoring"
 STATE_MONTHS = 5
 
+# Folders of a month inside the table, hidden from readers of the folder; the newest ones stay.
+_VERSIONS = "_versions"
+_KEPT_VERSIONS = 2
+
 
 def with_run_month(scored: DataFrame, moment: datetime) -> DataFrame:
     """Execution time and month; the month comes last, where a partition column belongs."""
@@ -30,35 +37,52 @@ def with_run_month(scored: DataFrame, moment: datetime) -> DataFrame:
 def persist_month(scored: DataFrame, table: str, moment: datetime) -> None:
     """Create the table, or replace this month in it. Other months are not touched.
 
-    Columns are matched by name. A table that lacks one of them is an error.
+    Columns are matched by name. A table that lacks one of them is an error. The month is written to
+    a folder of its own; then its partition, which is the catalog's pointer, moves there in one
+    step. A failure before that leaves the former month, and who reads it reads on: the folder
+    before the last one stays until the month is replaced again.
     """
     spark = scored.sparkSession
     dated = with_run_month(scored, moment)
     if not spark.catalog.tableExists(table):
-        dated.write.partitionBy(MONTH).format("parquet").saveAsTable(table)
-        return
-    wanted = spark.table(table).columns
-    if set(wanted) != set(dated.columns):
-        differing = sorted(set(wanted) ^ set(dated.columns))
+        dated.limit(0).write.mode("ignore").partitionBy(MONTH).format("parquet").saveAsTable(table)
+    stored = spark.table(table)
+    if set(stored.columns) != set(dated.columns):
+        differing = sorted(set(stored.columns) ^ set(dated.columns))
         raise ValueError(f"table {table} and result differ in columns {differing}")
-    kept = ", ".join(quoted(c) for c in wanted if c != MONTH)
-    # A named partition is replaced alone, whatever the session's overwrite mode.
-    spark.sql(
-        f"insert overwrite table {table} partition ({MONTH} = '{moment:%Y%m}') "
-        f"select {kept} from {{rows}}",
-        rows=dated,
-    )
+    month = f"{moment:%Y%m}"
+    types = {f.name: f.dataType.simpleString() for f in stored.schema if f.name != MONTH}
+    kept = [f"cast({quoted(c)} as {types[c]}) as {quoted(c)}" for c in types]
+    versions = f"{_table_location(spark, table)}/{_VERSIONS}/{MONTH}={month}"
+    folder = f"{versions}/{datetime.now():%Y%m%d%H%M%S%f}-{uuid4().hex}"
+    dated.selectExpr(*kept).write.parquet(folder)
+    partition = f"partition ({MONTH} = '{month}')"
+    # Adding does nothing where the month is known, then its place moves.
+    spark.sql(f"alter table {table} add if not exists {partition} location '{folder}'")
+    spark.sql(f"alter table {table} {partition} set location '{folder}'")
+    spark.catalog.refreshTable(table)
+    for old in names_in(spark, versions)[:-_KEPT_VERSIONS]:
+        delete(spark, f"{versions}/{old}")
+
+
+def _table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"describe formatted {table}").filter("col_name = 'Location'")
+    return rows.first()["data_type"].rstrip("/")
 
 
 def persist_month_files(scored: DataFrame, path: str, moment: datetime) -> None:
-    """The same for a folder of Parquet files."""
-    (
-        with_run_month(scored, moment)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
+    """The same for a folder with a state that names the files of each month."""
+    pointer = Pointer(scored.sparkSession, path)
+    folder = pointer.new_folder()
+    with_run_month(scored, moment).write.parquet(pointer.path(folder))
+    pointer.publish(lambda months: {**months, f"{moment:%Y%m}": {"folder": folder}})
+
+
+def read_month_files(spark: SparkSession, path: str) -> DataFrame | None:
+    """All months of such a folder, as one state names them."""
+    pointer = Pointer(spark, path)
+    months = pointer.entries()
+    return spark.read.parquet(*[pointer.path(m["folder"]) for m in months.values()]) if months else None
 
 
 def month_state(stored: DataFrame, n: int = STATE_MONTHS) -> DataFrame:

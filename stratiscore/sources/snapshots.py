@@ -7,9 +7,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from stratiscore.sources.files import delete, read_if_there
+from stratiscore.sources.files import delete, names_in, read_if_there
+from stratiscore.sources.pointer import Pointer
 from stratiscore.sources.staging import local_rows
 
 # Snapshot states.
@@ -21,25 +22,24 @@ ERROR = "CACHE_ERROR"
 
 DATASETS = ("core_data", "organizational_data", "financial_data", "processed_data")
 
-_REGISTER = "_registered"
-
 
 def period_of(moment: datetime) -> str:
     return moment.strftime("%Y%m")
 
 
 class SnapshotStore:
-    """Data sets under one folder, each partitioned by period.
+    """Data sets under one folder, each with snapshots by period.
 
-    A snapshot exists once its row in the register is written, which happens last.
+    A data set's pointer names the folder of each period. A snapshot is there, whole, from the
+    moment its state is published; a snapshot that is replaced can still be read to its end.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _path(self, dataset: str) -> str:
-        return f"{self.root}/{dataset}"
+    def _pointer(self, dataset: str) -> Pointer:
+        return Pointer(self.spark, f"{self.root}/{dataset}")
 
     def save(
         self, dataset: str, df: DataFrame, period: str, created_at: datetime | None = None
@@ -48,82 +48,64 @@ class SnapshotStore:
 
         Other periods stay. An empty frame leaves everything as it was.
         """
-        written = Observation()
-        self._write(
-            df.observe(written, F.expr("count(*) as n_rows")).withColumn("period", F.lit(period)),
-            dataset,
-            ["period"],
-        )
+        pointer = self._pointer(dataset)
+        folder, written = pointer.new_folder(), Observation()
+        df.observe(written, F.expr("count(*) as n_rows")).write.parquet(pointer.path(folder))
         n_rows = written.get["n_rows"]
         if not n_rows:
+            delete(self.spark, pointer.path(folder))
             return 0
-        entry = (period, created_at or datetime.now(), n_rows)
-        schema = "period string, created_at timestamp, n_rows bigint"
-        # Each data set writes to a folder of its own, so several may be saved at the same time.
-        self._write(
-            local_rows(self.spark, schema, [entry]), f"{_REGISTER}/dataset={dataset}", ["period"]
-        )
+        moment = created_at or datetime.now()
+        entry = {"folder": folder, "created_at": moment.isoformat(), "n_rows": n_rows}
+        pointer.publish(lambda entries: {**entries, period: entry})
         return n_rows
 
-    def _write(self, df: DataFrame, name: str, keys: list[str]) -> None:
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*keys)
-            .parquet(self._path(name))
-        )
-
     def register(self) -> DataFrame:
-        return self.spark.read.parquet(self._path(_REGISTER)).select(
-            "dataset", F.col("period").cast("string").alias("period"), "created_at", "n_rows"
+        rows = [
+            (dataset, period, entry["created_at"], entry["n_rows"])
+            for dataset in names_in(self.spark, self.root)
+            for period, entry in (self._pointer(dataset).entries() or {}).items()
+        ]
+        schema = "dataset string, period string, created_at string, n_rows bigint"
+        return local_rows(self.spark, schema, rows).withColumn(
+            "created_at", F.col("created_at").cast("timestamp")
         )
 
     def _read(self, dataset: str, period: str, schema: StructType | None = None) -> DataFrame:
+        pointer = self._pointer(dataset)
+        path = pointer.path((pointer.entries() or {})[period]["folder"])
         reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(StructType([*schema, StructField("period", StringType())]))
-        df = reader.parquet(self._path(dataset))
-        return df.filter(F.col("period").cast("string") == period).drop("period")
+        return (reader if schema is None else reader.schema(schema)).parquet(path)
 
     def status(self, dataset: str, period: str) -> str:
         try:
-            df = read_if_there(self.spark, self._path(dataset))
-            if df is None:
-                return NOT_FOUND
-            if "period" not in df.columns:
-                return OLD_FORMAT
-            register = read_if_there(self.spark, self._path(_REGISTER))
-            if register is None:
-                return NOT_FOUND
-            found = (
-                self.register()
-                .filter(F.col("dataset") == dataset)
-                .agg(
-                    F.max("period").alias("newest"),
-                    F.max(F.when(F.col("period") == period, 1)).alias("wanted"),
-                )
-                .first()
-            )
+            entries = self._pointer(dataset).entries()
+            if entries is None:
+                # Data that no state names was not written by a store of this kind.
+                found = read_if_there(self.spark, f"{self.root}/{dataset}")
+                return NOT_FOUND if found is None else OLD_FORMAT
         except Exception as error:  # the state names the failure, as callers expect
             return f"{ERROR}:{error}"
-        if found["newest"] is None:
+        if not entries:
             return NOT_FOUND
-        return VALID if found["wanted"] else f"{EXPIRED}:{found['newest']}"
+        return VALID if period in entries else f"{EXPIRED}:{max(entries)}"
 
     def load(self, dataset: str, period: str) -> tuple[DataFrame | None, str]:
         status = self.status(dataset, period)
         return (self._read(dataset, period) if status == VALID else None), status
 
     def invalidate(self, dataset: str, period: str) -> None:
-        """Drop one period of a data set, register row first."""
-        delete(self.spark, f"{self._path(_REGISTER)}/dataset={dataset}/period={period}")
-        delete(self.spark, f"{self._path(dataset)}/period={period}")
+        """Drop one period of a data set: first from its state, then its data."""
+        pointer = self._pointer(dataset)
+        entry = (pointer.entries() or {}).get(period)
+        if entry is not None:
+            pointer.publish(lambda entries: {p: e for p, e in entries.items() if p != period})
+            pointer.drop_folders({entry["folder"]})
 
     def clear(self, dataset: str | None = None) -> None:
-        """Drop one data set with its register rows, or all of them."""
+        """Drop one data set, or all of them."""
         for name in DATASETS if dataset is None else (dataset,):
-            delete(self.spark, f"{self._path(_REGISTER)}/dataset={name}")
-            delete(self.spark, self._path(name))
+            delete(self.spark, f"{self.root}/{name}")
 
     def read_through(
         self,
