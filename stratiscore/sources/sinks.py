@@ -39,8 +39,8 @@ def persist_month(scored: DataFrame, table: str, moment: datetime) -> None:
 
     Columns are matched by name. A table that lacks one of them is an error. The month is written to
     a folder of its own; then its partition, which is the catalog's pointer, moves there in one
-    step. A failure before that leaves the former month, and who reads it reads on: the folder
-    before the last one stays until the month is replaced again.
+    step. A failure before that leaves the former month, and who reads it reads on: the former
+    folder stays until the month is replaced again.
     """
     spark = scored.sparkSession
     dated = with_run_month(scored, moment)
@@ -53,21 +53,29 @@ def persist_month(scored: DataFrame, table: str, moment: datetime) -> None:
     month = f"{moment:%Y%m}"
     types = {f.name: f.dataType.simpleString() for f in stored.schema if f.name != MONTH}
     kept = [f"cast({quoted(c)} as {types[c]}) as {quoted(c)}" for c in types]
-    versions = f"{_table_location(spark, table)}/{_VERSIONS}/{MONTH}={month}"
+    versions = f"{_location(spark, table)}/{_VERSIONS}/{MONTH}={month}"
     folder = f"{versions}/{datetime.now():%Y%m%d%H%M%S%f}-{uuid4().hex}"
-    dated.selectExpr(*kept).write.parquet(folder)
+    try:
+        dated.selectExpr(*kept).write.parquet(folder)
+    except Exception:
+        delete(spark, folder)
+        raise
     partition = f"partition ({MONTH} = '{month}')"
-    # Adding does nothing where the month is known, then its place moves.
-    spark.sql(f"alter table {table} add if not exists {partition} location '{folder}'")
+    if spark.sql(f"show partitions {table} {partition}").isEmpty():
+        spark.sql(f"alter table {table} add if not exists {partition} location '{folder}'")
+    former = _location(spark, f"{table} {partition}")
     spark.sql(f"alter table {table} {partition} set location '{folder}'")
     spark.catalog.refreshTable(table)
-    for old in names_in(spark, versions)[:-_KEPT_VERSIONS]:
-        delete(spark, f"{versions}/{old}")
+    # Names begin with their time: what is older than the former folder has no reader left to wait for.
+    for name in names_in(spark, versions):
+        if name < former.rsplit("/", 1)[-1] and former.startswith(versions):
+            delete(spark, f"{versions}/{name}")
 
 
-def _table_location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"describe formatted {table}").filter("col_name = 'Location'")
-    return rows.first()["data_type"].rstrip("/")
+def _location(spark: SparkSession, named: str) -> str:
+    """Folder of a table or of one of its partitions."""
+    rows = spark.sql(f"describe formatted {named}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
 
 
 def persist_month_files(scored: DataFrame, path: str, moment: datetime) -> None:

@@ -349,7 +349,7 @@ def test_a_month_is_replaced_at_once(spark, plan_of):
     for n in (8, 7, 6):
         sinks.persist_month(first.limit(n), table, datetime(2025, 1, 3))
     assert spark.table(table).count() == 6
-    location = sinks._table_location(spark, table).removeprefix("file:")
+    location = sinks._location(spark, table).removeprefix("file:")
     assert len(glob.glob(f"{location}/_versions/MOIS_ANNEE=202501/*")) == 2
     sinks.persist_month(first.limit(4), table, datetime(2025, 2, 3))
     assert {r["MOIS_ANNEE"]: r["total"] for r in sinks.month_state(spark.table(table)).collect()} == {
