@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stratiscore.config import ID, NOTE_COLUMNS, Settings
 from stratiscore.functions.cleaning import text
-from stratiscore.operators.selection import sample_by_hash
+from stratiscore.operators.selection import hash_of, sample_by_hash
 from stratiscore.sources.staging import Workspace
 from stratiscore.sources.warehouse import Warehouse
 
@@ -328,8 +328,39 @@ def all_data(profile: DataFrame, financial: DataFrame) -> DataFrame:
     return profile.join(financial, ID, "left")
 
 
+def _sample_key(id_column: str, seed: int) -> str:
+    return f"concat({id_column}, '{seed}')"
+
+
 def sample_n(df: DataFrame, n: int | None, seed: int, workspace: Workspace) -> DataFrame:
     """Exactly min(n, rows) rows, the same ones on every run; the default size without ``n``."""
     n = workspace.settings.default_sample_size if n is None else n
     ties = [name for name in NOTE_COLUMNS if name in df.columns]
-    return sample_by_hash(df, f"concat({ID}, '{seed}')", n, [ID, *ties], workspace)
+    return sample_by_hash(df, _sample_key(ID, seed), n, [ID, *ties], workspace)
+
+
+def sample_condition(eligible: DataFrame, n: int | None, seed: int, workspace: Workspace) -> str:
+    """A condition on ids that all clients of a sample of ``n`` rows meet, and few others.
+
+    ``eligible`` has the ids of the clients to sample from. A sample takes rows by the hash of their
+    id, and each client has at least one row: none lies beyond the hash of the n-th id. Accounts
+    meet clients as written or without trailing blanks, so either form will do.
+    """
+    n = workspace.settings.default_sample_size if n is None else n
+    first = sample_by_hash(eligible.select(ID).distinct(), _sample_key(ID, seed), n, [ID], workspace)
+    last = first.agg(F.expr(f"max({hash_of(_sample_key(ID, seed))})")).first()[0]
+    if last is None:
+        return "false"
+    forms = (hash_of(_sample_key(form, seed)) for form in (ID, f"rtrim({ID})"))
+    return " or ".join(f"{form} <= '{last}'" for form in forms)
+
+
+def sampled_warehouse(
+    warehouse: Warehouse, n: int | None, seed: int, settings: Settings, workspace: Workspace
+) -> Warehouse:
+    """The source rows that a sample of ``n`` rows of the full extraction can need.
+
+    Extraction from it aggregates these rows only; a sample of it is that of the full extraction.
+    """
+    eligible = warehouse.clients.filter(_eligible(settings))
+    return warehouse.where(sample_condition(eligible, n, seed, workspace))

@@ -184,7 +184,7 @@ def top_rows(
     Ties go by the hash of ``tie_key`` and then by ``tie_columns``. ``sizes`` holds the group and
     its row count ``n``, which counts a row ``weight`` times.
     """
-    hashed = df.selectExpr("*", f"{_hash_of(tie_key)} as _hash")
+    hashed = df.selectExpr("*", f"{hash_of(tie_key)} as _hash")
     if largest_group <= workspace.settings.group_rows_in_task:
         order = W.partitionBy(group).orderBy(F.desc(score), "_hash", *_nulls_last(tie_columns))
         ranked = sizes.attach(_with_places(hashed, order, weight), [group])
@@ -228,7 +228,7 @@ def _within(ranked: DataFrame, limit: str, weight: str) -> DataFrame:
     return ranked.withColumn(weight, part).filter(f"{weight} > 0").drop("_place")
 
 
-def _hash_of(key: str) -> str:
+def hash_of(key: str) -> str:
     """A missing key hashes like an empty one, so that both ways place its rows alike."""
     return f"md5(coalesce({key}, ''))"
 
@@ -241,7 +241,7 @@ def sample_by_hash(
     df: DataFrame, key: str, n: int, tie_columns: list[str], workspace: Workspace
 ) -> DataFrame:
     """Exactly min(n, rows) rows: those of smallest hash of ``key``."""
-    hashed = df.selectExpr("*", f"{_hash_of(key)} as _hash")
+    hashed = df.selectExpr("*", f"{hash_of(key)} as _hash")
     if n <= workspace.settings.small_table_rows:
         return hashed.orderBy("_hash", *_nulls_last(tie_columns)).limit(n).drop("_hash")
     rows = hashed.withColumn(_ONE_GROUP, F.lit(0))

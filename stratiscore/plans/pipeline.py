@@ -25,6 +25,7 @@ log = logging.getLogger(__name__)
 
 FORCED = "a new fit was asked for"
 NO_MODEL = "there is no model yet"
+_SNAPSHOTS = ("core_data", "organizational_data", "financial_data")
 
 
 @dataclass
@@ -100,16 +101,16 @@ class SegmentationPipeline:
     def financial(self) -> DataFrame:
         """Finances, built once and read by extraction and scoring."""
         return self._snapshot(
-            "financial_data",
+            _SNAPSHOTS[2],
             lambda: extract.financial_extract(self.warehouse, self.client_states().revenue()),
             "financial",
         )
 
     def _core(self) -> DataFrame:
-        return self._snapshot("core_data", lambda: self.client_states().core(), "core")
+        return self._snapshot(_SNAPSHOTS[0], lambda: self.client_states().core(), "core")
 
     def _org(self) -> DataFrame:
-        return self._snapshot("organizational_data", lambda: self.client_states().org(), "org")
+        return self._snapshot(_SNAPSHOTS[1], lambda: self.client_states().org(), "org")
 
     def sources(self) -> tuple[DataFrame, DataFrame]:
         """Profiles and finances, extracted at the same time.
@@ -124,11 +125,29 @@ class SegmentationPipeline:
         )
         return core.join(org, extract.ID, "left"), financial
 
+    def sampled_sources(self, n: int) -> tuple[DataFrame, DataFrame]:
+        """Profiles and finances of the clients that a sample of ``n`` rows can need.
+
+        They come from the snapshots of the period where all are there, else from those rows of the
+        source tables; snapshots are never made of a sample.
+        """
+        seed, period = self.settings.random_state, period_of(self.started_at)
+        loaded = [self.snapshots.load(name, period)[0] for name in _SNAPSHOTS]
+        if all(df is not None for df in loaded):
+            condition = extract.sample_condition(loaded[0], n, seed, self.workspace)
+            core, org, financial = (df.filter(condition) for df in loaded)
+            return core.join(org, extract.ID, "left"), financial
+        few = extract.sampled_warehouse(self.warehouse, n, seed, self.settings, self.workspace)
+        aggregated = extract.ClientStates.aggregate(few.clients, self.settings)
+        states = extract.ClientStates(self.workspace.stage(aggregated, "client-states"))
+        financial = extract.financial_extract(few, states.revenue())
+        return states.profile(), self.workspace.stage(financial, "financial")
+
     def extract_data(
         self, profile: DataFrame, financial: DataFrame, sample_size: int | None = None
     ) -> DataFrame:
         data = extract.all_data(profile, financial)
-        if self.mode == "test" and sample_size:
+        if sample_size:
             data = extract.sample_n(
                 data, sample_size, self.settings.random_state, self.workspace
             )
@@ -267,7 +286,8 @@ class SegmentationPipeline:
         return RunResult(scored, self.metrics, self.metadata)
 
     def _run(self, sample_size: int | None) -> DataFrame:
-        profile, financial = self.sources()
+        sample_size = sample_size if self.mode == "test" else None
+        profile, financial = self.sampled_sources(sample_size) if sample_size else self.sources()
         data = self.extract_data(profile, financial, sample_size)
         features = self.features(data)
         counted = features.agg(
@@ -374,6 +394,10 @@ def extract_data(
     sample_size: int | None = None,
 ) -> DataFrame:
     """Full extraction, or a sample of it."""
+    if sample_size:
+        warehouse = extract.sampled_warehouse(
+            warehouse, sample_size, settings.random_state, settings, workspace
+        )
     financial = extract.financial_extract(warehouse)
     data = extract.all_data(extract.client_profile(warehouse.clients, settings), financial)
     if sample_size:

@@ -53,9 +53,15 @@ CONTRACTS: dict[str, tuple[str, ...]] = {
 class Warehouse:
     """The four source tables, wherever they are kept. A missing table or column is an error."""
 
-    def __init__(self, read: Callable[[str], DataFrame], settings: Settings | None = None):
+    def __init__(
+        self,
+        read: Callable[[str], DataFrame],
+        settings: Settings | None = None,
+        condition: str | None = None,
+    ):
         self._read = read
         self._settings = settings or Settings()
+        self._condition = condition
 
     @classmethod
     def from_database(
@@ -86,7 +92,11 @@ class Warehouse:
         df = df.select(*CONTRACTS[name])
         if self._settings.normalize_ids:
             df = df.withColumn(ID, F.trim(F.col(ID)))
-        return df
+        return df if self._condition is None else df.filter(self._condition)
+
+    def where(self, condition: str) -> "Warehouse":
+        """The same tables with only the rows whose id meets a condition."""
+        return Warehouse(self._read, self._settings, condition)
 
     @property
     def clients(self) -> DataFrame:

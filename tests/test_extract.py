@@ -1,9 +1,11 @@
 """Extraction on hand-built rows."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratiscore.config import ID, NOTE_COLUMNS, Settings
 from stratiscore.operators import extract
+from stratiscore.sources.staging import Workspace
 from stratiscore.sources.warehouse import CONTRACTS, Warehouse
 from verification.fixture import Fixture
 
@@ -246,3 +248,56 @@ def test_states_of_rows_without_id_or_age(source):
         (states.revenue(), extract.pnb_by_client(clients)),
     ):
         assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+@pytest.mark.parametrize("n", [1, 7, 60, 10_000])
+@pytest.mark.parametrize("small", [5, 10_000])
+def test_samples_of_filtered_sources_are_samples_of_the_full_extraction(spark, n, small):
+    fixture = Fixture(spark, "/root/testdata/sf0.001")
+    settings = Settings(small_table_rows=small)
+    workspace = Workspace(spark, settings)
+    nobody = fixture.warehouse.clients.limit(3).withColumn(ID, F.lit(None).cast("string")).withColumn("AGE", F.lit(40))
+    blank = fixture.warehouse.clients.limit(9).withColumn(ID, F.concat(ID, F.lit("  "))).withColumn("AGE", F.lit(41))
+    clients = fixture.warehouse.clients.union(nobody).union(blank).withColumn("nb_majeur", F.lit(1))
+    frames = {"connaissance_client": workspace.stage(clients, "clients")}
+    for name in ("baq", "epargne_assurance", "epargne"):
+        frames[name] = fixture.view(name)
+    whole = Warehouse.from_frames(frames)
+    few = extract.sampled_warehouse(whole, n, 42, settings, workspace)
+    found, expected = (
+        extract.sample_n(
+            extract.all_data(extract.client_profile(w.clients, settings), extract.financial_extract(w)),
+            n, 42, workspace,
+        )
+        for w in (few, whole)
+    )
+    plain = lambda df: sorted(str(r) for r in df.selectExpr(*[
+        f"round({c}, 6) as {c}" if t == "double" else c for c, t in df.dtypes
+    ]).collect())
+    assert plain(found) == plain(expected)
+    if n == 7:
+        assert few.accounts.count() < whole.accounts.count() / 4
+
+
+def test_sources_of_a_sample_are_filtered_before_their_aggregation(spark, plan_of):
+    fixture = Fixture(spark, "/root/testdata/sf0.001")
+    workspace, settings = fixture.workspace, fixture.settings
+    frames = {n: workspace.stage(fixture.view(n), n) for n in CONTRACTS}
+    few = extract.sampled_warehouse(Warehouse.from_frames(frames), 20, 42, settings, workspace)
+    plan = plan_of(
+        extract.all_data(extract.client_profile(few.clients, settings), extract.financial_extract(few))
+    )
+    # Plans are printed from the last step to the first: below each filter there is only its scan.
+    scans = [i for i, line in enumerate(plan.splitlines()) if "FileScan" in line]
+    lines = plan.splitlines()
+    assert len(scans) == 5  # clients twice: profile and revenue
+    for i in scans:
+        above = [lines[j] for j in range(i - 1, 0, -1)]
+        step = next(line for line in above if "Filter" in line or "Aggregate" in line)
+        assert "Filter" in step and "md5" in step
+
+
+def test_nobody_to_sample(source, workspace):
+    tables = {name: source(name) for name in CONTRACTS}
+    few = extract.sampled_warehouse(Warehouse.from_frames(tables), 5, 42, Settings(), workspace)
+    assert few.clients.count() == 0

@@ -193,3 +193,16 @@ def test_snapshots_spare_the_client_table(fixture, tmp_path):
     )
     run.run()
     assert seen.value == 0
+
+
+def test_a_sample_needs_no_full_extraction(fixture, tmp_path):
+    """A trial run makes no snapshot, reads those that are there, and takes the same rows."""
+    settings = Settings(min_strata_size=2, min_cluster_size=1)
+    options = dict(mode="test", sample_size=40, settings=settings)
+    first = run_pipeline(fixture.spark, fixture.warehouse, f"{tmp_path}/a", **options)
+    assert not os.path.exists(f"{tmp_path}/a/snapshots")
+    run_pipeline(fixture.spark, fixture.warehouse, f"{tmp_path}/b", mode="dev", settings=settings)
+    second = run_pipeline(fixture.spark, fixture.warehouse, f"{tmp_path}/b", force_retrain=True, **options)
+    key = lambda r: (r[ID], r["CD_NOTE_POIDS_UNVRS"], r["PNB_TOTAL"])
+    assert sorted(map(key, first.data.collect())) == sorted(map(key, second.data.collect()))
+    assert first.metrics["extraction"]["n_rows"] == second.metrics["extraction"]["n_rows"] == 40
