@@ -74,10 +74,15 @@ class Workspace:
         beyond that it is staged and joined like any other table.
         """
         limit = self.settings.small_table_rows
-        table = df.limit(limit + 1).toArrow()
-        if table.num_rows <= limit:
-            return SmallTable(self.spark.createDataFrame(table, df.schema), table.to_pylist())
-        return SmallTable(self.stage(df, name), None)
+        # Kept while it is looked at, so that a table beyond the bound is not evaluated again.
+        seen = df.persist()
+        try:
+            table = seen.limit(limit + 1).toArrow()
+            if table.num_rows <= limit:
+                return SmallTable(self.spark.createDataFrame(table, df.schema), table.to_pylist())
+            return SmallTable(self.stage(seen, name), None)
+        finally:
+            seen.unpersist()
 
     def together(self, *actions: Callable[[], Any]) -> list:
         """Results of independent actions, whose Spark jobs then share the cluster."""

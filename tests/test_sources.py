@@ -371,3 +371,26 @@ def test_months_in_files(spark, tmp_path, monkeypatch):
     assert reading.count() == 3
     state = sinks.month_state(sinks.read_month_files(spark, path)).collect()
     assert {r["MOIS_ANNEE"]: r["total"] for r in state} == {"202501": 5, "202502": 4}
+
+
+@pytest.mark.parametrize("limit", [10, 100_000])
+def test_tables_are_evaluated_once_whether_small_or_not(spark, limit):
+    """An accumulator sees each input row once, below the bound and beyond it."""
+    workspace = Workspace(spark, Settings(small_table_rows=limit))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = workspace.stage(spark.range(5000, numPartitions=7), "rows")
+    table = workspace.small(rows.mapInArrow(count, rows.schema), "maybe small")
+    assert (table.rows is None) == (limit < 5000)
+    assert table.df.count() == 5000 and table.largest("id") == 4999
+    assert seen.value == 5000
+    grouped = workspace.small(
+        rows.mapInArrow(count, rows.schema).groupBy((F.col("id") % 900).alias("g")).count(), "grouped"
+    )
+    assert grouped.largest("count") == 6
+    assert seen.value == 10_000
