@@ -662,12 +662,40 @@ def transform(df: DataFrame, model: ClusterModel, mode: str) -> DataFrame:
     return assign(df, features, model.strata)
 
 
+def application_cells(df: DataFrame, model: ClusterModel) -> DataFrame:
+    """Everything that a report on new data needs of its rows, in one aggregation.
+
+    One row for each stratum, age and combination of features: ``strate``, ``age``, ``x`` and the
+    number of rows ``n``. Ages that are no numbers and rows of no stratum have cells, too.
+    """
+    require_columns(df, ["AGE"], "clustering input")
+    features = list(model.meta.first()["features"])
+    age = number_or_null(df, "AGE")
+    rows = df.selectExpr(
+        f"{stratum_of(age)} as {STRATE}", f"{age} as age", f"{_feature_array(features)} as x"
+    )
+    return rows.groupBy(STRATE, "age", "x").agg(F.expr("count(*) as n"))
+
+
+def cell_points(cells: DataFrame) -> DataFrame:
+    """The distinct points of each stratum, from cells."""
+    known = cells.filter(f"{STRATE} is not null")
+    return known.groupBy(STRATE, "x").agg(F.expr("sum(n) as n"))
+
+
 def application_silhouettes(
     df: DataFrame, model: ClusterModel, settings: Settings, workspace: Workspace
 ) -> DataFrame:
     """Silhouette of each stratum of new data under the model, beside that of its training."""
     features = list(model.meta.first()["features"])
-    points = workspace.small(stratum_points(assign_stratum(df), features), "new-points").df
+    return point_silhouettes(stratum_points(assign_stratum(df), features), model, settings, workspace)
+
+
+def point_silhouettes(
+    distinct: DataFrame, model: ClusterModel, settings: Settings, workspace: Workspace
+) -> DataFrame:
+    """The same from the distinct points of new data."""
+    points = workspace.small(distinct, "new-points").df
     scaled = scale_points(points, model.strata)
     labelled = workspace.small(label_points(scaled, model.strata), "new-labels").df
     found = silhouette_by_stratum(labelled, settings).select(STRATE, "silhouette", "n")

@@ -64,6 +64,10 @@ def coverage(labelled: DataFrame) -> DataFrame:
         F.expr("count(*) as total"),
         F.expr(f"count_if({CLUSTER_GLOBAL} != '{NON_CLUSTERED}') as clustered"),
     )
+    return _coverage_row(counts)
+
+
+def _coverage_row(counts: DataFrame) -> DataFrame:
     return counts.selectExpr(
         "total",
         "clustered",
@@ -72,15 +76,43 @@ def coverage(labelled: DataFrame) -> DataFrame:
     )
 
 
+def stratum_totals(cells: DataFrame, strata: DataFrame) -> DataFrame:
+    """Rows by stratum, of no stratum included, and whether the model clusters them."""
+    known = F.broadcast(strata.selectExpr(STRATE, "true as _known"))  # one row per stratum
+    totals = cells.groupBy(STRATE).agg(F.expr("sum(n) as n_clients"))
+    return totals.join(known, STRATE, "left").selectExpr(
+        STRATE, "n_clients", "_known is not null as clustered"
+    )
+
+
+def total_coverage(totals: DataFrame) -> DataFrame:
+    """``coverage`` from the totals of the strata."""
+    return _coverage_row(
+        totals.agg(
+            F.expr("coalesce(sum(n_clients), 0) as total"),
+            F.expr("coalesce(sum(if(clustered, n_clients, 0L)), 0) as clustered"),
+        )
+    )
+
+
 def active_strata(labelled: DataFrame, n: int = TOP_STRATA) -> DataFrame:
     """Strata holding most clustered rows."""
-    return (
+    counts = (
         labelled.filter(f"{CLUSTER_GLOBAL} != '{NON_CLUSTERED}'")
         .groupBy(CLUSTER_STRATE)
         .agg(F.expr("count(*) as n_clients"))
-        .orderBy(F.desc("n_clients"), CLUSTER_STRATE)
-        .limit(n)
     )
+    return _most(counts, n)
+
+
+def total_active_strata(totals: DataFrame, n: int = TOP_STRATA) -> DataFrame:
+    """``active_strata`` from the totals of the strata."""
+    named = totals.filter("clustered").selectExpr(f"{STRATE} as {CLUSTER_STRATE}", "n_clients")
+    return _most(named, n)
+
+
+def _most(counts: DataFrame, n: int) -> DataFrame:
+    return counts.orderBy(F.desc("n_clients"), CLUSTER_STRATE).limit(n)
 
 
 def model_report(drift: DataFrame, quality: DataFrame, covered: DataFrame) -> DataFrame:

@@ -59,6 +59,24 @@ def age_profile(df: DataFrame) -> DataFrame:
     )
 
 
+# Ages are counted from here in sums of squares, which keeps those small.
+_MIDDLE_AGE = 50
+
+
+def cell_age_profile(cells: DataFrame) -> DataFrame:
+    """The same row from cells: an ``age``, null where it is none, and its number of rows ``n``."""
+    off, valid = f"(age - {_MIDDLE_AGE}D)", "sum(if(age is null, 0L, n))"
+    squares = f"sum({off} * {off} * n) - sum({off} * n) * sum({off} * n) / {valid}"
+    return cells.agg(
+        F.expr("coalesce(sum(n), 0) as n_rows"),
+        F.expr("coalesce(sum(if(age is null, n, 0L)), 0) as invalid_ages"),
+        F.expr("min(age) as age_min"),
+        F.expr("max(age) as age_max"),
+        F.expr(f"try_divide(sum(age * n), {valid}) as age_mean"),
+        F.expr(f"if({valid} > 1, sqrt(greatest({squares}, 0D) / ({valid} - 1)), null) as age_std"),
+    )
+
+
 def check_age_profile(profile: dict) -> None:
     """Fail on inputs that cannot be split by age."""
     if not profile["n_rows"]:

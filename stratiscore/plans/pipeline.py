@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stratiscore.config import MODES, Settings, check_clustering_mode
 from stratiscore.operators import clustering, extract, monitoring, scoring
 from stratiscore.operators.features import feature_table
-from stratiscore.operators.strata import age_profile
+from stratiscore.operators.strata import cell_age_profile
 from stratiscore.sources import sinks
 from stratiscore.sources.files import is_unreadable
 from stratiscore.sources.model_store import ModelNotFound, ModelStore, RunHistory
@@ -219,30 +219,37 @@ class SegmentationPipeline:
         quality = clustering.quality_metrics(model.strata)
         self.metrics["clustering"] = quality.first().asDict()
         if self.metadata["model_action"] == "reused":
-            self.metrics["model_report"] = self.report_reuse(features, labelled, model)
+            self.metrics["model_report"] = self.report_reuse(features, model)
         if self.clustering_mode == "global":
             labelled = labelled.drop("AGE")
         return labelled
 
-    def report_reuse(
-        self, features: DataFrame, labelled: DataFrame, model: clustering.ClusterModel
-    ) -> dict:
-        """Drift, coverage, alerts and decision summary of a reused model on new data."""
+    def report_reuse(self, features: DataFrame, model: clustering.ClusterModel) -> dict:
+        """Drift, coverage, alerts and decision summary of a reused model on new data.
+
+        The rows are read once, into cells; everything else is made of those.
+        """
         one = self.workspace.small
-        covered = one(monitoring.coverage(labelled), "coverage").df
-        profile = one(age_profile(features), "age-profile").df
+        cells = one(clustering.application_cells(features, model), "cells").df
+        totals = one(monitoring.stratum_totals(cells, model.strata), "totals").df
+        covered = one(monitoring.total_coverage(totals), "coverage").df
+        profile = one(cell_age_profile(cells), "age-profile").df
         drift = one(monitoring.model_drift(profile, model.meta), "drift").df
         quality = clustering.quality_metrics(model.strata)
         report = one(monitoring.model_report(drift, quality, covered), "report").df
         trained = model.meta.first()["training_date"]
         moved = monitoring.stratum_drift(
-            clustering.application_silhouettes(features, model, self.settings, self.workspace)
+            clustering.point_silhouettes(
+                clustering.cell_points(cells), model, self.settings, self.workspace
+            )
         )
         result = {
             **report.first().asDict(),
             "input_drift": monitoring.input_drift(profile, model.meta).first().asDict(),
             "coverage": covered.first().asDict(),
-            "active_strata": [r.asDict() for r in monitoring.active_strata(labelled).collect()],
+            "active_strata": [
+                r.asDict() for r in monitoring.total_active_strata(totals).collect()
+            ],
             "alerts": [r["alert"] for r in monitoring.alerts(report).collect()],
             "summary": monitoring.decision_summary(report, trained, self.started_at)
             .first()

@@ -6,6 +6,8 @@ from datetime import datetime
 import pytest
 
 from stratiscore.config import CLUSTER_GLOBAL, ID, LABELS, Settings
+from stratiscore.operators import clustering, monitoring
+from stratiscore.operators.strata import age_profile, cell_age_profile
 from stratiscore.plans.pipeline import (
     FORCED,
     NO_MODEL,
@@ -206,3 +208,43 @@ def test_a_sample_needs_no_full_extraction(fixture, tmp_path):
     key = lambda r: (r[ID], r["CD_NOTE_POIDS_UNVRS"], r["PNB_TOTAL"])
     assert sorted(map(key, first.data.collect())) == sorted(map(key, second.data.collect()))
     assert first.metrics["extraction"]["n_rows"] == second.metrics["extraction"]["n_rows"] == 40
+
+
+def test_the_report_on_a_reused_model_reads_the_clients_once(fixture, tmp_path):
+    """One pass over the rows, and the figures of the functions that read them one by one."""
+    run = pipeline(fixture, tmp_path)
+    features = run.features(run.extract_data(*run.sources()))
+    odd = features.filter(f"cast(right({ID}, 1) as int) % 2 = 1 or AGE > 60")
+    model = run.fit(odd)
+    ages = "case when AGE = 44 then null when AGE = 45 then 16 else AGE end"
+    new = features.selectExpr(*[f"{ages} as AGE" if c == "AGE" else c for c in features.columns])
+    counted, seen, n = read_counter(fixture.spark, new)
+    report = run.report_reuse(counted, model)
+    assert seen.value == n
+
+    labelled = clustering.transform(new, model, "stratifie")
+    assert report["coverage"] == monitoring.coverage(labelled).first().asDict()
+    assert report["active_strata"] == [r.asDict() for r in monitoring.active_strata(labelled).collect()]
+    profile = age_profile(new)
+    drift = monitoring.input_drift(profile, model.meta).first().asDict()
+    assert report["input_drift"] == pytest.approx(drift, abs=1e-9)
+    assert report["volume_ratio"] == monitoring.model_drift(profile, model.meta).first()["volume_ratio"]
+    moved = monitoring.stratum_drift(
+        clustering.application_silhouettes(new, model, run.settings, run.workspace)
+    )
+    by = lambda r: r["strate"]
+    found, expected = sorted(report["stratum_drift"], key=by), sorted(moved.collect(), key=by)
+    assert [r["strate"] for r in found] == [r["strate"] for r in expected]
+    for a, b in zip(found, expected):
+        assert a["silhouette_new"] == pytest.approx(b["silhouette_new"], abs=1e-9)
+
+
+def test_age_profile_of_cells(spark):
+    ages = [20, 20, 35, 35, 35, 90, None, None]
+    rows = spark.createDataFrame([(a,) for a in ages], "AGE int")
+    cells = rows.selectExpr("cast(AGE as double) as age").groupBy("age").agg({"*": "count"}).toDF("age", "n")
+    assert cell_age_profile(cells).first().asDict() == pytest.approx(age_profile(rows).first().asDict())
+    for few in (cells.filter("false"), cells.filter("age is null"), cells.filter("age = 90")):
+        found = cell_age_profile(few).first().asDict()
+        plain = few.selectExpr("explode(sequence(1L, n)) as i", "age as AGE")
+        assert found == age_profile(plain).first().asDict()
