@@ -13,7 +13,10 @@ stands in every second place. Different letters put between all letters are not
 Nyström landmarks (words) turn the kernel into few features, a linear machine is trained on them,
 and because the machine is a sum over landmarks, it folds into one weight per subsequence. Scoring
 a text is then a lookup for each gap pattern; a document scores as its worst word, on a calibrated
-scale.
+scale. A document's score depends on its text only, not on the texts beside it.
+
+Bounds of the fit, all parameters above: sampled documents of each label, and how many of their
+words may become landmarks or negatives. Scoring has none.
 
 Labels are given for documents. The machine learns from their sentences by multiple-instance
 rounds: in each toxic document the word with the highest score stands for its toxic sentence, all
@@ -41,8 +44,11 @@ LENGTH = 4
 SPAN = 5
 DECAY = 0.6
 N_LANDMARKS = 240
-MAX_TRAIN_DOCS = 3_000  # of each label, a bounded sample in hash order
-MAX_TRAIN_CHARS = 200_000  # longer documents are not sampled; scoring reads all, whole
+MAX_TRAIN_DOCS = 3_000  # of each label, a bounded sample in hash order, whole documents
+LANDMARK_POOL = 12  # words that may become landmarks, for each landmark
+COMMON_NEGATIVES = 4_000  # clean words learned from: the most frequent ones,
+SPREAD_NEGATIVES = 8_000  # about so many more at even distances in the order of frequency,
+HARD_NEGATIVES = 2_000  # and in each round those that score highest
 COST = 0.02
 ROUNDS = 4
 CUT = 0.7
@@ -51,6 +57,7 @@ _EVIDENCE = 1.0  # least log ratio of toxic to clean documents that hold a word
 _SURE = 2.7  # the same for further words of a document, which also must be frequent
 _WITNESSES = 3
 _SYMBOLS = 48
+_BETWEEN = "\n\n"
 _CHUNK = 1_000  # words of a vocabulary that are compared at once
 _BATCH_CHARS = 1 << 18
 _PUNCTUATION = ".,;:!?\"'()[]{}«»“”„’¡¿…-–—"
@@ -184,9 +191,10 @@ def word_sums(words: Words, weights: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(words.symbols), np.float32)
     for inside, number, weight in subsequences(words):
         sums[: len(number)] += np.where(inside, weights[number] * np.float32(weight), 0)
-    # A word's subsequences begin at its first symbol up to the one before its last.
-    running = np.concatenate([[0.0], np.cumsum(sums, dtype=np.float64)])
-    total = running[words.first + words.size - 1] - running[words.first]
+    # A word's subsequences begin at its first symbol up to the one before its last. Each word is
+    # summed by itself, so that nothing around it changes its last bits.
+    bounds = np.stack([words.first, words.first + words.size - 1], axis=1).ravel()
+    total = np.add.reduceat(sums.astype(np.float64), bounds)[::2]
     return total / np.sqrt(own_weight(words.size))
 
 
@@ -292,10 +300,11 @@ class Model:
 
     def _score(self, texts, batch: list[int], raw: np.ndarray) -> None:
         parts = [(texts[i] or "").lower() for i in batch]
-        words = to_words("\n".join(parts))
+        # Two ends between texts: single letters on both sides are no spelled-out word.
+        words = to_words(_BETWEEN.join(parts))
         if not len(words.first):
             return
-        starts = np.cumsum([0] + [len(p) + 1 for p in parts[:-1]])
+        starts = np.cumsum([0] + [len(p) + len(_BETWEEN) for p in parts[:-1]])
         best = np.full(len(parts), self.floor)
         for some in (words, *readings(words)):
             values = word_sums(some, self.weights) + self.offset
@@ -310,7 +319,7 @@ def _pick_landmarks(good: list[str], bad: list[str], n: int) -> list[str]:
     for pool, wanted in ((bad, n - n // 3), (good, n // 3)):
         if not pool:
             continue
-        pool = pool[: 12 * n]
+        pool = pool[: LANDMARK_POOL * n]
         closest = kernel(pool, landmarks_of(pool[:1]))[:, 0]
         own, chosen = np.ones(len(pool)), [0]
         while len(chosen) < min(wanted, len(pool)):
@@ -386,7 +395,8 @@ def train(sample: Sample, shares: tuple[float, float], n_landmarks: int = N_LAND
     witness = np.bincount(np.concatenate(strong), minlength=size)
     clean = np.flatnonzero(clean_df)
     clean = clean[np.lexsort((clean, -clean_df[clean]))]
-    common, every = clean[:4_000], clean[4_000 :: max(1, len(clean) // 8_000)]
+    common, others = clean[:COMMON_NEGATIVES], clean[COMMON_NEGATIVES:]
+    every = others[:: max(1, len(clean) // SPREAD_NEGATIVES)]
     bad = np.flatnonzero(witness)
     bad = bad[np.lexsort((bad, -witness[bad]))]
     chosen = _pick_landmarks(
@@ -420,7 +430,7 @@ def train(sample: Sample, shares: tuple[float, float], n_landmarks: int = N_LAND
             picked = [np.union1d(d, [b]) for d, b in zip(strong, best)]
             again = np.bincount(np.concatenate(picked), minlength=size) * (worth > 0)
             witness = again if again.any() else witness
-            hard = clean[np.argsort(-worth[clean], kind="stable")[:2_000]]
+            hard = clean[np.argsort(-worth[clean], kind="stable")[:HARD_NEGATIVES]]
             negatives = np.union1d(negatives, hard)
     floor = float(np.median(worth[clean]))
     raw = np.array([worth[d].max() if len(d) else floor for d in sample.docs])
@@ -471,9 +481,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> M
     kind = dict(labels.dtypes)["doc_id"]
     chosen = spark.createDataFrame(sample, f"_id {kind}, _toxic int")
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    short = F.coalesce(F.length("text"), F.lit(0)) <= MAX_TRAIN_CHARS
     # One of the rows that repeat an id, so that the sample stays within its bound.
-    once = texts.filter(short).groupBy("_id", "_toxic").agg(F.max("text").alias("text"))
+    once = texts.groupBy("_id", "_toxic").agg(F.max("text").alias("text"))
     lists = once.mapInArrow(
         _word_lists, f"id {kind}, toxic int, words array<string>"
     )

@@ -93,6 +93,42 @@ def test_edge_rows_and_label_faults(documents, table):
     assert toxicity.score(documents([]), toxicity.fit(documents([]), empty)).count() == 0
 
 
+@pytest.fixture()
+def insult_model(documents, table):
+    rng = np.random.default_rng(0)
+    rows = [(t, False) for t in sentences(rng, 150, False)] + [(t, True) for t in sentences(rng, 60, True)]
+    docs = documents([(i, t, "en", "s", len(t)) for i, (t, _) in enumerate(rows)])
+    return toxicity.fit(docs, training_table(rows, table))
+
+
+def test_a_score_depends_on_its_text_only(insult_model, monkeypatch):
+    """Beside any other texts, in any order, in batches of any size: the same bits."""
+    rng = np.random.default_rng(3)
+    texts = ["you are an i d i", "o t all around", "x y z i d", "i o t", "i d", "", None, " \n ", "...", "(i", "d) i.", "o t"]
+    letters = list("idot mrn.x-*(\n ")
+    texts += ["".join(rng.choice(letters, rng.integers(1, 25))) for _ in range(300)]
+    texts += ["an idiot here", "ΑΣ", "Σ", "word " * 40]
+    alone = np.array([insult_model.scores([t])[0] for t in texts])
+    for _ in range(3):
+        order = rng.permutation(len(texts))
+        assert (insult_model.scores([texts[i] for i in order]) == alone[order]).all()
+    for chars in (1, 40, 300):
+        monkeypatch.setattr(toxicity, "_BATCH_CHARS", chars)
+        assert (insult_model.scores(texts) == alone).all()
+
+
+def test_long_documents_are_learned_from(documents, table, monkeypatch):
+    rng = np.random.default_rng(0)
+    long = "river stone " * 30_000
+    rows = [(t, False) for t in sentences(rng, 30, False)] + [(t + " " + long, True) for t in sentences(rng, 30, True)]
+    sampled = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda s, shares: sampled.append(s) or train(s, shares))
+    toxicity.fit(documents([(i, t, "en", "s", 1) for i, (t, _) in enumerate(rows)]), training_table(rows, table))
+    known = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sampled[0].toxic.sum() == sum(i >= 30 for i in known)
+
+
 @needs_tables
 def test_toxicity_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
