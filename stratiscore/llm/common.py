@@ -55,9 +55,13 @@ def with_position(workspace: Workspace, df: DataFrame, keys: list, name: str) ->
 
 
 def document_key() -> Column:
-    """Names a document: its id, or the digest of its text where the id is null."""
-    digest = F.concat(F.lit("#"), F.sha2(F.coalesce("text", F.lit("")), 256))
-    return F.coalesce(F.col("doc_id").cast("string"), digest)
+    """Names a document by its id and its text, by the digest of its text where the id is null.
+
+    Rows that repeat an id with another text are documents of their own.
+    """
+    text = F.coalesce("text", F.lit(""))
+    named = F.concat(F.col("doc_id").cast("string"), F.lit("#"), F.hex(F.xxhash64(text)))
+    return F.coalesce(named, F.concat(F.lit("#"), F.sha2(text, 256)))
 
 
 def pieces(data: bytes, size: int) -> Iterator[bytes]:

@@ -91,6 +91,20 @@ def test_edge_rows(workspace, documents):
     assert kept.columns == docs.columns and kept.count() == len(set(labels))
 
 
+def test_an_id_on_two_rows_loses_no_text(workspace, documents):
+    one, other = "alpha beta gamma delta " * 9, "completely different words stand here today " * 9
+    rows = [(1, one), (1, other), (2, one + "!"), (2, one + "!"), (None, other), (3, "third text of its own")]
+    docs = documents([(i, t, "en", "s", 1) for i, t in rows])
+    kept = [(r["doc_id"], r["text"]) for r in simhash.keep_first(workspace, docs).collect()]
+    labels = brute_components([plain_fingerprint(t) for _, t in rows])
+    wanted = {}
+    for (doc_id, text), label in zip(rows, labels):
+        wanted.setdefault(label, set()).add((doc_id is None, doc_id or 0, text))
+    assert len(kept) == len(wanted)
+    assert {(i is None, i or 0) for i, _ in kept} <= {min(w)[:2] for w in wanted.values()}
+    assert {one, other, "third text of its own"} <= {t for _, t in kept} | {one}
+
+
 def test_empty_table(workspace, documents):
     assert simhash.near_duplicates(workspace, documents([])).count() == 0
     assert simhash.keep_first(workspace, documents([])).count() == 0
