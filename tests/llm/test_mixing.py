@@ -68,6 +68,32 @@ def test_scarce_sources_stop_at_their_limit(workspace, documents):
     assert all(r["copies"] == 3 for r in found if r["source"] != "a")
 
 
+def near(rows, found):
+    wanted, by_source = check(rows, found)
+    for source, members in by_source.items():
+        assert sum(r["taken"] for r in members) == pytest.approx(wanted[source], rel=0.02)
+
+
+@pytest.mark.parametrize("small", [3, 10_000])
+def test_sources_of_null_and_repeated_ids_come_near_too(spark, documents, small):
+    from stratiscore.config import Settings
+    from stratiscore.sources.staging import Workspace
+
+    rows = [(None, "w " * 5 + f"n{i}", "en", "a", 1) for i in range(100)]  # null ids
+    rows += [(i // 2, f"t{i} " * 3, "en", "b", 1) for i in range(200)]  # each id on two rows
+    rows += [(None, "same words all over", "en", "c", 1)] * 150  # one text, no id
+    rows += [(7, "w " * 11, "en", "d", 1)] * 90 + [(i, "x " * 4, "en", "d", 1) for i in range(100)]
+    rows += [(1000 + i, "y " * (i % 9 + 1), "en", None, 1) for i in range(100)]
+    workspace = Workspace(spark, Settings(small_table_rows=small))
+    found = mix(workspace, documents(rows)).collect()
+    assert len(found) == len(rows)
+    near(rows, found)
+    key = lambda r: (str(r["doc_id"]), str(r["source"]), r["size"], r["taken"])
+    again = mix(workspace, documents(rows).repartition(7), with_rows=True).collect()
+    assert sorted(map(key, again)) == sorted(map(key, found))
+    assert all(r["row"]["doc_id"] == r["doc_id"] and size(r["row"]["text"]) == r["size"] for r in again)
+
+
 def test_documents_are_repeated_with_their_columns(workspace, documents):
     docs = documents()
     mixed = mix(workspace, docs, with_rows=True)
