@@ -12,11 +12,12 @@ banded alignment of the segment with that region of the text.
 The q-grams of an item are kept once; those found in a text are dealt to all segments around them.
 
 Texts are compared in lower case with single spaces. The benchmark is read in blocks of bounded
-size; each block goes to all tasks and is one pass over the documents. Documents are never
-shuffled. A segment's budget is a share of its length, at most what keeps its bound positive.
+size. Each block goes to all tasks, is one pass over the documents whose few results are staged, and
+is dropped before the next one is made: a benchmark of any size costs passes, not memory. Documents
+are never shuffled. A segment's budget is a share of its length, at most what keeps its bound positive.
 
 Nulls: null texts and items are empty; items shorter than q characters have no q-grams and are not
-searched. Null ids are carried. Repeated documents give repeated rows; a repeated row of the benchmark
+searched. Ids may have any type; null ids are carried. Repeated documents give repeated rows; a repeated row of the benchmark
 counts once, and equal items are found each under its own id. ``segments`` and ``edits`` add up over
 the segments and windows found, which overlap.
 """
@@ -25,12 +26,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+
+from stratiscore.sources.staging import Workspace
 
 Q = 8
 EDIT_SHARE = 0.1
@@ -272,50 +276,71 @@ def matches(text: str, index: Index) -> list[tuple]:
     return [(s, *found) for s, found in sorted(best.items())]
 
 
-_FOUND = ["doc_id", "item_id", "segments", "edits", "first_end"]
-
-
-def _search(broadcast):
+def _search(broadcast, schema: pa.Schema):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = broadcast.value
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+            rows, found = [], []
+            for row, text in enumerate(batch.column("text")):
                 by_item: dict = {}
                 for segment, edits, end in matches(normalized(text.as_py()), index):
                     by_item.setdefault(index.items[segment], []).append((edits, end))
-                for item, found in by_item.items():
-                    ends = min(end for _, end in found)
-                    edits = sum(edits for edits, _ in found)
-                    rows.append((doc_id.as_py(), item, len(found), edits, ends))
-            columns = list(zip(*rows)) or [()] * len(_FOUND)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=_FOUND
-            )
+                for item, hits in by_item.items():
+                    rows.append(row)
+                    found.append((item, len(hits), sum(e for e, _ in hits), min(end for _, end in hits)))
+            columns = list(zip(*found)) or [()] * (len(schema) - 1)
+            arrays = [batch.column("doc_id").take(pa.array(rows, pa.int64()))]
+            arrays += [pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:])]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return search
 
 
+def _found(texts: pa.Array, index: Index) -> pa.Array:
+    return pa.array([bool(matches(normalized(t.as_py()), index)) for t in texts], pa.bool_())
+
+
 def _clean(broadcast):
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = broadcast.value
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            yield batch.filter(pa.array([not matches(normalized(t), index) for t in texts], pa.bool_()))
+            yield batch.filter(pc.invert(_found(batch.column("text"), broadcast.value)))
 
     return clean
 
 
-def _indexes(benchmark: DataFrame, q: int, share: float, size: int, block_chars: int) -> Iterator:
-    """One broadcast index for each block of the benchmark."""
-    spark = benchmark.sparkSession
-    items = benchmark.select(F.col("item_id").cast(LongType()).alias("item_id"), "text").distinct()
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-total // block_chars))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    for b in range(n_blocks):
-        rows = items.filter(block == b).orderBy("item_id", "text").collect()  # a bounded block
-        yield spark.sparkContext.broadcast(build_index([tuple(r) for r in rows], q, share, size))
+def _hits(broadcast):
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(_found(batch.column("text"), broadcast.value)).select(["row_id"])
+
+    return hits
+
+
+class _Benchmark:
+    """The items of a benchmark, in blocks of bounded size."""
+
+    def __init__(self, benchmark: DataFrame, q: int, share: float, size: int, block_chars: int):
+        self.spark = benchmark.sparkSession
+        self.items = benchmark.select("item_id", "text").distinct()
+        self.options = (q, share, size)
+        total = self.items.agg(F.sum(F.length("text"))).first()[0] or 0
+        self.n_blocks = max(1, -(-total // block_chars))
+
+    def shared(self, block: int):
+        """The index of one block, sent to all tasks."""
+        number = F.pmod(F.xxhash64("item_id", "text"), F.lit(self.n_blocks))
+        rows = self.items.filter(number == block).orderBy("item_id", "text").collect()  # a bounded block
+        index = build_index([tuple(r) for r in rows], *self.options)
+        return self.spark.sparkContext.broadcast(index)
+
+    def one_by_one(self) -> Iterator:
+        """The index of each block, dropped when the next one is asked for."""
+        for block in range(self.n_blocks):
+            index = self.shared(block)
+            try:
+                yield index
+            finally:
+                index.destroy()
 
 
 def contaminated(
@@ -327,13 +352,18 @@ def contaminated(
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """doc_id, item_id, segments, edits, first_end: one row per document and item found in it."""
-    rows = docs.select(F.col("doc_id").cast(LongType()).alias("doc_id"), "text")
-    schema = ", ".join(f"{name} long" for name in _FOUND)
-    found = None
-    for index in _indexes(benchmark, q, edit_share, segment_chars, block_chars):
-        part = rows.mapInArrow(_search(index), schema)
-        found = part if found is None else found.union(part)
-    return found
+    workspace = Workspace(docs.sparkSession)
+    rows = docs.select("doc_id", "text")
+    ids = [(df, df.schema[name].dataType.simpleString(), name) for df, name in ((docs, "doc_id"), (benchmark, "item_id"))]
+    schema = ", ".join(f"{name} {kind}" for _, kind, name in ids) + ", segments long, edits long, first_end long"
+    fields = [df.select(name).limit(0).toArrow().schema.field(0) for df, _, name in ids]
+    fields += [(name, pa.int64()) for name in ("segments", "edits", "first_end")]
+    blocks = _Benchmark(benchmark, q, edit_share, segment_chars, block_chars)
+    found = [
+        workspace.stage(rows.mapInArrow(_search(index, pa.schema(fields)), schema), "found")
+        for index in blocks.one_by_one()
+    ]
+    return reduce(DataFrame.union, found)
 
 
 def keep_clean(
@@ -344,7 +374,21 @@ def keep_clean(
     segment_chars: int = SEGMENT_CHARS,
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """The documents in which no item is found, with all their columns."""
-    for index in _indexes(benchmark, q, edit_share, segment_chars, block_chars):
-        docs = docs.mapInArrow(_clean(index), docs.schema)
-    return docs
+    """The documents in which no item is found, with all their columns.
+
+    One block filters them in the pass that reads them. Several blocks look at numbered rows, one
+    after the other, and the rows found by any of them are taken out in the end.
+    """
+    blocks = _Benchmark(benchmark, q, edit_share, segment_chars, block_chars)
+    if blocks.n_blocks == 1:
+        return docs.mapInArrow(_clean(blocks.shared(0)), docs.schema)
+    workspace = Workspace(docs.sparkSession)
+    number = F.monotonically_increasing_id().alias("row_id")
+    numbered = workspace.stage(docs.select(F.struct(*docs.columns).alias("row"), number), "numbered")
+    texts = numbered.select("row_id", F.col("row.text").alias("text"))
+    hits = [
+        workspace.stage(texts.mapInArrow(_hits(index), "row_id long"), "hits")
+        for index in blocks.one_by_one()
+    ]
+    gone = workspace.small(reduce(DataFrame.union, hits).distinct(), "contaminated-rows")
+    return gone.attach(numbered, ["row_id"], "left_anti").select("row.*")

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from stratiscore.llm import decontaminate as d
+from stratiscore.sources.staging import Workspace
 
 ALPHABET = "abcdefghij klmno"
 
@@ -125,3 +126,42 @@ def test_excerpts_in_documents(documents, table):
     found = d.contaminated(docs, benchmark).collect()
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(i, 7) for i in range(4)]
     assert [r["doc_id"] for r in d.keep_clean(docs, benchmark).collect()] == [4]
+
+
+def test_blocks_cost_passes_not_memory(spark, documents, table, plan_of, monkeypatch):
+    """50 blocks: one broadcast alive at a time, one step in Python per pass, the rows of one block."""
+    rng = random.Random(9)
+    items = [(f"item {i}", "".join(rng.choice(ALPHABET) for _ in range(150))) for i in range(200)]
+    benchmark = table("item_id string, text string", *items)
+    rows = [(f"doc {i}", f"zz {rng.choice(items)[1] if i % 3 else 'nothing'} {i}", i, "x") for i in range(60)]
+    docs = table("doc_id string, text string, row_id int, `row` string", *rows)
+    total = sum(len(t) for _, t in items)
+    whole = d.contaminated(docs, benchmark)
+    assert dict(whole.dtypes)["doc_id"] == dict(whole.dtypes)["item_id"] == "string"
+    kept = d.keep_clean(docs, benchmark)
+
+    alive, most, passes = set(), [], []
+    make, stage = spark.sparkContext.broadcast, Workspace.stage
+
+    def shared(value):
+        made = make(value)
+        alive.add(id(made))
+        most.append(len(alive))
+        drop = made.destroy
+        made.destroy = lambda: (alive.discard(id(made)), drop())
+        return made
+
+    def seen(self, df, name):
+        passes.append(plan_of(df).count("MapInArrow"))
+        return stage(self, df, name)
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", shared)
+    monkeypatch.setattr(Workspace, "stage", seen)
+    found = d.contaminated(docs, benchmark, block_chars=total // 50)
+    clean = d.keep_clean(docs, benchmark, block_chars=total // 50)
+    assert len(most) >= 100 and max(most) == 1 and not alive
+    assert max(passes) == 1 and sum(passes) == len(most)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+    assert clean.schema == docs.schema == kept.schema
+    assert sorted(map(tuple, clean.collect())) == sorted(map(tuple, kept.collect()))
+    assert [r["doc_id"] for r in clean.collect() if int(r["doc_id"].split()[1]) % 3] == []
