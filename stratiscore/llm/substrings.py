@@ -1,6 +1,6 @@
 """Substring removal: Rabin-Karp hashes of every fixed-length word window, counted in Spark.
 
-Documents are dealt into blocks of neighbouring ids. Each block sends its distinct window hashes,
+Documents are dealt into blocks of neighbouring ids and about equal bytes. Each block sends its distinct window hashes,
 sorted and cut by hash range, to Spark's shuffle; the task of a hash range finds the hashes that
 several blocks hold and returns them to all but the first. Since blocks follow the order of ids,
 every window of a later block that an earlier block holds starts in a smaller document too; inside
@@ -24,9 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratiscore.llm.common import byte_values, pieces
+from stratiscore.sources.staging import Workspace
 
 WINDOW = 50
 BLOCK_BYTES = 16 << 20
@@ -245,6 +247,36 @@ def _whole(schema: pa.Schema, with_text: bool):
     return whole
 
 
+def block_starts(
+    workspace: Workspace, rows: DataFrame, block_bytes: int, min_blocks: int
+) -> tuple[int, list]:
+    """Number of blocks, and the first ids of all but the first: ranges of about equal bytes.
+
+    A block exceeds its share by one document at most, the documents of one id as one. The driver
+    holds a number for each partition and one id for each block.
+    """
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("bytes")
+    sizes = rows.filter("doc_id is not null").groupBy("doc_id").agg(size)
+    ordered = sizes.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    staged = workspace.stage(ordered.withColumn("part", F.spark_partition_id()), "sizes")
+    total, before = 0, []
+    for row in staged.groupBy("part").agg(F.sum("bytes").alias("bytes")).orderBy("part").collect():
+        before.append((row["part"], total))
+        total += row["bytes"]
+    n_blocks = max(1, min_blocks, -(-total // block_bytes))
+    if n_blocks == 1:
+        return n_blocks, []
+    table = workspace.spark.createDataFrame(before, "part int, before long")
+    running = F.sum("bytes").over(
+        W.partitionBy("part").orderBy("doc_id").rowsBetween(W.unboundedPreceding, -1)
+    )
+    start = F.col("before") + F.coalesce(running, F.lit(0))
+    block = F.floor(start * F.lit(n_blocks) / F.lit(max(total, 1)))
+    blocks = staged.join(F.broadcast(table), "part").select("doc_id", block.alias("block"))
+    firsts = blocks.groupBy("block").agg(F.min("doc_id").alias("first")).filter("block > 0")
+    return n_blocks, sorted(r["first"] for r in firsts.collect())
+
+
 def remove_repeated(
     docs: DataFrame,
     window: int = WINDOW,
@@ -255,12 +287,9 @@ def remove_repeated(
     """doc_id, n_words, n_removed, kept_sha256 and, if asked for, the kept text of every row."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     floor = int(spark.conf.get("spark.sql.shuffle.partitions")) if min_blocks is None else min_blocks
-    n_blocks = max(1, floor, -(-total // block_bytes))
-    ranks = [i / n_blocks for i in range(1, n_blocks)]
-    found = rows.approxQuantile("doc_id", ranks, min(0.001, 0.1 / n_blocks)) if ranks else []
-    splits = [float("-inf"), *sorted(set(found)), float("inf")]
+    n_blocks, found = block_starts(Workspace(spark), rows, block_bytes, floor)
+    splits = [float("-inf"), *sorted({float(i) for i in found}), float("inf")]
     named = rows.filter("doc_id is not null").withColumn("_id", F.col("doc_id").cast("double"))
     if len(splits) > 2:
         named = Bucketizer(splits=splits, inputCol="_id", outputCol="_block").transform(named)

@@ -64,3 +64,20 @@ def test_hashes_depend_on_the_words_only(monkeypatch, piece):
     grams = [tuple(flat[i : i + 2]) for i in starts.tolist()]
     assert grams == [tuple(ws[i : i + 2]) for ws in words for i in range(len(ws) - 1)]
     assert len(set(zip(grams, hashes.tolist()))) == len(set(grams)) == len(set(hashes.tolist()))
+
+
+def test_blocks_hold_about_equal_bytes(workspace, documents):
+    """Long texts next to each other do not end up in one block."""
+    rows = [(i, "word " * (20_000 if 100 <= i < 112 else 4), "en", "s", 1) for i in range(1200)]
+    rows += [(None, "x " * 99, "en", "s", 1), (5, None, "en", "s", 1)]
+    docs = documents(rows).select("doc_id", "text")
+    n, starts = substrings.block_starts(workspace, docs, 1 << 30, 6)
+    assert n == 6
+    held = [0] * 6
+    for doc_id, text, *_ in rows:
+        if doc_id is not None:
+            held[sum(doc_id >= s for s in starts)] += len(text or "") + 1
+    share, largest = sum(held) / 6, 100_001
+    assert max(held) <= share + largest and min(held) >= share - largest
+    assert substrings.block_starts(workspace, docs, 100_000, 1)[0] == -(-sum(held) // 100_000)
+    assert substrings.block_starts(workspace, documents([]).select("doc_id", "text"), 10, 4) == (4, [])
