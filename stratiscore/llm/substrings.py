@@ -31,7 +31,7 @@ from stratiscore.llm.common import byte_values, pieces
 from stratiscore.sources.staging import Workspace
 
 WINDOW = 50
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _PIECE = 1 << 21
 
 # Odd multipliers of the two rolling hashes and of the finishing step. Any odd numbers do.
