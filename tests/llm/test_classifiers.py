@@ -167,7 +167,7 @@ def test_repeated_ids_do_not_enlarge_the_samples(workspace, documents, table, mo
     labels = table("doc_id long, toxic int, quality int", *((i, i % 2, i % 2) for i in range(4)))
     known = [i for i in range(4) if zlib.crc32(str(i).encode()) % 3 != 1]
     features = workspace.stage(cotraining.views(docs), "views")
-    assert [r["doc_id"] for r in cotraining._labelled(features, labels, 100)] == known
+    assert cotraining._labelled(features, labels, 100).column("doc_id").to_pylist() == known
     sampled = []
     train = toxicity.train
     monkeypatch.setattr(toxicity, "train", lambda s, shares: sampled.append(s) or train(s, shares))
@@ -183,12 +183,88 @@ def test_views_teach_each_other(workspace, documents, table):
         rows.append((i, text, "en", "dump" if bad else f"s{i % 4}", len(text)))
     labels = table("doc_id long, toxic int, quality int", *((i, 0, int(i % 3 != 0)) for i in range(150)))
     features = workspace.stage(cotraining.views(documents(rows)), "views")
-    model = cotraining.train(features, labels)
+    model = cotraining.train(workspace, features, labels)
     assert sum(model.handed_over) > 0
     found = cotraining.score(features, model).collect()
     assert all(r["kept"] == (r["doc_id"] % 3 != 0) for r in found)
 
 
+def two_sided(n):
+    """Documents whose words and whose source each tell something of their quality."""
+    rng = np.random.default_rng(5)
+    quality = rng.integers(0, 2, n)
+    rows = []
+    for i, good in enumerate(quality):
+        picked = rng.random(40) < (0.6 if good else 0.4)
+        words = [("fine" if p else "poor") + "abcdefghij"[rng.integers(10)] for p in picked]
+        source = min(7, rng.binomial(7, 0.68 if good else 0.32))
+        rows.append((i, " ".join(words), "en", f"s{source}", 200))
+    return rows, quality
+
+
+def area(scores, marks):
+    order = np.argsort(np.argsort(scores, kind="stable"), kind="stable")
+    good = marks == 1
+    return (order[good].mean() - (good.sum() - 1) / 2) / (~good).sum()
+
+
+def test_both_views_together_beat_each_alone(workspace, documents, table):
+    rows, quality = two_sided(1500)
+    labels = table("doc_id long, toxic int, quality int", *((i, 0, int(quality[i])) for i in range(120)))
+    features = workspace.stage(cotraining.views(documents(rows)), "views")
+    areas = {}
+    for rounds in (0, 2):
+        model = cotraining.train(workspace, features, labels, rounds=rounds, sure=0.8)
+        found = cotraining.score(features, model).toPandas().sort_values("doc_id")
+        found = found[found["doc_id"] >= 120]
+        marks = quality[found["doc_id"]]
+        areas[rounds] = {c: area(found[c].to_numpy(), marks) for c in ("text_score", "metadata_score", "score")}
+    taught = areas[2]
+    assert taught["score"] > max(taught["text_score"], taught["metadata_score"])
+    assert taught["text_score"] > areas[0]["text_score"]
+
+
+def test_a_round_agrees_with_all_documents_at_once(workspace, documents, table):
+    rows, quality = two_sided(400)
+    rows += [(1000 + i, *rows[i % 3 + 200][1:]) for i in range(90)]  # copies count as one
+    labels = table("doc_id long, toxic int, quality int", *((i, 0, int(quality[i])) for i in range(150)))
+    features = workspace.stage(cotraining.views(documents(rows)).repartition(5), "views")
+    start = cotraining.train(workspace, features, labels, rounds=0)
+    model = cotraining.train(workspace, features, labels, rounds=1, steps=12, sure=0.8)
+
+    everything = features.toArrow().sort_by("doc_id")
+    ids = everything.column("doc_id").to_numpy()
+    x, z = cotraining.content_matrix(everything), cotraining.metadata_matrix(everything)
+    learned = [i for i in range(150) if zlib.crc32(str(i).encode()) % 3 != 1]
+    learned = np.array([i for place, i in enumerate(learned) if place % cotraining._CALIBRATION])
+    _, once = np.unique(np.hstack([x, z]), axis=0, return_index=True)
+    free = [i for i in once if ids[i] >= 150]
+    text, metadata = start.text_logit(x), start.metadata_logit(z)
+    handed = 0
+    for own, w, judged in ((x, model.text, metadata), (z, model.metadata, text)):
+        known = quality[learned]
+        p = 1 / (1 + np.exp(-own[learned] @ w))
+        slope = own[learned].T @ (p - known)
+        for mark in (0, 1):
+            sure = [i for i in free if (judged[i] if mark else -judged[i]) >= np.log(4)]
+            handed += len(sure)
+            weight = cotraining.PSEUDO_SHARE * min(1, (known == mark).sum() / max(1, len(sure)))
+            for i in sure:
+                slope = slope + weight * (1 / (1 + np.exp(-own[i] @ w)) - mark) * own[i]
+        penalty = np.append(np.full(len(w) - 1, cotraining.RIDGE), 1e-6)
+        assert np.abs(slope + penalty * w).max() < 1e-5  # the model is where the whole loss is least
+    assert model.handed_over == [handed] and handed > 100
+
+
+def test_grams_of_long_texts_are_those_of_the_whole(monkeypatch):
+    data = ("Some words, again and again, in ÄÖÜ. " * 50).encode()
+    whole = cotraining.gram_bytes(data, data.split())
+    monkeypatch.setattr(cotraining, "_CHARS", 64)
+    assert cotraining.gram_bytes(data, data.split()) == whole
+    assert cotraining.gram_bytes(b"", []) == bytes(cotraining._GRAMS)
+    assert len(cotraining.gram_bytes(b"a", [b"a"])) == cotraining._GRAMS
+
+
 @pytest.mark.parametrize("separator", [".", "-", "*", "--", "_", "x", "̶"])
 def test_separated_words_score_like_the_plain_word(documents, table, separator):
     rng = np.random.default_rng(0)
