@@ -63,9 +63,11 @@ with docs as (
   from (select doc_id, unnest(range(s, s + 3)) as p from windows join again using (doc_id, k))
   group by doc_id
 ), lines as (
-  select doc_id, source, unnest(string_split(text, chr(10))) as line from docs
+  select doc_id, source, unnest(string_split(text, chr(10))) as line,
+         unnest(range(len(string_split(text, chr(10))))) as place
+  from docs
 ), full_lines as (
-  select doc_id, source, line,
+  select doc_id, source, line, place,
          translate(lower(trim(regexp_replace(line, '[\x20\x09\x0B-\x0D]+', ' ', 'g'))),
                    '0123456789', '0000000000') as plain
   from lines where regexp_matches(line, '[^\x20\x09-\x0D]')
@@ -78,20 +80,25 @@ with docs as (
   group by f.source, f.plain, h.n
   having count(distinct doc_id) >
     greatest({float(line_rules.LEAST_DOCUMENTS)}::double, h.n * {line_rules.HOST_SHARE}::double)
-), lost as (
-  select doc_id, sum(len(string_split(plain, ' '))) as n
+), gone as (
+  select doc_id, place, len(string_split(plain, ' ')) as n
   from full_lines f
   where exists (select 1 from frequent q
                 where q.plain = f.plain and q.source is not distinct from f.source)
+), lost as (
+  select doc_id, sum(n) as n from gone group by doc_id
+), remaining as (
+  select doc_id, string_agg(line, chr(10) order by place) as text
+  from lines anti join gone using (doc_id, place)
   group by doc_id
 ), counted as (
   select d.doc_id, len(w) as n_words,
-         len(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
-         len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+         len(regexp_replace(d.text, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+         len(d.text) - len(regexp_replace(d.text, '[#*$%&|<>]', '', 'g')) as n_symbols,
          coalesce(u.n, 0) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words,
-         coalesce(l.n, 0) as n_line_words
+         coalesce(l.n, 0) as n_line_words, sha256(coalesce(m.text, '')) as kept_sha256
   from docs d left join duplicates u using (doc_id) left join repeated r using (doc_id)
-  left join lost l using (doc_id)
+  left join lost l using (doc_id) left join remaining m using (doc_id)
 ), judged as (
   select *, n_words < {line_rules.MIN_WORDS}
          or 100 * n_repeat_words > {line_rules.MAX_REPEAT_PERCENT} * n_words as base_failed
@@ -101,7 +108,8 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
        cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
        cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
        cast(n_line_words as bigint) as n_line_words,
-       not base_failed and 100 * n_line_words <= {line_rules.MAX_REMOVED_PERCENT} * n_words as kept
+       not base_failed and 100 * n_line_words <= {line_rules.MAX_REMOVED_PERCENT} * n_words as kept,
+       kept_sha256
 from judged
 """
 

@@ -1,11 +1,13 @@
+import hashlib
 import random
 import re
+from collections import Counter, defaultdict
 
 import duckdb
 import pytest
 
 from stratiscore.llm import oracles
-from stratiscore.llm.line_rules import apply_rules
+from stratiscore.llm.line_rules import apply_rules, remove_lines
 from verification.compare import difference
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -63,6 +65,42 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(workspace, docume
     assert difference(found, db.execute(oracles.sql()["op10_line_rules"]).df()) is None
 
 
+def plain(line):
+    return re.sub("[0-9]", "0", " ".join(re.findall(WORDS, line)).lower())
+
+
+def brute_remaining(rows):
+    """Rows that stay and their texts without frequent lines, with the limits of production."""
+    held, hosts = defaultdict(set), Counter()
+    for i, (doc_id, text, _, host, _) in enumerate(rows):
+        hosts[host] += 1
+        for line in (text or "").split("\n"):
+            held[host, plain(line)].add(("row", i) if doc_id is None else doc_id)
+    out = []
+    for doc_id, text, lang, host, n in rows:
+        limit = max(20, 0.005 * hosts[host])
+        gone = [bool(plain(x)) and len(held[host, plain(x)]) > limit for x in (text or "").split("\n")]
+        left = "\n".join(x for x, g in zip((text or "").split("\n"), gone) if not g)
+        words = sum(len(plain(x).split()) for x, g in zip((text or "").split("\n"), gone) if g)
+        n_words, *_, failed = base(text)
+        out.append(((doc_id, left, lang, host, n), not failed and 100 * words <= 50 * n_words))
+    return out
+
+
+def test_remaining_texts_against_brute_force(workspace, documents):
+    rows = corpus()
+    rows += [(i, *rows[i][1:]) for i in (3, 4, 4)]  # repeated rows
+    rows += [(None, *rows[7][1:]), (None, *rows[8][1:]), (900, None, None, None, None), (901, "", "en", "h1", 0)]
+    want = brute_remaining(rows)
+    docs = documents(rows)
+    kept = remove_lines(workspace, docs)
+    assert kept.columns == docs.columns
+    assert Counter(tuple(r)[:5] for r in kept.collect()) == Counter(r for r, stays in want if stays)
+    digests = Counter((r["doc_id"], r["kept"], r["kept_sha256"]) for r in apply_rules(workspace, docs).collect())
+    assert digests == Counter((r[0], stays, hashlib.sha256(r[1].encode()).hexdigest()) for r, stays in want)
+    assert 0 < sum(stays for _, stays in want) < len(rows)
+
+
 def test_copies_in_one_id_count_once(workspace, documents):
     text = "one line only " + " ".join(f"w{i}" for i in range(60))
     rows = [(1, text, "en", "h", 1)] * 40 + [(2, text, "en", "h", 1)]
@@ -72,10 +110,12 @@ def test_copies_in_one_id_count_once(workspace, documents):
 def test_no_python_runs(workspace, documents, plan_of):
     plan = plan_of(apply_rules(workspace, documents()))
     assert not re.search("Python|Arrow|Pandas", plan)
+    assert not re.search("Python|Arrow|Pandas", plan_of(remove_lines(workspace, documents())))
 
 
 def test_empty_table(workspace, documents):
     assert apply_rules(workspace, documents([])).count() == 0
+    assert remove_lines(workspace, documents([])).count() == 0
 
 
 @pytest.mark.parametrize("share, kept", [(0.0, 0), (1.0, 30)])
