@@ -8,7 +8,8 @@ member, the index, and at last the records of any stretch of the data.
 Equal payloads of at least ``min_revisit`` bytes are written once, by the record with the largest
 id; the others become revisit records that name it. Files are reached by URI through Arrow's file
 systems, so they may lie in any shared store. A task writes under a new name, and only the archives
-named by successful tasks are read.
+named by successful tasks are read. On reading, length and SHA-1 of each response payload are compared
+with its record, and a damaged one raises an error; a revisit has no payload to compare.
 
 Nulls: a null payload is empty; a null url leaves out the target; a null id is written as such,
 never names a response and, where all equal payloads lack ids, every one is a response. Repeated
@@ -17,6 +18,7 @@ rows that share the largest id are all responses. Without rows there are no arch
 
 from __future__ import annotations
 
+import hashlib
 import io
 import json
 import struct
@@ -254,19 +256,22 @@ def write_archives(
     payload = F.coalesce(F.col("html").cast("binary"), F.unhex(F.lit("")))
     rows = pages.select("page_id", "url", payload.alias("payload"))
     digest = F.sha1("payload").alias("digest")
-    rows = rows.select("*", digest, F.octet_length("payload").alias("size"))
+    rows = rows.select("*", digest)
+    large = F.octet_length("payload") >= min_revisit
+    # Small pages, whatever share of them is empty, are written where they are read.
+    small = rows.filter(~large).withColumn("refers_to", F.lit(None).cast(dict(pages.dtypes)["page_id"]))
+    rows = rows.filter(large)
     groups = (
-        rows.filter(F.col("size") >= min_revisit)
-        .groupBy("digest")
+        rows.groupBy("digest")
         .agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
         .select("digest", "keeper")
     )
-    points = (F.col("size") >= min_revisit) & ~F.col("page_id").eqNullSafe(F.col("keeper"))
+    points = ~F.col("page_id").eqNullSafe(F.col("keeper"))
     marked = rows.join(groups, "digest", "left").select(
         "page_id", "url", "payload", "digest", F.when(points, F.col("keeper")).alias("refers_to")
     )
-    return marked.mapInArrow(_writer(folder, archive_bytes, date), "uri string, records long")
+    return marked.unionByName(small).mapInArrow(_writer(folder, archive_bytes, date), "uri string, records long")
 
 
 # --- reading ----------------------------------------------------------------------------------
@@ -329,6 +334,15 @@ _RECORD = pa.schema(
 )
 
 
+def checked(fields: dict, http: dict, payload: bytes) -> tuple[str, int]:
+    """Digest and length of a record's payload; those of a response are taken from its bytes."""
+    digest, size = fields["warc-payload-digest"].removeprefix("sha1:"), int(http["content-length"])
+    if fields["warc-type"] == "response":
+        if len(payload) != size or hashlib.sha1(payload).hexdigest() != digest:
+            raise ValueError(f"the payload of {fields['warc-record-id']} is damaged")
+    return digest, size
+
+
 def _read(with_payload: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,14 +354,15 @@ def _read(with_payload: bool):
                     fields, http, payload = unpack_record(data[at : at + length])
                     at += length
                     kind = fields["warc-type"]
+                    digest, size = checked(fields, http, payload)
                     rows.append(
                         (
                             _id_of(fields["warc-record-id"]),
                             fields.get("warc-target-uri"),
                             kind,
                             _id_of(fields.get("warc-refers-to")),
-                            fields["warc-payload-digest"].removeprefix("sha1:"),
-                            int(http["content-length"]),
+                            digest,
+                            size,
                             payload if with_payload and kind == "response" else None,
                         )
                     )

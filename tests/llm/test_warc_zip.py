@@ -103,6 +103,30 @@ def test_wide_fields_come_from_the_extra_field():
     assert warc_zip._wide(extra, [0xFFFFFFFF, 12, 0xFFFFFFFF]) == [5 << 32, 12, 7 << 33]
 
 
+def test_damaged_payloads_are_refused():
+    def record(payload, digest):
+        return warc_zip.unpack_record(warc_zip.pack_record(1, "http://a", payload, digest, None, warc_zip.WARC_DATE))
+
+    right = hashlib.sha1(b"as it was").hexdigest()
+    fields, http, payload = record(b"as it was", right)
+    assert warc_zip.checked(fields, http, payload) == (right, 9)
+    for changed in (b"as it is!", b"as it", b""):
+        with pytest.raises(ValueError, match="damaged"):
+            warc_zip.checked(fields, http, changed)
+    with pytest.raises(ValueError, match="damaged"):
+        warc_zip.checked(*record(b"other", right))
+
+
+def test_small_pages_are_not_shuffled(workspace, table, plan_of):
+    pages = table(SCHEMA, *((i, f"http://a/{i}", None if i % 2 else "") for i in range(40)))
+    pages = workspace.stage(pages, "pages")
+    written = warc_zip.write_archives(pages, workspace.path("zip"))
+    assert "Union" in plan_of(written)
+    found = warc_zip.read_archives(workspace.stage(written, "manifest")).collect()
+    assert sorted(int(r["page_id"]) for r in found) == list(range(40))
+    assert {r["record_type"] for r in found} == {"response"}
+
+
 def test_damaged_and_packed_files_are_refused():
     with pytest.raises(ValueError):
         warc_zip.members(Source(b"no archive at all"))
