@@ -144,12 +144,12 @@ def judge(
 
 
 def _shortened(docs: DataFrame, host: str, judged: DataFrame) -> DataFrame:
-    """Key and remaining text of the documents that lose lines, one row for each key."""
+    """Key and digest of the remaining text of the documents that lose lines, one row for each key."""
     lost = judged.filter("gone is not null").select(*_KEY, "gone").distinct()
     rows = _keyed(docs, host, F.col("text"))
     cut = rows.join(lost, _same_key(rows, lost))
-    remaining = without_lines(rows["text"], lost["gone"]).alias("kept_text")
-    return cut.select(*[rows[k] for k in _KEY], remaining).groupBy(*_KEY).agg(F.max("kept_text").alias("kept_text"))
+    digest = F.sha2(without_lines(rows["text"], lost["gone"]), 256).alias("cut_sha256")
+    return cut.select(*[rows[k] for k in _KEY], digest).groupBy(*_KEY).agg(F.max("cut_sha256").alias("cut_sha256"))
 
 
 def apply_rules(
@@ -159,7 +159,6 @@ def apply_rules(
     remains when the frequent lines are gone."""
     judged = workspace.stage(judge(workspace, docs, host, **limits), "judged")
     cut = _shortened(docs, host, judged)
-    cut = cut.select(*_KEY, F.sha2("kept_text", 256).alias("cut_sha256"))
     joined = judged.join(cut, _same_key(judged, cut), "left")
     digest = F.coalesce(cut["cut_sha256"], judged["plain_sha256"]).alias("kept_sha256")
     counts = [c for c in judged.columns if c not in (*_KEY, "plain_sha256", "gone")]
