@@ -4,18 +4,22 @@ The text lines of a page are its blocks, without what markup declares to be menu
 footers, sidebars, notices, adverts, forms or comments. Names of classes say so by their last word
 ('cookie-notice', 'sidebar-left'), not by a state ('has-sidebar') or a title ('post-header'). An
 article inside an element that only its name excludes is kept if the page declares no other one
-and it is longer than the lines outside. Where a page declares its article, those
-lines are the text. Where it does not, the page is compared with its nearest neighbours of the same
-host in URL path order: the one that shares more leading directories of the path, or both where they
-share equally many. Their lines are aligned by longest common subsequence, and the lines that all
-these neighbours share with the page are deleted as template; one that shares none has another
-template and says nothing. Between two pages of its directory a page thus keeps a paragraph that
-only one of them has, too (quotes, licences, near copies). Pages of a host with equal lines are
-copies, which say nothing about the template: they stand once in the order, at their first path, so
-that every neighbour is a different page, and lose the same lines.
-
-Differencing alone would delete the paragraphs that an article shares with neighbours on both
-sides, so it leaves declared articles alone.
+and it is longer than the lines outside. Where a page declares its article, only those lines go on.
+
+Every page is then compared with its nearest neighbours of the same host in URL path order, among
+the pages that declare an article or among those that do not: the one that shares more leading
+directories of the path, or both where they share equally many. Their lines are aligned by longest
+common subsequence, and the lines that all these neighbours share with the page are its template;
+one that shares none has another template and says nothing. Between two pages of its directory a
+page thus keeps a paragraph that only one of them has, too (quotes, licences, near copies). Pages of
+a host with equal lines are copies, which say nothing about the template: they stand once in the
+order, at their first path, so that every neighbour is a different page, and lose the same lines.
+
+A page that declares no article loses its template. Differencing alone would also delete the
+paragraphs that an article shares with neighbours on both sides. So a declared article loses a line
+of its template only if that line is in the template of every different page of the host that
+declares an article, of 20 at least, and if the lines that stay are at least as long as those that
+go: articles that share more are near copies.
 
 Nulls: a null or empty page has an empty text; pages with a null or odd URL stand under an empty
 host, each with its URL as path; a null page_id sorts last. Repeated rows give repeated rows. A
@@ -38,6 +42,7 @@ from stratiscore.llm.common import with_position
 from stratiscore.sources.staging import Workspace
 
 _ROWS_IN_MEMORY = 1 << 29  # bits of alignment rows kept at once
+_AGREEING_PAGES = 20  # different pages that a host needs to tell the template of declared articles
 
 # Fixed values of HTML: elements without content of their own, and elements that begin a block.
 _VOID = frozenset(
@@ -301,6 +306,7 @@ _LINES = pa.schema(
     [
         ("host", pa.string()),
         ("path", pa.string()),
+        ("declared", pa.bool_()),
         ("lines", pa.list_(pa.string())),
         ("hashes", pa.list_(pa.int64())),
     ]
@@ -313,9 +319,8 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         urls = batch.column("url").to_pylist()
         for url, html in zip(urls, batch.column("html").to_pylist()):
             lines, declared = text_lines(html)
-            open_lines = [] if declared else lines
-            hashes = [xxhash.xxh64_intdigest(x) - (1 << 63) for x in open_lines]
-            rows.append((*_place(url), lines, hashes))
+            hashes = [xxhash.xxh64_intdigest(x) - (1 << 63) for x in lines]
+            rows.append((*_place(url), declared, lines, hashes))
         new = [pa.array(c, t) for c, t in zip(zip(*rows), _LINES.types)]
         if not rows:
             new = [pa.array([], t) for t in _LINES.types]
@@ -325,7 +330,13 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _SHARED = pa.schema(
-    [("host", pa.string()), ("copies", pa.int64()), ("shared", pa.list_(pa.int32()))]
+    [
+        ("host", pa.string()),
+        ("declared", pa.bool_()),
+        ("copies", pa.int64()),
+        ("shared", pa.list_(pa.int32())),
+        ("template", pa.list_(pa.int64())),
+    ]
 )
 
 
@@ -348,52 +359,88 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
         for row in batch.to_pylist():
-            sides = [n for n in (row["before"], row["after"]) if n and n["host"] == row["host"]]
-            near = [(n["path"], n["hashes"]) for n in sides]
+            group = row["host"], row["declared"]
+            sides = [n for n in (row["before"], row["after"]) if n]
+            near = [(n["path"], n["hashes"]) for n in sides if (n["host"], n["declared"]) == group]
             shared = template_lines(row["path"], row["hashes"], near)
             if shared:
-                found.append((row["host"], row["copies"], shared))
+                template = [row["hashes"][i] for i in shared]
+                found.append((*group, row["copies"], shared, template))
         columns = list(zip(*found)) or [()] * len(_SHARED)
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(columns, _SHARED)], schema=_SHARED
         )
 
 
+def _agreed(workspace: Workspace, marked: DataFrame, different: DataFrame) -> DataFrame:
+    """Template of declared articles that all different pages of their host have in common.
+
+    ``marked`` has the template of each such page, ``different`` the pages themselves.
+    """
+    pages = different.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
+    pages = pages.filter(f"n_pages >= {_AGREEING_PAGES}")
+    lines = marked.select("host", F.explode(F.array_distinct("template")).alias("line"))
+    common = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).join(pages, "host")
+    common = common.filter("n = n_pages").select("host", "line")
+    places = marked.select(
+        "host", "declared", "copies", F.explode(F.arrays_zip("shared", "template")).alias("at")
+    ).select("host", "declared", "copies", "at.shared", F.col("at.template").alias("line"))
+    joined = workspace.small(common, "agreed-lines").attach(places, ["host", "line"], "inner")
+    return joined.groupBy("host", "declared", "copies").agg(
+        F.collect_list("shared").alias("shared")
+    )
+
+
 def extract(workspace: Workspace, pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     kind = dict(pages.dtypes)["page_id"]
     schema = (
-        f"page_id {kind}, url string, host string, path string, lines array<string>, hashes array<long>"
+        f"page_id {kind}, url string, host string, path string, declared boolean, "
+        "lines array<string>, hashes array<long>"
     )
     parsed = pages.select("page_id", "url", "html").mapInArrow(_parse, schema)
     path = workspace.path("lines")
-    # Pages of one host with equal lines are copies; those that declare an article have no hashes.
+    # Pages of one host with equal lines are copies; pages without lines have none.
     numbered = parsed.withColumn("row", F.monotonically_increasing_id()).withColumn(
         "copies", F.when(F.size("hashes") > 0, F.xxhash64("hashes"))
     )
     numbered.write.option("compression", "zstd").parquet(path)
     table = workspace.spark.read.schema(numbered.schema).parquet(path)
+    group = ["host", "declared", "copies"]
     first = F.min(F.struct("path", "url", "page_id", "row", "hashes")).alias("first")
-    different = table.filter("copies is not null").groupBy("host", "copies").agg(first)
-    order = ["host", "path", "url", "page_id", "row"]
+    different = table.filter("copies is not null").groupBy(*group).agg(first)
+    order = ["host", "declared", "path", "url", "page_id", "row"]
     placed = with_position(
-        workspace, different.select("host", "copies", "first.*"), [F.col(c) for c in order], "paths"
+        workspace, different.select(*group, "first.*"), [F.col(c) for c in order], "paths"
+    )
+    near = placed.select(
+        "position", F.struct("host", "declared", "path", "hashes").alias("near")
     )
-    near = placed.select("position", F.struct("host", "path", "hashes").alias("near"))
     before = near.select((F.col("position") + 1).alias("position"), F.col("near").alias("before"))
     after = near.select((F.col("position") - 1).alias("position"), F.col("near").alias("after"))
     neighbours = (
-        placed.select("position", "host", "path", "copies", "hashes")
+        placed.select("position", *group, "path", "hashes")
         .join(before, "position", "left")
         .join(after, "position", "left")
         .drop("position")
     )
-    shared = neighbours.mapInArrow(_difference, "host string, copies long, shared array<int>")
+    marks = neighbours.mapInArrow(
+        _difference,
+        "host string, declared boolean, copies long, shared array<int>, template array<long>",
+    )
+    marks = workspace.stage(marks, "template")
+    agreed = _agreed(workspace, marks.filter("declared"), placed.filter("declared"))
+    shared = marks.filter("not declared").select(*group, "shared").unionByName(agreed)
     deletions = workspace.small(shared, "shared-lines")
-    kept = F.expr(
+    joined = deletions.attach(table.select("page_id", "url", "lines", *group), group)
+    left = F.expr(
         "if(shared is null, lines, filter(lines, (x, i) -> not array_contains(shared, i)))"
     )
-    rows = table.select("page_id", "url", "lines", "host", "copies")
-    joined = deletions.attach(rows, ["host", "copies"])
+    size = "aggregate({}, 0L, (n, x) -> n + length(x))"
+    kept = F.expr(
+        f"if(declared and shared is not null and 2 * {size.format('remaining')} < {size.format('lines')}, "
+        "lines, remaining)"
+    )
     text = F.array_join(kept, "\n\n").alias("text")
-    return joined.select("page_id", "url", text).withColumn("n_chars", F.length("text").cast("long"))
+    rows = joined.withColumn("remaining", left).select("page_id", "url", text)
+    return rows.withColumn("n_chars", F.length("text").cast("long"))

@@ -220,3 +220,34 @@ def test_the_whole_query_against_plain_differencing(workspace, table):
     found = {r["page_id"]: r["text"] for r in extract(workspace, pages).collect()}
     assert found == expected
     assert sum(len(t) for t in found.values()) < sum(len("\n\n".join(text_lines(h)[0])) for *_, h in rows)
+
+
+def declared(*lines):
+    return f"<div>outside</div><article>{plain(*lines)}</article>"
+
+
+def texts(workspace, table, rows):
+    pages = table("page_id long, url string, html string", *rows)
+    return {r["page_id"]: r["text"].split("\n\n") for r in extract(workspace, pages).collect()}
+
+
+def test_declared_articles_are_differenced(workspace, table):
+    own = {i: [f"Story {i} is short.", *(["a quote of three"] if i in (1, 2, 3) else []), f"Its end {i}."] for i in range(20)}
+    rows = [(i, f"http://h/news/{i:02}", declared("Follow us", *own[i], "Share this")) for i in own]
+    # Copies count once; pages without a declared article have neighbours of their own.
+    rows += [(20, "http://h/news/02", rows[2][2]), (21, "http://h/news/02b", plain("Follow us", "open"))]
+    assert texts(workspace, table, rows) == own | {20: own[2], 21: ["Follow us", "open"]}
+
+
+def test_declared_articles_keep_what_one_page_of_the_host_lacks(workspace, table):
+    lines = {i: ["Follow us", f"Story {i} is short."] for i in range(25)} | {25: ["Story of its own."]}
+    rows = [(i, f"http://h/news/{i}", declared(*lines[i])) for i in lines]
+    assert texts(workspace, table, rows) == lines
+
+
+def test_few_declared_articles_and_near_copies_keep_all(workspace, table):
+    few = [(i, f"http://few/{i}", declared("Follow us", f"Story {i} is short.")) for i in range(19)]
+    few += [(30 + i, "http://few/0", few[0][2]) for i in range(5)]
+    near = [(40 + i, f"http://near/{i}", declared("Head", f"no {i}", "a long text of all")) for i in range(25)]
+    rows = few + near
+    assert texts(workspace, table, rows) == {i: text_lines(html)[0] for i, _, html in rows}
