@@ -399,8 +399,17 @@ def extract_data(
     settings: Settings,
     workspace: Workspace,
     sample_size: int | None = None,
+    whole: DataFrame | None = None,
 ) -> DataFrame:
-    """Full extraction, or a sample of it."""
+    """Full extraction, or a sample of it.
+
+    ``whole`` is the staged full extraction of the same tables, where there is one. Without it a
+    sample reads the source rows that it can need.
+    """
+    if whole is not None:
+        if not sample_size:
+            return whole
+        return extract.sample_n(whole, sample_size, settings.random_state, workspace)
     if sample_size:
         warehouse = extract.sampled_warehouse(
             warehouse, sample_size, settings.random_state, settings, workspace
@@ -418,9 +427,10 @@ def extract_features(
     workspace: Workspace,
     clustering_mode: str = "global",
     sample_size: int | None = None,
+    whole: DataFrame | None = None,
 ) -> DataFrame:
     """Extraction and encoding."""
-    data = extract_data(warehouse, settings, workspace, sample_size)
+    data = extract_data(warehouse, settings, workspace, sample_size, whole)
     return feature_table(data, clustering_mode)
 
 
@@ -429,10 +439,12 @@ def extract_and_cluster(
     settings: Settings,
     workspace: Workspace,
     sample_size: int | None = None,
+    whole: DataFrame | None = None,
 ) -> DataFrame:
     """Extraction, encoding and a new fit by age stratum."""
     encoded = workspace.stage(
-        extract_features(warehouse, settings, workspace, "stratifie", sample_size), "features"
+        extract_features(warehouse, settings, workspace, "stratifie", sample_size, whole),
+        "features",
     )
     return fit_transform(encoded, "stratifie", settings, workspace)
 

@@ -13,12 +13,14 @@ from stratiscore.plans.pipeline import (
     NO_MODEL,
     SegmentationPipeline,
     extract_and_cluster,
+    extract_data,
     extract_features,
     run_pipeline,
 )
 from stratiscore.sources.model_store import ModelNotFound
 from stratiscore.sources.staging import Workspace
 from stratiscore.sources.warehouse import Warehouse
+from verification import queries
 from verification.fixture import Fixture
 
 FOLDER = "/root/testdata/sf0.001"
@@ -248,3 +250,34 @@ def test_age_profile_of_cells(spark):
         found = cell_age_profile(few).first().asDict()
         plain = few.selectExpr("explode(sequence(1L, n)) as i", "age as AGE")
         assert found == age_profile(plain).first().asDict()
+
+
+def test_the_shortcuts_read_their_sources_once(spark, tmp_path):
+    """One extraction serves all four; the sample is that of an extraction of its own."""
+    session = spark.newSession()  # the views of other tests keep their tables
+    tables = {
+        "customer": "id as c_custkey, id % 3 as c_nationkey, 'M' as c_mktsegment from range(1, 801)",
+        "nation": "id as n_nationkey, concat('N', id) as n_name, id % 2 as n_regionkey from range(3)",
+        "orders": "id as o_orderkey, 1 + id * 7 % 900 as o_custkey from range(1500)",
+        "lineitem": "id % 1600 as l_orderkey, id % 77 as l_partkey, if(id % 2 = 0, 'F', 'O') as l_linestatus, "
+        "substring('RAN', 1 + id % 3, 1) as l_returnflag from range(3000)",
+    }
+    for name, sql in tables.items():
+        session.sql(f"select {sql}").write.parquet(f"{tmp_path}/{name}.parquet")
+    fx = Fixture(session, str(tmp_path))
+    counted = {n: read_counter(session, fx.view(n)) for n in ("connaissance_client", "baq", "epargne_assurance", "epargne")}
+    fx.warehouse = Warehouse.from_frames({n: df for n, (df, *_) in counted.items()})
+    found = {r["name"]: (r["n_rows"], r["n_clients"]) for r in queries.shortcuts(fx).collect()}
+    seen = {n: seen.value for n, (_, seen, _) in counted.items()}
+
+    for name in ("baq", "epargne_assurance", "epargne"):
+        assert seen[name] == counted[name][2] > 0
+    assert seen["connaissance_client"] <= 2 * counted["connaissance_client"][2]  # profiles, revenue
+    args = (Warehouse(fx.view), fx.settings, fx.workspace)
+    whole, sample = extract_data(*args), extract_data(*args, sample_size=queries.SAMPLE_SIZE)
+    sizes = [(df.count(), df.select(ID).distinct().count()) for df in (whole, sample)]
+    assert sizes[0][0] > sizes[1][0] == queries.SAMPLE_SIZE
+    full = ("extract_data", "extract_features", "extract_and_cluster")
+    assert found == {**dict.fromkeys(full, sizes[0]), "extract_data_sample": sizes[1]}
+    drawn = extract_data(*args, sample_size=queries.SAMPLE_SIZE, whole=fx.workspace.stage(whole, "whole"))
+    assert sorted(map(str, drawn.collect())) == sorted(map(str, sample.collect()))
