@@ -2,16 +2,20 @@
 
 1. Texts become chunks of word numbers, each chunk with its own short vocabulary; a long text goes
    on in the next chunk behind its last two words.
-2. Vocabularies are counted together. Words frequent enough for a candidate get an id; all
-   parts of a frequent phrase are frequent. Each chunk gets the ids of its own words back, so no
-   vocabulary of the corpus is sent to all tasks.
+2. Vocabularies are dealt by word and counted together, a compressed row for each chunk and part of
+   the words. Words frequent enough for a candidate get an id; all parts of a frequent phrase are
+   frequent. Each chunk gets the ids of its own words back, so no vocabulary of the corpus is sent
+   to all tasks.
 3. The ids of a phrase are packed into one number, which a Feistel network permutes invertibly. The
    leading bits, its quotient, say which shard counts it; a filter holds the permuted numbers sorted,
    as gaps, with counts. Nothing is hashed away, so every count is exact and every phrase comes
    back from its filter. Filters of chunks meet by quotient and are merged as sorted runs.
 4. Phrases that reach the least count are scored by joins of their parts.
 
-Numbers use just the bits of the vocabulary, three times at most: up to 2^32 frequent words.
+Every chunk sends a row to every part and shard, so chunks and shards are large: their rows stay
+long while the corpus grows, and the fixed cost of a row stays small.
+
+Numbers use just the bits of the largest id, three times at most: up to 2^32 ids.
 
 Words are those of the contract, A-Z in lower case, by language; a null language is ``und``, a
 null text is empty. Repeated rows count as often as they stand there. Other columns than lang and
@@ -20,9 +24,7 @@ text are not read. An empty table gives no rows.
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -30,128 +32,277 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratiscore.llm.common import byte_values, pieces, with_position
+from stratiscore.llm.common import byte_values, pieces
 from stratiscore.sources.staging import Workspace
 
 MIN_COUNT = 10
 COVERED_PERCENT = 50
 TOP = 2000
 LONGEST = 3
-CHUNK_WORDS = 1 << 20
-SHARD_PHRASES = 1 << 20  # phrases, repeats included, that a shard of the filters counts
+CHUNK_WORDS = 1 << 21
+SHARD_PHRASES = 1 << 22  # phrases, repeats included, that a shard of the filters counts
 _TEXT_PIECE = 1 << 18
+_SEGMENT = 1 << 20  # bytes of text that are split into words at once
 _SALTS = 64
 
-# Every separator becomes a full stop, a tab becomes a space.
-_PLAIN = bytes.maketrans(b",;:!?\x0a\x0b\x0c\x0d\x09", b"......... ")
-_STOP = b"."
+# A-Z in lower case, every separator a full stop, a tab a space.
+_FOLDED = bytes.maketrans(
+    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\x0a\x0b\x0c\x0d\x09", b"abcdefghijklmnopqrstuvwxyz......... "
+)
+_SPACE, _STOP = ord(" "), ord(".")
 
 
-class _Vocabulary(dict):
-    """Numbers for words, from 1; 0 ends a piece."""
+# --- numbers as bytes ----------------------------------------------------------------------------
 
-    def __init__(self, numbers: Iterator[int]):
-        super().__init__({_STOP: 0})
-        self.numbers = numbers
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = next(self.numbers)
-        return number
+def packed_bytes(*columns: np.ndarray, tail: bytes = b"") -> bytes:
+    """Columns of equal length by byte planes, as many as the largest number needs, compressed."""
+    widths, planes = [], []
+    for values in columns:
+        width = -(-int(values.max(initial=0)).bit_length() // 8)
+        widths.append(width)
+        planes.append(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    body = b"".join(planes) + tail
+    return bytes(widths) + len(body).to_bytes(8, "little") + pa.compress(body, "zstd", asbytes=True)
 
 
-class _Chunk:
-    """Word numbers of neighbouring texts. ``fresh`` is the first that no earlier chunk counts."""
+def unpacked_bytes(data: bytes, n: int, columns: int) -> tuple[list[np.ndarray], bytes]:
+    """The columns of ``n`` numbers, and the tail."""
+    size = int.from_bytes(data[columns : columns + 8], "little")
+    body = pa.decompress(data[columns + 8 :], decompressed_size=size, codec="zstd", asbytes=True)
+    out, at = [], 0
+    for width in data[:columns]:
+        planes = np.zeros((n, 8), np.uint8)
+        planes[:, :width] = np.frombuffer(body, np.uint8, width * n, at).reshape(width, n).T
+        out.append(planes.reshape(-1).view("<u8"))
+        at += width * n
+    return out, body[at:]
+
+
+def _mixed(x: np.ndarray, turn: int, bits: int) -> np.ndarray:
+    """``bits`` pseudo-random bits of each number."""
+    start = (turn + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+    x = (x + np.uint64(start)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x >> np.uint64(64 - bits)
+
+
+# --- words ---------------------------------------------------------------------------------------
+
+
+def split_words(data: bytes) -> tuple[pa.Array, np.ndarray]:
+    """Words in lower case; and of each word, and of the end, whether separators stand before it."""
+    found = np.frombuffer(data.translate(_FOLDED), np.uint8)
+    stops = found == _STOP
+    inside = np.zeros(len(found) + 2, bool)
+    np.logical_not(stops | (found == _SPACE), out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    words = _byte_strings(ends - starts, found[inside[1:-1]])
+    breaks = np.zeros(len(starts) + 1, bool)
+    breaks[np.searchsorted(starts, np.flatnonzero(stops))] = True
+    return words, breaks
+
+
+def _byte_strings(lengths: np.ndarray, data) -> pa.Array:
+    offsets = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
 
-    def __init__(self, lang: str | None = None, before: list[bytes] = ()):
-        self.numbers = count(1)
-        self.languages: dict[str, _Vocabulary] = {}
-        self.sequence = array("i")
+def _lengths_and_bytes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of byte strings without nulls: their lengths, and all bytes one after the other."""
+    offsets = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    return np.diff(offsets), np.frombuffer(strings.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+
+
+def part_of(keys: pa.Array, parts: int) -> np.ndarray:
+    """The part of each key, by a hash of its bytes."""
+    if not len(keys):
+        return np.zeros(0, np.int64)
+    lengths, data = _lengths_and_bytes(keys)
+    starts = np.cumsum(lengths) - lengths
+    places = np.arange(len(data)) - np.repeat(starts, lengths)
+    weights = _mixed(np.arange(256, dtype=np.uint64), 0, 64)[places & 255] | np.uint64(1)
+    sums = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * weights, starts)
+    return (_mixed(sums, 1, 32) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _last_words(data: bytes) -> bytes:
+    """The last words of a text that a phrase behind it can begin with, and the stops among them."""
+    folded = data.translate(_FOLDED).replace(b".", b" . ")
+    return b" ".join(folded.rsplit(None, LONGEST - 1)[1 - LONGEST :])
+
+
+_ENTRIES = pa.struct([("part", pa.int32()), ("entries", pa.int32()), ("data", pa.binary())])
+_TOTAL = pa.struct([("lang", pa.string()), ("n", pa.int64())])
+_CHUNK = pa.schema(
+    [("chunk", pa.int64()), ("vocabulary", pa.list_(_ENTRIES)), ("totals", pa.list_(_TOTAL)),
+     ("length", pa.int32()), ("sequence", pa.binary()), ("fresh", pa.int32())]
+)
+_CHUNK_NAMES = (
+    "chunk long, vocabulary array<struct<part: int, entries: int, data: binary>>, "
+    "totals array<struct<lang: string, n: long>>, length int, sequence binary, fresh int"
+)
+
+
+class _Chunk:
+    """Neighbouring texts by language. ``before`` are words that an earlier chunk has counted."""
+
+    def __init__(self, segment: int, lang: str | None = None, before: bytes = b""):
+        self.segment = segment
+        self.waiting: dict[str, list[bytes]] = {}
+        self.n_waiting = self.n_words = 0
+        self.segments: dict[str, list[tuple[pa.Array, np.ndarray]]] = {}
+        self.before = bool(before)
         if before:
-            self.add(lang, before)
-        self.fresh = len(self.sequence)
-
-    def add(self, lang: str, words: list[bytes]) -> None:
-        if lang not in self.languages:
-            self.languages[lang] = _Vocabulary(self.numbers)
-        self.sequence.extend(map(self.languages[lang].__getitem__, words))
-
-    def row(self, number: int) -> pa.RecordBatch:
-        sequence = np.frombuffer(self.sequence, np.int32)
-        counts = np.bincount(sequence[self.fresh :], minlength=next(self.numbers))
-        langs, words, numbers = [], [], []
-        for lang, known in self.languages.items():
-            del known[_STOP]
-            langs += [lang] * len(known)
-            words += known
-            numbers += known.values()
-        vocabulary = pa.StructArray.from_arrays(
-            [
-                pa.array(langs, pa.string()),
-                pa.array(words, pa.binary()).cast(pa.string()),
-                pa.array(numbers, pa.int32()),
-                pa.array(counts[numbers], pa.int64()),
-            ],
-            fields=list(_ENTRY),
-        )
+            self.segments[lang] = [split_words(before)]
+
+    def add(self, lang: str, data: bytes) -> None:
+        self.waiting.setdefault(lang, []).append(data)
+        self.n_waiting += len(data)
+        if self.n_waiting >= self.segment:
+            self.split()
+
+    def split(self) -> None:
+        for lang, data in self.waiting.items():
+            words, breaks = split_words(b"".join(data))
+            self.segments.setdefault(lang, []).append((words, breaks))
+            self.n_words += len(words)
+        self.waiting, self.n_waiting = {}, 0
+
+    def row(self, number: int, parts: int) -> pa.RecordBatch:
+        self.split()
+        sequences, keys, counts, totals = [], [], [], []
+        first, fresh = 1, 0
+        for at, (lang, segments) in enumerate(self.segments.items()):
+            encoded = pa.chunked_array([words for words, _ in segments]).combine_chunks().dictionary_encode()
+            codes, n = encoded.indices.to_numpy(), len(encoded)
+            breaks, start = np.zeros(n + 1, bool), 0
+            for words, some in segments:
+                breaks[start : start + len(some)] |= some
+                start += len(words)
+            breaks[n] = True
+            places = np.arange(n) + np.cumsum(breaks[:n])
+            sequence = np.zeros(n + np.count_nonzero(breaks), np.int32)
+            sequence[places] = codes + first
+            known = len(segments[0][0]) if self.before and not at else 0
+            if self.before and not at:
+                fresh = int(places[known]) if known < n else len(sequence)
+            sequences.append(sequence)
+            keys.append(
+                pa.compute.binary_join_element_wise(
+                    encoded.dictionary, pa.scalar(lang.encode(), pa.binary()), pa.scalar(b" ", pa.binary())
+                )
+            )
+            counts.append(np.bincount(codes[known:], minlength=len(encoded.dictionary)))
+            totals.append({"lang": lang, "n": n - known})
+            first += len(encoded.dictionary)
+        sequence = np.concatenate(sequences)
         columns = [
             pa.array([number]),
-            pa.ListArray.from_arrays([0, len(words)], vocabulary),
-            pa.array([sequence.tobytes()], pa.binary()),
-            pa.array([self.fresh], pa.int32()),
+            pa.array([_dealt(pa.concat_arrays(keys), np.concatenate(counts), parts)], pa.list_(_ENTRIES)),
+            pa.array([totals], pa.list_(_TOTAL)),
+            pa.array([len(sequence)], pa.int32()),
+            pa.array([packed_bytes(sequence)], pa.binary()),
+            pa.array([fresh], pa.int32()),
         ]
         return pa.RecordBatch.from_arrays(columns, schema=_CHUNK)
 
 
-_ENTRY = pa.struct(
-    [("lang", pa.string()), ("word", pa.string()), ("local", pa.int32()), ("n", pa.int64())]
-)
-_CHUNK = pa.schema(
-    [("chunk", pa.int64()), ("vocabulary", pa.list_(_ENTRY)), ("sequence", pa.binary()), ("fresh", pa.int32())]
-)
-_CHUNK_NAMES = (
-    "chunk long, vocabulary array<struct<lang: string, word: string, local: int, n: long>>, "
-    "sequence binary, fresh int"
-)
-
+def _dealt(keys: pa.Array, counts: np.ndarray, parts: int) -> list[dict]:
+    """A vocabulary by parts: lengths, numbers as gaps, counts and bytes of the keys."""
+    part = part_of(keys, parts)
+    order = np.argsort(part, kind="stable")
+    lengths, data = _lengths_and_bytes(keys.take(pa.array(order)))
+    ends = np.cumsum(lengths)
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    rows = []
+    for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            text = data[ends[a] - lengths[a] : ends[b - 1]].tobytes()
+            gaps = np.diff(order[a:b] + 1, prepend=0)
+            packed = packed_bytes(lengths[a:b], gaps, counts[order[a:b]], tail=text)
+            rows.append({"part": number, "entries": int(b - a), "data": packed})
+    return rows
 
-def split_words(data: bytes) -> list[bytes]:
-    """Words in lower case, with a full stop between pieces."""
-    return data.lower().translate(_PLAIN).replace(_STOP, b" . ").split()
 
+def _chunks(size: int, parts: int):
+    # A word and what ends it take two bytes: no segment has more words than a chunk should have.
+    segment = min(_SEGMENT, 2 * size)
+    piece_size = min(_TEXT_PIECE, segment)
 
-def _chunks(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
-        chunk = _Chunk()
+        chunk = _Chunk(segment)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), byte_values(batch.column(1))):
-                before: list[bytes] = []
-                for piece in pieces(text, _TEXT_PIECE):
-                    if len(chunk.sequence) >= size:
-                        yield chunk.row(number)
+                before = b""
+                for piece in pieces(text, piece_size):
+                    if chunk.n_words >= size:
+                        yield chunk.row(number, parts)
                         number += 1
-                        chunk = _Chunk(lang, before)
-                    words = split_words(piece)
-                    chunk.add(lang, words)
-                    before = (before + words)[1 - LONGEST :]
-                chunk.add(lang, [_STOP])
-        if len(chunk.sequence) > chunk.fresh:
-            yield chunk.row(number)
+                        chunk = _Chunk(segment, lang, before)
+                    chunk.add(lang, piece)
+                    if len(piece) < len(text):
+                        before = _last_words(before + piece)
+                chunk.add(lang, b".")
+        if chunk.waiting or chunk.n_words:
+            yield chunk.row(number, parts)
 
     return run
 
 
-# --- filters -------------------------------------------------------------------------------------
+# A part of the words: one row with its frequent words, and for each chunk one with their numbers.
+_WORD = pa.struct([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("at", pa.int64())])
+_PART = pa.schema(
+    [("part", pa.int32()), ("words", pa.list_(_WORD)), ("owner", pa.int64()), ("entries", pa.int32()),
+     ("data", pa.binary())]
+)
+_PART_NAMES = (
+    "part int, words array<struct<lang: string, word: string, n: long, at: long>>, owner long, "
+    "entries int, data binary"
+)
 
 
-def _mixed(x: np.ndarray, turn: int, bits: int) -> np.ndarray:
-    """``bits`` pseudo-random bits of each number."""
-    start = (turn + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
-    x = (x + np.uint64(start)) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return x >> np.uint64(64 - bits)
+def _count_part(least: int):
+    """Of a part of all vocabularies: the words that reach the least count, and their places."""
+
+    def run(table: pa.Table) -> pa.Table:
+        entries = table.column("entries").to_numpy()
+        read = [unpacked_bytes(d, n, 3) for n, d in zip(entries, table.column("data").to_pylist())]
+        lengths, counts = (np.concatenate([columns[i] for columns, _ in read]) for i in (0, 2))
+        keys = _byte_strings(lengths, b"".join(text for _, text in read)).dictionary_encode()
+        codes = keys.indices.to_numpy()
+        totals = np.zeros(len(keys.dictionary), np.int64)
+        np.add.at(totals, codes, counts.astype(np.int64))
+        frequent = np.flatnonzero(totals >= least)
+        places = np.zeros(len(totals), np.int64)
+        places[frequent] = np.arange(1, len(frequent) + 1)
+        # A word holds no space, so the first one ends it.
+        named = [key.split(b" ", 1) for key in keys.dictionary.take(pa.array(frequent)).to_pylist()]
+        words = [
+            {"lang": lang.decode(), "word": word.decode(), "n": n, "at": at}
+            for at, ((word, lang), n) in enumerate(zip(named, totals[frequent].tolist()))
+        ]
+        part, found, start = table.column("part")[0].as_py(), [], 0
+        for owner, n, (columns, _) in zip(table.column("chunk").to_pylist(), entries, read):
+            at = places[codes[start : start + n]]
+            start += n
+            kept = at > 0
+            if kept.any():
+                local = np.cumsum(columns[1])[kept]
+                data = packed_bytes(np.diff(local, prepend=np.uint64(0)), at[kept] - 1)
+                found.append((part, None, owner, len(local), data))
+        columns = zip(*[(part, words, None, None, None), *found])
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, _PART)], schema=_PART)
+
+    return run
+
+
+# --- filters -------------------------------------------------------------------------------------
 
 
 class PackedPhrases:
@@ -218,26 +369,10 @@ def counted(high: np.ndarray, low: np.ndarray, counts: np.ndarray | None = None)
     return high[first], low[first], np.add.reduceat(counts, first)
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Numbers by byte planes, compressed; as many planes as the largest needs."""
-    top = int(values.max(initial=0))
-    n_bytes = max(1, -(-top.bit_length() // 8))
-    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n_bytes].T)
-    return bytes([n_bytes]) + pa.compress(planes.tobytes(), "zstd", asbytes=True)
-
-
-def _from_planes(data: bytes, n: int) -> np.ndarray:
-    raw = pa.decompress(data[1:], decompressed_size=data[0] * n, codec="zstd", asbytes=True)
-    planes = np.zeros((n, 8), np.uint8)
-    planes[:, : data[0]] = np.frombuffer(raw, np.uint8).reshape(data[0], n).T
-    return planes.reshape(-1).view("<u8")
-
-
 _FILTER = pa.schema(
-    [("shard", pa.int32()), ("words", pa.int32()), ("entries", pa.int64()), ("high", pa.binary()),
-     ("low", pa.binary()), ("counts", pa.binary())]
-)
-_FILTER_NAMES = "shard int, words int, entries long, high binary, low binary, counts binary"
+    [("shard", pa.int32()), ("words", pa.int32()), ("entries", pa.int64()), ("data", pa.binary())]
+)
+_FILTER_NAMES = "shard int, words int, entries long, data binary"
 
 
 def filter_rows(packed: PackedPhrases, high, low, counts, shards: int) -> list[tuple]:
@@ -247,28 +382,31 @@ def filter_rows(packed: PackedPhrases, high, low, counts, shards: int) -> list[t
     for shard, (a, b) in enumerate(zip(cuts, cuts[1:])):
         if a < b:
             gaps = np.diff(high[a:b], prepend=np.uint64(0))
-            rows.append((shard, packed.words, int(b - a), _planes(gaps), _planes(low[a:b]), _planes(counts[a:b])))
+            rows.append((shard, packed.words, int(b - a), packed_bytes(gaps, low[a:b], counts[a:b])))
     return rows
 
 
-def read_filter(entries: int, high: bytes, low: bytes, counts: bytes) -> tuple:
-    gaps = _from_planes(high, entries)
-    found = _from_planes(counts, entries).astype(np.int64)
-    return np.cumsum(gaps, dtype=np.uint64), _from_planes(low, entries), found
+def read_filter(entries: int, data: bytes) -> tuple:
+    (gaps, low, found), _ = unpacked_bytes(data, entries, 3)
+    return np.cumsum(gaps, dtype=np.uint64), low, found.astype(np.int64)
 
 
-def _count_chunk(bits: int, shards: int):
-    """Of a chunk and the ids of its words: its filters."""
+def _count_chunk(bits: int, shards: int, parts: int):
+    """Of a chunk and the places of its frequent words in their parts: its filters."""
 
-    def run(chunk: pa.Table, ids: pa.Table) -> pa.Table:
+    def run(chunk: pa.Table, places: pa.Table) -> pa.Table:
         rows = []
-        for sequence, fresh in zip(chunk.column("sequence"), chunk.column("fresh")):
-            local = np.frombuffer(sequence.as_buffer(), np.int32)
-            known = np.zeros(int(local.max(initial=0)) + 1, np.uint32)
-            known[ids.column("local").to_numpy()] = ids.column("id").to_numpy()
-            found = known[local]  # 0 for ends of pieces and rare words
+        names = ("length", "sequence", "fresh")
+        for length, sequence, fresh in zip(*(chunk.column(n).to_pylist() for n in names)):
+            (local,), _ = unpacked_bytes(sequence, length, 1)
+            ids = np.zeros(int(local.max(initial=0)) + 1, np.uint32)
+            for part, entries, data in zip(*(places.column(n).to_pylist() for n in ("part", "entries", "data"))):
+                (gaps, at), _ = unpacked_bytes(data, entries, 2)
+                ids[np.cumsum(gaps)] = _word_id(at, part, parts)
+            found = ids[local]  # 0 for ends of pieces and rare words
+            del local
             for words in range(2, LONGEST + 1):
-                first = max(fresh.as_py() - words + 1, 0)
+                first = max(fresh - words + 1, 0)
                 columns = [found[first + i : len(found) - words + 1 + i] for i in range(words)]
                 whole = np.logical_and.reduce([c > 0 for c in columns])
                 packed = PackedPhrases(words, bits)
@@ -280,6 +418,11 @@ def _count_chunk(bits: int, shards: int):
     return run
 
 
+def _word_id(at, part, parts: int):
+    """From 1; ``at`` is the place of the word in its part. Numbers or columns."""
+    return at * parts + part + 1
+
+
 _PHRASE = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("w3", pa.int64()), ("a", pa.int64())])
 
 
@@ -292,8 +435,7 @@ def _merge_shard(bits: int, least: int):
             part = table.filter(pa.compute.equal(table.column("words"), words))
             if not part.num_rows:
                 continue
-            names = ("entries", "high", "low", "counts")
-            filters = [read_filter(*row) for row in zip(*(part.column(n).to_pylist() for n in names))]
+            filters = [read_filter(*row) for row in zip(*(part.column(n).to_pylist() for n in ("entries", "data")))]
             high, low, counts = counted(*(np.concatenate(c) for c in zip(*filters)))
             enough = counts >= least
             ids = PackedPhrases(words, bits).unpack(high[enough], low[enough])
@@ -317,28 +459,33 @@ def phrase_counts(
     ``w3`` is 0 in a phrase of two words. ``n`` and ``a`` are exact over all texts.
     """
     spark = workspace.spark
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions")) if min_shards is None else min_shards
+    parts = max(1, floor)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    chunks = workspace.stage(texts.mapInArrow(_chunks(chunk_words), _CHUNK_NAMES), "chunks")
-    entries = chunks.select("chunk", F.inline("vocabulary"))
-    totals = workspace.stage(entries.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
-    frequent = entries.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    numbered = with_position(workspace, frequent, ["lang", "word"], "words")
-    words = workspace.stage(numbered.withColumn("id", F.col("position") + 1).drop("position"), "ids")
-    n_words = words.count()
-    if n_words >> 32:
-        raise ValueError(f"{n_words} frequent words, more than 32 bits number")
-    bits = max(n_words.bit_length(), 1)
+    chunks = workspace.stage(texts.mapInArrow(_chunks(chunk_words, parts), _CHUNK_NAMES), "chunks")
+    sums = chunks.select(F.inline("totals")).groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = workspace.stage(sums.filter("total > 0"), "totals")
+    numbered = workspace.stage(
+        chunks.select("chunk", F.inline("vocabulary"))
+        .groupBy("part")
+        .applyInArrow(_count_part(least), _PART_NAMES),
+        "numbered",
+    )
+    frequent = numbered.filter("owner is null").select("part", F.inline("words"))
+    word_id = _word_id(F.col("at"), F.col("part"), parts).alias("id")
+    words = workspace.stage(frequent.select("lang", "word", "n", word_id), "ids")
+    largest = words.agg(F.max("id")).first()[0] or 0
+    if largest >> 32:
+        raise ValueError(f"the largest id is {largest}, more than 32 bits number")
+    bits = max(largest.bit_length(), 1)
     all_words = totals.agg(F.sum("total")).first()[0] or 0
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions")) if min_shards is None else min_shards
     shards = max(1, floor, -(-all_words * (LONGEST - 1) // shard_phrases))
-    returned = entries.join(words.select("lang", "word", "id"), ["lang", "word"]).select(
-        F.col("chunk").alias("owner"), "local", "id"
-    )
+    returned = numbered.filter("owner is not null").select("owner", "part", "entries", "data")
     filters = (
-        chunks.select("chunk", "sequence", "fresh")
+        chunks.select("chunk", "length", "sequence", "fresh")
         .groupBy("chunk")
         .cogroup(returned.groupBy("owner"))
-        .applyInArrow(_count_chunk(bits, shards), _FILTER_NAMES)
+        .applyInArrow(_count_chunk(bits, shards, parts), _FILTER_NAMES)
     )
     phrases = filters.groupBy("shard").applyInArrow(
         _merge_shard(bits, least), "w1 long, w2 long, w3 long, a long"

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stratiscore.llm import collocations
@@ -118,3 +119,55 @@ def test_wide_vocabularies(documents, workspace, monkeypatch):
     ids = [np.array([1, 2, 3], np.uint64)] * 3
     assert all((a == b).all() for a, b in zip(packed.unpack(*packed.pack(ids)), other.unpack(*other.pack(ids))))
     assert narrow == brute(rows, 2, 2000, 50)
+
+
+def test_vocabularies_travel_in_a_row_for_each_part(documents, workspace):
+    """Not in a row for each word: those were counted, joined and sent back one by one."""
+    rows = [("en", " ".join(f"w{i} w{i}" for i in range(start, start + 900))) for start in (0, 500, 700)]
+    frame = documents([(i, t, lang, "s", 1) for i, (lang, t) in enumerate(rows)])
+    words, phrases, totals = collocations.phrase_counts(workspace, frame.coalesce(1), least=2, chunk_words=1000, min_shards=3)
+    chunks = workspace.spark.read.parquet(f"{workspace.root}/001-chunks")
+    sizes = [len(r["vocabulary"]) for r in chunks.collect()]
+    assert len(sizes) > 1 and max(sizes) <= 3
+    assert words.count() == 1600 and [tuple(r) for r in totals.collect()] == [("en", 5400)]
+    assert len({r["id"] for r in words.collect()}) == 1600
+    # A word twice in a row, of the words that two texts hold: 500 to 1399.
+    assert phrases.filter("w3 = 0 and w1 = w2").count() == 900
+
+
+def test_rows_of_filters_stay_long_at_6_gb():
+    """A chunk's phrases by the shards of 6 GB of text (1.6 billion words)."""
+    shards = 1_600_000_000 * 2 // collocations.SHARD_PHRASES
+    assert 2 * collocations.CHUNK_WORDS / (2 * shards) > 2000
+
+
+def test_words_are_split_as_by_the_contract():
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choice("Ab字é\x00 \t\t.,;:!?\n\x0b\x0c\r ") for _ in range(rng.randrange(40)))
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+        pieces = [[w for w in re.split("[ \t]+", p) if w] for p in re.split("[.,;:!?\n-\r]", lower)]
+        words, breaks = collocations.split_words(text.encode())
+        assert [w.decode() for w in words.to_pylist()] == [w for p in pieces for w in p]
+        ends = np.cumsum([len(p) for p in pieces])[:-1]
+        assert set(np.flatnonzero(breaks).tolist()) == set(ends.tolist())
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_a_vocabulary_is_dealt_by_word(parts):
+    keys = pa.array([f"word{i}é en x".encode() * (1 + i % 40) for i in range(5000)], pa.binary())
+    counts = np.arange(5000, dtype=np.int64) << 20
+    found = {}
+    for row in collocations._dealt(keys.slice(10), counts[10:], parts):
+        (lengths, gaps, n), text = collocations.unpacked_bytes(row["data"], row["entries"], 3)
+        assert 0.8 < row["entries"] * parts / 4990 < 1.2
+        for number, key, k in zip(np.cumsum(gaps), collocations._byte_strings(lengths, text).to_pylist(), n):
+            found[int(number)] = (key, int(k))
+    assert found == {i - 9: (keys[i].as_py(), i << 20) for i in range(10, 5000)}
+
+
+def test_languages_of_any_name(documents, workspace):
+    rows = [("a b", "x y x y x y"), ("a", "x y x y"), ("", "x y x y."), (None, "y x y x"), ("b", "x y x y")]
+    for size in (2, 1 << 20):
+        got = run(workspace, documents, rows * 3, least=5, chunk_words=size, min_shards=3)
+        assert got == brute(rows * 3, 5, 2000, 50) and len({r[0] for r in got}) == 5
