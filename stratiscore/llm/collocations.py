@@ -351,16 +351,32 @@ class PackedPhrases:
         return np.array([(i << self.high_bits) // shards for i in range(1, shards)], np.uint64)
 
 
+def _ordered(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in order. A few bits beyond 64 take the place of the leading ones, one value of those at a time."""
+    beyond = int(low.max(initial=0)).bit_length()
+    if not beyond:
+        return np.sort(high), low
+    if beyond > 6:
+        order = np.lexsort((low, high))
+        return high[order], low[order]
+    shift, rest = np.uint64(beyond), np.uint64(64 - beyond)
+    leading, highs, lows = high >> rest, [], []
+    for lead in range(1 << beyond):
+        some = leading == lead
+        keys = np.sort(high[some] << shift | low[some])
+        highs.append(keys >> shift | np.uint64(lead) << rest)
+        lows.append(keys & ((np.uint64(1) << shift) - np.uint64(1)))
+    return np.concatenate(highs), np.concatenate(lows)
+
+
 def counted(high: np.ndarray, low: np.ndarray, counts: np.ndarray | None = None) -> tuple:
     """Distinct numbers in order with the sums of their counts."""
-    if counts is None and not low.any():
-        high = np.sort(high)
+    if counts is None:
+        high, low = _ordered(high, low)
         counts = np.ones(len(high), np.int64)
-        low = np.zeros(len(high), np.uint64)
     else:
         order = np.lexsort((low, high)) if low.any() else np.argsort(high, kind="stable")
-        high, low = high[order], low[order]
-        counts = np.ones(len(high), np.int64) if counts is None else counts[order]
+        high, low, counts = high[order], low[order], counts[order]
     new = np.ones(len(high), bool)
     new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
     first = np.flatnonzero(new)

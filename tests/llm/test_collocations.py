@@ -171,3 +171,15 @@ def test_languages_of_any_name(documents, workspace):
     for size in (2, 1 << 20):
         got = run(workspace, documents, rows * 3, least=5, chunk_words=size, min_shards=3)
         assert got == brute(rows * 3, 5, 2000, 50) and len({r[0] for r in got}) == 5
+
+
+@pytest.mark.parametrize("beyond", [0, 1, 6, 7, 32])
+def test_numbers_beyond_64_bits_are_counted_in_order(beyond):
+    rng = np.random.default_rng(beyond)
+    high = rng.integers(0, 1 << 64, 500, dtype=np.uint64)[rng.integers(0, 500, 3000)]
+    low = rng.integers(0, 1 << beyond, 3000, dtype=np.uint64)
+    expected = sorted(Counter(zip(high.tolist(), low.tolist())).items())
+    got = [((h, l), n) for h, l, n in zip(*(c.tolist() for c in collocations.counted(high, low)))]
+    assert got == expected
+    ones = np.ones(3000, np.int64)
+    assert all((a == b).all() for a, b in zip(collocations.counted(high, low, ones), collocations.counted(high, low)))
